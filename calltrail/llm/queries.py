@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from calltrail.llm import pieces
+from calltrail.llm import decontam, langid, neardup, pieces, pii, tokenfile, warc
 from calltrail.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -18,13 +18,44 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)).withColumnRenamed("id", "doc_id")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(spark, table(spark, sf_dir, "documents")).selectExpr("id AS doc_id", "text_id", "group_id")
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)).withColumnRenamed("id", "doc_id")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.fuse(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return found.selectExpr("doc_id", "__language AS language", "round(__posterior, 6) AS posterior", "__keep AS keep")
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS)).withColumnRenamed("id", "doc_id")
+
+
+def op8_warc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_near_duplicates": op2_near_duplicates,
+    "op3_decontamination": op3_decontamination,
     "op4_piece_codec": op4_piece_codec,
+    "op5_personal_data": op5_personal_data,
+    "op6_language_id": op6_language_id,
+    "op7_token_files": op7_token_files,
+    "op8_warc_files": op8_warc_files,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from calltrail.llm import decontam, langid, neardup, pieces, pii, tokenfile, warc
+from calltrail.llm import avi, decontam, langid, neardup, pieces, pii, tokenfile, warc
 from calltrail.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -47,6 +47,10 @@ def op8_warc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op9_avi_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return avi.media_digests(avi.to_media(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_near_duplicates": op2_near_duplicates,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_token_files": op7_token_files,
     "op8_warc_files": op8_warc_files,
+    "op9_avi_media": op9_avi_media,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -38,6 +38,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _step(k: int) -> np.uint64:
+    return np.uint64(k * int(_GOLD) & 0xFFFFFFFFFFFFFFFF)
+
+
 _word_hash = Memo(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")), 300_000)
 
 
@@ -86,7 +90,7 @@ def _throw(sets: list[tuple[np.ndarray, np.ndarray]], todo: np.ndarray, sig: np.
     flat = sig.reshape(-1)
     level, low, high = 0, 0.0, 1.0
     while len(key):
-        _process(_mix(key + _GOLD * np.uint64(level + 1)), owner, count, low, high, until, flat, registers)
+        _process(_mix(key + _step(level + 1)), owner, count, low, high, until, flat, registers)
         live = count > high
         key, owner, count = key[live], owner[live], count[live]
         level, low, high = level + 1, high, high * 2
@@ -97,10 +101,10 @@ def _process(seed: np.ndarray, owner: np.ndarray, count: np.ndarray, low: float,
     time, limit, rate = np.zeros(len(seed)), until[owner], high - low
     partial = count < high
     whole = not partial.any()
-    k = np.uint64(0)
+    k = 0
     while len(seed):
-        k += np.uint64(1)
-        r = _mix(seed + k * _GOLD)
+        k += 1
+        r = _mix(seed + _step(k))
         time = time - np.log(((r >> np.uint64(11)).astype(float) + 1.0) * 2.0**-53) / rate
         live = time <= limit
         if not live.all():

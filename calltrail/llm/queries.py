@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from calltrail.llm import avi, decontam, langid, neardup, pieces, pii, tokenfile, warc
+from calltrail.llm import avi, decontam, langid, neardup, pieces, pii, repeats, tokenfile, warc
 from calltrail.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -51,6 +51,11 @@ def op9_avi_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return avi.media_digests(avi.to_media(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
 
 
+def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(spark, table(spark, sf_dir, "documents"))
+    return found.selectExpr("id AS doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_near_duplicates": op2_near_duplicates,
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_files": op7_token_files,
     "op8_warc_files": op8_warc_files,
     "op9_avi_media": op9_avi_media,
+    "op10_repeated_bytes": op10_repeated_bytes,
 }
 
 ORACLE_SQL: dict[str, str] = {}

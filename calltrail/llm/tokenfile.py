@@ -56,8 +56,6 @@ class WordIds:
         self.limit = limit
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.young) + len(words) > self.limit:
-            self.old, self.young = self.young, {}
         fresh = []
         for w in words:
             found = self.old.get(w)
@@ -79,10 +77,12 @@ class WordIds:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new: set[str] = set()
+        need: set[str] = set()
         for words in split:
-            new.update(words)
-        new -= self.young.keys()
+            need.update(words)
+        new = need - self.young.keys()
+        if len(self.young) + len(new) > self.limit:
+            self.old, self.young, new = self.young, {}, need
         if new:
             self._learn(new)
         get = self.young.__getitem__

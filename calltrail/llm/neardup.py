@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from calltrail.llm.common import Memo, ids_and_texts, materialize, text_digest
@@ -211,33 +211,34 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
 
 
 def _pivot(k: int) -> Column:
-    """Another digest of the bucket in each round."""
-    return F.col("digest") if k == 0 else F.unhex(F.substring(F.sha2(F.concat("digest", F.lit(str(k)).cast("binary")), 256), 1, 16))
+    """First the text with the most company over all its buckets, which is the original sooner than a copy; then others."""
+    if k == 0:
+        return F.struct("degree", "digest")
+    return F.unhex(F.substring(F.sha2(F.concat("digest", F.lit(str(k)).cast("binary")), 256), 1, 16))
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(rows, links): id and digest of each row; verified pairs (u, v) of digests that join all near duplicates.
 
     In a bucket (texts that agree in a band) all texts are compared with one pivot, in the next round with another one.
-    After that, texts of one bucket which are still in different components are compared with each other, unless their
-    distances from the first pivot differ by more than 1 - similarity: distance is a metric, so such pairs are no links.
-    A pair whose totals differ too much is no link either. So no component stays apart that a bucket's pair would join.
+    After that, texts of mixed buckets (of several components) are joined on rare shingles: a pair of that similarity
+    must share one among the rarest of each, at places that leave room for the overlap it needs. This rules out no link,
+    and it does not pair the members of a component. So no components stay apart that a bucket's pair would join.
     """
     own = docs.withColumn("__digest", text_digest(text_col))
     rows = own.select(F.col(id_col).alias("id"), F.col("__digest").alias("digest"))
     chosen = rows.groupBy("digest").agg(F.min("id").alias("first_id"))
     members = materialize(band_rows(own, "__digest", text_col), "bands")
-    members = members.join(members.groupBy("band").agg(F.count("*").alias("__n")).where("__n > 1").select("band"), "band")
-    members = materialize(members, "buckets")
-    spark = docs.sparkSession
-    edges, tested, first = None, None, None
-    root = None
+    members = members.join(members.groupBy("band").agg(F.count("*").alias("__n")).where("__n > 1"), "band")
+    degree = members.groupBy("digest").agg(F.sum("__n").alias("degree"))
+    members = materialize(members.drop("__n").join(degree, "digest"), "buckets")
+    edges, tested, root = None, None, None
     for k in range(PIVOT_ROUNDS):
         now = members if root is None else _with_roots(members, root)
         if root is not None:
             mixed = now.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band")
             now = materialize(now.join(mixed, "band"), "mixed")
-        pivots = now.groupBy("band").agg(F.min_by(F.struct("digest", "total", *(["root"] if root is not None else [])), _pivot(k)).alias("p"))
+        pivots = now.groupBy("band").agg(F.max_by(F.struct("digest", "total", *(["root"] if root is not None else [])), _pivot(k)).alias("p"))
         pairs = now.join(pivots, "band").where("digest <> p.digest").where(F.least("total", "p.total") >= similarity * F.greatest("total", "p.total"))
         if root is not None:
             pairs = pairs.where("root <> p.root")
@@ -247,11 +248,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
         pairs = materialize(pairs, "pairs")
         sims = materialize(verified(own, pairs, "__digest", text_col, chosen, id_col), "similarities")
         tested = sims if tested is None else tested.unionByName(sims)
-        first = sims if first is None else first
         edges = tested.where(F.col("similarity") >= similarity).select(F.col("a").alias("u"), F.col("b").alias("v"))
         root = components(edges)
-    rest = _rest(members, root, tested, similarity)
-    rest = materialize(rest, "rest-pairs")
+    rest = materialize(_rest(own, chosen, id_col, text_col, members, root, tested, similarity), "rest-pairs")
     if not rest.isEmpty():
         more = materialize(verified(own, rest, "__digest", text_col, chosen, id_col), "similarities")
         edges = edges.union(more.where(F.col("similarity") >= similarity).select("a", "b"))
@@ -262,20 +261,40 @@ def _with_roots(members: DataFrame, root: DataFrame) -> DataFrame:
     return members.join(root.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
 
 
-def _rest(members: DataFrame, root: DataFrame, tested: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of one bucket in different components that are not tested and that no bound rules out.
+def token_rows(texts: DataFrame) -> DataFrame:
+    """digest, root, total, token of texts (digest, root, text): the k-th occurrence of a shingle is a token of its own."""
 
-    Each component of a bucket is one side: pairs form between components, never within one.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for digest, root, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                keys, counts = shingles(text or "")
+                n = int(counts.sum())
+                first = np.concatenate(([0], np.cumsum(counts)))[:-1]
+                nth = np.arange(n) - np.repeat(first, counts)
+                tokens = _mix(np.repeat(keys, counts) + nth.astype(np.uint64) * _GOLD).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([digest] * n, pa.binary()), pa.array([root] * n, pa.binary()), pa.array([n] * n, pa.int64()), pa.array(tokens)], names=["digest", "root", "total", "token"])
+
+    return texts.select("digest", "root", "text").mapInArrow(run, "digest binary, root binary, total long, token long")
+
+
+def _rest(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, members: DataFrame, root: DataFrame, tested: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of texts of mixed buckets, in different components, that may reach the similarity and are not tested yet."""
     now = _with_roots(members, root)
-    mixed = now.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min(F.struct("digest", "total")).alias("p")).where("r0 <> r1").select("band", "p")
-    now = materialize(now.join(mixed, "band"), "mixed")
-    known = tested.select(F.col("a").alias("x"), F.col("b").alias("y"), "similarity").union(tested.select("b", "a", "similarity"))
-    far = now.select("band", "digest", "total", "root", F.col("p.digest").alias("x")).join(known.withColumnRenamed("y", "digest"), ["x", "digest"], "left").select("band", "digest", "total", "root", (1 - F.when(F.col("x") == F.col("digest"), F.lit(1.0)).otherwise(F.col("similarity"))).alias("far"))
-    left = far.select("band", *[F.col(c).alias(f"{c}_l") for c in ("digest", "total", "root", "far")])
-    pairs = left.join(far, "band").where("digest_l < digest and root_l <> root").where(F.least("total", "total_l") >= similarity * F.greatest("total", "total_l"))
-    pairs = pairs.where(F.col("far").isNull() | F.col("far_l").isNull() | (F.abs(F.col("far") - F.col("far_l")) <= 1 - similarity + 1e-9))
-    pairs = pairs.select(F.col("digest_l").alias("a"), F.col("digest").alias("b")).distinct()
+    mixed = now.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band")
+    open_ = now.join(mixed, "band").select("digest", "root").distinct().join(chosen, "digest")
+    texts = docs.select(F.col("__digest").alias("digest"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(open_, "digest").where(F.col("id").eqNullSafe(F.col("first_id"))).dropDuplicates(["digest"])
+    tokens = materialize(token_rows(texts), "tokens")
+    counted = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("n")), "token")
+    place = F.row_number().over(Window.partitionBy("digest").orderBy("n", "token"))
+    prefix = counted.withColumn("at", place).where(F.col("at") <= F.col("total") - F.ceil(F.col("total") * similarity) + 1).where("n > 1").drop("n")
+    prefix = materialize(prefix, "prefixes")
+    shared = prefix.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("token")
+    prefix = prefix.join(shared, "token")
+    left = prefix.select("token", *[F.col(c).alias(f"{c}_l") for c in ("digest", "root", "total", "at")])
+    needed = F.ceil((F.col("total") + F.col("total_l")) * similarity / (1 + similarity) - 1e-9)
+    room = 1 + F.least(F.col("total") - F.col("at"), F.col("total_l") - F.col("at_l"))
+    where = (F.col("digest_l") < F.col("digest")) & (F.col("root_l") != F.col("root")) & (F.least("total", "total_l") >= similarity * F.greatest("total", "total_l")) & (room >= needed)
+    pairs = left.join(prefix, "token").where(where).select(F.col("digest_l").alias("a"), F.col("digest").alias("b")).distinct()
     return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
 
 

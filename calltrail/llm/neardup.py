@@ -21,7 +21,7 @@ WORDS, SIMILARITY = 5, 0.8
 #: 32 bands of 6 registers: at a similarity of 0.8 all bands miss with a chance of 6e-5.
 BANDS, ROWS = 32, 6
 #: Pivot rounds in a bucket before its remaining pairs are compared.
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
 #: Shingles in one vectorised step.
 STEP_SHINGLES = 400_000
 
@@ -220,7 +220,7 @@ def _pivot(k: int) -> Column:
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(rows, links): id and digest of each row; verified pairs (u, v) of digests that join all near duplicates.
 
-    In a bucket (texts that agree in a band) all texts are compared with one pivot, in the next round with another one.
+    In a bucket (texts that agree in a band) all texts are compared with one pivot, in further rounds with others.
     After that, texts of mixed buckets (of several components) are joined on rare shingles: a pair of that similarity
     must share one among the rarest of each, at places that leave room for the overlap it needs. This rules out no link,
     and it does not pair the members of a component. So no components stay apart that a bucket's pair would join.

@@ -140,6 +140,8 @@ def fuse(docs: DataFrame, text_col: str = "text", declared_col: str | None = "la
     declared = F.lower(F.substring_index(F.col(declared_col).cast("string"), "-", 1)) if declared_col else F.lit(None).cast("string")
     model = fit_trigrams(docs.select(F.col(text_col).alias("text"), declared.alias("lang")), rows=fit_rows)
     languages = model.languages[:-1]
+    if not languages:  # nothing declares a language, so nothing is known of any
+        return docs.withColumn("__language", F.lit(UNKNOWN)).withColumn("__posterior", F.lit(1.0)).withColumn("__keep", F.lit(False))
     host = F.lower(F.regexp_extract(F.col(url_col).cast("string"), r"^[a-zA-Z]+://(?:[^/@]*@)?([^/:?#]+)", 1)) if url_col else F.col(host_col).cast("string") if host_col else F.lit(None).cast("string")
     priors = host_priors(docs, languages, host, declared)
     scored = text_scores(docs.withColumn("__host", host).withColumn("__declared", declared), model, text_col)

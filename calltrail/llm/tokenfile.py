@@ -10,7 +10,6 @@ stand in the file "codes" once for all files. Bits are written from the highest
 
 from __future__ import annotations
 
-import heapq
 import os
 import re
 import zlib
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calltrail.llm.blobs import BlobReader, BlobWriter
-from calltrail.llm.common import Memo, drop_path, ids_and_texts, materialize, new_path
+from calltrail.llm.common import ids_and_texts, materialize, new_path
 
 MAX_BITS = 16
 STEP = 64
@@ -125,9 +124,8 @@ def limited_lengths(counts: dict[int, int], most: int = MAX_BITS) -> dict[int, i
         return dict.fromkeys(counts, 1)
     most = max(most, int(np.ceil(np.log2(len(counts)))))
     names = sorted(counts, key=lambda x: (counts[x], x))
-    leaves = [(counts[x], (i,)) for i, x in enumerate(names)]
-    weights = np.array([w for w, _ in leaves], np.int64)
-    # Packages are kept as counts of how many of the cheapest leaves each level takes, so memory stays small.
+    weights = np.array([counts[x] for x in names], np.int64)
+    # A level is kept as which of its items are leaves: the cheapest come first, so counts say which leaves it takes.
     levels = []
     packages = np.zeros(0, np.int64)
     for _ in range(most):

@@ -23,7 +23,7 @@ def decode_lossy(content: Column) -> Column:
     return F.replace(F.make_valid_utf8(content.cast("string")), F.lit("�"), F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_unescape(text: pd.Series) -> pd.Series:
     """All named and numbered entities. The JVM has no function for them."""
     return text.map(html.unescape, na_action="ignore")

@@ -25,7 +25,7 @@ LABELS = ("none", *KINDS)
 FIT_ROWS = 3000
 ROUNDS = 8
 #: log potential of two linked tokens with the same label, against different ones.
-SAME, SIMILAR = 4.0, 2.0
+SAME, SIMILAR = 10.0, 5.0
 THRESHOLD = 0.95
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")

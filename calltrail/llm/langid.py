@@ -49,10 +49,9 @@ class TrigramModel:
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = [*languages, UNKNOWN]
-        smooth = counts + 0.1
-        known = np.log(smooth / smooth.sum(axis=1, keepdims=True)) if len(languages) else np.zeros((0, BUCKETS))
-        spread = counts.sum(axis=0) > 0
-        flat = np.full(BUCKETS, -np.log(max(1, min(BUCKETS, 4 * int(spread.sum())))))
+        seen = int((counts.sum(axis=0) > 0).sum())
+        known = np.log((counts + 0.1) / (counts.sum(axis=1, keepdims=True) + 0.1 * (seen + 1)))
+        flat = np.full(BUCKETS, -np.log(max(1, min(BUCKETS, 4 * seen))))
         self.table = np.ascontiguousarray(np.vstack([known, flat]).T.astype(np.float32))
 
     def scores(self, text: str) -> np.ndarray:

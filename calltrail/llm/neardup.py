@@ -76,7 +76,7 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = BANDS
     todo = np.flatnonzero(total > 0)
     reach = registers * (np.log(registers) + 4)
     while len(todo):
-        _throw(sets, todo, sig, reach / total, registers)
+        _throw(sets, todo, sig, reach / np.maximum(total, 1), registers)
         todo = todo[np.isinf(sig[todo]).any(axis=1)]
         reach *= 2
     return sig

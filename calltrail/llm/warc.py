@@ -105,7 +105,10 @@ def write_archives(spark: SparkSession, pages: DataFrame, folder: str, id_col: s
     Null payloads are empty ones. Of equal payloads of at least `least` bytes, all rows with the smallest id are
     responses and the others revisits; a null id is never the smallest unless it is alone.
     """
-    sample = pages.select(F.col(payload_col).cast("string").alias("p")).where(F.length("p") <= FIT_CHARS).orderBy(F.xxhash64("p"), "p").limit(fit_rows)
+    fit = pages.select(F.col(payload_col).cast("string").alias("p")).where(F.length("p") <= FIT_CHARS)
+    # Of about twice as many rows as are needed, by hash, those of the smallest hashes: few bytes come from each task.
+    share = int((1 << 20) * min(1.0, 2 * fit_rows / max(1, fit.count())))
+    sample = fit.where(F.pmod(F.xxhash64("p"), F.lit(1 << 20)) <= share).orderBy(F.pmod(F.xxhash64("p"), F.lit(1 << 20)), "p").limit(fit_rows)
     dictionary = fit_dictionary([make_record("0", None, r["p"].encode("utf-8", "replace"), None, date) for r in sample.collect()])
     shared = spark.sparkContext.broadcast(dictionary)
 

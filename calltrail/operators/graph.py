@@ -59,28 +59,32 @@ def closure(edges: DataFrame, starts: DataFrame, most: int = 1000) -> DataFrame:
     raise RuntimeError(f"more than {most} steps")
 
 
-def simple_paths(edges: DataFrame, roots: DataFrame, pruned: DataFrame | None = None, max_depth: int = 90) -> DataFrame:
-    """root, path: all paths from roots to leaves; a node that repeats ends its path there. Pruned nodes vanish with what is below.
+def simple_paths(edges: DataFrame, roots: DataFrame, pruned: DataFrame | None = None, max_depth: int | None = None) -> DataFrame:
+    """root, path: all paths from roots to leaves; a node that repeats ends its path there, and so does max_depth.
 
-    A root that is itself pruned has no path. edges: src, dst; roots, pruned: node.
+    Pruned nodes vanish with what is below; a root that is itself pruned has no path. edges: src, dst; roots, pruned: node.
+    A round extends all open paths by one edge and writes them, so there is no limit on rows and a lost executor costs
+    one round; the rounds are as many as the longest path has nodes.
     """
-    spark = edges.sparkSession
     own, start = edges.select("src", "dst").distinct(), roots.select("node").distinct()
     if pruned is not None:
         own = own.join(pruned.withColumnRenamed("node", "dst"), "dst", "left_anti").join(pruned.withColumnRenamed("node", "src"), "src", "left_anti")
         start = start.join(pruned, "node", "left_anti")
-    walked = spark.sql(
-        f"""WITH RECURSIVE walk(root, node, path, ended) AS (
-              SELECT node, node, array(node), false FROM {{start}}
-              UNION ALL
-              SELECT w.root, e.dst, array_append(w.path, e.dst), array_contains(w.path, e.dst)
-              FROM walk w JOIN {{own}} e ON e.src = w.node WHERE NOT w.ended AND size(w.path) < {max_depth})
-            SELECT root, node, path, ended FROM walk""",
-        start=start,
-        own=own,
-    )
-    inner = own.select(F.col("src").alias("node")).distinct()
-    return walked.where("ended").select("root", "path").unionAll(walked.where("NOT ended").join(inner, "node", "left_anti").select("root", "path"))
+    own = materialize(own)
+    open_ = start.select(F.col("node").alias("root"), "node", F.array("node").alias("path"))
+    ended, size = None, 1
+    while True:
+        step = open_.join(own, F.col("node") == F.col("src"), "left")
+        leaf, loop = F.col("dst").isNull(), F.array_contains("path", F.col("dst"))
+        if max_depth is not None and size >= max_depth:
+            step, leaf = open_.withColumn("dst", F.col("node")), F.lit(True)
+        grown = F.when(leaf, F.col("path")).otherwise(F.array_append("path", F.col("dst")))
+        done = materialize(step.select("root", F.col("dst").alias("node"), grown.alias("path"), (leaf | F.coalesce(loop, F.lit(False))).alias("done")).distinct())
+        part = done.where("done").select("root", "path")
+        ended = part if ended is None else ended.unionAll(part)
+        open_, size = done.where("NOT done").select("root", "node", "path"), size + 1
+        if open_.isEmpty():
+            return ended
 
 
 def cells(paths: DataFrame, ids: list[str]) -> DataFrame:

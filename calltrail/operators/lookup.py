@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
+from calltrail.operators.graph import materialize
 
 
 def variable_types(types: DataFrame, keys: list[str]) -> DataFrame:
@@ -47,22 +48,21 @@ def lookup_type(calls: DataFrame, base: Column, types: DataFrame, classes: DataF
     return out.withColumn("resolved", found).select(*calls.columns, "resolved")
 
 
-def ancestors(parents: DataFrame, classes: DataFrame, most: int = 50) -> DataFrame:
+def ancestors(parents: DataFrame, classes: DataFrame) -> DataFrame:
     """cls, anc, depth: each class and what it extends, nearest first; a cycle ends where it would repeat.
 
-    parents: cls, parent. The walk follows the class graph, not the calls, so it is small next to them.
+    parents: cls, parent. A round climbs one step for all classes; the rounds are as many as the hierarchy is deep.
     """
-    spark = parents.sparkSession
-    return spark.sql(
-        f"""WITH RECURSIVE up(cls, anc, depth, seen) AS (
-              SELECT cls, cls, 0, array(cls) FROM {{classes}}
-              UNION ALL
-              SELECT u.cls, p.parent, u.depth + 1, array_append(u.seen, p.parent) FROM up u JOIN {{parents}} p ON p.cls = u.anc
-              WHERE NOT array_contains(u.seen, p.parent) AND u.depth < {most})
-            SELECT cls, anc, depth FROM up""",
-        classes=classes.select("cls").distinct(),
-        parents=parents,
-    )
+    up = parents.select(F.col("cls").alias("anc"), "parent").distinct()
+    frontier = materialize(classes.select("cls", F.col("cls").alias("anc"), F.lit(0).alias("depth")).distinct())
+    found, depth = frontier, 0
+    while True:
+        depth += 1
+        new = frontier.join(up, "anc").select("cls", F.col("parent").alias("anc"), F.lit(depth).alias("depth")).distinct()
+        frontier = materialize(new.join(found, ["cls", "anc"], "left_anti"))
+        if frontier.isEmpty():
+            return found
+        found = found.unionByName(frontier)
 
 
 def owners(returns: DataFrame, parents: DataFrame, classes: DataFrame) -> DataFrame:
@@ -90,21 +90,22 @@ def chain_steps(returns: DataFrame, parents: DataFrame, classes: DataFrame) -> D
 
 
 def chain_segments(chains: DataFrame, steps: DataFrame) -> DataFrame:
-    """id, pos, segment of chains (id, cls, methods): "Owner.method()" for each call until the returned class is unknown."""
-    spark = chains.sparkSession
-    return spark.sql(
-        """WITH RECURSIVE walk(id, methods, pos, owner, method, next) AS (
-             SELECT c.id, c.methods, 0, coalesce(s.owner, c.cls), c.methods[0], s.next
-             FROM {chains} c LEFT JOIN {steps} s ON s.cls = c.cls AND s.method = c.methods[0]
-             WHERE size(c.methods) > 0
-             UNION ALL
-             SELECT w.id, w.methods, w.pos + 1, coalesce(s.owner, w.next), w.methods[w.pos + 1], s.next
-             FROM walk w LEFT JOIN {steps} s ON s.cls = w.next AND s.method = w.methods[w.pos + 1]
-             WHERE w.next IS NOT NULL AND w.pos + 1 < size(w.methods))
-           SELECT id, pos, concat(owner, '.', method, '()') AS segment FROM walk""",
-        chains=chains,
-        steps=steps,
-    )
+    """id, pos, segment of chains (id, cls, methods): "Owner.method()" for each call until the returned class is unknown.
+
+    A round resolves one position of all open chains; the rounds are as many as the longest chain has calls.
+    """
+    known = steps.select("cls", F.col("method").alias("__m"), "owner", "next")
+    open_, out, pos = chains.select("id", "cls", "methods"), None, 0
+    while True:
+        method = F.get("methods", F.lit(pos))
+        step = open_.where(F.size("methods") > pos).withColumn("__m", method).join(known, ["cls", "__m"], "left")
+        segment = F.concat(F.coalesce("owner", "cls"), F.lit("."), F.col("__m"), F.lit("()"))
+        done = materialize(step.select("id", F.lit(pos).alias("pos"), segment.alias("segment"), F.col("next").alias("cls"), "methods"))
+        part = done.select("id", "pos", "segment")
+        out = part if out is None else out.unionByName(part)
+        open_, pos = done.where("cls IS NOT NULL").select("id", "cls", "methods"), pos + 1
+        if open_.where(F.size("methods") > pos).isEmpty():
+            return out
 
 
 def external_bases(calls: DataFrame, base: Column, external: DataFrame, by_file: bool = False) -> DataFrame:

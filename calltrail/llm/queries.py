@@ -19,7 +19,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.groups(spark, table(spark, sf_dir, "documents")).selectExpr("id AS doc_id", "text_id", "group_id")
+    """class_id: the smallest doc_id of the document's near-duplicate group."""
+    return neardup.groups(spark, table(spark, sf_dir, "documents")).selectExpr("id AS doc_id", "group_id AS class_id")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,17 +44,34 @@ class WordIds:
     with at most one mark behind them share the ids of their lower-cased letters.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
+        pieces = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(pieces.values()) + 1, bool)
+        self.ends[[i for p, i in pieces.items() if p.endswith("</w>")]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
         self.limit = limit
 
+    def _one_by_one(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Words of the letters a-z in one text: each is one word to the tokenizer and ends with a piece that says so."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        last = np.flatnonzero(self.ends[ids]) + 1
+        if len(last) != len(words):
+            return self._one_by_one(words)
+        raw, at = ids.tobytes(), [0, *(4 * last).tolist()]
+        return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+
     def _learn(self, words: set[str]) -> None:
+        """Puts the words into the young generation, from the old one or from the tokenizer."""
         fresh = []
         for w in words:
             found = self.old.get(w)
@@ -62,16 +79,18 @@ class WordIds:
                 fresh.append(w)
             else:
                 self.young[w] = found
-        parts: dict[str, tuple[str, str]] = {w: m.groups() for w in fresh if (m := _PLAIN(w))}
-        stems = {w: parts[w][0].lower() for w in parts}
-        todo = sorted({*stems.values(), *(p for _, p in parts.values() if p), *(w for w in fresh if w not in parts)})
-        known = {}
-        for at in range(0, len(todo), 20_000):
-            some = todo[at : at + 20_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        for w in fresh:
-            self.young[w] = known[stems[w]] + (known[parts[w][1]] if parts[w][1] else b"") if w in parts else known[w]
+        plain = {w: (m[1].lower(), m[2]) for w in fresh if (m := _PLAIN(w))}
+        other = [w for w in fresh if w not in plain]
+        self.young.update(zip(other, self._one_by_one(other), strict=True))
+        if len(self.stems) > self.limit:
+            self.stems = {}
+        new = sorted({s for s, _ in plain.values()} - self.stems.keys())
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            self.stems.update(zip(some, self._letters(some), strict=True))
+        marks = dict(zip(".,", self._one_by_one([".", ","]), strict=True)) | {"": b""}
+        for w, (stem, mark) in plain.items():
+            self.young[w] = self.stems[stem] + marks[mark]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""

@@ -31,7 +31,8 @@ BLOCK_IDS = 1 << 18
 END_ID = 1
 #: Ids in one output file, more or less.
 FILE_IDS = 1 << 23
-_PLAIN = re.compile(r"([A-Za-z]+)([.,]?)").fullmatch
+# Letters of Latin-1 are composed, and their lower case is one letter of Latin-1 each.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
 
 
 # --- ids of texts ---------------------------------------------------------------------------------------------------
@@ -40,8 +41,8 @@ _PLAIN = re.compile(r"([A-Za-z]+)([.,]?)").fullmatch
 class WordIds:
     """Ids of a text from its words' ids: the tokenizer drops white space and never joins across it.
 
-    Words a worker has not seen are encoded together, one library call for each batch of texts. Words of ASCII letters
-    with at most one mark behind them share the ids of their lower-cased letters.
+    Words a worker has not seen are encoded together, one library call for each batch of texts. Words of Latin-1
+    letters with at most one mark behind them share the ids of their lower-cased letters.
     """
 
     def __init__(self, path: str, limit: int = 600_000):
@@ -62,7 +63,7 @@ class WordIds:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _letters(self, words: list[str]) -> list[bytes]:
-        """Words of the letters a-z in one text: each is one word to the tokenizer and ends with a piece that says so."""
+        """Words of letters in one text: each is one word to the tokenizer and ends with a piece that says so."""
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         last = np.flatnonzero(self.ends[ids]) + 1
         if len(last) != len(words):

@@ -79,7 +79,7 @@ def simple_paths(edges: DataFrame, roots: DataFrame, pruned: DataFrame | None =
         if max_depth is not None and size >= max_depth:
             step, leaf = open_.withColumn("dst", F.col("node")), F.lit(True)
         grown = F.when(leaf, F.col("path")).otherwise(F.array_append("path", F.col("dst")))
-        done = materialize(step.select("root", F.col("dst").alias("node"), grown.alias("path"), (leaf | F.coalesce(loop, F.lit(False))).alias("done")).distinct())
+        done = materialize(step.select("root", F.col("dst").alias("node"), grown.alias("path"), (leaf | F.coalesce(loop, F.lit(False))).alias("done")))
         part = done.where("done").select("root", "path")
         ended = part if ended is None else ended.unionAll(part)
         open_, size = done.where("NOT done").select("root", "node", "path"), size + 1

@@ -428,8 +428,7 @@ def overload_best(t: Tables) -> DataFrame:
     k = F.col("s_suppkey") % 3
     wanted = t.supplier.select("s_suppkey", F.lit("m").alias("mth"), F.when(k == 0, F.array(F.lit("int"), F.lit("String"))).when(k == 1, F.array(F.lit("java.lang.String"), F.lit("long"))).otherwise(F.array(F.lit("int"))).alias("want"))
     want = F.transform("want", T.normal_type)
-    score = F.when(F.size("types") == F.size("want"), F.size(F.filter(F.arrays_zip(F.col("types").alias("a"), want.alias("b")), lambda z: z["types"] == z["b"]))).otherwise(F.lit(-1))
-    pairs = wanted.withColumn("want", want).join(cand, "mth").withColumn("b", F.col("want"))
+    pairs = wanted.withColumn("b", want).join(cand, "mth")
     score = F.when(F.size("types") == F.size("b"), F.aggregate(F.zip_with("types", "b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)).otherwise(F.lit(-1))
     return pairs.groupBy("s_suppkey").agg(F.max_by("best", F.struct((F.size("types") == F.size("b")).alias("arity"), score.alias("score"), "best")).alias("best"))
 

@@ -95,17 +95,27 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        need: set[str] = set()
-        for words in split:
-            need.update(words)
-        new = need - self.young.keys()
-        if len(self.young) + len(new) > self.limit:
-            self.old, self.young, new = self.young, {}, need
-        if new:
+        split = [folded(t).replace("\n", " ").split(" ") for t in texts]
+        get = self.young.get
+        parts = [list(map(get, words)) for words in split]
+        late = [k for k, p in enumerate(parts) if None in p]
+        if late:
+            new = {w for k in late for w, p in zip(split[k], parts[k], strict=True) if p is None}
+            if len(self.young) + len(new) > self.limit:
+                self.old, self.young, new = self.young, {}, {w for words in split for w in words}
             self._learn(new)
-        get = self.young.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+            for k in late:
+                parts[k] = map(self.young.__getitem__, split[k])
+        return [b"".join(p) for p in parts]
+
+
+def folded(text: str) -> str:
+    """In lower case, as the tokenizer has it anyway, where that is sure to change no ids: Latin-1 without special tokens."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text if "<|" in text else text.lower()
 
 
 @lru_cache(maxsize=1)

@@ -7,6 +7,8 @@ host, registered domain, all rows. The log terms add up; a class "und" of unigra
 
 from __future__ import annotations
 
+import html
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -32,6 +34,10 @@ TEMPER = 0.3
 #: Country suffixes that speak for one language.
 SUFFIX_LANGUAGE = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en", "ie": "en"}
 UNKNOWN = "und"
+#: What is no text of a page: comments, scripts and styles, to the end where they are not closed; then tags.
+_HIDDEN = r"(?is)<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)"
+_TAG = re.compile(r"""<[a-zA-Z/!?](?:[^<>"']++|"[^"]*"|'[^']*')*+>?""")
+_HIDDEN_TEXT = re.compile(_HIDDEN)
 
 
 def _grams(text: str) -> np.ndarray:
@@ -105,6 +111,33 @@ def text_scores(docs: DataFrame, model: TrigramModel, text_col: str = "text") ->
     return docs.withColumn("__scores", score(F.col(text_col).cast("string")))
 
 
+def page_text(page: str) -> str:
+    """Text of a page without markup; a tag stands for a space, entities for their characters."""
+    return html.unescape(_TAG.sub(" ", _HIDDEN_TEXT.sub(" ", page)))
+
+
+def markup_language(page: Column) -> Column:
+    """Main language that a page declares: <html lang>, else <meta> content-language or og:locale; null for none."""
+    seen = F.regexp_replace(page, _HIDDEN.replace(r"\Z", r"\z"), " ")
+    value = r"""\s*=\s*["']?\s*([a-zA-Z]+)"""
+    content = rf"\scontent{value}"
+    named = r"""\s(?:http-equiv|name|property)\s*=\s*["']?\s*(?:content-language|language|og:locale)\b"""
+    other = r"""(?:\s+[^\s<>"'=]++(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s<>"']+))?){0,200}?"""  # attributes before it; their loop recurses in the JVM
+    patterns = (rf"(?i)<html{other}\s+(?:xml:)?lang{value}", rf"(?i)<meta\b(?=[^<>]*{named})[^<>]*?{content}")
+    return F.lower(F.coalesce(*[F.nullif(F.regexp_extract(seen, p, 1), F.lit("")) for p in patterns]))
+
+
+def with_page_evidence(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """pages with text (without markup) and declared (language of the markup) in place of html_col."""
+
+    @F.pandas_udf("string")
+    def plain(page: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None else page_text(p) for p in page], dtype=object)
+
+    page = F.col(html_col).cast("string")
+    return pages.withColumn("declared", markup_language(page)).withColumn("text", plain(page)).drop(html_col)
+
+
 def domain_of(host: Column) -> Column:
     """The last two labels of a host name."""
     return F.substring_index(host, ".", -2)
@@ -141,7 +174,7 @@ def fuse(docs: DataFrame, text_col: str = "text", declared_col: str | None = "la
     languages = model.languages[:-1]
     if not languages:  # nothing declares a language, so nothing is known of any
         return docs.withColumn("__language", F.lit(UNKNOWN)).withColumn("__posterior", F.lit(1.0)).withColumn("__keep", F.lit(False))
-    host = F.lower(F.regexp_extract(F.col(url_col).cast("string"), r"^[a-zA-Z]+://(?:[^/@]*@)?([^/:?#]+)", 1)) if url_col else F.col(host_col).cast("string") if host_col else F.lit(None).cast("string")
+    host = F.nullif(F.lower(F.regexp_extract(F.col(url_col).cast("string"), r"^[a-zA-Z]+://(?:[^/@]*@)?([^/:?#]+)", 1)), F.lit("")) if url_col else F.col(host_col).cast("string") if host_col else F.lit(None).cast("string")
     priors = host_priors(docs, languages, host, declared)
     scored = text_scores(docs.withColumn("__host", host).withColumn("__declared", declared), model, text_col)
     if priors.limit(broadcast_hosts + 1).count() <= broadcast_hosts:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from calltrail.llm import avi, decontam, langid, neardup, pieces, pii, repeats, tokenfile, warc
-from calltrail.llm.common import table
+from calltrail.llm.common import materialize, table
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
@@ -36,8 +36,12 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = langid.fuse(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
-    return found.selectExpr("doc_id", "__language AS language", "round(__posterior, 6) AS posterior", "__keep AS keep")
+    """A row for each document, then one for each page: page_id is null for documents, doc_id for pages."""
+    columns = ["__language AS language", "round(__posterior, 6) AS posterior", "__keep AS keep"]
+    docs = langid.fuse(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    own = materialize(langid.with_page_evidence(table(spark, sf_dir, "pages").select("page_id", "url", "html")), "page-text")
+    pages = langid.fuse(own, declared_col="declared", host_col=None, url_col="url")
+    return docs.selectExpr("doc_id", *columns, "CAST(NULL AS BIGINT) AS page_id").unionByName(pages.selectExpr("CAST(NULL AS BIGINT) AS doc_id", *columns, "page_id"))
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

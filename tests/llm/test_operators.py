@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from calltrail.llm import avi, bloom, decontam, langid, neardup, pieces, pii, repeats, tokenfile, warc
+from calltrail.llm import avi, bloom, decontam, langid, neardup, pieces, pii, queries, repeats, tokenfile, warc
 from calltrail.llm.common import Memo
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -414,6 +414,34 @@ def test_pages_use_markup_and_address(spark):
     assert all(r["__language"] == ("en" if r.page_id % 2 else "de") for r in got)
 
 
+def test_markup_is_read_and_taken_out(spark):
+    pages = {
+        '<!-- <html lang="xx"> --><HTML class="a>b" LANG=\'fr-CA\'><p title="x">l&eacute;s</p><script>var t="</p>";</script>ici': ("fr", "lés ici"),
+        '<html data-lang="xx"><meta content="de-AT" http-equiv="Content-Language">ja': ("de", "ja"),
+        "<html><meta property=og:locale content=es_MX>si <b": ("es", "si"),
+        "<html>a < b<style>p{}": (None, "a < b"),
+        "lang='en'": (None, "lang='en'"),
+    }
+    df = spark.createDataFrame([*enumerate(pages), (9, None)], "page_id BIGINT, html STRING")
+    got = {r.page_id: r for r in langid.with_page_evidence(df).collect()}
+    assert [(got[k].declared, " ".join(got[k].text.split())) for k in range(5)] == list(pages.values())
+    assert got[9].declared is None and got[9].text is None
+    assert len(langid.page_text("<a " * 100_000 + "<!--" * 100_000 + "<script" * 100_000)) < 500_000
+
+
+def test_language_query_covers_pages(spark, tmp_path):
+    spark.createDataFrame([(0, "the water", "en", "s"), (0, None, None, None)], "doc_id BIGINT, text STRING, lang STRING, source STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    body = ["der wasser stein fluss vogel", "the water stone river bird"]
+    rows = [(k, f"https://a.h{k % 2}.{('de', 'uk')[k % 2]}/p", f"<html lang='{('de', 'en-GB')[k % 2]}'><p>{body[k % 2]}</p>") for k in range(20)]
+    rows += [(20, "https://b.h0.de/", "<p>er"), (21, "https://b.h1.uk/", "<p>er"), (22, "no address", None)]
+    spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING").write.parquet(f"{tmp_path}/pages.parquet")
+    found = queries.op6_language_id(spark, str(tmp_path)).collect()
+    got = {r.page_id: r.language for r in found if r.page_id is not None}
+    address = [(r.language, r.posterior) for r in found if r.page_id in (20, 21)]
+    assert len(found) == len(rows) + 2 and sum(r.page_id is None for r in found) == 2
+    assert [got[k] for k in range(20)] == ["de", "en"] * 10 and got[22] == "und" and len(set(address)) == 2
+
+
 def test_archives(spark, empty):
     r = random.Random(2)
     html = [f"<html><body>{sentence(r, 40)}</body></html>" for _ in range(30)] + [None, "", "é" * 70_000]

@@ -9,13 +9,14 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calltrail.llm.common import ids_and_texts
+from calltrail.llm.common import ids_and_texts, materialize
 
 #: Words: lower-cased A-Z, digits and every byte of a non-ASCII character; all other ASCII separates.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -138,18 +139,28 @@ class ItemAutomaton:
         return [(a, b) for a, b in spans], found
 
 
-def automata(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, max_words: int = MAX_WORDS) -> Iterator[ItemAutomaton]:
-    """One automaton for each max_words words of items, so that what is broadcast has a fixed bound.
-
-    Test sets are small next to the corpus; past the bound, parts of them are collected and matched one after another.
-    Items without words, and null ones, have no windows.
-    """
+def item_parts(items: DataFrame, id_col: str = "item_id", text_col: str = "text", max_words: int = MAX_WORDS) -> list[DataFrame]:
+    """item, text: the items in parts of about max_words words. Items without words, and null ones, have no windows."""
     own = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("item is not null and text is not null").distinct()
     total = own.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, -(-total // (2 * max_words)))  # a word and its separator are two characters at least
-    for k in range(parts):
-        part = own if parts == 1 else own.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k)
-        yield ItemAutomaton([(r["item"], words_of(r["text"])) for r in part.collect()], window)
+    return [own if parts == 1 else own.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k) for k in range(parts)]
+
+
+def automaton_of(part: DataFrame, window: int = WINDOW) -> ItemAutomaton:
+    """One part's automaton, so that what is broadcast has a fixed bound."""
+    return ItemAutomaton([(r["item"], words_of(r["text"])) for r in part.collect()], window)
+
+
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The words of all spans as spans that ascend and do not touch."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def match_documents(docs: DataFrame, automaton: ItemAutomaton, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,20 +188,32 @@ def match_documents(docs: DataFrame, automaton: ItemAutomaton, id_col: str = "do
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, n_words long, spans array<struct<a:long,b:long>>, items array<string>")
 
 
+def match_parts(docs: DataFrame, parts: list[DataFrame], key_col: str, text_col: str, window: int) -> DataFrame:
+    """id, n_words, spans, items over all parts: one row for each row of docs, whose key_col must not repeat.
+
+    Each pass matches the texts as they came and is written, so one part's automaton is out at a time. The first pass
+    keeps all rows, the others those with hits.
+    """
+    passes = []
+    for k, part in enumerate(parts):
+        found = match_documents(docs, automaton_of(part, window), key_col, text_col)
+        passes.append(materialize(found if k == 0 else found.where("size(items) > 0"), f"items-{k}"))
+    union = reduce(DataFrame.unionByName, passes)
+    return union.groupBy("id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
     """id, n_words, n_hit, n_items, items_sha256, contaminated: one row for each row of docs.
 
-    Null and empty texts have no words. Repeated rows each keep their row. With items past max_words, each pass
-    yields a row's spans and the passes are joined by row, which needs ids that do not repeat.
+    Null and empty texts have no words. Repeated rows each keep their row. With items past max_words, rows get a key
+    that is written once, and the spans of all passes are united by it.
     """
-    passes = [match_documents(docs, a, id_col, text_col) for a in automata(items, window=window, max_words=max_words)]
-    if len(passes) == 1:
-        found = passes[0].withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.b - s.a))
+    parts = item_parts(items, max_words=max_words)
+    if len(parts) == 1:
+        found = match_documents(docs, automaton_of(parts[0], window), id_col, text_col).withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.b - s.a))
     else:
-        union = passes[0]
-        for p in passes[1:]:
-            union = union.unionByName(p)
-        found = union.groupBy("id").agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        keyed = materialize(docs.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id")).alias("key"), F.col(text_col).cast("string").alias("text")), "keyed")
+        found = match_parts(keyed, parts, "key", "text", window).withColumn("id", F.col("id.id"))
         found = found.withColumn("n_hit", F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s.a, s.b - 1))))).cast("long"))
     return found.select("id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
@@ -212,32 +235,44 @@ def remove_contamination(spark: SparkSession, docs: DataFrame, items: DataFrame,
     All other rows and columns stay as they are; chars_col, if there, follows the new text.
     """
     names = docs.columns
-    out = docs
-    for machine in automata(items, window=window, max_words=max_words):
-        shared = spark.sparkContext.broadcast(machine)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            machine = shared.value
-            get = machine.vocabulary.get
-            for batch in batches:
-                where = batch.schema.get_field_index(text_col)
-                texts, keep = batch.column(where).to_pylist(), []
-                changed = False
-                for k, text in enumerate(texts):
-                    words = words_of(text or "")
-                    spans, _ = machine.occurrences(np.fromiter((get(w, -1) for w in words), np.int64, len(words)))
-                    hit = sum(b - a for a, b in spans)
-                    keep.append(not hit or hit <= max_coverage * len(words))
-                    if hit:
-                        texts[k] = without_spans(text, spans)
-                        changed = True
-                columns = list(batch.columns)
-                if changed:
-                    columns[where] = pa.array(texts, pa.string())
-                    if (c := batch.schema.get_field_index(chars_col)) >= 0:
-                        new = pa.array([None if t is None else len(t) for t in texts], batch.schema.field(c).type)
-                        columns[c] = pa.compute.if_else(pa.compute.equal(columns[where], batch.column(where)).fill_null(True), batch.column(c), new)
-                yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([pa.field(f.name, c.type) for f, c in zip(batch.schema, columns, strict=True)])).filter(pa.array(keep, pa.bool_()))
-
-        out = out.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, docs.schema)
-    return out
+    parts = item_parts(items, max_words=max_words)
+    if len(parts) == 1:
+        shared, out = spark.sparkContext.broadcast(automaton_of(parts[0], window)), docs
+    else:
+        shared, keyed = None, materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+        hits = match_parts(keyed, parts, "__row", text_col, window).where("size(spans) > 0").select(F.col("id").alias("__row"), F.col("spans").alias("__spans"))
+        out = keyed.join(hits, "__row", "left").select(*[F.col(f"`{c}`") for c in names], "__spans")
+
+    def spans_of(texts: list[str | None]) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        machine = shared.value
+        get = machine.vocabulary.get
+        for text in texts:
+            words = words_of(text or "")
+            yield len(words), machine.occurrences(np.fromiter((get(w, -1) for w in words), np.int64, len(words)))[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            where = batch.schema.get_field_index(text_col)
+            texts, keep = batch.column(where).to_pylist(), []
+            if shared is not None:
+                found = spans_of(texts)
+            else:
+                given = batch.column(batch.num_columns - 1).to_pylist()
+                found = ((len(words_of(t or "")) if s else 0, united([(x["a"], x["b"]) for x in s or ()])) for t, s in zip(list(texts), given, strict=True))
+                batch = batch.select(list(range(batch.num_columns - 1)))
+            changed = False
+            for k, (n, spans) in enumerate(found):
+                hit = sum(b - a for a, b in spans)
+                keep.append(not hit or hit <= max_coverage * n)
+                if hit:
+                    texts[k] = without_spans(texts[k], spans)
+                    changed = True
+            columns = list(batch.columns)
+            if changed:
+                columns[where] = pa.array(texts, pa.string())
+                if (c := batch.schema.get_field_index(chars_col)) >= 0:
+                    new = pa.array([None if t is None else len(t) for t in texts], batch.schema.field(c).type)
+                    columns[c] = pa.compute.if_else(pa.compute.equal(columns[where], batch.column(where)).fill_null(True), batch.column(c), new)
+            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([pa.field(f.name, c.type) for f, c in zip(batch.schema, columns, strict=True)])).filter(pa.array(keep, pa.bool_()))
+
+    return out.select(*[F.col(f"`{c}`") for c in out.columns]).mapInArrow(run, docs.schema)

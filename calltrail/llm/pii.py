@@ -1,15 +1,18 @@
 """Personal data: base patterns, and a skip-chain conditional random field that carries their labels to other mentions.
 
-Nodes are the tokens that hold a digit or "@". Neighbours in the text share a chain potential; a token and the last one
-before it with the same digits or letters, or the same last eight digits, share a skip potential however far apart they
-stand. Loopy belief propagation over all documents of a batch at once enforces one label for one entity.
+Nodes are base matches, digit groups that together spell one, and the other tokens that hold a digit or "@". Neighbours in
+the text share a chain potential. All nodes of the same digits or letters, and all of the same last eight digits, share a
+skip potential with a hub of their entity, however far apart they stand; a hub is held to the labels that its nodes are
+seen with. Loopy belief propagation over all documents of a batch, each until it settles, enforces one label for one entity.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -23,7 +26,10 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 #: Documents that the field is fitted on, at most; those of the smallest hashes are taken.
 FIT_ROWS = 3000
-ROUNDS = 8
+#: Messages have settled when none moves by more; rounds end at MOST_ROUNDS where a document's never settle.
+SETTLED, MOST_ROUNDS = 1e-4, 1000
+#: Score of the labels that a seen node, or the hub of one, does not have.
+HELD = -1e4
 #: log potential of two linked tokens with the same label, against different ones.
 SAME, SIMILAR = 10.0, 5.0
 THRESHOLD = 0.95
@@ -36,6 +42,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@]\S*")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
+_GROUPS = re.compile(r"[0-9]+(?:(?: ?\(|\)[ -]?|[ .-])[0-9]+)*")
+_DIGITS = re.compile(r"[0-9]+")
 _CUES = re.compile(r"(mail)|(\bip\b|addr|host)|(card|visa|credit)|(phone|tel|call|mobile)", re.IGNORECASE)
 
 
@@ -74,7 +82,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def nodes_of(text: str) -> list[tuple[int, int]]:
+def tokens_of(text: str) -> list[tuple[int, int]]:
     """Spans of tokens between white space that hold a digit or "@", without marks around them."""
     out, left = [], 0
     for m in _HINT.finditer(text):
@@ -90,6 +98,60 @@ def nodes_of(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def mentions_of(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Neighbouring digit groups that together spell the digits of a base span, or share its last eight.
+
+    Equal digits go first, then ends of one another, then equal last eights; of these the leftmost, then the longest.
+    """
+    keys = {d for k, a, b in spans if k and len(d := _NOT_DIGIT.sub("", text[a:b])) >= 6}
+    tails: dict[str, list[str]] = {}
+    for d in keys:
+        if len(d) >= 8:
+            tails.setdefault(d[-8:], []).append(d)
+    taken = sorted((a, b) for _, a, b in spans)
+    starts = [a for a, _ in taken]
+    ends = list(accumulate((b for _, b in taken), max))
+    out = []
+    for run in _GROUPS.finditer(text) if keys else ():
+        groups = [(run.start() + m.start(), run.start() + m.end()) for m in _DIGITS.finditer(run[0])]
+        found: list[tuple[int, int, int]] = []
+        for i, (a, _) in enumerate(groups):
+            if text[a - 1 : a].isalpha():
+                continue
+            digits = ""
+            for j in range(i, len(groups)):
+                digits += text[slice(*groups[j])]
+                if len(digits) > 19:
+                    break
+                if text[groups[j][1] : groups[j][1] + 1].isalpha():
+                    continue
+                if digits in keys:
+                    found.append((0, i, j))
+                elif digits[-8:] in tails:
+                    found.append((1 if any(d.endswith(digits) or digits.endswith(d) for d in tails[digits[-8:]]) else 2, i, j))
+        used = [False] * len(groups)
+        for _, i, j in sorted(found, key=lambda x: (x[0], x[1], -x[2])):
+            a, b = groups[i][0], groups[j][1]
+            before = bisect_left(starts, b)
+            if not any(used[i : j + 1]) and not (before and ends[before - 1] > a):
+                used[i : j + 1] = [True] * (j + 1 - i)
+                out.append((a - 1 if text[a - 1 : a] == "(" and ")" in text[a:b] else a, b))
+    return sorted(out)
+
+
+def nodes_of(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Base spans of digits, mentions of them, and the tokens that overlap neither, in the order of the text."""
+    wide: list[tuple[int, int]] = []
+    for a, b in sorted([(a, b) for k, a, b in spans if k] + mentions_of(text, spans)):
+        if wide and a < wide[-1][1]:
+            wide[-1] = (wide[-1][0], max(b, wide[-1][1]))
+        else:
+            wide.append((a, b))
+    ends = [b for _, b in wide]
+    rest = [(a, b) for a, b in tokens_of(text) if (k := bisect_right(ends, a)) == len(wide) or wide[k][0] >= b]
+    return sorted(wide + rest)
+
+
 #: Features of a token: at, count of digits in steps, dots, plus, dash, letters, all digits, parts up to 255, length in steps, cue before it.
 N_FEATURES = 1 + 1 + 7 + 4 + 1 + 1 + 2 + 1 + 1 + 4 + 5
 
@@ -108,7 +170,7 @@ def features(text: str, start: int, end: int) -> tuple[int, ...]:
         out.append(13)
     if "-" in token:
         out.append(14)
-    letters = len(token) - n - dots - token.count("-")
+    letters = len(token) - n - dots - sum(map(token.count, "- ()"))
     out.append(15 if letters > 0 else 16)
     if n == len(token):
         out.append(17)
@@ -133,26 +195,22 @@ def label_nodes(nodes: list[tuple[int, int]], spans: list[tuple[int, int, int]])
     return labels
 
 
-def skip_links(text: str, nodes: list[tuple[int, int]]) -> list[tuple[int, int, bool]]:
-    """(earlier, later, same): each token with the last one of the same key, so links grow with tokens only."""
-    same: dict[str, int] = {}
-    near: dict[str, int] = {}
-    out = []
+def entities_of(text: str, nodes: list[tuple[int, int]]) -> list[tuple[list[int], bool]]:
+    """(nodes, same): those of one key, and those of different keys with one end of eight digits; two nodes at least."""
+    same: dict[str, list[int]] = {}
+    near: dict[str, list[int]] = {}
+    keys: dict[str, set[str]] = {}
     for k, (a, b) in enumerate(nodes):
         token = text[a:b]
         digits = _NOT_DIGIT.sub("", token)
         key = digits if len(digits) >= 6 and "@" not in token else token.lower() if "@" in token else None
         if key is None:
             continue
-        if key in same:
-            out.append((same[key], k, True))
-        tail = digits[-8:] if len(digits) >= 8 else None
-        if tail:
-            if tail in near and near[tail] != same.get(key):
-                out.append((near[tail], k, False))
-            near[tail] = k
-        same[key] = k
-    return out
+        same.setdefault(key, []).append(k)
+        if len(digits) >= 8:
+            near.setdefault(digits[-8:], []).append(k)
+            keys.setdefault(digits[-8:], set()).add(key)
+    return [(own, True) for own in same.values() if len(own) > 1] + [(own, False) for tail, own in near.items() if len(keys[tail]) > 1]
 
 
 class SkipChainField:
@@ -163,27 +221,35 @@ class SkipChainField:
         n = len(LABELS)
         self.same, self.similar = SAME * np.eye(n), SIMILAR * np.eye(n)
 
-    def marginals(self, scores: np.ndarray, edges: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-        """P(label) of each node after so many rounds of messages. kinds: 0 chain, 1 same, 2 similar."""
-        n, k = scores.shape
+    def marginals(self, scores: np.ndarray, edges: np.ndarray, kinds: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """P(label) of each node when the messages have settled. kinds: 0 chain, 1 same, 2 similar; owner: an edge's document.
+
+        A document's messages stop on their own account, so that its result does not depend on the others.
+        """
         if not len(edges):
             return _softmax(scores)
-        tables = np.stack([self.chain, self.same, self.similar])
-        forward = np.exp(tables[kinds])
-        into = np.concatenate((edges[:, 1], edges[:, 0]))  # of messages: first halves go down the text, then back
-        out_of = np.concatenate((edges[:, 0], edges[:, 1]))
-        table = np.concatenate((forward, forward.transpose(0, 2, 1)))
-        back = np.concatenate((np.arange(len(edges)) + len(edges), np.arange(len(edges))))
-        messages = np.zeros((2 * len(edges), k))
-        for _ in range(ROUNDS):
+        tables = np.exp(np.stack([self.chain, self.same, self.similar]))
+        down, up = np.zeros((len(edges), scores.shape[1])), np.zeros((len(edges), scores.shape[1]))
+        live = np.arange(len(edges))
+        for _ in range(MOST_ROUNDS):
+            (a, b), table = edges[live].T, tables[kinds[live]]
             belief = scores.copy()
-            np.add.at(belief, into, messages)
-            sent = belief[out_of] - messages[back]
-            sent -= sent.max(axis=1, keepdims=True)
-            new = np.log(np.einsum("ei,eij->ej", np.exp(sent), table) + 1e-30)
-            messages = 0.5 * messages + 0.5 * (new - new.max(axis=1, keepdims=True))
+            np.add.at(belief, b, down[live])
+            np.add.at(belief, a, up[live])
+            moved = np.zeros(len(live))
+            for mine, sent, how in ((down, belief[a] - up[live], "ei,eij->ej"), (up, belief[b] - down[live], "ej,eij->ei")):
+                new = np.log(np.einsum(how, np.exp(sent - sent.max(axis=1, keepdims=True)), table) + 1e-30)
+                step = 0.5 * (new - new.max(axis=1, keepdims=True) - mine[live])
+                mine[live] += step
+                moved = np.maximum(moved, np.abs(step).max(axis=1))
+            most = np.zeros(owner.max() + 1)
+            np.maximum.at(most, owner[live], moved)
+            live = live[most[owner[live]] > SETTLED]
+            if not len(live):
+                break
         belief = scores.copy()
-        np.add.at(belief, into, messages)
+        np.add.at(belief, edges[:, 1], down)
+        np.add.at(belief, edges[:, 0], up)
         return _softmax(belief)
 
 
@@ -206,8 +272,9 @@ def fit_field(docs: DataFrame, text_col: str = "text", rows: int = FIT_ROWS) ->
         seen: dict[str, int] = {}
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                nodes = nodes_of(text)
-                labels = label_nodes(nodes, base_spans(text))
+                spans = base_spans(text)
+                nodes = nodes_of(text, spans)
+                labels = label_nodes(nodes, spans)
                 for (a, b), x in zip(nodes, labels, strict=True):
                     key = f"{','.join(map(str, features(text, a, b)))}:{x}"
                     seen[key] = seen.get(key, 0) + 1
@@ -246,31 +313,38 @@ def fit_field(docs: DataFrame, text_col: str = "text", rows: int = FIT_ROWS) ->
 
 def label_texts(texts: list[str], field: SkipChainField) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
     """(base spans, added spans) of each text. Added ones never overlap a base span."""
-    out, nodes, scores, edges, kinds, where = [], [], [], [], [], []
+
+    def held(labels: list[int]) -> np.ndarray:
+        s = np.full(len(LABELS), HELD)
+        s[labels] = 0.0
+        return s
+
+    out, nodes, scores, edges, kinds, owner, where = [], [], [], [], [], [], []
     for t, text in enumerate(texts):
         spans = base_spans(text)
         out.append((spans, []))
         if not spans:
             continue  # labels come from base spans alone: without one, nothing is carried on
-        own = nodes_of(text)
+        own = nodes_of(text, spans)
         labels = label_nodes(own, spans)
         first = len(nodes)
         for k, ((a, b), x) in enumerate(zip(own, labels, strict=True)):
-            s = field.weights[list(features(text, a, b))].sum(axis=0)
-            if x:  # seen: held to its label
-                s = np.full(len(LABELS), -12.0)
-                s[x] = 0.0
             nodes.append((a, b))
             where.append((t, x))
-            scores.append(s)
+            scores.append(held([x]) if x else field.weights[list(features(text, a, b))].sum(axis=0))
             if k and a - own[k - 1][1] <= 4:
                 edges.append((first + k - 1, first + k))
                 kinds.append(0)
-        for a, b, same in skip_links(text, own):
-            edges.append((first + a, first + b))
-            kinds.append(1 if same else 2)
+        for members, same in entities_of(text, own):
+            seen = sorted({labels[k] for k in members} - {0})
+            edges += [(first + k, len(nodes)) for k in members]
+            kinds += [1 if same else 2] * len(members)
+            nodes.append((0, 0))
+            where.append((t, -1))
+            scores.append(held(seen) if seen else np.zeros(len(LABELS)))
+        owner += [t] * (len(edges) - len(owner))
     if nodes:
-        p = field.marginals(np.array(scores), np.array(edges, np.int64).reshape(-1, 2), np.array(kinds, np.int64))
+        p = field.marginals(np.array(scores), np.array(edges, np.int64).reshape(-1, 2), np.array(kinds, np.int64), np.array(owner, np.int64))
         best = p.argmax(axis=1)
         linked = {i for (a, b), k in zip(edges, kinds, strict=True) if k for i in (a, b)}
         for i in np.flatnonzero((best > 0) & (p.max(axis=1) >= THRESHOLD)).tolist():

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,10 +57,39 @@ def ids_and_texts(batch: pa.RecordBatch) -> tuple[list, list[str]]:
     return batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], size: int = 4 << 20, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """Smaller batches of about `size` bytes of a column, a row at least, so that few texts are Python strings at once."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def numbered_words(texts: pa.Array, between: str = " ") -> tuple[pa.Array, pa.DictionaryArray]:
+    """What stands between separators: a list for each text, and all words in a row as numbers of a dictionary."""
+    split = pc.split_pattern(texts, between)
+    return split, split.flatten().dictionary_encode()
+
+
+_STATE: dict = {}
+
+
+def worker_state(key, make: Callable):
+    """What a Python worker keeps between tasks of one kind; it goes when a task of another kind asks for its own."""
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
 class Memo(dict):
     """Results by key for one Python worker, in two generations so that memory stays bounded.
 
-    A key found in the old generation moves to the young one; when the young one is full it becomes the old one.
+    A key found in the old generation moves to the young one; when the young one is full it becomes the old one. Keys
+    over 96 characters are not kept.
     """
 
     def __init__(self, compute, limit: int = 300_000):
@@ -68,9 +100,14 @@ class Memo(dict):
         found = self.old.get(key)
         if found is None:
             found = self.compute(key)
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
         if len(key) <= 96:
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
             self[key] = found
         return found
+
+    def forget(self, keys: Iterable) -> None:
+        for k in keys:
+            self.pop(k, None)
+            self.old.pop(k, None)

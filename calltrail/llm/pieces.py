@@ -9,14 +9,16 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from itertools import groupby
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calltrail.llm.common import Memo, ids_and_texts
+from calltrail.llm.common import Memo, ids_and_texts, in_slices, numbered_words, worker_state
 
 SPACE = "▁"
 NO_MERGE = -1e8
@@ -47,6 +49,7 @@ class PieceVocabulary:
         for p, i in self.ids.items():
             self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
+        self.singles = {p for p in self.ids if len(p) == 1}
         self.chunks = re.compile(self._chunk_pattern()).findall
         self.pair_ok = Memo(self._compatible, 400_000)
         self.self_ok = Memo(self._reaches_itself, 40_000)
@@ -60,8 +63,10 @@ class PieceVocabulary:
         plain = [c for c in map(chr, range(128)) if not c.isalnum()]
         joined = {a for a, b in pairs if letter(b)} | {b for a, b in pairs if letter(a)}
         marks = "".join(re.escape(c) for c in plain if c not in joined)
+        self.loose = "".join(c for c in ".,;:!?" if c not in joined)  # may be cut off behind a letter
         alone = "".join(re.escape(c) for c in plain if not any(c in p for p in pairs))
         if not alone:
+            self.loose = ""
             return f"{SPACE}*[^{SPACE}]+|{SPACE}+"
         return rf"{SPACE}*{letters}++(?=[{marks}{SPACE}]|\Z)|{SPACE}*[{marks}]++(?={letters}|{SPACE}|\Z)|[{alone}]+|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+"
 
@@ -89,45 +94,42 @@ class PieceVocabulary:
         return self.merge(piece) == [piece]
 
     def encode_chunk(self, chunk: str) -> list[int]:
-        """Backtracking over the longest matches; a bit per position remembers that no encoding passes through it."""
-        starts: list[list[int]] = [[] for _ in chunk]
-        for end, (length, _) in self.automaton.iter(chunk):
-            starts[end - length + 1].append(length)
+        """Ids of a chunk: runs of characters that are pieces by backtracking, other characters, which no merge crosses, as bytes."""
+        if self.singles.issuperset(chunk):
+            return self._backtrack(chunk)
         out: list[int] = []
-        at, n = 0, len(chunk)
-        while at < n:
-            if chunk[at] not in self.ids:  # no merge crosses it
-                out += self.bytes_of(chunk[at])
-                at += 1
-                continue
-            stop = at
-            while stop < n and chunk[stop] in self.ids:
-                stop += 1
-            out += [self.ids[p] for p in self._backtrack(chunk, at, stop, starts)]
-            at = stop
+        for known, run in groupby(chunk, self.singles.__contains__):
+            out += self._backtrack("".join(run)) if known else [i for c in run for i in self.bytes_of(c)]
         return out
 
-    def _backtrack(self, chunk: str, at: int, stop: int, starts: list[list[int]]) -> list[str]:
-        stack: list[tuple[str, int]] = []  # piece, next candidate at its start
-        failed, pos, k = 0, at, 0
-        while pos < stop:
-            lengths = starts[pos]  # matches end in ascending order: the longest is last
-            last = stack[-1][0] if stack else None
-            while k < len(lengths):
-                end = pos + lengths[-1 - k]
-                piece = chunk[pos:end]
-                k += 1
-                if end <= stop and not failed >> (end - at) & 1 and (self.pair_ok[last, piece] if last else self.self_ok[piece]):
-                    stack.append((piece, k))
-                    pos, k = end, 0
+    def _backtrack(self, run: str) -> list[int]:
+        """Backtracking over the longest matches; a bit per position remembers that no encoding passes through it."""
+        ids, pair_ok, self_ok, n = self.ids, self.pair_ok, self.self_ok, len(run)
+        starts: list[list[int]] = [[] for _ in run]
+        for end, (length, _) in self.automaton.iter(run):
+            starts[end - length + 1].append(length)  # ascending, as matches end in this order: the longest is last
+        found: list[str] = []
+        left: list[int] = []  # candidates not yet tried where each piece of found starts
+        failed, pos, last, k = 0, 0, None, len(starts[0])
+        while pos < n:
+            lengths = starts[pos]
+            while k:
+                k -= 1
+                end = pos + lengths[k]
+                piece = run[pos:end]
+                if not failed >> end & 1 and (self_ok[piece] if last is None else pair_ok[last, piece]):
+                    found.append(piece)
+                    left.append(k)
+                    pos, last = end, piece
+                    k = len(starts[end]) if end < n else 0
                     break
             else:
                 if last is None:
-                    raise ValueError(f"no encoding of {chunk[at:stop]!r}")
-                failed |= 1 << (pos - at)
-                piece, k = stack.pop()
-                pos -= len(piece)
-        return [p for p, _ in stack]
+                    raise ValueError(f"no encoding of {run!r}")
+                failed |= 1 << pos
+                pos -= len(found.pop())
+                k, last = left.pop(), found[-1] if found else None
+        return [ids[p] for p in found]
 
     def bytes_of(self, char: str) -> list[int]:
         if not self.byte_id:
@@ -178,51 +180,100 @@ class PieceVocabulary:
         return count[n]
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str) -> PieceVocabulary:
     """One for each Python worker, with its memos."""
-    return PieceVocabulary(path)
+    return worker_state(("pieces", path), lambda: PieceVocabulary(path))
 
 
-class ByWord:
-    """Results of a text's words from two memos: whole words between single spaces, and their chunks on a miss.
+class ByPart:
+    """Results of texts from those of their parts: a worker computes a part once, and looks it up once for many texts.
 
-    combine() joins results of neighbours. A text with runs of spaces, or the space mark itself, goes by chunks.
+    Parts start at single spaces and before loose marks. Texts with runs of spaces, outer spaces, the space mark itself or
+    SPLIT are cut into chunks one by one.
     """
 
-    def __init__(self, v: PieceVocabulary, of_chunk, combine):
-        self.v, self.combine = v, combine
-        self.chunk = Memo(of_chunk, 300_000)
-        self.word = Memo(self._word, 150_000)
-
-    def _word(self, word: str):
-        return self.combine([self.chunk[c] for c in self.v.chunks(SPACE + word)])
-
-    def __call__(self, text: str) -> list:
-        words = text.split(" ")
-        if "" in words or SPACE in text:
-            return [self.chunk[c] for c in self.v.split(text)]
-        return list(map(self.word.__getitem__, words))
-
+    SPLIT = "\x01"
 
-@lru_cache(maxsize=2)
-def _encoded(path: str) -> ByWord:
-    v = vocabulary(path)
+    def __init__(self, v: PieceVocabulary, compute, limit: int):
+        self.v, self.part = v, Memo(compute, limit)
 
-    def one(chunk: str) -> tuple[str, int, str]:
-        ids = v.encode_chunk(chunk)
-        return ",".join(map(str, ids)), len(ids), v.decode_parts(ids)
+    def cut(self, texts: list[str]) -> tuple[list[int], pa.Array, pa.DictionaryArray] | None:
+        """(which texts, their parts as lists, as numbers of a dictionary) of texts that need no cutting one by one."""
+        plain = [k for k, t in enumerate(texts) if t and "  " not in t and t[0] != " " != t[-1] and SPACE not in t and self.SPLIT not in t]
+        if not plain:
+            return None
+        column = pc.replace_substring(pa.array([SPACE + texts[k] for k in plain], pa.large_string()), " ", self.SPLIT + SPACE)
+        if self.v.loose:
+            column = pc.replace_substring_regex(column, rf"([A-Za-zÀ-ÖØ-öø-ÿ])([{self.v.loose}]+)(\n|{self.SPLIT}|$)", rf"\1{self.SPLIT}\2\3")
+        return plain, *numbered_words(column, self.SPLIT)
 
-    def several(got: list) -> tuple[str, int, str]:
-        return ",".join([g[0] for g in got]), sum([g[1] for g in got]), "".join([g[2] for g in got])
 
-    return ByWord(v, one, several)
+class TextCodec(ByPart):
+    """Ids of texts, as decimals joined by commas, and the texts decoded from them, part by part.
 
+    Only ids are kept. A part that does not decode to itself is never kept, and stands in `odd` while texts are worked on.
+    """
 
-@lru_cache(maxsize=2)
-def _counted(path: str) -> ByWord:
-    v = vocabulary(path)
-    return ByWord(v, v.count_chunk, sum)
+    def __init__(self, v: PieceVocabulary, limit: int = 700_000):
+        super().__init__(v, self._code, limit)
+        self.odd: dict[str, str] = {}
+
+    def _code(self, part: str) -> str:
+        ids = [i for c in self.v.chunks(part) for i in self.v.encode_chunk(c)]
+        decoded = self.v.decode_parts(ids)
+        if decoded != part:
+            self.odd[part] = decoded
+        return ",".join(map(str, ids))
+
+    def _forget_odd(self) -> None:
+        self.part.forget(self.odd)
+        self.odd = {}
+
+    def __call__(self, text: str) -> tuple[str, str]:
+        """(ids, decoded text)."""
+        chunks = self.v.split(text)
+        csv = ",".join(map(self.part.__getitem__, chunks))
+        decoded = "".join([self.odd.get(c, c) for c in chunks] if self.odd else chunks).removeprefix(SPACE).replace(SPACE, " ")
+        self._forget_odd()
+        return csv, decoded
+
+    def many(self, texts: list[str]) -> tuple[list[str], list[str]]:
+        csv, back, rest = [""] * len(texts), list(texts), set(range(len(texts)))
+        if (cut := self.cut(texts)) is not None:
+            plain, split, coded = cut
+            found = pa.array(list(map(self.part.__getitem__, coded.dictionary.to_pylist())), pa.large_string())
+            if self.odd:  # a part decodes to something else
+                self._forget_odd()
+            else:
+                joined = pc.binary_join(pa.ListArray.from_arrays(split.offsets, found.take(coded.indices)), pa.scalar(",", pa.large_string()))
+                for k, c in zip(plain, joined.to_pylist(), strict=True):
+                    csv[k] = c
+                rest.difference_update(plain)
+        for k in rest:
+            csv[k], back[k] = self(texts[k])
+        return csv, back
+
+
+class Counter(ByPart):
+    """Numbers of pieces of texts on their best paths."""
+
+    def __init__(self, v: PieceVocabulary, limit: int = 700_000):
+        super().__init__(v, lambda part: sum(map(v.count_chunk, v.chunks(part))), limit)
+
+    def __call__(self, text: str) -> int:
+        return sum(map(self.part.__getitem__, self.v.split(text)))
+
+    def many(self, texts: list[str]) -> list[int]:
+        out, rest = [0] * len(texts), set(range(len(texts)))
+        if (cut := self.cut(texts)) is not None:
+            plain, split, coded = cut
+            found = np.array(list(map(self.part.__getitem__, coded.dictionary.to_pylist())), np.int64)[coded.indices.to_numpy()]
+            for k, n in zip(plain, np.add.reduceat(found, split.offsets.to_numpy()[:-1]).tolist(), strict=True):
+                out[k] = n
+            rest.difference_update(plain)
+        for k in rest:
+            out[k] = self(texts[k])
+        return out
 
 
 def encode_texts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,8 +281,8 @@ def encode_texts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        for batch in batches:
-            ids, texts = ids_and_texts(batch)
+        for batch in in_slices(batches):
+            _, texts = ids_and_texts(batch)
             coded = [v.encode(t) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(coded, pa.list_(pa.int32())), pa.array([v.decode(c) for c in coded], pa.string())], names=["id", "ids", "decoded"])
 
@@ -243,16 +294,14 @@ def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """Digest form of encode_texts(), chunk results joined from the worker's memo: id, n_tokens, ids_sha256, decoded_sha256."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _encoded(path)
+        codec = worker_state(("pieces", path, "codec"), lambda: TextCodec(PieceVocabulary(path)))
         sha = hashlib.sha256
-        for batch in batches:
+        for batch in in_slices(batches):
             _, texts = ids_and_texts(batch)
-            n, coded, decoded = [], [], []
-            for text in texts:
-                csv, counts, raw = zip(*memo(text), strict=True) if text else ((), (), ())
-                n.append(sum(counts))
-                coded.append(sha(",".join(csv).encode()).hexdigest())
-                decoded.append(sha("".join(raw).removeprefix(SPACE).replace(SPACE, " ").encode("utf-8", "surrogatepass")).hexdigest())
+            csv, back = codec.many(texts)
+            n = [c.count(",") + 1 if c else 0 for c in csv]
+            coded = [sha(c.encode()).hexdigest() for c in csv]
+            decoded = [sha(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = df.schema[id_col].dataType.simpleString()
@@ -266,10 +315,10 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _counted(path)
-        for batch in batches:
+        counter = worker_state(("pieces", path, "counter"), lambda: Counter(PieceVocabulary(path)))
+        for batch in in_slices(batches):
             _, texts = ids_and_texts(batch)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sum(memo(t)) if t else 0 for t in texts], pa.int64())], names=["id", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counter.many(texts), pa.int64())], names=["id", "n_tokens"])
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, n_tokens long")

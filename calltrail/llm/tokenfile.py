@@ -14,15 +14,15 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calltrail.llm.blobs import BlobReader, BlobWriter
-from calltrail.llm.common import ids_and_texts, materialize, new_path
+from calltrail.llm.common import ids_and_texts, in_slices, materialize, new_path, numbered_words, worker_state
 
 MAX_BITS = 16
 STEP = 64
@@ -31,21 +31,25 @@ BLOCK_IDS = 1 << 18
 END_ID = 1
 #: Ids in one output file, more or less.
 FILE_IDS = 1 << 23
-# Letters of Latin-1 are composed, and their lower case is one letter of Latin-1 each.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
+# Letters of Latin-1 are composed, and their lower case is one letter of Latin-1 each. The tokenizer parts runs of
+# letters, single digits and runs of marks; "'" may start a part of its own, and "<" a special token.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(rf"[{_LETTERS}0-9!-&(-/:;=-@[-`{{-~]+").fullmatch
+_PARTS = re.compile(rf"[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+").findall
+_MARK_BEHIND = rf"([{_LETTERS}])([.,])( |$)"
 
 
 # --- ids of texts ---------------------------------------------------------------------------------------------------
 
 
 class WordIds:
-    """Ids of a text from its words' ids: the tokenizer drops white space and never joins across it.
+    """Ids of texts from their words' ids: the tokenizer drops white space and never joins across it.
 
-    Words a worker has not seen are encoded together, one library call for each batch of texts. Words of Latin-1
-    letters with at most one mark behind them share the ids of their lower-cased letters.
+    A batch's texts are split and numbered by word at once. Words that a worker has not seen are encoded together, one
+    library call for many; all words' ids stand in one array that grows, and starts anew when it holds `limit` words.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -54,59 +58,61 @@ class WordIds:
         pieces = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(pieces.values()) + 1, bool)
         self.ends[[i for p, i in pieces.items() if p.endswith("</w>")]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
         self.limit = limit
+        self._forget()
 
-    def _one_by_one(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _forget(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.at = np.zeros(1, np.int64)  # where each word's ids start, and the end of the last
+        self.ids = np.zeros(0, np.uint32)
 
-    def _letters(self, words: list[str]) -> list[bytes]:
-        """Words of letters in one text: each is one word to the tokenizer and ends with a piece that says so."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+    def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for f in found for i in f], np.uint32), np.array([len(f) for f in found], np.int64)
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each word, from one text of all words: each part ends with a piece that says so."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
         last = np.flatnonzero(self.ends[ids]) + 1
-        if len(last) != len(words):
+        parts = np.cumsum([1 if w.isalpha() else len(_PARTS(w)) for w in words])
+        if parts[-1] != len(last):
             return self._one_by_one(words)
-        raw, at = ids.tobytes(), [0, *(4 * last).tolist()]
-        return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
-
-    def _learn(self, words: set[str]) -> None:
-        """Puts the words into the young generation, from the old one or from the tokenizer."""
-        fresh = []
-        for w in words:
-            found = self.old.get(w)
-            if found is None:
-                fresh.append(w)
-            else:
-                self.young[w] = found
-        plain = {w: (m[1].lower(), m[2]) for w in fresh if (m := _PLAIN(w))}
-        other = [w for w in fresh if w not in plain]
-        self.young.update(zip(other, self._one_by_one(other), strict=True))
-        if len(self.stems) > self.limit:
-            self.stems = {}
-        new = sorted({s for s, _ in plain.values()} - self.stems.keys())
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            self.stems.update(zip(some, self._letters(some), strict=True))
-        marks = dict(zip(".,", self._one_by_one([".", ","]), strict=True)) | {"": b""}
-        for w, (stem, mark) in plain.items():
-            self.young[w] = self.stems[stem] + marks[mark]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [folded(t).replace("\n", " ").split(" ") for t in texts]
-        get = self.young.get
-        parts = [list(map(get, words)) for words in split]
-        late = [k for k, p in enumerate(parts) if None in p]
-        if late:
-            new = {w for k in late for w, p in zip(split[k], parts[k], strict=True) if p is None}
-            if len(self.young) + len(new) > self.limit:
-                self.old, self.young, new = self.young, {}, {w for words in split for w in words}
+        return ids, np.diff(last[parts - 1], prepend=0)
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if _PLAIN(w)]
+        other = [w for w in words if not _PLAIN(w)]
+        ids, sizes = [self.ids], []
+        for some, encode in [(plain[k : k + 20_000], self._joined) for k in range(0, len(plain), 20_000)] + [(other, self._one_by_one)] * bool(other):
+            found, size = encode(some)
+            ids.append(found)
+            sizes.append(size)
+        self.rows.update(zip(plain + other, range(len(self.rows), len(self.rows) + len(words)), strict=True))
+        self.at = np.concatenate((self.at, self.at[-1] + np.cumsum(np.concatenate(sizes))))
+        self.ids = np.concatenate(ids)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each text has."""
+        column = pa.array([folded(t) for t in texts], pa.large_string())
+        column = pc.replace_substring(column, "\n", " ")
+        column = pc.replace_substring_regex(column, _MARK_BEHIND, r"\1 \2\3")
+        split, coded = numbered_words(column)
+        words = coded.dictionary.to_pylist()
+        known = list(map(self.rows.get, words))
+        if None in known:
+            new = [w for w, k in zip(words, known, strict=True) if k is None]
+            if len(self.rows) + len(new) > self.limit:
+                self._forget()
+                new = words
             self._learn(new)
-            for k in late:
-                parts[k] = map(self.young.__getitem__, split[k])
-        return [b"".join(p) for p in parts]
+            known = list(map(self.rows.__getitem__, words))
+        rows = np.array(known, np.int64)[coded.indices.to_numpy()]
+        first, size = self.at[rows], self.at[rows + 1] - self.at[rows]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.arange(total) + np.repeat(first - (ends - size), size)]
+        of_text = np.concatenate(([0], ends))[split.offsets.to_numpy()]
+        return ids, np.diff(of_text)
 
 
 def folded(text: str) -> str:
@@ -118,28 +124,20 @@ def folded(text: str) -> str:
     return text if "<|" in text else text.lower()
 
 
-@lru_cache(maxsize=1)
-def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
-
-
-def _batches(batch: pa.RecordBatch, size: int = 512) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, size):
-        yield batch.slice(at, size)
-
-
 def encode_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
     """id, n, ids (binary): ids with the end id behind them, 2 bytes each where the vocabulary allows, else 4."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _word_ids(path)
-        kind = "<u2" if max(words.size, end_id + 1) <= 1 << 16 else "<u4"
-        end = np.array([end_id], "<u4").tobytes()
-        for whole in batches:
-            for batch in _batches(whole):
-                _, texts = ids_and_texts(batch)
-                coded = [np.frombuffer(c + end, "<u4") for c in words.encode(texts)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(c) for c in coded], pa.int64()), pa.array([c.astype(kind).tobytes() for c in coded], pa.binary())], names=["id", "n", "ids"])
+        words = worker_state(("words", path), lambda: WordIds(path))
+        kind = np.dtype("<u2" if max(words.size, end_id + 1) <= 1 << 16 else "<u4")
+        for batch in in_slices(batches):
+            _, texts = ids_and_texts(batch)
+            ids, n = words.encode(texts)
+            whole = np.full(len(ids) + len(n), end_id, kind)
+            whole[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n)] = ids
+            offsets = np.concatenate(([0], np.cumsum(n + 1))) * kind.itemsize
+            binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(whole)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n + 1, pa.int64()), binary], names=["id", "n", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, n long, ids binary")
@@ -345,11 +343,11 @@ def round_trip(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "d
 
     Null and empty texts have the end id alone. Rows of one id keep some order among themselves.
     """
-    words = _word_ids(path)
-    wide = 2 if max(words.size, END_ID + 1) <= 1 << 16 else 4
+    size = WordIds(path, 0).size
+    wide = 2 if max(size, END_ID + 1) <= 1 << 16 else 4
     coded = materialize(encode_ids(docs, path, id_col, text_col), "ids")
     counts = count_ids(coded, wide)
-    lengths = np.zeros(max(words.size, END_ID + 1, *(x + 1 for x in counts)) if counts else 1, np.uint8)
+    lengths = np.zeros(max(size, END_ID + 1, *(x + 1 for x in counts)) if counts else 1, np.uint8)
     for x, n in limited_lengths(counts).items():
         lengths[x] = n
     folder = new_path(spark, "tokens")

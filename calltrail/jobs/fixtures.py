@@ -54,6 +54,22 @@ FIXTURES = {
     "edges": """
         SELECT CAST(floor((p_partkey - 1) / 2) AS BIGINT) AS src, p_partkey AS dst FROM {part} WHERE p_partkey > 0
         UNION ALL SELECT p_partkey, CAST(floor(p_partkey / 4) AS BIGINT) FROM {part} WHERE p_partkey % 50 = 49""",
+    # The same graph by names: a quarter of the calls are bare, and every eighth method stands in an interface too.
+    "named_calls": """
+        SELECT concat(s.cls, '.', s.mth) AS caller, CASE WHEN e.dst % 4 = 1 THEN concat(d.mth, '()') ELSE concat(d.cls, '.', d.mth) END AS callee
+        FROM {edges} e JOIN {nodes} s ON s.id = e.src JOIN {nodes} d ON d.id = e.dst""",
+    "named_methods": """
+        SELECT cls, mth, 'class' AS type, CASE WHEN id % 3 = 0 THEN 'private' ELSE 'public' END AS access, '' AS annotations FROM {nodes}
+        UNION ALL SELECT 'Api', mth, 'interface', 'default', '' FROM {nodes} WHERE id % 8 = 1""",
+    # Details: no call, single calls with and without arguments, bare ones, and chains of three to six calls.
+    "details": """
+        SELECT p_partkey AS id, concat('File', CAST(p_partkey % 7 AS VARCHAR(9)), '.java') AS file_name,
+               CASE p_partkey % 8 WHEN 0 THEN NULL WHEN 1 THEN concat('Svc', CAST(p_partkey % 5 AS VARCHAR(9)), '<A>.m', CAST(p_partkey % 11 AS VARCHAR(9)), '(a, 1)')
+                    WHEN 2 THEN concat('Svc', CAST(p_partkey % 5 AS VARCHAR(9)), '.m', CAST(p_partkey % 11 AS VARCHAR(9))) WHEN 3 THEN concat('m', CAST(p_partkey % 11 AS VARCHAR(9)), '(x.y)')
+                    ELSE concat('Svc', CAST(p_partkey % 5 AS VARCHAR(9)), '.m', CAST(p_partkey % 11 AS VARCHAR(9)), '(a.b).m', CAST((p_partkey * 3) % 11 AS VARCHAR(9)), '().m', CAST((p_partkey * 7) % 11 AS VARCHAR(9)), '(1)',
+                         CASE WHEN p_partkey % 8 > 4 THEN concat('.m', CAST((p_partkey * 2) % 11 AS VARCHAR(9)), '()') ELSE '' END, CASE WHEN p_partkey % 8 > 5 THEN concat('.m', CAST((p_partkey * 5) % 11 AS VARCHAR(9)), '(c)') ELSE '' END,
+                         CASE WHEN p_partkey % 8 > 6 THEN concat('.m', CAST((p_partkey * 4) % 11 AS VARCHAR(9)), '()') ELSE '' END) END AS object_call
+        FROM {part}""",
     # Token lists: a line item is a method of its order's chunk; an order's child is the customer's next order.
     "tokens": """
         SELECT l_orderkey AS chunk, l_linenumber AS line, l_partkey AS part, l_suppkey AS supp,

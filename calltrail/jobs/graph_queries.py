@@ -9,26 +9,34 @@ from calltrail.functions import text as T
 from calltrail.jobs.fixtures import Tables
 from calltrail.jobs.registry import query
 from calltrail.operators import graph, lookup, ordering
+from calltrail.operators.shared import materialize
 
-#: All paths from node 0 as SQL, for checks.
-_PATHS = """e AS (SELECT DISTINCT src, dst FROM {edges}),
-    w AS (SELECT CAST(0 AS BIGINT) AS node, [CAST(0 AS BIGINT)] AS path, false AS ended UNION ALL SELECT e.dst, list_append(w.path, e.dst), list_contains(w.path, e.dst) FROM w JOIN e ON e.src = w.node WHERE NOT w.ended),
+#: All paths from the first node as SQL, for checks: bare names are resolved by visibility, else stay in the caller's class.
+_PATHS = """e AS (SELECT DISTINCT lower(caller) AS src, lower(CASE WHEN strpos(name, '.') > 0 THEN name ELSE coalesce(m.cls || '.' || m.mth, split_part(caller, '.', 1) || '.' || name) END) AS dst
+        FROM (SELECT caller, split_part(callee, '(', 1) AS name FROM {named_calls}) c
+        LEFT JOIN (SELECT DISTINCT * FROM {named_methods}) m ON m.mth = c.name AND (m.type = 'interface' OR m.access = 'public' OR m.cls || '.' || m.mth = c.caller)),
+    w AS (SELECT 'cls0.m0' AS node, ['cls0.m0'] AS path, false AS ended UNION ALL SELECT e.dst, list_append(w.path, e.dst), list_contains(w.path, e.dst) FROM w JOIN e ON e.src = w.node WHERE NOT w.ended),
     p AS (SELECT path FROM w WHERE ended OR node NOT IN (SELECT src FROM e))"""
 
 
 def paths(t: Tables) -> DataFrame:
-    roots = t.part.where("p_partkey = 0").select(F.col("p_partkey").alias("node"))
-    return graph.simple_paths(t.edges, roots)
+    """Paths of methods by name; bare callees are expanded before any path is walked."""
+    root = t.nodes.where("id = 0").select(F.lower(F.concat_ws(".", "cls", "mth")).alias("node"))
+    return graph.simple_paths(graph.resolved_edges(t.named_calls, t.named_methods), root)
 
 
-@query("flow_paths", f"WITH RECURSIVE {_PATHS} SELECT CAST(0 AS BIGINT) AS root, CAST(len(path) AS INTEGER) AS levels, array_to_string(path, '>') AS path FROM p")
+@query("flow_paths", f"WITH RECURSIVE {_PATHS} SELECT 'cls0.m0' AS root, CAST(len(path) AS INTEGER) AS levels, array_to_string(path, '>') AS path FROM p")
 def flow_paths(t: Tables) -> DataFrame:
-    return paths(t).select("root", F.size("path").alias("levels"), F.array_join(F.col("path").cast("array<string>"), ">").alias("path"))
+    return paths(t).select("root", F.size("path").alias("levels"), F.array_join("path", ">").alias("path"))
 
 
-@query("flow_wide", f"WITH RECURSIVE {_PATHS} SELECT coalesce(CAST(path[1] AS VARCHAR), '') AS Level_1, coalesce(CAST(path[2] AS VARCHAR), '') AS Level_2, coalesce(CAST(path[3] AS VARCHAR), '') AS Level_3, coalesce(CAST(path[12] AS VARCHAR), '') AS Level_12 FROM p")
+@query("flow_wide", f"WITH RECURSIVE {_PATHS}, n AS (SELECT max(len(path)) AS n FROM p) SELECT CAST(n AS INTEGER) AS width, array_to_string(list_transform(range(1, n + 1), lambda k: coalesce(path[k], '')), '|') AS cells FROM p, n")
 def flow_wide(t: Tables) -> DataFrame:
-    return graph.wide(paths(t), [], 12).select("Level_1", "Level_2", "Level_3", "Level_12")
+    """The wide table has as many level columns as the longest path has nodes; here all its cells as one text, beside their number."""
+    found = materialize(paths(t))
+    width = found.agg(F.coalesce(F.max(F.size("path")), F.lit(0))).first()[0]
+    wide = graph.wide(found, [], width)
+    return wide.select(F.lit(width).alias("width"), F.concat_ws("|", *[F.col(c) for c in wide.columns]).alias("cells"))
 
 
 @query("flow_inverted", "SELECT l4, l3, l2, l1, id FROM {paths}")
@@ -37,13 +45,13 @@ def flow_inverted(t: Tables) -> DataFrame:
     return p.select(*reversed(p.columns))
 
 
-@query("flow_root_visible", """WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM {edges} WHERE src % 7 <> 3 AND dst % 7 <> 3), r AS (SELECT p_partkey AS node FROM part WHERE p_partkey < 16),
+@query("flow_root_visible", """WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM {edges} WHERE src % 7 <> 3 AND dst % 7 <> 3), r AS (SELECT p_partkey AS node FROM part),
     w AS (SELECT node AS root, node, [node] AS path, false AS ended FROM r WHERE node % 7 <> 3 UNION ALL SELECT w.root, e.dst, list_append(w.path, e.dst), list_contains(w.path, e.dst) FROM w JOIN e ON e.src = w.node WHERE NOT w.ended),
     p AS (SELECT root, count(*) AS n FROM w WHERE ended OR node NOT IN (SELECT src FROM e) GROUP BY 1)
     SELECT r.node AS root, coalesce(p.n, 1) AS n FROM r LEFT JOIN p ON p.root = r.node""")
 def flow_root_visible(t: Tables) -> DataFrame:
     """Roots that are pruned themselves still show as a path of one node."""
-    roots = t.part.where("p_partkey < 16").select(F.col("p_partkey").alias("node"))
+    roots = t.part.select(F.col("p_partkey").alias("node"))
     pruned = t.part.where("p_partkey % 7 = 3").select(F.col("p_partkey").alias("node"))
     found = graph.simple_paths(t.edges, roots, pruned)
     shown = found.unionByName(roots.join(found.select(F.col("root").alias("node")).distinct(), "node", "left_anti").select(F.col("node").alias("root"), F.array("node").alias("path")))
@@ -56,18 +64,18 @@ def prune_nodes(t: Tables) -> DataFrame:
     return t.edges.join(pruned.withColumnRenamed("node", "src"), "src", "left_anti").join(pruned.withColumnRenamed("node", "dst"), "dst", "left_anti").select("src", "dst")
 
 
-@query("reachable_files", """WITH RECURSIVE e AS (SELECT DISTINCT p_partkey AS src, (p_partkey * 7 + 1) % 1000 AS dst FROM part WHERE p_partkey % 3 <> 2),
-    w AS (SELECT CAST(1 AS BIGINT) AS node UNION SELECT e.dst FROM w JOIN e ON e.src = w.node) SELECT node FROM w""")
+@query("reachable_files", """WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM {edges} WHERE dst % 5 <> 3),
+    w AS (SELECT CAST(0 AS BIGINT) AS node UNION SELECT e.dst FROM w JOIN e ON e.src = w.node) SELECT node FROM w""")
 def reachable_files(t: Tables) -> DataFrame:
-    p = F.col("p_partkey")
-    edges = t.part.where(p % 3 != 2).select(p.alias("src"), ((p * 7 + 1) % 1000).alias("dst"))
-    return graph.reachable(edges, t.part.where(p == 1).select(p.alias("node"))).select("node")
+    """All files reached from the first over all references; some references lead nowhere."""
+    return graph.reachable(t.edges.where("dst % 5 <> 3"), t.part.where("p_partkey = 0").select(F.col("p_partkey").alias("node"))).select("node")
 
 
-@query("call_closure", """WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM {edges}), s AS (SELECT p_partkey AS start FROM part WHERE p_partkey % 40 = 12),
+@query("call_closure", """WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM {edges}), s AS (SELECT p_partkey AS start FROM part),
     w AS (SELECT start, start AS node FROM s UNION SELECT w.start, e.dst FROM w JOIN e ON e.src = w.node) SELECT w.start, e.src, e.dst FROM w JOIN e ON e.src = w.node""")
 def call_closure(t: Tables) -> DataFrame:
-    return graph.closure(t.edges, t.part.where("p_partkey % 40 = 12").select(F.col("p_partkey").alias("start")))
+    """From every method."""
+    return graph.closure(t.edges, t.part.select(F.col("p_partkey").alias("start")))
 
 
 @query("graph_edges", "SELECT src, string_agg(DISTINCT CAST(dst AS VARCHAR), ',' ORDER BY CAST(dst AS VARCHAR)) AS dsts FROM {edges} GROUP BY 1")

@@ -1,10 +1,12 @@
 """Queries over parsed sources. Sources are generated from the tables, so each check is SQL on the tables alone.
 
-A nation is a class of its region's package; a supplier is a method of its nation's class.
+A supplier is a class in its nation's package; the class has a method for each of its twenty parts.
 """
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,8 +15,9 @@ from calltrail.functions import text as T
 from calltrail.jobs.fixtures import Tables
 from calltrail.jobs.registry import query
 from calltrail.operators import graph, lookup, ordering
+from calltrail.operators.shared import materialize, new_path
 from calltrail.sources import files as S
-from calltrail.sources import java
+from calltrail.sources import adapters, java, settings
 
 #: Lines of a generated method, its annotation's line with it.
 METHOD_LINES = 14
@@ -35,7 +38,7 @@ def fill(text: str, **values: Column) -> Column:
 METHOD = """    @Transactional(readOnly = true, value = "a)b")
     public Svc«t» m«s»(final int a«s», @Valid List<String> b, Svc«t»[] c) throws IOException {
         Svc«t» v«s» = new Svc«t»(a«s»);
-        // commented.call(); {
+        // Old old«s» = commented.call(); {
         String text«s» = "brace } ( in \\"string" + '{';
 
         v«s».run«u»(a«s», local«s»(b));
@@ -48,20 +51,29 @@ METHOD = """    @Transactional(readOnly = true, value = "a)b")
     }
 """
 CLASS = """package com.app.r«r»;
-import com.app.r«r».Nation«next»;
+import com.app.r«r».Unit«left»;
+import com.app.r«r».Unit«right»;
 import com.app.util.*;
 import static com.app.Consts.MAX;
 import org.ext«e».Lib«e»;
 /* block { comment } */
 @«ann»
-public class Nation«k» extends Nation«half»«impl» {
-    @Value("${nation.k«k»}")
+public class Unit«k» extends Unit«half»«impl» {
+    @Value("${unit.k«k»}")
     private String prop«k»;
     private final Map<String, List<Item>> cache = new HashMap<>();
     @Autowired
     private Repo«q» repo;
-    public Nation«k»(int a) { this.a = a; }
-«methods»    private void helper() { }
+    public Unit«k»(int a) { this.a = a; }
+«methods»    @Schedule(minute = "*") private void helper() { }
+    void over(int a) { }
+    void over(int a, String b) {
+        int x = 1, y = a;
+    }
+    void over(String a, long b) {
+
+        ((Port) this.port[0]).shut();
+    }
     enum Kind { A(1), B { void x() { } }; int code; }
     interface Port { int open(String host);
         void shut(); }
@@ -70,13 +82,13 @@ public class Nation«k» extends Nation«half»«impl» {
 
 
 def sources(t: Tables) -> DataFrame:
-    """path, text. Each seventh nation's file has a bracket too many."""
-    s = F.col("s_suppkey")
-    methods = t.supplier.select(F.col("s_nationkey").alias("n_nationkey"), "s_suppkey", fill(METHOD, s=s, t=s % 5, u=s % 3).alias("m")).groupBy("n_nationkey").agg(F.array_join(ordering.ordered_list("m", ["s_suppkey"]), "").alias("methods"))
-    k, r = F.col("n_nationkey"), F.col("n_regionkey")
+    """path, text: a file for each supplier, so that files grow in number and not in length. Each seventh has a bracket too many."""
+    s = F.col("p_partkey")
+    methods = t.part.select(F.floor(s / 20).alias("s_suppkey"), "p_partkey", fill(METHOD, s=s, t=s % 5, u=s % 3).alias("m")).groupBy("s_suppkey").agg(F.array_join(ordering.ordered_list("m", ["p_partkey"]), "").alias("methods"))
+    k, r = F.col("s_suppkey"), F.col("s_nationkey")
     ann = F.element_at(F.array(*[F.lit(x) for x in ("Stateless", "WebServlet(\"/n\")", "Service", "MessageDriven")]), (k % 4 + 1).cast("int"))
-    text = fill(CLASS, r=r, k=k, next=(k + 1) % 25, e=k % 3, half=F.floor(k / 2), q=k % 4, ann=ann, impl=F.when(k % 3 == 0, fill(" implements Api«r», Port", r=r)).otherwise(F.lit("")), methods=F.coalesce("methods", F.lit("")), broken=F.when(k % 7 == 6, F.lit(") \n")).otherwise(F.lit("")))
-    return t.nation.join(methods, "n_nationkey", "left").select(fill("src/r«r»/Nation«k».java", r=r, k=k).alias("path"), text.alias("text"))
+    text = fill(CLASS, r=r, k=k, left=2 * k + 1, right=2 * k + 2, e=k % 3, half=F.floor(k / 2), q=k % 4, ann=ann, impl=F.when(k % 3 == 0, fill(" implements Api«r», Port", r=r)).otherwise(F.lit("")), methods=F.coalesce("methods", F.lit("")), broken=F.when(k % 7 == 6, F.lit(") \n")).otherwise(F.lit("")))
+    return t.supplier.join(methods, "s_suppkey", "left").select(fill("src/r«r»/Unit«k».java", r=r, k=k).alias("path"), text.alias("text"))
 
 
 def facts(t: Tables, **options) -> DataFrame:
@@ -84,37 +96,41 @@ def facts(t: Tables, **options) -> DataFrame:
 
 
 def kind(t: Tables, name: str) -> DataFrame:
-    return facts(t).where(F.col("kind") == name)
+    """Rows of files that parse."""
+    return facts(t).where((F.col("kind") == name) & ~F.col("fallback"))
 
 
-_GOOD = "(SELECT n.*, n_nationkey AS k, n_regionkey AS r FROM nation n WHERE n_nationkey % 7 <> 6)"
-_METHODS = f"(SELECT s_suppkey AS s, s_suppkey % 5 AS t, s_suppkey % 3 AS u, 'Nation' || k AS cls, k FROM {_GOOD} JOIN supplier ON s_nationkey = k)"
-_PATH = "'src/r' || r || '/Nation' || k || '.java'"
+_UNITS = "(SELECT s_suppkey AS k, s_nationkey AS r FROM supplier)"
+_GOOD = f"(SELECT * FROM {_UNITS} WHERE k % 7 <> 6)"
+_PARTS = "(SELECT p_partkey AS s, p_partkey % 5 AS t, p_partkey % 3 AS u, p_partkey // 20 AS k FROM part)"
+_METHODS = f"(SELECT s, t, u, 'Unit' || k AS cls, k FROM {_PARTS} JOIN {_GOOD} USING (k))"
+_ALL_METHODS = f"(SELECT s, t, u, 'Unit' || k AS cls, k FROM {_PARTS} JOIN {_UNITS} USING (k))"
+_PATH = "'src/r' || r || '/Unit' || k || '.java'"
 
 
-@query("parse_units", f"SELECT {_PATH} AS path, k % 7 = 6 AS failed FROM (SELECT n_nationkey AS k, n_regionkey AS r FROM nation)")
+@query("parse_units", f"SELECT {_PATH} AS path, k % 7 = 6 AS failed FROM {_UNITS}")
 def parse_units(t: Tables) -> DataFrame:
     return facts(t).groupBy("path").agg(F.bool_or(F.col("kind") == "error").alias("failed"))
 
 
-@query("package_name", "SELECT 'Nation' || k AS cls, 'com.app.r' || r AS package FROM (SELECT n_nationkey AS k, n_regionkey AS r FROM nation)")
+@query("package_name", f"SELECT 'Unit' || k AS cls, 'com.app.r' || r AS package FROM {_UNITS}")
 def package_name(t: Tables) -> DataFrame:
     """By pattern over the text: this needs no parse."""
-    return sources(t).select(F.regexp_extract("path", "(Nation[0-9]+)", 1).alias("cls"), F.regexp_extract("text", r"(?m)^\s*package\s+([A-Za-z0-9_.]+)\s*;", 1).alias("package"))
+    return sources(t).select(F.regexp_extract("path", "(Unit[0-9]+)", 1).alias("cls"), F.regexp_extract("text", r"(?m)^\s*package\s+([A-Za-z0-9_.]+)\s*;", 1).alias("package"))
 
 
-@query("declared_types", f"SELECT 'Nation' || k AS cls, CASE WHEN k % 3 = 0 THEN 'class_implements_interface' ELSE 'class' END AS type, 'Nation' || (k // 2) AS extends FROM {_GOOD} UNION ALL SELECT 'Kind', 'enum', NULL FROM {_GOOD} UNION ALL SELECT 'Port', 'interface', NULL FROM {_GOOD}")
+@query("declared_types", f"SELECT 'Unit' || k AS cls, CASE WHEN k % 3 = 0 THEN 'class_implements_interface' ELSE 'class' END AS type, 'Unit' || (k // 2) AS extends FROM {_GOOD} UNION ALL SELECT 'Kind', 'enum', NULL FROM {_GOOD} UNION ALL SELECT 'Port', 'interface', NULL FROM {_GOOD}")
 def declared_types(t: Tables) -> DataFrame:
     return kind(t, "type").where("type <> 'fallback' AND line IS NOT NULL").select("cls", "type", F.col("name").alias("extends"))
 
 
-@query("type_members", f"SELECT cls, 'm' || s AS mth FROM {_METHODS} UNION ALL SELECT 'Nation' || k, unnest(['Nation' || k, 'helper']) FROM {_GOOD} UNION ALL SELECT 'Port', unnest(['open', 'shut']) FROM {_GOOD}")
+@query("type_members", f"SELECT cls, 'm' || s AS mth FROM {_METHODS} UNION ALL SELECT 'Unit' || k, unnest(['Unit' || k, 'helper', 'over', 'over', 'over']) FROM {_GOOD} UNION ALL SELECT 'Port', unnest(['open', 'shut']) FROM {_GOOD}")
 def type_members(t: Tables) -> DataFrame:
     """Members of the innermost type."""
     return kind(t, "method").select("cls", "mth")
 
 
-@query("method_metadata", f"SELECT 'm' || s AS mth, 'Svc' || t AS returns, 'Public' AS access, CAST(3 AS INTEGER) AS arity, 'int;List<String>;Svc' || t || '[]' AS params, '@Transactional(readOnly = true, value = \"a)b\")' AS ann FROM {_METHODS} UNION ALL SELECT 'Nation' || k, 'constructor', 'Public', 1, 'int', NULL FROM {_GOOD}")
+@query("method_metadata", f"SELECT 'm' || s AS mth, 'Svc' || t AS returns, 'Public' AS access, CAST(3 AS INTEGER) AS arity, 'int;List<String>;Svc' || t || '[]' AS params, '@Transactional(readOnly = true, value = \"a)b\")' AS ann FROM {_METHODS} UNION ALL SELECT 'Unit' || k, 'constructor', 'Public', 1, 'int', NULL FROM {_GOOD}")
 def method_metadata(t: Tables) -> DataFrame:
     m = kind(t, "method").where("mth LIKE 'm%' OR type = 'constructor'")
     return m.select("mth", F.col("type").alias("returns"), F.col("name").alias("access"), F.col("n").alias("arity"), F.col("extra").alias("params"), "ann")
@@ -126,19 +142,19 @@ def param_types(t: Tables) -> DataFrame:
     return m.select("mth", "pos", T.normal_type(F.col("type")).alias("type"))
 
 
-@query("imports_classified", f"SELECT 'Nation' || k AS cls, unnest(['com.app.r' || r || '.Nation' || ((k + 1) % 25), 'com.app.util', 'com.app.Consts.MAX']) AS name, unnest(['type', 'wildcard', 'static']) AS type FROM {_GOOD}")
+@query("imports_classified", f"SELECT 'Unit' || k AS cls, unnest(['com.app.r' || r || '.Unit' || (2 * k + 1), 'com.app.r' || r || '.Unit' || (2 * k + 2), 'com.app.util', 'com.app.Consts.MAX']) AS name, unnest(['type', 'type', 'wildcard', 'static']) AS type FROM {_GOOD}")
 def imports_classified(t: Tables) -> DataFrame:
     """Imports of the user's own packages, in four kinds."""
-    return kind(t, "import").where(F.col("name").startswith("com.")).select(F.regexp_extract("path", "(Nation[0-9]+)", 1).alias("cls"), "name", "type")
+    return kind(t, "import").where(F.col("name").startswith("com.")).select(F.regexp_extract("path", "(Unit[0-9]+)", 1).alias("cls"), "name", "type")
 
 
-@query("external_imports", f"SELECT DISTINCT 'Nation' || k AS file, 'Lib' || (k % 3) AS cls FROM {_GOOD}")
+@query("external_imports", f"SELECT DISTINCT 'Unit' || k AS file, 'Lib' || (k % 3) AS cls FROM {_GOOD}")
 def external_imports(t: Tables) -> DataFrame:
     own = kind(t, "import").where((F.col("type") == "type") & ~F.col("name").startswith("com."))
-    return own.select(F.regexp_extract("path", "(Nation[0-9]+)", 1).alias("file"), T.simple_type(F.col("name")).alias("cls")).distinct()
+    return own.select(F.regexp_extract("path", "(Unit[0-9]+)", 1).alias("file"), T.simple_type(F.col("name")).alias("cls")).distinct()
 
 
-@query("field_types", f"SELECT 'Nation' || k AS cls, unnest(['prop' || k, 'cache', 'repo']) AS name, unnest(['String', 'Map<String,List<Item>>', 'Repo' || (k % 4)]) AS type FROM {_GOOD} UNION ALL SELECT 'Kind', 'code', 'int' FROM {_GOOD}")
+@query("field_types", f"SELECT 'Unit' || k AS cls, unnest(['prop' || k, 'cache', 'repo']) AS name, unnest(['String', 'Map<String,List<Item>>', 'Repo' || (k % 4)]) AS type FROM {_GOOD} UNION ALL SELECT 'Kind', 'code', 'int' FROM {_GOOD}")
 def field_types(t: Tables) -> DataFrame:
     return kind(t, "field").select("cls", "name", "type")
 
@@ -149,7 +165,7 @@ def var_types(t: Tables) -> DataFrame:
 
 
 def calls(t: Tables, *how: str) -> DataFrame:
-    return kind(t, "call").where(F.col("type").isin(*how) & F.col("mth").isNotNull()).select("mth", F.col("name").alias("call"))
+    return kind(t, "call").where(F.col("type").isin(*how) & F.col("mth").like("m%")).select("mth", F.col("name").alias("call"))
 
 
 _CALLS = {
@@ -177,7 +193,7 @@ def calls_nested_args(t: Tables) -> DataFrame:
     return calls(t, "sibling").where(F.col("call").contains(".local"))
 
 
-@query("calls_regex_chain", f"SELECT 'm' || s AS mth, 'repo.find(a' || s || ').next(' AS chain FROM (SELECT s_suppkey AS s FROM supplier JOIN nation ON s_nationkey = n_nationkey)")
+@query("calls_regex_chain", f"SELECT 'm' || s AS mth, 'repo.find(a' || s || ').next(' AS chain FROM {_ALL_METHODS}")
 def calls_regex_chain(t: Tables) -> DataFrame:
     """By pattern over the text without comments and literals."""
     body = F.explode(F.regexp_extract_all("text", F.lit(r"(?s)(m[0-9]+\(final.*?return)"), F.lit(1)))
@@ -185,13 +201,10 @@ def calls_regex_chain(t: Tables) -> DataFrame:
     return found
 
 
-_FALLBACK = "(SELECT s_suppkey AS s, s_suppkey % 3 AS u, n_nationkey AS k FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 7 = 6)"
-
-
-@query("calls_fallback", f"SELECT unnest(['v' || s || '.run' || u, 'repo.find', 'repo.save', 'item.close']) || '()' AS call FROM {_FALLBACK}")
+@query("calls_fallback", f"SELECT mth, call, how FROM ({' UNION ALL '.join(f'SELECT mth, call, {chr(39)}{h}{chr(39)} AS how FROM ({v[0]})' for h, v in _CALLS.items())})".replace(_METHODS, f"(SELECT * FROM {_ALL_METHODS} WHERE k % 7 = 6)"))
 def calls_fallback(t: Tables) -> DataFrame:
-    """What patterns find in files that do not parse; this.x is a keyword's call and goes."""
-    return kind(t, "call").where("type = 'fallback'").select(F.col("name").alias("call"))
+    """Calls of files that do not parse, from the scan that lets the odd bracket be: with types, constructors, throws and chains."""
+    return facts(t).where("kind = 'call' AND fallback AND mth LIKE 'm%'").select("mth", F.col("name").alias("call"), F.col("type").alias("how"))
 
 
 @query("calls_dynamic", "SELECT 'm' || p_partkey AS mth, 'g' || (p_partkey % 7) || '()' AS call FROM part")
@@ -205,23 +218,25 @@ def calls_dynamic(t: Tables) -> DataFrame:
 @query("adapter_flags", f"SELECT mth, call FROM ({' UNION ALL '.join(v[0] for h, v in _CALLS.items() if h != 'sibling')}) UNION ALL SELECT 'm' || s, cls || '.helper()' FROM {_METHODS}")
 def adapter_flags(t: Tables) -> DataFrame:
     """Without bare calls; this.helper() names its class and stays."""
-    return facts(t, include_unqualified=False).where("kind = 'call' AND mth IS NOT NULL").select("mth", F.col("name").alias("call"))
+    return facts(t, include_unqualified=False).where("kind = 'call' AND mth LIKE 'm%' AND NOT fallback").select("mth", F.col("name").alias("call"))
 
 
-@query("lineage_rows", f"SELECT cls, mth, call FROM (SELECT DISTINCT c.mth, c.call, m.cls FROM ({_ALL_CALLS}) c JOIN {_METHODS} m ON c.mth = 'm' || m.s) UNION ALL SELECT 'Nation' || k, unnest(['Nation' || k, 'helper']), 'None' FROM {_GOOD} UNION ALL SELECT 'Port', unnest(['open', 'shut']), 'None' FROM {_GOOD}")
+@query("lineage_rows", f"SELECT cls, mth, params, call FROM (SELECT DISTINCT c.mth, c.call, m.cls, 'int;List<String>;Svc' || m.t || '[]' AS params FROM ({_ALL_CALLS}) c JOIN {_METHODS} m ON c.mth = 'm' || m.s) UNION ALL SELECT 'Unit' || k, unnest(['Unit' || k, 'helper', 'over', 'over', 'over']), unnest(['int', '', 'int', 'int;String', 'String;long']), unnest(['None', 'None', 'None', 'None', 'Port.shut()']) FROM {_GOOD} UNION ALL SELECT 'Port', unnest(['open', 'shut']), unnest(['String', '']), 'None' FROM {_GOOD}".replace(_METHODS, _ALL_METHODS).replace(_GOOD, _UNITS))
 def lineage_rows(t: Tables) -> DataFrame:
-    """A row for each distinct call of a method; methods without calls keep one row. One parse, one join on its two kinds."""
-    f = graph.materialize(facts(t).where("kind IN ('method', 'call')"))
-    called = f.where("kind = 'call'").groupBy("path", "cls", "mth").agg(F.collect_set("name").alias("calls"))
-    rows = f.where("kind = 'method'").join(called, ["path", "cls", "mth"], "left").select("cls", "mth", F.explode_outer("calls").alias("call"))
-    return rows.select("cls", "mth", F.coalesce("call", F.lit("None")).alias("call"))
+    """A row for each distinct call of a method; methods without calls keep one row, overloads their own. One parse, one join
+    on its two kinds; files that do not parse give what their second scan finds."""
+    f = materialize(facts(t).where("kind IN ('method', 'call') AND (cls NOT LIKE 'Kind%')"))
+    called = f.where("kind = 'call'").groupBy("path", "cls", "mth", F.col("ann").alias("params")).agg(F.collect_set("name").alias("calls"))
+    rows = f.where("kind = 'method'").select("path", "cls", "mth", F.col("extra").alias("params")).join(called, ["path", "cls", "mth", "params"], "left").select("cls", "mth", "params", F.explode_outer("calls").alias("call"))
+    return rows.select("cls", "mth", "params", F.coalesce("call", F.lit("None")).alias("call"))
 
 
-@query("method_inventory", f"SELECT cls, 'm' || s AS mth, CAST({METHOD_LINES} AS INTEGER) AS loc, 'Nation' || (k // 2) AS parent, CASE k % 4 WHEN 0 THEN 'EJB_SLSB' WHEN 1 THEN 'SERVLET' WHEN 3 THEN 'EJB_MDB' ELSE 'GENERAL' END AS entry_type FROM {_METHODS}")
+@query("method_inventory", f"SELECT cls, 'm' || s AS mth, CAST({METHOD_LINES} AS INTEGER) AS loc, 'Unit' || (k // 2) AS parent, CASE k % 4 WHEN 0 THEN 'EJB_SLSB' WHEN 1 THEN 'SERVLET' WHEN 3 THEN 'EJB_MDB' ELSE 'GENERAL' END AS entry_type FROM {_METHODS} UNION ALL SELECT 'Unit' || k, 'helper', 1, 'Unit' || (k // 2), 'SCHEDULED' FROM {_GOOD}")
 def method_inventory(t: Tables) -> DataFrame:
-    f = graph.materialize(facts(t).where("kind IN ('method', 'type')"))
+    f = materialize(facts(t).where("kind IN ('method', 'type') AND NOT fallback"))
     types = f.where("kind = 'type'").select("path", "cls", F.col("name").alias("parent"), entry_type(F.col("ann"), F.col("name"), F.col("extra")).alias("entry_type"))
-    return f.where("kind = 'method' AND mth LIKE 'm%'").select("path", "cls", "mth", (F.col("end") - F.col("line") + 1).alias("loc")).join(types, ["path", "cls"]).select("cls", "mth", "loc", "parent", "entry_type")
+    methods = f.where("kind = 'method' AND (mth LIKE 'm%' OR mth = 'helper')").select("path", "cls", "mth", "ann", (F.col("end") - F.col("line") + 1).alias("loc"))
+    return methods.join(types, ["path", "cls"]).select("cls", "mth", "loc", "parent", F.when(is_scheduled(F.col("ann")), F.lit("SCHEDULED")).otherwise(F.col("entry_type")).alias("entry_type"))
 
 
 #: Entry types by annotation of a class, and by what it extends.
@@ -242,12 +257,17 @@ def entry_type(annotations: Column, parent: Column, interfaces: Column) -> Colum
     return F.coalesce(first, F.element_at(parents, parent), F.when(listener, F.lit("EJB_MDB")), F.lit("GENERAL"))
 
 
-@query("entry_type", f"SELECT 'Nation' || k AS cls, CASE k % 4 WHEN 0 THEN 'EJB_SLSB' WHEN 1 THEN 'SERVLET' WHEN 3 THEN 'EJB_MDB' ELSE 'GENERAL' END AS entry_type FROM {_GOOD}")
+def is_scheduled(annotations: Column) -> Column:
+    """A method's own schedule goes before what its class says."""
+    return F.coalesce(annotations.rlike(r"(^|;)@Schedules?\b"), F.lit(False))
+
+
+@query("entry_type", f"SELECT 'Unit' || k AS cls, CASE k % 4 WHEN 0 THEN 'EJB_SLSB' WHEN 1 THEN 'SERVLET' WHEN 3 THEN 'EJB_MDB' ELSE 'GENERAL' END AS entry_type FROM {_GOOD}")
 def entry_types(t: Tables) -> DataFrame:
-    return kind(t, "type").where("cls LIKE 'Nation%' AND line IS NOT NULL").select("cls", entry_type(F.col("ann"), F.col("name"), F.col("extra")).alias("entry_type"))
+    return kind(t, "type").where("cls LIKE 'Unit%' AND line IS NOT NULL").select("cls", entry_type(F.col("ann"), F.col("name"), F.col("extra")).alias("entry_type"))
 
 
-@query("method_loc", f"SELECT 'm' || s AS mth, CAST({METHOD_LINES} AS INTEGER) AS loc FROM {_METHODS} UNION ALL SELECT 'helper', 1 FROM {_GOOD} UNION ALL SELECT 'open', 1 FROM {_GOOD} UNION ALL SELECT 'shut', 1 FROM {_GOOD} UNION ALL SELECT 'Nation' || k, 1 FROM {_GOOD}")
+@query("method_loc", f"SELECT 'm' || s AS mth, CAST({METHOD_LINES} AS INTEGER) AS loc FROM {_METHODS} UNION ALL SELECT unnest(['helper', 'over', 'over', 'over']), unnest([1, 1, 3, 4]) FROM {_GOOD} UNION ALL SELECT 'open', 1 FROM {_GOOD} UNION ALL SELECT 'shut', 1 FROM {_GOOD} UNION ALL SELECT 'Unit' || k, 1 FROM {_GOOD}")
 def method_loc(t: Tables) -> DataFrame:
     return kind(t, "method").select("mth", (F.col("end") - F.col("line") + 1).alias("loc"))
 
@@ -256,7 +276,7 @@ def method_loc(t: Tables) -> DataFrame:
 def loc_with_annotations(t: Tables) -> DataFrame:
     loc = F.col("end") - F.col("line") + 1
     above = F.length("ann") - F.length(F.replace("ann", F.lit("\n"))) + 1
-    return kind(t, "method").where("ann IS NOT NULL").select("mth", loc.alias("with_annotations"), (loc - above).alias("without"))
+    return kind(t, "method").where("ann IS NOT NULL AND mth LIKE 'm%'").select("mth", loc.alias("with_annotations"), (loc - above).alias("without"))
 
 
 @query("loc_interface", f"SELECT 'Port' AS cls, unnest(['open', 'shut']) AS mth, CAST(1 AS INTEGER) AS loc FROM {_GOOD}")
@@ -280,11 +300,11 @@ def method_source(t: Tables) -> DataFrame:
     return method_text(t).select("mth", F.md5("source").alias("digest"))
 
 
-@query("brace_match", f"SELECT 'm' || s AS mth, CAST({METHOD.count('{')} - 2 AS INTEGER) AS braces FROM {_METHODS}")
+@query("brace_match", f"SELECT 'm' || s AS mth, CAST(unnest([2, 11, 12]) AS INTEGER) AS opens, CAST(unnest([{METHOD_LINES}, 11, 12]) AS INTEGER) AS closes FROM {_METHODS}")
 def brace_match(t: Tables) -> DataFrame:
-    """Opening braces of a method that are code: those in comments and literals do not count."""
-    plain = blank(F.col("source"), True, "")
-    return method_text(t).select("mth", (F.length(plain) - F.length(F.replace(plain, F.lit("{")))).alias("braces"))
+    """Lines of a method's braces with those of their partners: the next closing one of the same depth."""
+    methods = kind(t, "method").where("mth LIKE 'm%'").select("path", "mth", "line", "end")
+    return with_partners(with_depth(java.scan_tokens(sources(t)))).withColumnRenamed("line", "opens").join(methods, "path").where("opens BETWEEN line AND end").select("mth", (F.col("opens") - F.col("line") + 1).alias("opens"), (F.col("closes") - F.col("line") + 1).alias("closes"))
 
 
 @query("method_positions", f"SELECT 'm' || s AS mth, CAST(row_number() OVER (PARTITION BY cls ORDER BY s) AS INTEGER) AS nr FROM {_METHODS}")
@@ -292,23 +312,24 @@ def method_positions(t: Tables) -> DataFrame:
     return kind(t, "method").where("mth LIKE 'm%'").select("mth", F.row_number().over(Window.partitionBy("path").orderBy("pos")).alias("nr"))
 
 
-@query("type_to_file", "SELECT name, path FROM (SELECT 'Nation' || k AS name, path FROM (SELECT n_nationkey AS k, 'src/r' || n_regionkey || '/Nation' || n_nationkey || '.java' AS path FROM nation) UNION ALL SELECT unnest(['Kind', 'Port']), min('src/r' || n_regionkey || '/Nation' || n_nationkey || '.java') FROM nation)")
+@query("type_to_file", f"SELECT name, path FROM (SELECT 'Unit' || k AS name, {_PATH} AS path FROM {_UNITS} UNION ALL SELECT unnest(['Kind', 'Port']), min({_PATH}) FROM {_UNITS})")
 def type_to_file(t: Tables) -> DataFrame:
     """File stems and declared types; the first path wins."""
     f = facts(t)
     stems = f.select(T.file_stem(F.col("path")).alias("name"), "path").distinct()
-    nested = f.where("kind = 'type'").select(F.col("cls").alias("name"), "path")
+    nested = f.where("kind = 'type' AND type <> 'anonymous'").select(F.col("cls").alias("name"), "path")
     return stems.unionByName(nested).groupBy("name").agg(F.min("path").alias("path"))
 
 
-@query("iface_impl", "SELECT 'Repo' || (n_nationkey % 4) AS iface, 'Repo' || (n_nationkey % 4) || 'Impl' AS impl FROM nation GROUP BY ALL")
+@query("iface_impl", "SELECT 'Repo' || p_partkey AS iface, 'Repo' || p_partkey || 'Impl' AS impl FROM part WHERE p_partkey % 3 = 0")
 def iface_impl(t: Tables) -> DataFrame:
-    names = t.nation.select(fill("src/Repo«q»Impl.java", q=F.col("n_nationkey") % 4).alias("path")).union(t.nation.select(fill("src/Svc«q».java", q=F.col("n_nationkey") % 4)))
-    stem = T.file_stem(F.col("path"))
-    return names.where(stem.endswith("Impl")).select(F.expr("substr(regexp_replace(regexp_replace(path, '^.*/', ''), '[.][^.]*$', ''), 1, length(regexp_replace(regexp_replace(path, '^.*/', ''), '[.][^.]*$', '')) - 4)").alias("iface"), stem.alias("impl")).distinct()
+    p = F.col("p_partkey")
+    names = t.part.select(fill("src/«n»«p»«i».java", p=p, n=F.when(p % 3 == 0, F.lit("Repo")).otherwise(F.lit("Svc")), i=F.when(p % 3 == 0, F.lit("Impl")).otherwise(F.lit(""))).alias("path"))
+    stems = names.select(T.file_stem(F.col("path")).alias("impl")).where(F.col("impl").endswith("Impl"))
+    return stems.select(F.expr("left(impl, length(impl) - 4)").alias("iface"), "impl").distinct()
 
 
-@query("object_class_map", f"SELECT DISTINCT 'nation' || k || '.java' AS file, name, type FROM (SELECT k, unnest(['b', 'v' || s, 'item']) AS name, unnest(['List<String>', 'Svc' || t, 'Item']) AS type FROM {_METHODS})")
+@query("object_class_map", f"SELECT DISTINCT 'unit' || k || '.java' AS file, name, type FROM (SELECT k, unnest(['b', 'v' || s, 'item']) AS name, unnest(['List<String>', 'Svc' || t, 'Item']) AS type FROM {_METHODS})")
 def object_class_map(t: Tables) -> DataFrame:
     """(file, variable) to type: the first wins, a collection gives way."""
     v = kind(t, "var").where("mth LIKE 'm%' AND (name IN ('b', 'item') OR name LIKE 'v%')")
@@ -316,18 +337,18 @@ def object_class_map(t: Tables) -> DataFrame:
     return lookup.variable_types(own, ["file", "name"]).select("file", "name", F.col("var_type").alias("type"))
 
 
-@query("bfs_var_map", f"SELECT 'Nation' || k AS cls, 'v' || s AS var, 'Svc' || t AS type FROM {_METHODS}")
+@query("bfs_var_map", f"SELECT 'Unit' || k AS cls, 'v' || s AS var, 'Svc' || t AS type FROM {_METHODS}")
 def bfs_var_map(t: Tables) -> DataFrame:
     """Declarations by pattern, the last one winning: Type name = new Type(...)."""
-    good = sources(t).join(kind(t, "error").select("path"), "path", "left_anti")
-    pairs = good.select(F.regexp_extract("path", "(Nation[0-9]+)", 1).alias("cls"), F.posexplode(F.regexp_extract_all("text", F.lit(r"\b([A-Z][A-Za-z0-9_]*\s+[a-z][A-Za-z0-9_]*)\s*=\s*new\b"), F.lit(1))).alias("pos", "d"))
+    good = sources(t).join(facts(t).where("kind = 'error'").select("path"), "path", "left_anti")
+    pairs = good.select(F.regexp_extract("path", "(Unit[0-9]+)", 1).alias("cls"), F.posexplode(F.regexp_extract_all("text", F.lit(r"\b([A-Z][A-Za-z0-9_]*\s+[a-z][A-Za-z0-9_]*)\s*=\s*new\b"), F.lit(1))).alias("pos", "d"))
     named = pairs.select("cls", "pos", F.regexp_extract("d", r"\s([a-z][A-Za-z0-9_]*)$", 1).alias("var"), F.regexp_extract("d", r"^([A-Z][A-Za-z0-9_]*)", 1).alias("type"))
     return named.groupBy("cls", "var").agg(F.max_by("type", "pos").alias("type"))
 
 
-@query("method_return_index", f"SELECT cls, 'm' || s AS mth, 'Svc' || t AS ret, 'Nation' || (k // 2) AS parent FROM {_METHODS}")
+@query("method_return_index", f"SELECT cls, 'm' || s AS mth, 'Svc' || t AS ret, 'Unit' || (k // 2) AS parent FROM {_METHODS}")
 def method_return_index(t: Tables) -> DataFrame:
-    f = graph.materialize(facts(t).where("kind IN ('method', 'type')"))
+    f = materialize(facts(t).where("kind IN ('method', 'type') AND NOT fallback"))
     ret = f.where("kind = 'method' AND mth LIKE 'm%'").groupBy("cls", "mth").agg(F.max_by("type", F.struct("path", "pos")).alias("ret"))
     return ret.join(f.where("kind = 'type'").select("cls", F.col("name").alias("parent")), "cls").select("cls", "mth", "ret", "parent")
 
@@ -343,7 +364,7 @@ def normalize_qualifier(t: Tables) -> DataFrame:
 @query("keep_qualified", f"SELECT 'm' || s AS mth, unnest(['v' || s, 'repo', 'item']) AS root FROM {_METHODS}")
 def keep_qualified(t: Tables) -> DataFrame:
     """Qualified calls whose root is a field, a local, a parameter, or an imported type. One parse; the roots come from patterns over the methods."""
-    f = graph.materialize(facts(t))
+    f = materialize(facts(t).where("NOT fallback"))
     roots = method_text(t).select("mth", F.explode(F.array_distinct(F.regexp_extract_all(blank(F.col("source"), True, ""), F.lit(r"(?<![\w.)])([a-z][A-Za-z0-9_]*)\.[a-z]"), F.lit(1)))).alias("root"))
     methods = f.where("kind = 'method'").select("cls", "mth")
     known = f.where("kind = 'var'").select("mth", F.col("name").alias("root")).union(methods.join(f.where("kind = 'field'").select("cls", "name"), "cls").select("mth", "name")).distinct()
@@ -353,15 +374,17 @@ def keep_qualified(t: Tables) -> DataFrame:
 @query("keep_unqualified", f"SELECT 'm' || s AS mth, 'helper' AS called FROM {_METHODS}")
 def keep_unqualified(t: Tables) -> DataFrame:
     """Bare calls of methods that the class declares; local() is declared nowhere."""
-    f = graph.materialize(facts(t).where("kind IN ('method', 'call')"))
+    f = materialize(facts(t).where("kind IN ('method', 'call') AND NOT fallback"))
     bare = f.where("kind = 'call' AND type = 'sibling'").select("path", "cls", F.col("mth").alias("caller"), F.regexp_extract("name", r"\.([A-Za-z0-9_]+)\(", 1).alias("mth"))
     return bare.join(f.where("kind = 'method'").select("path", "cls", "mth"), ["path", "cls", "mth"], "left_semi").select(F.col("caller").alias("mth"), F.col("mth").alias("called"))
 
 
-@query("skip_commented", f"SELECT 'm' || s AS mth, CAST({METHOD_LINES - 1} AS INTEGER) AS live FROM {_METHODS}")
+@query("skip_commented", f"SELECT 'm' || s AS mth, unnest(['v' || s, 'text' || s]) AS declared FROM {_METHODS}")
 def skip_commented(t: Tables) -> DataFrame:
+    """Declarations by pattern, line by line; those on commented lines go."""
     lines = method_text(t).select("mth", F.explode(F.split("source", "\n")).alias("l"))
-    return lines.where(~T.commented(F.col("l"))).groupBy("mth").agg(F.count("*").cast("int").alias("live"))
+    name = F.regexp_extract("l", r"\b[A-Z][A-Za-z0-9_]*\s+([a-z][A-Za-z0-9_]*)\s*=", 1)
+    return lines.where(~T.commented(F.col("l"))).select("mth", name.alias("declared")).where("declared <> ''")
 
 
 @query("skip_primitives", f"SELECT 'm' || s AS mth, unnest(['List<String>', 'Svc' || t || '[]']) AS type FROM {_METHODS}")
@@ -383,7 +406,7 @@ def blank(text: Column, literals: bool, fill_: str) -> Column:
 
 def _stripped(literals: bool, mark: str) -> str:
     """The generated method as SQL, without its comment line and, if asked, its literals."""
-    text = METHOD.rstrip("\n").replace("// commented.call(); {", mark)
+    text = METHOD.rstrip("\n").replace("// Old old«s» = commented.call(); {", mark)
     if literals:
         for x in ('"brace } ( in \\"string"', "'{'", '"bad"', '"a)b"'):
             text = text.replace(x, mark)
@@ -396,22 +419,49 @@ for _name, _literals, _mark in (("strip_comments_literals", True, ""), ("strip_c
     )
 
 
-@query("strip_top_level", "SELECT 'Nation' || n_nationkey AS cls, CAST(1 AS INTEGER) AS removed FROM nation")
+@query("strip_top_level", f"SELECT 'Unit' || k AS cls, CAST(1 AS INTEGER) AS removed FROM {_UNITS}")
 def strip_top_level(t: Tables) -> DataFrame:
     """Comments before the first type: block comments there go by pattern."""
     head = F.regexp_extract("text", r"(?s)^(.*?)\npublic class", 1)
     cut = F.regexp_replace(head, r"(?s)/\*.*?\*/", "")
-    return sources(t).select(F.regexp_extract("path", "(Nation[0-9]+)", 1).alias("cls"), F.when(F.length(head) > F.length(cut), 1).otherwise(0).alias("removed"))
+    return sources(t).select(F.regexp_extract("path", "(Unit[0-9]+)", 1).alias("cls"), F.when(F.length(head) > F.length(cut), 1).otherwise(0).alias("removed"))
 
 
 # --- tokens and ranks ---------------------------------------------------------------------------------------------------
 
 
-@query("decl_call_tokens", f"SELECT 'm' || s AS mth, CAST(1 AS BIGINT) AS declared, CAST(9 AS BIGINT) AS called FROM {_METHODS}")
+def with_depth(tokens: DataFrame) -> DataFrame:
+    """tokens with depth: open braces around each; a brace's own depth is that of what stands beside it."""
+    step = F.when(F.col("kind") == "open", 1).when(F.col("kind") == "close", -1).otherwise(0)
+    return ordering.running_depth(tokens, ["path"], step, ["pos"], "depth").withColumn("depth", F.col("depth") - (F.col("kind") == "open").cast("int"))
+
+
+def with_partners(tokens: DataFrame) -> DataFrame:
+    """Opening braces with closes: the line of the closing one."""
+    braces = tokens.where("kind IN ('open', 'close')")
+    w = Window.partitionBy("path", "depth").orderBy("pos")
+    return braces.withColumn("closes", F.lead("line").over(w)).where("kind = 'open'").select("path", "pos", "line", "depth", "closes")
+
+
+def with_scope(tokens: DataFrame) -> DataFrame:
+    """Calls with scope: the innermost method around them whose body is open, null outside of methods.
+
+    At each depth below a call, the last declaration there counts until its body's brace closes at that depth.
+    """
+    deep = with_depth(tokens).where("kind <> 'open'")
+    asks = deep.where("kind = 'call'").withColumn("level", F.explode(F.sequence(F.lit(0), F.greatest(F.col("depth") - 1, F.lit(0)))))
+    marks = deep.where("kind <> 'call'").withColumn("level", F.col("depth"))
+    w = Window.partitionBy("path", "level").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    state = F.last(F.when(F.col("kind") == "decl", F.col("name")).when(F.col("kind") == "close", F.lit("")), ignorenulls=True).over(w)
+    seen = marks.unionByName(asks).withColumn("open", F.nullif(state, F.lit(""))).where("kind = 'call'")
+    return seen.groupBy("path", "pos", "name", "recv").agg(F.max_by("open", F.when(F.col("open").isNotNull(), F.col("level"))).alias("scope"))
+
+
+@query("decl_call_tokens", f"SELECT 'm' || s AS scope, unnest([NULL, 'v' || s, NULL, 'repo', NULL, 'repo', 'this', NULL, 'item']) AS recv, unnest(['Svc' || t, 'run' || u, 'local' || s, 'find', 'next', 'save', 'helper', 'Ex' || u, 'close']) AS callee, CAST(unnest([0, 1, 2, 3, 4, 5, 6, 7, 8]) AS INTEGER) AS rank FROM {_ALL_METHODS}")
 def decl_call_tokens(t: Tables) -> DataFrame:
-    """Declarations and call sites by the method they stand in: (s, repo.find, its chain, this.repo.save, this.helper, local, the two constructors, item.close)."""
-    f = facts(t).where("kind IN ('method', 'call') AND mth LIKE 'm%'")
-    return f.groupBy("mth").agg(F.count_if(F.col("kind") == "method").alias("declared"), F.count_if((F.col("kind") == "call")).alias("called"))
+    """Call sites by the method they stand in, in order; brackets that match nothing do not matter here."""
+    calls_ = with_scope(java.scan_tokens(sources(t))).where("scope LIKE 'm%'").groupBy("path", "scope", "recv", F.col("name").alias("callee")).agg(F.min("pos").alias("pos"))
+    return calls_.select("scope", "recv", "callee", (F.row_number().over(Window.partitionBy("path", "scope").orderBy("pos")) - 1).alias("rank"))
 
 
 @query("call_rank", f"SELECT 'm' || s AS mth, call, CAST(rank AS INTEGER) AS rank FROM (SELECT s, unnest(['Svc' || t || '.Svc' || t || '()', 'Svc' || t || '.run' || u || '()', cls || '.local' || s || '()', 'Repo' || (k % 4) || '.find()', 'Repo' || (k % 4) || '.save()', cls || '.helper()', 'Ex' || u || '.Ex' || u || '()', 'Item.close()']) AS call, unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS rank FROM {_METHODS})")
@@ -421,29 +471,29 @@ def call_rank(t: Tables) -> DataFrame:
     return f.select("mth", "call", (F.row_number().over(Window.partitionBy("path", "mth").orderBy("pos")) - 1).alias("rank"))
 
 
-@query("overload_best", "SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'p2a' WHEN 1 THEN 'p2b' ELSE 'p1' END AS best FROM supplier")
+@query("overload_best", f"SELECT s, params, CAST(loc AS INTEGER) AS loc FROM (SELECT s, ['int;String', 'String;long', 'int', 'long;long', 'int;int;int'][s % 5 + 1] AS params, [3, 4, 1, 4, 4][s % 5 + 1] AS loc FROM {_METHODS})")
 def overload_best(t: Tables) -> DataFrame:
-    """Equal arity first, then most equal types, then most lines. Candidates: p1(int), p2a(int, String), p2b(String, long)."""
-    cand = t.region.where("r_regionkey < 3").select(F.element_at(F.array(F.lit("p1"), F.lit("p2a"), F.lit("p2b")), F.col("r_regionkey") + 1).alias("best"), F.element_at(F.array(F.array(F.lit("int")), F.array(F.lit("int"), F.lit("string")), F.array(F.lit("string"), F.lit("long"))), F.col("r_regionkey") + 1).alias("types"), F.lit("m").alias("mth"))
-    k = F.col("s_suppkey") % 3
-    wanted = t.supplier.select("s_suppkey", F.lit("m").alias("mth"), F.when(k == 0, F.array(F.lit("int"), F.lit("String"))).when(k == 1, F.array(F.lit("java.lang.String"), F.lit("long"))).otherwise(F.array(F.lit("int"))).alias("want"))
-    want = F.transform("want", T.normal_type)
-    pairs = wanted.withColumn("b", want).join(cand, "mth")
-    score = F.when(F.size("types") == F.size("b"), F.aggregate(F.zip_with("types", "b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)).otherwise(F.lit(-1))
-    return pairs.groupBy("s_suppkey").agg(F.max_by("best", F.struct((F.size("types") == F.size("b")).alias("arity"), score.alias("score"), "best")).alias("best"))
+    """Lines of the overload that a call means. Each method asks for over() of its class with some types."""
+    found = kind(t, "method").where("mth = 'over'").select("cls", "mth", F.split(F.nullif("extra", F.lit("")), ";").alias("types"), (F.col("end") - F.col("line") + 1).alias("loc"))
+    asked = F.array(*[F.lit(x) for x in ("int;String", "java.lang.String;long", "int", "long;long", "int;int;int")])
+    s = F.col("p_partkey")
+    want = t.part.select(s.alias("s"), fill("Unit«k»", k=F.floor(s / 20)).alias("cls"), F.lit("over").alias("mth"), F.get(asked, (s % 5).cast("int")).alias("asked")).withColumn("want", F.split("asked", ";"))
+    return lookup.best_overload(want, found).select("s", F.replace("asked", F.lit("java.lang."), F.lit("")).alias("params"), "loc")
 
 
 # --- properties ---------------------------------------------------------------------------------------------------------
 
 
 def property_lines(t: Tables) -> DataFrame:
-    """path, line_no, line: a file for each region, with comments, blanks and both separators."""
-    k, r = F.col("n_nationkey"), F.col("n_regionkey")
-    lines = F.array(fill("# comment «k»", k=k), F.lit("  "), F.when(k % 2 == 0, fill("nation.k«k» = a=«r»", k=k, r=r)).otherwise(fill("nation.k«k»: v«r»", k=k, r=r)), fill("shared=r«r»", r=r))
-    return t.nation.select(fill("conf/r«r».properties", r=r).alias("path"), (k * 10).alias("base"), F.posexplode(lines).alias("i", "line")).select("path", (F.col("base") + F.col("i")).alias("line_no"), "line")
+    """path, line_no, line: a file for each twenty parts, with comments, blanks and both separators."""
+    k = F.col("p_partkey")
+    r = F.floor(k / 20)
+    lines = F.array(fill("# comment «k»", k=k), F.lit("  "), F.when(k % 2 == 0, fill("unit.k«k» = a=«r»", k=k, r=r)).otherwise(fill("unit.k«k»: v«r»", k=k, r=r)), fill("shared=r«r»", r=r))
+    return t.part.select(fill("conf/r«r».properties", r=r).alias("path"), (k * 10).alias("base"), F.posexplode(lines).alias("i", "line")).select("path", (F.col("base") + F.col("i")).alias("line_no"), "line")
 
 
-_PROPS = "(SELECT 'nation.k' || n_nationkey AS key, CASE WHEN n_nationkey % 2 = 0 THEN 'a=' || n_regionkey ELSE 'v' || n_regionkey END AS value FROM nation UNION ALL SELECT 'shared', 'r' || max(n_regionkey) FROM nation)"
+_SHARED = "(SELECT 'r' || max_by(p_partkey // 20, 'conf/r' || (p_partkey // 20) || '.properties') FROM part)"
+_PROPS = f"(SELECT 'unit.k' || p_partkey AS key, CASE WHEN p_partkey % 2 = 0 THEN 'a=' || (p_partkey // 20) ELSE 'v' || (p_partkey // 20) END AS value FROM part UNION ALL SELECT 'shared', {_SHARED})"
 
 
 @query("properties_scan", f"SELECT key, value FROM {_PROPS}")
@@ -451,146 +501,182 @@ def properties_scan(t: Tables) -> DataFrame:
     return S.properties(property_lines(t))
 
 
-@query("properties_ref_lookup", "SELECT 'conf/r' || r_regionkey || '.properties' AS path, CASE WHEN r_regionkey % 2 = 0 THEN 'conf/r' || r_regionkey || '.properties' ELSE 'other/r' || r_regionkey || '.properties' END AS ref FROM region")
+@query("properties_ref_lookup", "SELECT 'conf/r' || s_suppkey || '.properties' AS path, CASE WHEN s_suppkey % 2 = 0 THEN 'conf/r' || s_suppkey || '.properties' ELSE 'other/r' || s_suppkey || '.properties' END AS ref FROM supplier")
 def properties_ref_lookup(t: Tables) -> DataFrame:
-    r = F.col("r_regionkey")
+    r = F.col("s_suppkey")
     files_ = property_lines(t).select("path").distinct()
-    refs = t.region.select(fill("«d»/r«r».properties", d=F.when(r % 2 == 0, F.lit("conf")).otherwise(F.lit("other")), r=r).alias("ref"))
+    refs = t.supplier.select(fill("«d»/r«r».properties", d=F.when(r % 2 == 0, F.lit("conf")).otherwise(F.lit("other")), r=r).alias("ref"))
     return S.refs_to_files(refs, files_).select("path", "ref")
 
 
-@query("props_value", f"SELECT 'Nation' || k AS cls, 'prop' || k AS var, p.key, p.value FROM {_GOOD} JOIN {_PROPS} p ON p.key = 'nation.k' || k")
+@query("props_value", f"SELECT 'Unit' || k AS cls, 'prop' || k AS var, p.key, p.value FROM {_GOOD} JOIN {_PROPS} p ON p.key = 'unit.k' || k")
 def props_value(t: Tables) -> DataFrame:
     refs = kind(t, "value").select("cls", F.col("type").alias("var"), F.col("name").alias("key"))
     return refs.join(S.properties(property_lines(t)), "key", "left").select("cls", "var", "key", F.coalesce("value", F.lit("NOT_FOUND")).alias("value"))
 
 
 def config_text(t: Tables) -> DataFrame:
-    k = F.col("n_nationkey")
-    return t.nation.select(k.alias("k"), fill('@ConfigurationProperties(prefix = "nation.k«k»") @PropertySource("classpath:conf/r«r».properties") class C«k» { String m«k»() { return messageSource.getMessage("shared"); } }', k=k, r=F.col("n_regionkey")).alias("text"))
+    k = F.col("p_partkey")
+    return t.part.select(k.alias("k"), fill('@ConfigurationProperties(prefix = "unit.k«k»") @PropertySource("classpath:conf/r«r».properties") class C«k» { String m«k»() { return messageSource.getMessage("shared"); } }', k=k, r=F.floor(k / 20)).alias("text"))
 
 
-@query("props_prefix", f"SELECT n_nationkey AS k, p.key, p.value FROM nation JOIN {_PROPS} p ON p.key = 'nation.k' || n_nationkey OR starts_with(p.key, 'nation.k' || n_nationkey || '.')")
+@query("props_prefix", f"SELECT p_partkey AS k, p.key, p.value FROM part JOIN {_PROPS} p ON p.key = 'unit.k' || p_partkey OR starts_with(p.key, 'unit.k' || p_partkey || '.')")
 def props_prefix(t: Tables) -> DataFrame:
     own = config_text(t).select("k", F.regexp_extract("text", r'@ConfigurationProperties\(\s*(?:prefix\s*=\s*)?"([^"]+)"', 1).alias("prefix"))
     props = S.properties(property_lines(t))
     return lookup.prefix_join(props.select("key"), own.select("prefix").distinct()).join(own, "prefix").join(props, "key").select("k", "key", "value")
 
 
-@query("props_source", "SELECT n_nationkey AS k, 'conf/r' || n_regionkey || '.properties' AS path FROM nation")
+@query("props_source", "SELECT p_partkey AS k, 'conf/r' || (p_partkey // 20) || '.properties' AS path FROM part")
 def props_source(t: Tables) -> DataFrame:
     refs = config_text(t).select("k", T.normalize_ref(F.regexp_extract("text", r'@PropertySource\(\s*"([^"]+)"', 1)).alias("ref"))
     found = S.refs_to_files(refs.select("ref").distinct(), property_lines(t).select("path").distinct())
     return refs.join(found, "ref").select("k", "path")
 
 
-@query("props_message", "SELECT n_nationkey AS k, 'm' || n_nationkey AS mth, 'r4' AS value FROM nation")
+@query("props_message", f"SELECT p_partkey AS k, 'm' || p_partkey AS mth, {_SHARED} AS value FROM part")
 def props_message(t: Tables) -> DataFrame:
     own = config_text(t).select("k", F.regexp_extract("text", r"String\s+(m[0-9]+)\(", 1).alias("mth"), F.regexp_extract("text", r'getMessage\(\s*"([^"]+)"', 1).alias("key"))
     return own.join(S.properties(property_lines(t)), "key", "left").select("k", "mth", F.coalesce("value", F.lit("NOT_FOUND")).alias("value"))
 
 
-@query("props_with_method", "SELECT n_nationkey AS k, 'm' || n_nationkey AS mth FROM nation WHERE n_nationkey % 3 <> 0")
+@query("props_with_method", "SELECT p_partkey AS k, 'm' || p_partkey AS mth FROM part WHERE p_partkey % 3 <> 0")
 def props_with_method(t: Tables) -> DataFrame:
     """References outside of methods have none and go; the full table keeps them."""
     mth = F.nullif(F.regexp_extract("text", r"String\s+(m[0-9]+)\(", 1), F.lit(""))
     return config_text(t).select("k", F.when(F.col("k") % 3 != 0, mth).alias("mth")).where("mth IS NOT NULL")
 
 
-# --- rows only: files, sinks, configuration -----------------------------------------------------------------------------
+# --- files, sinks, configuration ----------------------------------------------------------------------------------------
 
 
 def _written(t: Tables) -> str:
-    """The generated sources as files in the shared folder, by package; build folders among them."""
-    path = f"{graph.shared_dir(t.spark)}/src-{t.spark.sparkContext.applicationId}-{id(t)}"
+    """The generated sources as files in the shared folder, by package, and once more in a build folder."""
+    path = new_path(t.spark, "tree")
     out = sources(t).select("text", F.regexp_extract("path", "(r[0-9]+)/", 1).alias("dir"))
-    out.unionByName(out.limit(1).withColumn("dir", F.lit("target"))).repartition("dir").write.mode("overwrite").partitionBy("dir").option("lineSep", "\n//EOF\n").text(path)
+    out.repartition("dir").write.partitionBy("dir").option("lineSep", "\n//EOF\n").text(f"{path}/src")
+    out.select("text").write.option("lineSep", "\n//EOF\n").text(f"{path}/target")
     return path
 
 
-@query("scan_files")
+def _units(files_: DataFrame) -> DataFrame:
+    """cls, methods of the sources in files."""
+    one = files_.select(F.explode(F.split("text", "\n//EOF\n")).alias("text")).where(F.trim("text") != "")
+    return one.select(F.regexp_extract("text", r"public class (\w+)", 1).alias("cls"), F.size(F.regexp_extract_all("text", F.lit(r"public (Svc\d) m\d+\("), F.lit(1))).alias("methods"))
+
+
+@query("scan_files", f"SELECT cls, methods FROM (SELECT 'Unit' || k AS cls, CAST(count(*) AS INTEGER) AS methods FROM {_ALL_METHODS} GROUP BY k), range(2)")
 def scan_files(t: Tables) -> DataFrame:
-    return S.scan_files(t.spark, _written(t), ".txt").select("stem", F.length("text").alias("n"))
+    """All files below the folder: each source stands there twice."""
+    return _units(S.scan_files(t.spark, _written(t), ".txt"))
 
 
-@query("scan_pruned_dirs")
+@query("scan_pruned_dirs", f"SELECT 'Unit' || k AS cls, CAST(count(*) AS INTEGER) AS methods FROM {_ALL_METHODS} GROUP BY k")
 def scan_pruned_dirs(t: Tables) -> DataFrame:
-    """The build folder is gone."""
-    files_ = S.scan_files(t.spark, _written(t), ".txt").withColumn("path", F.replace("path", F.lit("dir=target/"), F.lit("target/")))
-    return files_.where(T.path_dirs_pruned(F.col("path"))).select("stem", F.length("text").alias("n"))
+    """The build folder's copies are gone."""
+    return _units(S.scan_files(t.spark, _written(t), ".txt", pruned=True))
 
 
-@query("scan_order")
+@query("scan_order", f"SELECT path, row_number() OVER (ORDER BY string_split(path, '/')) - 1 AS pos FROM (SELECT {_PATH} AS path FROM {_UNITS})")
 def scan_order(t: Tables) -> DataFrame:
     """Folders and files in order, compared part by part."""
     return ordering.global_rank(sources(t).select("path", F.split("path", "/").alias("parts")), ["parts"], "pos").select("path", "pos")
 
 
-@query("decode_lossy")
+@query("decode_lossy", "SELECT doc_id, CAST(length(text) + 1 AS INTEGER) AS n FROM documents")
 def decode_lossy(t: Tables) -> DataFrame:
+    """Two bytes that are no UTF-8 behind each text go, the bracket between them stays."""
     raw = F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("C328FF")))
     return t.documents.select("doc_id", F.length(S.decode_lossy(raw)).alias("n"))
 
 
-@query("reachable_sources")
+@query("reachable_sources", f"WITH RECURSIVE w AS (SELECT k, r, 0 AS depth FROM {_UNITS} WHERE k = 0 UNION ALL SELECT u.k, u.r, w.depth + 1 FROM w JOIN {_UNITS} u ON u.k IN (2 * w.k + 1, 2 * w.k + 2) WHERE w.k % 7 <> 6) SELECT 'Unit' || k || '.java' AS file_name, {_PATH} AS path, CAST(depth AS INTEGER) AS depth FROM w")
 def reachable_sources(t: Tables) -> DataFrame:
-    """Sources that are reached from Nation0 over imports."""
-    f = graph.materialize(facts(t))
-    edges = f.where("kind = 'import' AND type = 'type'").select(F.regexp_extract("path", "(Nation[0-9]+)", 1).alias("src"), T.simple_type(F.col("name")).alias("dst"))
-    seen = graph.reachable(edges, t.region.where("r_regionkey = 0").select(F.lit("Nation0").alias("node")))
-    return seen.join(sources(t).withColumn("node", T.file_stem(F.col("path"))), "node").select("node", "depth", F.length("text").alias("n"))
+    """Sources reached from Unit0 over imports are copied to a folder, under their full paths, so that equal names do not collide."""
+    files_ = materialize(sources(t))
+    edges = java.parse_sources(files_).where("kind = 'import' AND type = 'type' AND NOT fallback").select(T.file_stem(F.col("path")).alias("src"), T.simple_type(F.col("name")).alias("dst"))
+    seen = graph.reachable(edges, files_.where(T.file_stem(F.col("path")) == "Unit0").select(F.lit("Unit0").alias("node")))
+    copied = new_path(t.spark, "copied")
+    seen.join(files_.withColumn("node", T.file_stem(F.col("path"))), "node").select(F.regexp_replace("path", "^.*/", "").alias("file_name"), "path", "depth", "text").write.parquet(copied)
+    return t.spark.read.parquet(copied).where(F.length("text") > 0).select("file_name", "path", "depth")
 
 
-@query("sink_overwrite")
+@query("sink_overwrite", "SELECT cls, count(*) AS n FROM {nodes} GROUP BY 1")
 def sink_overwrite(t: Tables) -> DataFrame:
-    book = f"{graph.shared_dir(t.spark)}/book-{id(t)}"
+    book = new_path(t.spark, "book")
     for _ in range(2):
         S.write_sheets(book, {"Methods": t.nodes, "Calls": t.edges})
     return S.read_sheet(t.spark, book, "Methods").groupBy("cls").agg(F.count("*").alias("n"))
 
 
-@query("sink_append")
+@query("sink_append", "SELECT cls, 2 * count(*) AS n FROM {nodes} GROUP BY 1")
 def sink_append(t: Tables) -> DataFrame:
-    book = f"{graph.shared_dir(t.spark)}/more-{id(t)}"
+    book = new_path(t.spark, "book")
     S.write_sheets(book, {"Methods": t.nodes})
     S.write_sheets(book, {"Methods": t.nodes}, "append")
     return S.read_sheet(t.spark, book, "Methods").groupBy("cls").agg(F.count("*").alias("n"))
 
 
-@query("sheet_scan_optional")
+@query("sheet_scan_optional", "SELECT chunk, 'g' || (o_custkey % 3) AS rule, CAST(NULL AS VARCHAR) AS owner FROM (SELECT DISTINCT l_orderkey AS chunk FROM lineitem) LEFT JOIN orders ON o_orderkey = chunk AND o_orderkey % 2 = 0")
 def sheet_scan_optional(t: Tables) -> DataFrame:
-    """A missing sheet reads as an empty one, so the join keeps all chunks."""
-    groups = S.read_sheet_or_empty(t.spark, f"{graph.shared_dir(t.spark)}/none-{id(t)}", "Groups", "chunk BIGINT, group STRING")
-    return t.tokens.select("chunk").distinct().join(groups, "chunk", "left")
+    """A sheet that is there joins; a missing one reads as an empty table, so the join keeps all chunks."""
+    book = new_path(t.spark, "book")
+    S.write_sheets(book, {"Rules": t.orders.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("chunk"), F.concat(F.lit("g"), s_(F.col("o_custkey") % 3)).alias("rule"))})
+    rules = S.read_sheet_or_empty(t.spark, book, "Rules", "chunk BIGINT, rule STRING")
+    owners = S.read_sheet_or_empty(t.spark, book, "Owners", "chunk BIGINT, owner STRING")
+    return t.tokens.select("chunk").distinct().join(rules, "chunk", "left").join(owners, "chunk", "left").select("chunk", "rule", "owner")
 
 
-@query("require_columns")
+@query("require_columns", "SELECT parent, child, entity FROM {chunk_edges}")
 def require_columns(t: Tables) -> DataFrame:
     return S.require_columns(t.chunk_edges, ["parent", "child", "entity"])
 
 
-@query("trim_columns")
+@query("trim_columns", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def trim_columns(t: Tables) -> DataFrame:
-    return S.trim_columns(t.nation.withColumnRenamed("n_name", " n_name "))
+    return S.trim_columns(t.customer.withColumnsRenamed({"c_name": " c_name ", "c_acctbal": "c_acctbal "}))
+
 
+#: A configuration as it stands in a file: patterns with entities, and lists that replace the defaults.
+CONFIG = """{"Language": {"Java": {"Application": {"shop": {
+  "Language_details": {"Extension": ".java", "control_keywords": ["the", "of", "and"], "SYSTEM_METHODS": ["get", "in"], "COLLECTION_TYPES": ["List", "Map", "Deque"]},
+  "Regex_Pattern": {"package": "(?m)^\\\\s*package\\\\s+([\\\\w.]+)\\\\s*;", "call": "\\\\b([A-Za-z_]\\\\w*)\\\\s*\\\\.\\\\s*([A-Za-z_]\\\\w*)\\\\s*\\\\(", "map": "\\\\bMap&lt;(?P&lt;key&gt;\\\\w+)"}}}}}}"""
 
-#: Named patterns in the JVM's syntax; a missing name is an error where it is asked for.
-PATTERNS = {"package": r"(?m)^\s*package\s+([\w.]+)\s*;", "call": r"\b([A-Za-z_]\w*)\s*\.\s*([A-Za-z_]\w*)\s*\(", "new": r"\bnew\s+([A-Z]\w*)"}
 
+def _config(t: Tables) -> settings.Config:
+    path = new_path(t.spark, "config")
+    t.region.where("r_regionkey = 0").select(F.lit(CONFIG).alias("value")).write.text(path)
+    return settings.read_config(t.spark, path, "Java", "shop")
 
-@query("regex_registry")
+
+_CALL_RE = r"\b([A-Za-z_]\w*)\s*\.\s*([A-Za-z_]\w*)\s*\("
+
+
+@query("regex_registry", f"SELECT {_PATH} AS path, CAST(1 AS INTEGER) AS package, CAST((SELECT count(*) FROM {_PARTS} p WHERE p.k = u.k) * {len(re.findall(_CALL_RE, METHOD.replace('«', '').replace('»', '')))} + {len(re.findall(_CALL_RE, CLASS))} AS INTEGER) AS call, CAST(1 AS INTEGER) AS map FROM {_UNITS} u")
 def regex_registry(t: Tables) -> DataFrame:
-    return sources(t).select("path", *[F.size(F.regexp_extract_all("text", F.lit(p), F.lit(1))).alias(n) for n, p in PATTERNS.items()])
+    """Matches of the configured patterns; a name that the configuration lacks is an error where it is asked for."""
+    config = _config(t)
+    return sources(t).select("path", *[F.size(F.regexp_extract_all("text", F.lit(config.pattern(n)), F.lit(0))).alias(n) for n in ("package", "call", "map")])
 
 
-@query("word_lists")
+_LIST_WORDS = {"control": ("the", "of", "and"), "system": ("get", "in")}
+
+
+@query("word_lists", f"SELECT CASE WHEN w IN {_LIST_WORDS['control']} THEN 'control_keywords' WHEN w IN {_LIST_WORDS['system']} THEN 'SYSTEM_METHODS' WHEN w IN ('int', 'long', 'short', 'byte', 'char', 'float', 'double', 'boolean', 'void') THEN 'PRIMITIVE' WHEN w IN ('list', 'map', 'deque') THEN 'COLLECTION_TYPES' ELSE 'other' END AS list, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM documents) GROUP BY 1")
 def word_lists(t: Tables) -> DataFrame:
-    """Words of the texts by list."""
+    """Words of the texts by the first configured list that has them; a list that the configuration lacks has its default."""
+    config = _config(t)
     words = t.documents.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w"))
-    return words.select(F.when(F.col("w").isin(*T.CONTROL_WORDS), "control").when(F.col("w").isin(*T.SYSTEM_METHODS), "system").otherwise("other").alias("list")).groupBy("list").agg(F.count("*").alias("n"))
+    found = F.lit("other")
+    for name in ("COLLECTION_TYPES", "PRIMITIVE", "SYSTEM_METHODS", "control_keywords"):
+        found = F.when(F.col("w").isin(*[x.lower() for x in config.words(name)]), name).otherwise(found)
+    return words.select(found.alias("list")).groupBy("list").agg(F.count("*").alias("n"))
 
 
-@query("adapter_spi")
+@query("adapter_spi", r"SELECT 'page' || page_id AS path, unnest(regexp_extract_all(html, '([a-z]+)\([0-9]+\)', 1)) || '()' AS call FROM pages UNION ALL SELECT 'P' || p_partkey || '.java', 'B' || (p_partkey % 3) || '.go()' FROM part")
 def adapter_spi(t: Tables) -> DataFrame:
-    """A language is a scanner class with run(); this one finds page scripts' calls by pattern."""
-    return t.pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r"([a-z]+\([0-9]+\))"), F.lit(1))).alias("call"))
+    """Two languages over one table of files: each file goes to the adapter of its language, which the executors look up by name."""
+    p = F.col("p_partkey")
+    pages = t.pages.select(fill("page«k»", k=F.col("page_id")).alias("path"), F.col("html").alias("text"), F.lit("script").alias("language"))
+    java_ = t.part.select(fill("P«p».java", p=p).alias("path"), fill("class P«p» { B«q» b; void m() { b.go(); } }", p=p, q=p % 3).alias("text"), F.lit("java").alias("language"))
+    return adapters.parse(pages.unionByName(java_), "language").where("kind = 'call'").select("path", F.col("name").alias("call"))

@@ -10,6 +10,7 @@ from calltrail.jobs.fixtures import Tables
 from calltrail.jobs.registry import query
 from calltrail.jobs.scalar_queries import _SQL_METHODS, KEY
 from calltrail.operators import lookup, ordering
+from calltrail.operators.shared import materialize
 
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "loc"]
 _O = "(l_orderkey, l_linenumber, l_partkey, l_suppkey, loc)"
@@ -156,12 +157,14 @@ def return_type_lookup(t: Tables) -> DataFrame:
     return t.calls.join(ret, ["class_interface_name", "method_name"], "left").select(*KEY, "ret")
 
 
-@query("impl_substitute", "SELECT s_suppkey, CASE WHEN s_nationkey % 5 IN (1, 3) THEN 'Svc' || (s_nationkey % 5) || 'Impl' ELSE 'Svc' || (s_nationkey % 5) END AS target FROM supplier")
+@query("impl_substitute", """WITH m AS (SELECT 'Svc' || (p_partkey % 9) AS cls FROM part WHERE p_partkey % 9 NOT IN (1, 3, 7) UNION SELECT 'Svc' || (p_partkey % 9) || 'Impl' FROM part WHERE p_partkey % 9 < 6)
+    SELECT s_suppkey, CASE WHEN cls || 'Impl' IN (SELECT cls FROM m) AND cls NOT IN (SELECT cls FROM m) THEN cls || 'Impl' ELSE cls END AS target FROM (SELECT s_suppkey, 'Svc' || (s_suppkey % 9) AS cls FROM supplier)""")
 def impl_substitute(t: Tables) -> DataFrame:
-    """Interfaces 1 and 3 declare nothing and have an implementation that does."""
-    impl = t.region.where("r_regionkey IN (1, 3)").select(F.concat(F.lit("Svc"), F.col("r_regionkey").cast("string")).alias("iface"), F.concat(F.lit("Svc"), F.col("r_regionkey").cast("string"), F.lit("Impl")).alias("impl"))
-    own = t.supplier.select("s_suppkey", F.concat(F.lit("Svc"), (F.col("s_nationkey") % 5).cast("string")).alias("iface"))
-    return own.join(impl, "iface", "left").select("s_suppkey", F.coalesce("impl", "iface").alias("target"))
+    """An interface gives way to its implementation where that declares methods and the interface declares none."""
+    svc = lambda c: F.concat(F.lit("Svc"), (c % 9).cast("string"))
+    p = F.col("p_partkey")
+    methods = t.part.where((p % 9).isin(1, 3, 7) == F.lit(False)).select(svc(p).alias("cls")).union(t.part.where(p % 9 < 6).select(F.concat(svc(p), F.lit("Impl"))))
+    return lookup.substitute_impl(t.supplier.select("s_suppkey", svc(F.col("s_suppkey")).alias("cls")), "cls", methods).select("s_suppkey", F.col("target").alias("target"))
 
 
 @query("flow_impl_redirect", "SELECT e.src, e.dst, n.cls || CASE WHEN n.id % 3 = 0 THEN 'Impl' ELSE '' END AS cls FROM {edges} e JOIN {nodes} n ON n.id = e.dst")
@@ -274,23 +277,34 @@ def explode_calls(t: Tables) -> DataFrame:
     return t.orders.join(sets, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", F.explode_outer("calls").alias("c")).select("o_orderkey", F.coalesce("c", F.lit("None")).alias("object_call"))
 
 
+_DETAIL_CHAINS = r"(SELECT id, file_name, 'Svc' || (id % 5) AS cls, string_split(regexp_replace(object_call, '\([^)]*\)', '', 'g'), '.')[2:] AS methods FROM {details} WHERE id % 8 > 3)"
+
+
 @query(
     "explode_details",
-    f"""SELECT DISTINCT file_name, detail FROM (SELECT file_name, unnest(CASE WHEN object_call IS NULL THEN ['None'] WHEN regexp_matches(object_call, '\\)\\.') THEN [split_part(object_call, '(', 1) || '()', 'next()'] WHEN {_BASE} IS NOT NULL THEN [{_BASE} || '.' || {_CALLED} || '()'] ELSE [object_call] END) AS detail FROM {{calls}})""",
+    f"""WITH RECURSIVE {_WALK}, c AS {_DETAIL_CHAINS},
+        walk AS (SELECT c.id, c.file_name, c.methods, 1 AS pos, coalesce(s.owner, c.cls) AS owner, c.methods[1] AS method, s.next FROM c LEFT JOIN steps s ON s.cls = c.cls AND s.method = c.methods[1]
+                 UNION ALL SELECT w.id, w.file_name, w.methods, w.pos + 1, coalesce(s.owner, w.next), w.methods[w.pos + 1], s.next FROM walk w LEFT JOIN steps s ON s.cls = w.next AND s.method = w.methods[w.pos + 1] WHERE w.next IS NOT NULL AND w.pos < len(w.methods))
+        SELECT DISTINCT file_name, detail FROM (SELECT file_name, owner || '.' || method || '()' AS detail FROM walk
+            UNION ALL SELECT file_name, CASE id % 8 WHEN 0 THEN 'None' WHEN 3 THEN object_call ELSE 'Svc' || (id % 5) || '.m' || (id % 11) || '()' END FROM {{details}} WHERE id % 8 < 4)""",
 )
 def explode_details(t: Tables) -> DataFrame:
-    """Chains one row a segment, plain calls as Base.method(), the rest as it is; then distinct."""
+    """Of a chain a row for each segment that its types lead to, single calls as Base.method(), the rest as it is; then distinct."""
     call = F.col("object_call")
-    own = calls_of(t)
-    segments = F.array(F.concat(F.substring_index(call, "(", 1), F.lit("()")), F.concat(F.regexp_extract(call, r"\)\.([A-Za-z_][A-Za-z0-9_]*)\(", 1), F.lit("()")))
-    detail = F.when(call.isNull(), F.array(F.lit("None"))).when(call.rlike(r"\)\."), segments).when(F.col("base").isNotNull(), F.array(F.concat("base", F.lit("."), "called", F.lit("()")))).otherwise(F.array(call))
-    return own.select("file_name", F.explode(detail).alias("detail")).distinct()
+    plain = T.strip_generics(T.strip_parens(call))
+    parts = F.split(plain, r"\.")
+    own = materialize(t.details.select("id", "file_name", "object_call", parts.alias("parts"), call.rlike(r"\([^)]*\)\s*\.").alias("chained")))
+    chained = own.where("chained").select("id", F.get("parts", F.lit(0)).alias("cls"), F.slice("parts", F.lit(2), F.size("parts") - 1).alias("methods"))
+    segments = lookup.chain_segments(chained, lookup.chain_steps(t.returns, t.parents, chained.select("cls"))).join(own.select("id", "file_name"), "id").select("file_name", F.col("segment").alias("detail"))
+    single = F.when(F.size("parts") == 2, F.concat(F.array_join("parts", "."), F.lit("()"))).otherwise(call)
+    rest = own.where("NOT coalesce(chained, false)").select("file_name", F.coalesce(single, F.lit("None")).alias("detail"))
+    return segments.unionByName(rest).distinct()
 
 
-@query("flatten_lists", "SELECT n_regionkey, string_agg(x, ',' ORDER BY n_nationkey, k) AS names FROM (SELECT n_regionkey, n_nationkey, unnest([n_name, upper(n_name)]) AS x, unnest([1, 2]) AS k FROM nation) GROUP BY 1")
+@query("flatten_lists", "SELECT c_nationkey, string_agg(x, ',' ORDER BY c_custkey, k) AS names FROM (SELECT c_nationkey, c_custkey, unnest([c_name, upper(c_name)]) AS x, unnest([1, 2]) AS k FROM customer) GROUP BY 1")
 def flatten_lists(t: Tables) -> DataFrame:
-    nested = ordering.ordered_list(F.array("n_name", F.upper("n_name")), ["n_nationkey"])
-    return t.nation.groupBy("n_regionkey").agg(F.array_join(F.flatten(nested), ",").alias("names"))
+    nested = ordering.ordered_list(F.array("c_name", F.upper("c_name")), ["c_custkey"])
+    return t.customer.groupBy("c_nationkey").agg(F.array_join(F.flatten(nested), ",").alias("names"))
 
 
 # --- order --------------------------------------------------------------------------------------------------------------

@@ -2,91 +2,95 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
 from calltrail.operators.ordering import ordered_list
+from calltrail.operators.shared import materialize
 
+#: Edges that a round of simple_paths() goes before its rows are written.
+STEPS = 4
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a new local one where it is unset, as in tests."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if at is None:
-        spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='spark-')}")
-        at = spark.sparkContext.getCheckpointDir()
-    return at.rstrip("/")
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cuts lineage with a written table that all executors see."""
-    path = f"{shared_dir(df.sparkSession)}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def reachable(edges: DataFrame, seeds: DataFrame, most: int = 1000) -> DataFrame:
+def reachable(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """node, depth: everything reachable from seeds (node), with the number of steps. edges: src, dst.
 
     One join and one anti-join a round, on the frontier; each round's nodes are a written table, so no plan grows.
     """
     step = edges.select("src", "dst").distinct()
     frontier = materialize(seeds.select("node", F.lit(0).alias("depth")).distinct())
-    found = frontier
-    for depth in range(1, most + 1):
+    found, depth = frontier, 0
+    while True:
+        depth += 1
         new = frontier.join(step, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct().join(found, "node", "left_anti")
         frontier = materialize(new.select("node", F.lit(depth).alias("depth")))
         if frontier.isEmpty():
             return found
         found = found.unionByName(frontier)
-    raise RuntimeError(f"more than {most} steps")
 
 
-def closure(edges: DataFrame, starts: DataFrame, most: int = 1000) -> DataFrame:
+def closure(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """start, src, dst: every edge that a walk from start visits. edges: src, dst; starts: start."""
     step = edges.select("src", "dst").distinct()
     frontier = materialize(starts.select("start", F.col("start").alias("node")).distinct())
     seen = frontier
-    for _ in range(most):
+    while True:
         new = frontier.join(step, F.col("node") == F.col("src")).select("start", F.col("dst").alias("node")).distinct().join(seen, ["start", "node"], "left_anti")
         frontier = materialize(new)
         if frontier.isEmpty():
             return seen.join(step, F.col("node") == F.col("src")).select("start", "src", "dst")
         seen = seen.unionByName(frontier)
-    raise RuntimeError(f"more than {most} steps")
 
 
 def simple_paths(edges: DataFrame, roots: DataFrame, pruned: DataFrame | None = None, max_depth: int | None = None) -> DataFrame:
     """root, path: all paths from roots to leaves; a node that repeats ends its path there, and so does max_depth.
 
     Pruned nodes vanish with what is below; a root that is itself pruned has no path. edges: src, dst; roots, pruned: node.
-    A round extends all open paths by one edge and writes them, so there is no limit on rows and a lost executor costs
-    one round; the rounds are as many as the longest path has nodes.
+    A round extends all open paths by STEPS edges and writes them, so there is no limit on rows and a lost executor
+    costs one round. Paths that have ended pass through a round's joins without a partner, spread by their last node.
     """
     own, start = edges.select("src", "dst").distinct(), roots.select("node").distinct()
     if pruned is not None:
         own = own.join(pruned.withColumnRenamed("node", "dst"), "dst", "left_anti").join(pruned.withColumnRenamed("node", "src"), "src", "left_anti")
         start = start.join(pruned, "node", "left_anti")
     own = materialize(own)
-    open_ = start.select(F.col("node").alias("root"), "node", F.array("node").alias("path"))
+    open_ = start.select(F.col("node").alias("root"), "node", F.array("node").alias("path"), F.lit(False).alias("done"))
     ended, size = None, 1
     while True:
-        step = open_.join(own, F.col("node") == F.col("src"), "left")
-        leaf, loop = F.col("dst").isNull(), F.array_contains("path", F.col("dst"))
-        if max_depth is not None and size >= max_depth:
-            step, leaf = open_.withColumn("dst", F.col("node")), F.lit(True)
-        grown = F.when(leaf, F.col("path")).otherwise(F.array_append("path", F.col("dst")))
-        done = materialize(step.select("root", F.col("dst").alias("node"), grown.alias("path"), (leaf | F.coalesce(loop, F.lit(False))).alias("done")))
-        part = done.where("done").select("root", "path")
+        for _ in range(STEPS):
+            if max_depth is not None and size >= max_depth:
+                open_ = open_.withColumn("done", F.lit(True))
+                break
+            dst, done = F.col("dst"), F.col("done")
+            step = open_.join(own, (F.col("node") == F.col("src")) & ~done, "left")
+            loop = F.coalesce(F.array_contains("path", dst), F.lit(False))
+            open_ = step.select("root", F.coalesce(dst, "node").alias("node"), F.when(dst.isNull(), F.col("path")).otherwise(F.array_append("path", dst)).alias("path"), (done | dst.isNull() | loop).alias("done"))
+            size += 1
+        rows = materialize(open_)
+        part = rows.where("done").select("root", "path")
         ended = part if ended is None else ended.unionAll(part)
-        open_, size = done.where("NOT done").select("root", "node", "path"), size + 1
+        open_ = rows.where("NOT done")
         if open_.isEmpty():
             return ended
 
 
+def resolved_edges(calls: DataFrame, methods: DataFrame) -> DataFrame:
+    """src, dst (Class.method, in lower case) of calls (caller, callee): a qualified callee as it is; a bare one goes to
+    all methods that it may mean (lookup.resolve_unqualified), and where there is none to the caller's own class.
+
+    Edges are resolved before any path is walked. methods: cls, mth, type, access, annotations.
+    """
+    from calltrail.operators.lookup import resolve_unqualified
+
+    own = calls.select("caller", F.trim(F.substring_index("callee", "(", 1)).alias("callee")).where("callee <> ''").distinct()
+    qualified = own.where(F.col("callee").contains(".")).select("caller", F.col("callee").alias("target"))
+    bare = own.where(~F.col("callee").contains(".")).withColumnRenamed("callee", "name")
+    found = bare.join(resolve_unqualified(bare, methods), ["caller", "name"], "left")
+    target = F.coalesce("target", F.concat(F.substring_index("caller", ".", 1), F.lit("."), "name"))
+    return qualified.unionByName(found.select("caller", target.alias("target"))).select(F.lower("caller").alias("src"), F.lower("target").alias("dst")).distinct()
+
+
 def cells(paths: DataFrame, ids: list[str]) -> DataFrame:
     """ids, level (from 1), node: the long form of paths."""
     return paths.select(*ids, F.posexplode("path").alias("__l", "node")).select(*ids, (F.col("__l") + 1).alias("level"), "node")

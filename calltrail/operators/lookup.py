@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
-from calltrail.operators.graph import materialize
+from calltrail.operators.shared import materialize
 
 
 def variable_types(types: DataFrame, keys: list[str]) -> DataFrame:
@@ -48,6 +48,29 @@ def lookup_type(calls: DataFrame, base: Column, types: DataFrame, classes: DataF
     return out.withColumn("resolved", found).select(*calls.columns, "resolved")
 
 
+def substitute_impl(rows: DataFrame, cls: str, methods: DataFrame, suffix: str = "Impl") -> DataFrame:
+    """rows with target: the class, or its implementation (by suffix) where that has methods and the class has none. methods: cls."""
+    declared = methods.select(F.col("cls").alias("__d")).distinct()
+    own = rows.withColumn("__i", F.concat(cls, F.lit(suffix)))
+    out = own.join(declared.withColumn("__own", F.lit(True)), F.col(cls) == F.col("__d"), "left").drop("__d")
+    out = out.join(declared.withColumn("__has", F.lit(True)), F.col("__i") == F.col("__d"), "left")
+    return out.withColumn("target", F.when(F.col("__has") & F.col("__own").isNull(), F.col("__i")).otherwise(F.col(cls))).drop("__d", "__i", "__own", "__has")
+
+
+def best_overload(wanted: DataFrame, methods: DataFrame) -> DataFrame:
+    """wanted with loc of the overload it means: of equal arity where there is one, there with most equal types, then most lines.
+
+    Types that are not as many as asked for are worse than any. wanted: cls, mth, want (types); methods: cls, mth, types,
+    loc. Rows without a method of that name go.
+    """
+    own = wanted.withColumn("__want", F.transform(F.coalesce("want", F.array().cast("array<string>")), T.normal_type))
+    known = methods.select("cls", "mth", F.transform(F.coalesce("types", F.array().cast("array<string>")), T.normal_type).alias("__types"), "loc")
+    equal = F.aggregate(F.zip_with("__types", "__want", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
+    same = F.size("__types") == F.size("__want")
+    score = F.struct(same.alias("arity"), F.when(same, equal).otherwise(F.lit(-1)).alias("types"), F.col("loc").alias("lines"))
+    return own.join(known, ["cls", "mth"]).groupBy(*[F.col(f"`{c}`") for c in wanted.columns]).agg(F.max_by("loc", score).alias("loc"))
+
+
 def ancestors(parents: DataFrame, classes: DataFrame) -> DataFrame:
     """cls, anc, depth: each class and what it extends, nearest first; a cycle ends where it would repeat.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from calltrail.operators.shared import materialize, unused
+
 
 def first_non_null(df: DataFrame, keys: list[str], values: list[str], order: list[str]) -> DataFrame:
     """One row a key: the first value in order that is not null, column by column. Rows with a null key go.
@@ -30,15 +32,16 @@ def ordered_list(value: Column | str, order: list[str]) -> Column:
 def global_rank(df: DataFrame, order: list[str], name: str, start: int = 0) -> DataFrame:
     """Numbers all rows in a total order, without one task for all: ranges are sorted on their own and offset by the counts before them.
 
-    The rows of a range and their counts are read twice, so df should be cheap or written; order must be total.
+    The sorted ranges are written once, each row with its range and its place there, so that rows and counts come from
+    the same draw of range bounds. One shuffle; what is broadcast has a row a range. Ties keep some order.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = df.repartitionByRange(n, *order).withColumn("__p", F.spark_partition_id())
-    placed = cuts.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(*order)))
-    counts = placed.groupBy("__p").agg(F.count("*").alias("__n"))
-    before = counts.select("__p", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))
-    return placed.join(F.broadcast(before), "__p").withColumn(name, (F.col("__b") + F.col("__r") - 1 + start).cast("long")).drop("__p", "__r", "__b")
+    p, k, before = (unused(df, c) for c in ("__range", "__place", "__before"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    placed = materialize(ranges.select("*", F.spark_partition_id().alias(p), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias(k)))
+    counts = placed.groupBy(p).agg(F.count("*").alias(before))
+    offsets = counts.select(p, F.coalesce(F.sum(before).over(Window.orderBy(p).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before))
+    return placed.join(F.broadcast(offsets), p).withColumn(name, (F.col(before) + F.col(k) + start).cast("long")).drop(p, k, before)
 
 
 def runs(df: DataFrame, by: list[str], value: str, order: list[str]) -> DataFrame:

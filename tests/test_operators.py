@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from calltrail.functions import text as T
 from calltrail.operators import graph, lookup, ordering
 from calltrail.sources import files as S
-from calltrail.sources.java import Scanner, blanked
+from calltrail.sources import adapters, settings as conf
+from calltrail.sources.java import COLUMNS, Scanner, blanked, code_tokens
 
 
 def calls(text, **options):
@@ -43,10 +44,44 @@ def test_fields_behind_methods_nested_types_and_generics():
     assert ("m", "Foo.go()", "qualified") in {(r["mth"], r["name"], r["type"]) for r in rows if r["kind"] == "call"}
 
 
-def test_unmatched_brackets_give_an_error_row_and_patterns():
-    rows = Scanner("A.java", "class A { void m() { x.go(); }").run()
-    assert [r["kind"] for r in rows] == ["error", "type", "call"]
-    assert Scanner("E.java", "").run() == []
+def test_unmatched_brackets_give_an_error_row_and_a_second_scan():
+    rows = Scanner("A.java", "class A { B x; void m() { x.go(); }").run()
+    assert [r["kind"] for r in rows] == ["error", "type", "field", "method", "call"] and all(r["fallback"] for r in rows)
+    assert rows[-1]["name"] == "B.go()" and Scanner("E.java", "").run() == []
+
+
+@pytest.mark.parametrize("text", ["import a.b", "class A", "class A { void m() }", "package x", "enum E", "class A { int f(", "@", "class A { void m() { new X( } }", "class A<T { void m() { a[; } }"])
+def test_a_broken_file_is_an_error_row(text):
+    rows = Scanner("A.java", text).run()
+    assert all(set(r) <= set(COLUMNS) for r in rows) and (text == "@" or rows[0]["kind"] == "error")
+    code_tokens(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.data())
+def test_no_text_stops_the_scanner(data):
+    whole = "package a; import b.C; @X(1) class A<T> extends B { int a = 1, b; enum E { P(1), Q { } } void m(int x) throws Y { C c = new C() { void in() { z.y(); } }; ((D) c).go(); a[0].k().l(); for (F f : g) { } } }"
+    cut = data.draw(st.integers(0, len(whole)))
+    drop = data.draw(st.sets(st.integers(0, len(whole) - 1), max_size=6))
+    text = "".join(c for k, c in enumerate(whole[:cut]) if k not in drop) + data.draw(st.text("(){}[]<>;,.@\"' abnewclass", max_size=12))
+    Scanner("A.java", text).run()
+    code_tokens(text)
+
+
+def test_shared_declarations_casts_indexes_and_inner_classes():
+    text = "class A { int a = 1, b = 2; Map<String, B> c, d; B[] arr; void m() { int p = f(1, 2), q; B r, s = new C(); ((B) c).go(); arr[0].k(); r.x(new R() { void in() { z.y(); } }); foo(a, b); } }"
+    rows = Scanner("A.java", text).run()
+    assert {r["name"] for r in rows if r["kind"] == "field"} == {"a", "b", "c", "d", "arr"}
+    assert {(r["name"], r["type"]) for r in rows if r["kind"] == "var"} == {("p", "int"), ("q", "int"), ("r", "B"), ("s", "B")}
+    got = {(r["cls"], r["name"]) for r in rows if r["kind"] == "call"}
+    assert got == {("A", n) for n in ("A.f()", "C.C()", "B.go()", "B.k()", "B.x()", "R.R()", "A.foo()")} | {("A$1", "z.y()")}
+
+
+def test_patterns_find_what_no_scan_does():
+    scanner = Scanner("A.java", "class A { Foo f = x; void m() { throw new E(); a.b.c(); new D(); }")
+    scanner.fallback = True
+    scanner._patterns()
+    assert {(r["kind"], r.get("mth"), r.get("name")) for r in scanner.rows} == {("type", None, None), ("var", None, "f"), ("method", "m", None), ("call", "m", "E.E()"), ("call", "m", "a.b.c()"), ("call", "m", "D.D()")}
 
 
 def test_blanked_keeps_code():
@@ -89,6 +124,46 @@ def test_global_rank_is_a_permutation_in_order(spark):
     assert [r.pos for r in got] == list(range(1000)) and [(r.v, r.id) for r in got] == sorted((i * 37 % 101, i) for i in range(1000))
 
 
+def test_global_rank_over_many_ranges(spark):
+    """More rows than the range sampler keeps, in skewed order, with a payload that only one reader needs."""
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        df = spark.range(2_000_000, numPartitions=16).select((F.pmod(F.xxhash64("id"), F.lit(1000)) * F.pmod(F.xxhash64("id"), F.lit(7))).alias("v"), "id", F.concat(F.lit("payload"), F.col("id").cast("string")).alias("__range"))
+        got = ordering.global_rank(df, ["v", "id"], "pos")
+        n = got.agg(F.countDistinct("pos"), F.min("pos"), F.max("pos")).first()
+        assert tuple(n) == (2_000_000, 0, 1_999_999) and got.columns == ["v", "id", "__range", "pos"]
+        ends = got.agg(F.min_by("id", "pos"), F.min_by("id", F.struct("v", "id")), F.max_by("id", "pos"), F.max_by("id", F.struct("v", "id"))).first()
+        assert ends[0] == ends[1] and ends[2] == ends[3]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_settings_and_adapters(spark):
+    config = conf.Config({"PRIMITIVE": ["int"]}, {"a": "x&lt;(?P<k>y)(?P=k)", "bad": "(", "none": 3})
+    assert config.pattern("a") == r"x<(?<k>y)\k<k>" and config.words("PRIMITIVE") == ("int",) and "List" in config.words("COLLECTION_TYPES")
+    for name in ("none", "missing"):
+        with pytest.raises(KeyError):
+            config.pattern(name)
+    with pytest.raises(KeyError):
+        config.words("missing")
+    df = spark.createDataFrame([("a", "class A { void m() { x.y(); } }", "java"), ("b", "<p>go(1)", "script"), ("c", "x", "cobol"), ("d", None, "java")], "path STRING, text STRING, language STRING")
+    got = adapters.parse(df, "language").collect()
+    assert {(r.path, r.kind, r.name) for r in got if r.kind in ("call", "error")} == {("a", "call", "x.y()"), ("b", "call", "go()"), ("c", "error", "no adapter for cobol")}
+
+
+def test_overloads_go_by_arity_then_types_then_lines(spark):
+    methods = spark.createDataFrame([("A", "m", ["int"], 1), ("A", "m", ["int", "String"], 2), ("A", "m", ["String", "long"], 3), ("B", "m", None, 9)], "cls STRING, mth STRING, types ARRAY<STRING>, loc INT")
+    want = spark.createDataFrame([(1, "A", "m", ["int", "java.lang.String"]), (2, "A", "m", ["x", "y"]), (3, "A", "m", ["a", "b", "c"]), (4, "B", "m", None), (5, "C", "m", [])], "k INT, cls STRING, mth STRING, want ARRAY<STRING>")
+    assert {r.k: r["loc"] for r in lookup.best_overload(want, methods).collect()} == {1: 2, 2: 3, 3: 3, 4: 9}
+
+
+def test_bare_names_are_expanded_before_paths(spark):
+    calls_ = spark.createDataFrame([("A.m", "go()"), ("A.m", "B.x"), ("B.x", "lost"), ("C.go", "")], "caller STRING, callee STRING")
+    methods = spark.createDataFrame([("C", "go", "class", "public", ""), ("D", "go", "interface", "default", ""), ("E", "go", "class", "private", "")], "cls STRING, mth STRING, type STRING, access STRING, annotations STRING")
+    got = {(r.src, r.dst) for r in graph.resolved_edges(calls_, methods).collect()}
+    assert got == {("a.m", "c.go"), ("a.m", "d.go"), ("a.m", "b.x"), ("b.x", "b.lost")}
+
+
 def test_pruned_root_has_no_path_and_cycles_end(spark):
     e = spark.createDataFrame([(0, 1), (1, 0), (1, 2), (2, 2)], "src INT, dst INT")
     roots = spark.createDataFrame([(0,)], "node INT")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calltrail.llm.common import ids_and_texts
+from calltrail.llm.common import ids_and_texts, worker_state
 
 BUCKETS = 1 << 16
 #: Rows of one language that the trigram model is fitted on, at most; the rows of the smallest hashes are taken.
@@ -105,6 +105,7 @@ def text_scores(docs: DataFrame, model: TrigramModel, text_col: str = "text") ->
 
     @F.pandas_udf("array<double>")
     def score(text: pd.Series) -> pd.Series:
+        worker_state(("languages",), dict)  # lets go of what another kind of task has kept
         machine = shared.value
         return pd.Series([machine.scores(t or "").tolist() for t in text])
 

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from calltrail.llm.common import Memo, ids_and_texts, materialize, text_digest
+from calltrail.llm.common import Memo, ids_and_texts, in_slices, materialize, text_digest, worker_state
 
 WORDS, SIMILARITY = 5, 0.8
 #: 32 bands of 6 registers: at a similarity of 0.8 all bands miss with a chance of 6e-5.
@@ -42,7 +42,8 @@ def _step(k: int) -> np.uint64:
     return np.uint64(k * int(_GOLD) & 0xFFFFFFFFFFFFFFFF)
 
 
-_word_hash = Memo(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")), 300_000)
+def _word_hashes() -> Memo:
+    return worker_state(("shingles",), lambda: Memo(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")), 300_000))
 
 
 def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +51,7 @@ def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     found = text.lower().split()
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h = np.fromiter(map(_word_hash.__getitem__, found), np.uint64, len(found))
+    h = np.fromiter(map(_word_hashes().__getitem__, found), np.uint64, len(found))
     n = max(1, len(h) - words + 1)
     out = np.full(n, len(h) if len(h) < words else words, np.uint64)
     for k in range(min(words, len(h))):
@@ -133,20 +134,19 @@ def band_rows(docs: DataFrame, digest_col: str, text_col: str) -> DataFrame:
     """digest, total (sum of counts) and band: a row for each distinct text and band. Texts without words have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        keep, held, size = [], [], 0
+        for batch in in_slices(batches):
             digests, texts = ids_and_texts(batch)
-            first = dict(zip(digests, range(len(digests)), strict=True))
-            keep, held, size = [], [], 0
-            for at in sorted(first.values()):
-                s = shingles(texts[at])
+            for digest, text in dict(zip(digests, texts, strict=True)).items():
+                s = shingles(text)
                 if len(s[0]):
-                    keep.append(digests[at])
+                    keep.append(digest)
                     held.append(s)
                     size += len(s[0])
                 if size >= STEP_SHINGLES:
                     yield out(keep, held)
                     keep, held, size = [], [], 0
-            yield out(keep, held)
+        yield out(keep, held)
 
     def out(keep: list, held: list) -> pa.RecordBatch:
         bands = bands_of(signatures(held)) if held else np.zeros((0, BANDS), np.int64)
@@ -156,7 +156,8 @@ def band_rows(docs: DataFrame, digest_col: str, text_col: str) -> DataFrame:
         )
 
     found = docs.select(digest_col, F.col(text_col).cast("string")).mapInArrow(run, "digest binary, total long, bands array<long>")
-    return found.select("digest", "total", F.explode("bands").alias("band")).distinct()
+    once = found.dropDuplicates(["digest"])  # equal texts have equal bands: one row each meets the others
+    return once.select("digest", "total", F.explode(F.array_distinct("bands")).alias("band"))
 
 
 def verified(docs: DataFrame, pairs: DataFrame, digest_col: str, text_col: str, chosen: DataFrame, id_col: str) -> DataFrame:
@@ -171,7 +172,7 @@ def verified(docs: DataFrame, pairs: DataFrame, digest_col: str, text_col: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known = None, None
-        for batch in batches:
+        for batch in in_slices(batches, column=3):
             sims = []
             for a, left, right in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
                 if a != last:
@@ -184,7 +185,7 @@ def verified(docs: DataFrame, pairs: DataFrame, digest_col: str, text_col: str,
     return both.mapInArrow(run, "a binary, b binary, similarity double").dropDuplicates(["a", "b"])
 
 
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node, root: connected components of edges (u, v) by large and small stars; root is the smallest node.
 
     Each round is two joins and a written table; a node's neighbours never meet in one row.
@@ -195,7 +196,7 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
 
     now = materialize(edges.select("u", "v").where("u <> v").distinct(), "edges")
     before = None
-    for _ in range(most):
+    while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -207,7 +208,6 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         if found == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = found
-    raise RuntimeError("components did not settle")
 
 
 def _pivot(k: int) -> Column:
@@ -265,7 +265,7 @@ def token_rows(texts: DataFrame) -> DataFrame:
     """digest, root, total, token of texts (digest, root, text): the k-th occurrence of a shingle is a token of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, column=2):
             for digest, root, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 keys, counts = shingles(text or "")
                 n = int(counts.sum())
@@ -299,17 +299,19 @@ def _rest(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, member
 
 
 def groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """id, text_id (smallest id of the same text), group_id (smallest id of the near-duplicate group), digest: a row for each row of docs.
+    """id, text_id (smallest id of the same text), group_id (smallest id of the near-duplicate group), n_links (other texts
+    that were found to be near this one), digest: a row for each row of docs.
 
     Null and empty texts are one text and join no other. Null ids come after all others.
     """
     rows, edges = links(docs, id_col, text_col, similarity)
     root = components(edges)
+    degree = edges.union(edges.select("v", "u")).groupBy(F.col("u").alias("digest")).agg(F.count("*").alias("n_links"))
     texts = rows.groupBy("digest").agg(F.min("id").alias("text_id"))
     named = texts.join(root.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     firsts = named.groupBy("root").agg(F.min("text_id").alias("group_id"), F.min(F.struct(F.col("text_id").isNull().alias("none"), "text_id", "digest")).alias("kept"))
-    named = named.join(firsts, "root").select("digest", "text_id", "group_id", F.col("kept.digest").alias("kept_digest"))
-    return rows.join(named, "digest").select("id", "text_id", "group_id", "digest", "kept_digest")
+    named = named.join(firsts, "root").join(degree, "digest", "left").select("digest", "text_id", "group_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.col("kept.digest").alias("kept_digest"))
+    return rows.join(named, "digest").select("id", "text_id", "group_id", "n_links", "digest", "kept_digest")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

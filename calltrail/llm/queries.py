@@ -19,8 +19,9 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """class_id: the smallest doc_id of the document's near-duplicate group."""
-    return neardup.groups(spark, table(spark, sf_dir, "documents")).selectExpr("id AS doc_id", "group_id AS class_id")
+    """class_id: the smallest doc_id of the document's near-duplicate group; text_id: of its exact copies; n_links: the
+    other texts verified to be near its own. Nulls are empty texts, one group; repeated rows keep their rows."""
+    return neardup.groups(spark, table(spark, sf_dir, "documents")).selectExpr("id AS doc_id", "group_id AS class_id", "text_id", "n_links")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

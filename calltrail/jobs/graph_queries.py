@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
@@ -200,8 +200,8 @@ def path_rank_sort(t: Tables) -> DataFrame:
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     path = F.array(F.col("n_nationkey").cast("long"), F.col("c_custkey"))
     ranks = F.transform(path, lambda x, k: F.when(k == 0, x % 4).otherwise(x % 10))
-    w = Window.partitionBy("n_regionkey").orderBy("ranks", "o_orderkey")
-    return rows.withColumn("ranks", ranks).select(F.col("o_orderkey").alias("id"), (F.row_number().over(w) - 1).cast("long").alias("pos"))
+    keyed = rows.select("n_regionkey", ranks.alias("ranks"), F.col("o_orderkey").alias("id"))
+    return ordering.rank_within(keyed, ["n_regionkey"], ["ranks", "id"], "pos").select("id", "pos")
 
 
 # --- chunks -------------------------------------------------------------------------------------------------------------

@@ -177,7 +177,7 @@ def flow_impl_redirect(t: Tables) -> DataFrame:
 @query("chain_segments", f"WITH RECURSIVE {_WALK}, {_CHAIN_WALK} SELECT id, pos, owner || '.' || method || '()' AS segment FROM walk")
 def chain_segments(t: Tables) -> DataFrame:
     c = chains(t)
-    return lookup.chain_segments(c, lookup.chain_steps(t.returns, t.parents, c.select("cls")))
+    return lookup.chain_segments(c, lookup.chain_steps(t.returns, t.parents))
 
 
 @query("chain_render", f"WITH RECURSIVE {_WALK}, {_CHAIN_WALK} SELECT id, string_agg(owner || '.' || method || '()', '.' ORDER BY pos) AS rendered FROM walk GROUP BY 1")
@@ -295,7 +295,7 @@ def explode_details(t: Tables) -> DataFrame:
     parts = F.split(plain, r"\.")
     own = materialize(t.details.select("id", "file_name", "object_call", parts.alias("parts"), call.rlike(r"\([^)]*\)\s*\.").alias("chained")))
     chained = own.where("chained").select("id", F.get("parts", F.lit(0)).alias("cls"), F.slice("parts", F.lit(2), F.size("parts") - 1).alias("methods"))
-    segments = lookup.chain_segments(chained, lookup.chain_steps(t.returns, t.parents, chained.select("cls"))).join(own.select("id", "file_name"), "id").select("file_name", F.col("segment").alias("detail"))
+    segments = lookup.chain_segments(chained, lookup.chain_steps(t.returns, t.parents)).join(own.select("id", "file_name"), "id").select("file_name", F.col("segment").alias("detail"))
     single = F.when(F.size("parts") == 2, F.concat(F.array_join("parts", "."), F.lit("()"))).otherwise(call)
     rest = own.where("NOT coalesce(chained, false)").select("file_name", F.coalesce(single, F.lit("None")).alias("detail"))
     return segments.unionByName(rest).distinct()
@@ -340,9 +340,11 @@ def merge_runs(t: Tables) -> DataFrame:
     return ordering.runs(t.events.select("user_id", "event_type", "ts", "event_id"), ["user_id"], "event_type", ["ts", "event_id"]).withColumnRenamed("event_type", "value")
 
 
-@query("group_runs", _runs("l1", "l2", "{paths}", "id"))
+@query("group_runs", """SELECT l1 AS value, min(pos) AS first, max(pos) AS last, count(*) AS n FROM (SELECT *, sum(new) OVER (ORDER BY pos) AS run FROM (
+    SELECT l1, row_number() OVER w - 1 AS pos, CASE WHEN l1 IS NOT DISTINCT FROM lag(l1) OVER w AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS new FROM {paths} WINDOW w AS (ORDER BY id))) GROUP BY run, l1""")
 def group_runs(t: Tables) -> DataFrame:
-    return ordering.runs(t.paths.select("l1", "l2", "id"), ["l1"], "l2", ["id"]).withColumnRenamed("l2", "value")
+    """Consecutive rows of one root, over the whole sheet."""
+    return ordering.global_runs(t.paths.select("l1", "id"), "l1", ["id"]).withColumnRenamed("l1", "value")
 
 
 @query("forward_fill", "SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS filled FROM events")
@@ -354,7 +356,7 @@ def forward_fill(t: Tables) -> DataFrame:
 @query("suppress_repeats", """SELECT id, l1, CASE WHEN rn > 1 AND p2 THEN NULL ELSE l2 END AS l2, CASE WHEN rn > 1 AND p2 AND p3 THEN NULL ELSE l3 END AS l3 FROM (
     SELECT *, l2 IS NOT DISTINCT FROM lag(l2) OVER w AS p2, l3 IS NOT DISTINCT FROM lag(l3) OVER w AS p3, row_number() OVER w AS rn FROM {paths} WINDOW w AS (PARTITION BY l1 ORDER BY l2, l3, id))""")
 def suppress_repeats(t: Tables) -> DataFrame:
-    return ordering.suppress_repeats(t.paths.select("id", "l1", "l2", "l3", F.col("l2").alias("o2"), F.col("l3").alias("o3")), ["l1"], ["l2", "l3"], ["o2", "o3", "id"]).select("id", "l1", "l2", "l3")
+    return ordering.suppress_repeats(t.paths.select("id", "l1", "l2", "l3", F.col("l2").alias("o2"), F.col("l3").alias("o3")), ["l1"], ["l2", "l3"], ["l1", "o2", "o3", "id"]).select("id", "l1", "l2", "l3")
 
 
 @query("brace_depth", "SELECT event_id, CAST(sum(CASE WHEN event_type = 'signup' THEN 1 WHEN event_type = 'error' THEN -1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth FROM events")

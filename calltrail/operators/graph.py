@@ -112,13 +112,14 @@ def update_chunks(tokens: DataFrame, edges: DataFrame, order: list[str]) -> Data
     Methods that a child holds go, chunk ids go too, the rest keep their order; groups do not count into the sum.
     tokens: chunk, token and the order columns; edges: parent, child, entity, a null child being none.
     """
-    parsed = tokens.withColumn("t", T.parse_token(F.col("token"))).select("chunk", *order, F.col("t.kind").alias("kind"), F.col("t.name").alias("name"), F.col("t.loc").alias("loc")).where("kind = 'method'")
+    rows = materialize(tokens.withColumn("t", T.parse_token(F.col("token"))).select("chunk", *order, F.col("t.kind").alias("kind"), F.col("t.name").alias("name"), F.col("t.loc").alias("loc")))
+    parsed = rows.where("kind = 'method'")
     links = edges.where("child IS NOT NULL").select(F.col("parent").alias("chunk"), "child", "entity")
     lower = links.join(parsed.select(F.col("chunk").alias("child"), "name"), "child").select("chunk", "name").distinct()
     left = parsed.join(lower, ["chunk", "name"], "left_anti")
     counted: Column = F.when(~T.is_group_id(F.col("name")), F.coalesce("loc", F.lit(0))).otherwise(F.lit(0))
     kept = left.groupBy("chunk").agg(F.array_join(ordered_list(T.format_token(F.col("name"), F.col("loc")), order), ", ").alias("methods"), F.sum(counted).alias("clear_code_sum"))
     children = links.groupBy("chunk").agg(F.array_join(ordered_list(F.col("child").cast("string"), ["child"]), ", ").alias("direct_children"), F.count("*").alias("descendants_count"))
-    out = tokens.select("chunk").distinct().join(kept, "chunk", "left").join(children, "chunk", "left")
+    out = rows.select("chunk").distinct().join(kept, "chunk", "left").join(children, "chunk", "left")
     zero = F.lit(0).cast("long")
     return out.select("chunk", F.coalesce("methods", F.lit("")).alias("methods"), F.coalesce("clear_code_sum", zero).alias("clear_code_sum"), F.coalesce("direct_children", F.lit("")).alias("direct_children"), F.coalesce("descendants_count", zero).alias("descendants_count"))

@@ -88,24 +88,25 @@ def ancestors(parents: DataFrame, classes: DataFrame) -> DataFrame:
         found = found.unionByName(frontier)
 
 
-def owners(returns: DataFrame, parents: DataFrame, classes: DataFrame) -> DataFrame:
-    """cls, method, owner: the nearest class from cls upwards that declares the method."""
+def owners(returns: DataFrame, parents: DataFrame) -> DataFrame:
+    """cls, method, owner: the nearest class from cls upwards that declares the method. Classes that neither declare nor extend anything have no row."""
     declared = returns.select(F.col("cls").alias("anc"), "method").distinct()
-    return ancestors(parents, classes).join(declared, "anc").groupBy("cls", "method").agg(F.min_by("anc", "depth").alias("owner"))
+    known = returns.select("cls").union(parents.select("cls")).distinct()
+    return ancestors(parents, known).join(declared, "anc").groupBy("cls", "method").agg(F.min_by("anc", "depth").alias("owner"))
 
 
 def inherited_owner(calls: DataFrame, cls: str, method: str, returns: DataFrame, parents: DataFrame) -> DataFrame:
     """calls with owner: where no class upwards declares the method, the class itself."""
-    found = owners(returns, parents, calls.select(F.col(cls).alias("cls"))).select(F.col("cls").alias(cls), F.col("method").alias(method), F.col("owner").alias("__o"))
+    found = owners(returns, parents).select(F.col("cls").alias(cls), F.col("method").alias(method), F.col("owner").alias("__o"))
     return calls.join(found, [cls, method], "left").withColumn("owner", F.coalesce("__o", cls)).drop("__o")
 
 
-def chain_steps(returns: DataFrame, parents: DataFrame, classes: DataFrame) -> DataFrame:
+def chain_steps(returns: DataFrame, parents: DataFrame) -> DataFrame:
     """cls, method, owner, next: for every class and method in reach, its owner and the class that the call returns.
 
     next is null where a chain ends: nothing returned, or an unknown method.
     """
-    own = owners(returns, parents, classes)
+    own = owners(returns, parents)
     ret = return_types(returns).select(F.col("cls").alias("owner"), "method", "ret")
     joined = own.join(ret, ["owner", "method"], "left")
     ends = F.lower("ret").isin("void", "<constructor>")

@@ -44,6 +44,40 @@ def global_rank(df: DataFrame, order: list[str], name: str, start: int = 0) -> D
     return placed.join(F.broadcast(offsets), p).withColumn(name, (F.col(before) + F.col(k) + start).cast("long")).drop(p, k, before)
 
 
+def with_previous(df: DataFrame, order: list[str], columns: list[str], position: str = "pos", size: int = 1 << 16) -> DataFrame:
+    """df with its place in the total order and `previous`: the columns of the row before it as a struct, null at the first.
+
+    Rows are numbered over all tasks and looked at in blocks of `size`, each with the last row of the block before it, so
+    no window holds more rows than that.
+    """
+    ranked = materialize(global_rank(df, order, position))
+    block, mark = unused(ranked, "__block"), unused(ranked, "__mark")
+    at = F.col(position)
+    own = ranked.withColumn(block, F.floor(at / size)).withColumn(mark, F.lit(False))
+    lent = ranked.where(at % size == size - 1).withColumn(block, F.floor(at / size) + 1).withColumn(mark, F.lit(True))
+    w = Window.partitionBy(block).orderBy(position)
+    return own.unionByName(lent).withColumn("previous", F.lag(F.struct(*columns)).over(w)).where(~F.col(mark)).drop(block, mark)
+
+
+def global_runs(df: DataFrame, value: str, order: list[str], size: int = 1 << 16) -> DataFrame:
+    """value, first, last, n of each run of equal neighbours in the order of the whole table. Nulls are equal."""
+    moved = with_previous(df.select(value, *[c for c in order if c != value]), order, [value], size=size)
+    new = (F.col("previous").isNull() | ~F.col(value).eqNullSafe(F.col(f"previous.{value}"))).cast("long")
+    flagged = materialize(moved.select(value, "pos", F.floor(F.col("pos") / size).alias("__block"), new.alias("__new")))
+    before = flagged.groupBy("__block").agg(F.sum("__new").alias("__in")).select("__block", (F.sum("__in").over(Window.orderBy("__block")) - F.col("__in")).alias("__before"))
+    w = Window.partitionBy("__block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    named = flagged.withColumn("__run", F.sum("__new").over(w)).join(F.broadcast(before), "__block").withColumn("__run", F.col("__run") + F.col("__before"))
+    return named.groupBy("__run", value).agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.count("*").alias("n")).drop("__run")
+
+
+def rank_within(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
+    """Place of each row among those of its group, from 0. A group's rows may be any share of the table: they are numbered
+    with all others, and each group's first number is taken off."""
+    ranked = materialize(global_rank(df, [*by, *order], name))
+    first = ranked.groupBy(*by).agg(F.min(name).alias("__first"))
+    return ranked.join(first, by).withColumn(name, F.col(name) - F.col("__first")).drop("__first")
+
+
 def runs(df: DataFrame, by: list[str], value: str, order: list[str]) -> DataFrame:
     """by, value, first, last, n of each run of equal neighbours; first and last are positions from 0. Nulls are equal."""
     w = Window.partitionBy(*by).orderBy(*order)
@@ -57,15 +91,17 @@ def forward_fill(df: DataFrame, by: list[str], value: str, order: list[str], nam
     return df.withColumn(name, F.last(value, ignorenulls=True).over(w))
 
 
-def suppress_repeats(df: DataFrame, by: list[str], columns: list[str], order: list[str]) -> DataFrame:
-    """Null where a cell and all cells left of it equal those of the row before."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    same, out = None, df
+def suppress_repeats(df: DataFrame, keys: list[str], columns: list[str], order: list[str]) -> DataFrame:
+    """Null where a cell, all cells left of it and the keys equal those of the row before, in the order of the whole table."""
+    moved = with_previous(df, order, [*keys, *columns])
+    same = F.col("previous").isNotNull()
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"previous.{k}"))
+    shown = {}
     for c in columns:
-        equal = F.col(c).eqNullSafe(F.lag(c).over(w)) & (F.row_number().over(w) > 1)
-        same = equal if same is None else same & equal
-        out = out.withColumn(f"__s_{c}", same)
-    return out.select(*[F.when(F.col(f"__s_{c}"), F.lit(None)).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in df.columns])
+        same = same & F.col(c).eqNullSafe(F.col(f"previous.{c}"))
+        shown[c] = F.when(~same, F.col(c)).alias(c)
+    return moved.select(*[shown.get(c, F.col(c)) for c in df.columns])
 
 
 def running_depth(df: DataFrame, by: list[str], step: Column, order: list[str], name: str) -> DataFrame:

@@ -138,6 +138,21 @@ def test_global_rank_over_many_ranges(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_runs_and_ranks_over_blocks(spark):
+    values = [None, None, "a", "a", "b", "a", "a", "a", None, "b", "b"] * 3
+    df = spark.createDataFrame(list(enumerate(values)), "id INT, v STRING")
+    want, at = [], 0
+    for k in range(1, len(values) + 1):
+        if k == len(values) or values[k] != values[at]:
+            want.append((values[at], at, k - 1, k - at))
+            at = k
+    for size in (4, 5, 1 << 16):
+        got = sorted(tuple(r) for r in ordering.global_runs(df, "v", ["id"], size=size).select("first", "v", "last", "n").collect())
+        assert [(v, f, x, n) for f, v, x, n in got] == want
+    ranks = ordering.rank_within(df.where("v IS NOT NULL"), ["v"], ["id"], "r").collect()
+    assert {(r.v, r.r): r.id for r in ranks} == {(v, k): i for v in "ab" for k, i in enumerate(j for j, x in enumerate(values) if x == v)}
+
+
 def test_settings_and_adapters(spark):
     config = conf.Config({"PRIMITIVE": ["int"]}, {"a": "x&lt;(?P<k>y)(?P=k)", "bad": "(", "none": 3})
     assert config.pattern("a") == r"x<(?<k>y)\k<k>" and config.words("PRIMITIVE") == ("int",) and "List" in config.words("COLLECTION_TYPES")

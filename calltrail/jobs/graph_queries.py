@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
@@ -117,25 +117,28 @@ def blank_zero_loc(t: Tables) -> DataFrame:
     return t.paths.select("id", *[F.when(~F.coalesce(F.col(c).rlike(zero), F.lit(False)), F.col(c)).alias(c) for c in ("l1", "l2", "l3", "l4")])
 
 
-def substrings_of_lengths(cells: DataFrame, lengths: DataFrame) -> DataFrame:
-    """cell, stem: every piece of a cell that is as long as some stem. Lengths are few, so they come to the plan as literals."""
-    sizes = sorted(r[0] for r in lengths.distinct().collect())
+def stems_in_cells(cells: DataFrame, stems: DataFrame) -> DataFrame:
+    """cell, stem of all stems that are a part of a cell.
 
-    def of_length(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.length("cell") - n + 1, F.lit(1))), lambda k: F.substring(F.col("cell"), k, F.lit(n)))
-
-    pieces = F.flatten(F.array(*[of_length(n) for n in sizes]))
-    return cells.select("cell", F.explode(F.array_distinct(pieces)).alias("stem"))
+    Cells are cut into pieces of the shortest stem's length, one a place; a stem meets those that it starts with, and the
+    rest of it is compared there. So this is an equi-join, and rows grow with the length of cells alone.
+    """
+    least = stems.agg(F.min(F.length("stem"))).first()[0] or 1
+    places = F.sequence(F.lit(1), F.greatest(F.length("cell") - least + 1, F.lit(1)))
+    pieces = cells.select("cell", F.explode(F.transform(places, lambda k: F.struct(k.alias("at"), F.substring(F.col("cell"), k, F.lit(least)).alias("piece")))).alias("p")).select("cell", "p.at", "p.piece")
+    starts = stems.select("stem", F.substring("stem", 1, least).alias("piece"))
+    same = F.substring(F.col("cell"), F.col("at"), F.length("stem")) == F.col("stem")
+    return pieces.join(starts, "piece").where(same).select("cell", "stem").distinct()
 
 
 @query("occurrences", """WITH c AS (SELECT id, lower(l1) AS root, unnest([2, 3]) AS level, lower(unnest([l2, l3])) AS cell FROM {paths}), s AS (SELECT DISTINCT lower('N' || n_nationkey) AS stem FROM nation)
     SELECT stem, root, level, count(*) AS n FROM c JOIN s ON strpos(c.cell, s.stem) > 0 GROUP BY 1, 2, 3""")
 def occurrences(t: Tables) -> DataFrame:
-    """How often a file's stem is part of a cell, by root and level. Only distinct cells are cut into pieces, so this stays an equi-join."""
+    """How often a file's stem is part of a cell, by root and level. Only distinct cells are looked at."""
     cells = ordering.unpivot(t.paths, ["id", "l1"], ["l2", "l3"]).select(F.lower("l1").alias("root"), (F.col("level") + 1).alias("level"), F.lower("cell").alias("cell"))
     cells = cells.where("cell IS NOT NULL").groupBy("root", "level", "cell").agg(F.count("*").alias("k"))
     stems = t.nation.select(F.lower(F.concat(F.lit("N"), F.col("n_nationkey").cast("string"))).alias("stem")).distinct()
-    hits = substrings_of_lengths(cells.select("cell").distinct(), stems.select(F.length("stem"))).join(stems, "stem", "left_semi")
+    hits = stems_in_cells(cells.select("cell").distinct(), stems)
     return cells.join(hits, "cell").groupBy("stem", "root", "level").agg(F.sum("k").alias("n"))
 
 

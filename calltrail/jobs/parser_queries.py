@@ -267,9 +267,12 @@ def entry_types(t: Tables) -> DataFrame:
     return kind(t, "type").where("cls LIKE 'Unit%' AND line IS NOT NULL").select("cls", entry_type(F.col("ann"), F.col("name"), F.col("extra")).alias("entry_type"))
 
 
-@query("method_loc", f"SELECT 'm' || s AS mth, CAST({METHOD_LINES} AS INTEGER) AS loc FROM {_METHODS} UNION ALL SELECT unnest(['helper', 'over', 'over', 'over']), unnest([1, 1, 3, 4]) FROM {_GOOD} UNION ALL SELECT 'open', 1 FROM {_GOOD} UNION ALL SELECT 'shut', 1 FROM {_GOOD} UNION ALL SELECT 'Unit' || k, 1 FROM {_GOOD}")
+@query("method_loc", f"SELECT 'm' || s AS mth, CAST({METHOD_LINES} AS INTEGER) AS loc, CAST({METHOD_LINES - 1} AS INTEGER) AS filled FROM {_METHODS} UNION ALL SELECT unnest(['helper', 'over', 'over', 'over']), unnest([1, 1, 3, 4]), unnest([1, 1, 3, 3]) FROM {_GOOD} UNION ALL SELECT 'open', 1, 1 FROM {_GOOD} UNION ALL SELECT 'shut', 1, 1 FROM {_GOOD} UNION ALL SELECT 'Unit' || k, 1, 1 FROM {_GOOD}")
 def method_loc(t: Tables) -> DataFrame:
-    return kind(t, "method").select("mth", (F.col("end") - F.col("line") + 1).alias("loc"))
+    """Lines from a method's first annotation to its last brace or semicolon, all and without blank ones."""
+    n = F.col("end") - F.col("line") + 1
+    own = F.slice(F.split("text", "\n"), F.col("line"), n)
+    return kind(t, "method").select("path", "mth", "line", "end").join(sources(t), "path").select("mth", n.alias("loc"), F.size(F.filter(own, lambda x: F.trim(x) != "")).alias("filled"))
 
 
 @query("loc_with_annotations", f"SELECT 'm' || s AS mth, CAST({METHOD_LINES} AS INTEGER) AS with_annotations, CAST({METHOD_LINES - 1} AS INTEGER) AS without FROM {_METHODS}")

@@ -9,7 +9,8 @@ from calltrail.functions import text as T
 from calltrail.jobs.fixtures import Tables
 from calltrail.jobs.registry import query
 from calltrail.operators import graph, lookup, ordering
-from calltrail.operators.shared import materialize
+from calltrail.operators.shared import materialize, new_path
+from calltrail.sources.files import read_sheet, require_columns, write_sheets
 
 #: All paths from the first node as SQL, for checks: bare names are resolved by visibility, else stay in the caller's class.
 _PATHS = """e AS (SELECT DISTINCT lower(caller) AS src, lower(CASE WHEN strpos(name, '.') > 0 THEN name ELSE coalesce(m.cls || '.' || m.mth, split_part(caller, '.', 1) || '.' || name) END) AS dst
@@ -189,13 +190,18 @@ def call_rank_lookup(t: Tables) -> DataFrame:
        SELECT id, row_number() OVER (ORDER BY gr, nr, c_acctbal, c_custkey, id) - 1 AS pos FROM c JOIN g USING (n_regionkey)""",
 )
 def reordered_flow(t: Tables) -> DataFrame:
-    """Roots by declaration rank, below them children by call rank, level by level: one sort by the array of ranks, ties in the old order."""
+    """Roots by declaration rank, below them children by call rank, level by level: one sort by the array of ranks, ties in
+    the old order. The flow's sheet of a workbook is written anew, its other sheets stay."""
     nations = ordering.global_rank(t.nation.select("n_nationkey", "n_name", "n_regionkey"), ["n_name", "n_nationkey"], "nr", 1)
     groups = nations.groupBy("n_regionkey").agg(F.min("nr").alias("gr"))
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(nations.join(groups, "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
     ranks = F.array(F.col("gr").cast("double"), F.col("nr").cast("double"), F.col("c_acctbal"), F.col("c_custkey").cast("double"))
     keyed = rows.select(F.col("o_orderkey").alias("id"), ranks.alias("ranks"))
-    return ordering.global_rank(keyed, ["ranks", "id"], "pos").select("id", "pos")
+    book = new_path(t.spark, "book")
+    write_sheets(book, {"Flow": keyed.select("id"), "Methods": t.nodes})
+    write_sheets(book, {"Flow": ordering.global_rank(keyed, ["ranks", "id"], "pos").select("id", "pos")})
+    require_columns(read_sheet(t.spark, book, "Methods"), ["cls", "mth", "loc"])
+    return read_sheet(t.spark, book, "Flow")
 
 
 @query("path_rank_sort", """SELECT o_orderkey AS id, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey % 4, c_custkey % 10, o_orderkey) - 1 AS pos FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""")

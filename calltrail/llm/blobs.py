@@ -12,13 +12,20 @@ from collections.abc import Iterable
 from pyarrow import fs
 
 
+#: Hadoop's names of stores that pyarrow knows by another.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
+
+
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
 
 def uri_of(folder: str) -> str:
-    """Hadoop's file:/x as file:///x."""
-    return "file://" + folder[5:] if folder.startswith("file:/") and not folder.startswith("file://") else folder
+    """Hadoop's URI as pyarrow has it: file:/x is file:///x, s3a://x is s3://x."""
+    if folder.startswith("file:/") and not folder.startswith("file://"):
+        return "file://" + folder[5:]
+    scheme, mark, rest = folder.partition("://")
+    return f"{_SCHEMES.get(scheme, scheme)}://{rest}" if mark else folder
 
 
 class BlobWriter:

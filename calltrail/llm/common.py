@@ -18,11 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests), a new local folder is set."""
+    """The folder of spark.checkpoint.dir. Where it is unset, a new local one in local mode, as in tests; an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         at = spark.sparkContext.getCheckpointDir()
         if at is None:
+            if spark.sparkContext.master.partition("[")[0] != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='spark-')}")
             at = spark.sparkContext.getCheckpointDir()
         found = at
@@ -38,7 +40,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of materialize() that nothing reads any more: what came of them has been written."""
+    for t in tables:
+        drop_path(t.sparkSession, t.written_at)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or one made of it, that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

@@ -88,28 +88,30 @@ def _codec(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(dictionary) if dictionary else None
 
 
-def with_first(pages: DataFrame, id_col: str, payload_col: str, least: int) -> DataFrame:
-    """page, url and payload with `first`: the smallest id of the same payload, null where this row is the response.
+def with_first(pages: DataFrame, id_col: str, url_col: str, payload_col: str, least: int) -> DataFrame:
+    """page, url, payload and first: the smallest id of the same payload, null where this row has it or is alone.
 
-    Ids and digests alone are grouped, before a shuffle too; the payloads move once, to meet their group's first id.
+    Ids and digests alone are grouped, before a shuffle too; the payloads move once, to meet their group's first id. A null
+    id is smaller than none, so its row revisits the first one of its payload; rows of null ids alone are all responses.
     """
-    own = pages.withColumn("__payload", F.coalesce(F.col(payload_col).cast("string"), F.lit(""))).withColumn("__digest", F.sha2("__payload", 256))
-    firsts = own.where(F.octet_length("__payload") >= least).groupBy("__digest").agg(F.min(id_col).alias("__first"), F.count("*").alias("__n")).where("__n > 1").select("__digest", "__first")
-    joined = own.join(firsts, "__digest", "left")
-    return joined.withColumn("__first", F.when(F.col(id_col) != F.col("__first"), F.col("__first")))
+    own = pages.select(F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload")).withColumn("digest", F.sha2("payload", 256))
+    firsts = own.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.min("page").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
+    return own.join(firsts, "digest", "left").select("page", "url", "payload", F.when(~F.col("page").eqNullSafe(F.col("first")), F.col("first")).alias("first"))
 
 
 def write_archives(spark: SparkSession, pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 0, date: str = "2024-01-01T00:00:00Z", fit_rows: int = FIT_ROWS) -> DataFrame:
     """Writes one file a task; a row for each group of records: file, at, size.
 
     Null payloads are empty ones. Of equal payloads of at least `least` bytes, all rows with the smallest id are
-    responses and the others revisits; a null id is never the smallest unless it is alone.
+    responses and the others revisits, those of null ids too; where all ids are null, all are responses. The dictionary is
+    fitted on the records of at most fit_rows pages, as they are archived.
     """
-    fit = pages.select(F.col(payload_col).cast("string").alias("p")).where(F.length("p") <= FIT_CHARS)
+    fit = pages.select(F.col(id_col).cast("string").alias("page"), F.col(url_col).cast("string").alias("url"), F.col(payload_col).cast("string").alias("p")).where(F.length("p") <= FIT_CHARS)
     # Of about twice as many rows as are needed, by hash, those of the smallest hashes: few bytes come from each task.
     share = int((1 << 20) * min(1.0, 2 * fit_rows / max(1, fit.count())))
-    sample = fit.where(F.pmod(F.xxhash64("p"), F.lit(1 << 20)) <= share).orderBy(F.pmod(F.xxhash64("p"), F.lit(1 << 20)), "p").limit(fit_rows)
-    dictionary = fit_dictionary([make_record("0", None, r["p"].encode("utf-8", "replace"), None, date) for r in sample.collect()])
+    spot = F.pmod(F.xxhash64("page", "p"), F.lit(1 << 20))
+    sample = fit.where(spot <= share).orderBy(spot, "page", "p", "url").limit(fit_rows)
+    dictionary = fit_dictionary([make_record(r["page"], r["url"], r["p"].encode("utf-8", "surrogatepass"), None, date) for r in sample.collect()])
     shared = spark.sparkContext.broadcast(dictionary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,8 +134,8 @@ def write_archives(spark: SparkSession, pages: DataFrame, folder: str, id_col: s
             out.close()
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["file", "at", "size"])
 
-    own = with_first(pages, id_col, payload_col, least)
-    columns = own.select(F.col(id_col).cast("string").alias("page"), F.col(url_col).cast("string").alias("url"), F.col("__payload").alias("payload"), F.col("__first").cast("string").alias("first"))
+    own = with_first(pages, id_col, url_col, payload_col, least)
+    columns = own.select(F.col("page").cast("string").alias("page"), "url", "payload", F.col("first").cast("string").alias("first"))
     return columns.mapInArrow(run, "file string, at long, size long")
 
 
@@ -178,7 +180,10 @@ def split_frames(raw: bytes, unpack) -> Iterator[bytes]:
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 0) -> DataFrame:
-    """Writes all pages, reads the archives back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    """Writes all pages, reads the archives back: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    A row for each row of pages. Null payloads are empty ones, null ids stay null; see write_archives() for ties.
+    """
     folder = new_path(spark, "warc")
     groups = materialize(write_archives(spark, pages, folder, id_col, url_col, payload_col, least), "warc-groups")
     kind = pages.schema[id_col].dataType

@@ -6,7 +6,6 @@ item is carried along; wherever it reaches the window length, that window is an
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from functools import reduce
@@ -16,15 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calltrail.llm.common import ids_and_texts, materialize
+from calltrail.llm.common import ids_and_texts, in_slices, materialize, unused
 
 #: Words: lower-cased A-Z, digits and every byte of a non-ASCII character; all other ASCII separates.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _TO_WORDS = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in _LOWER)
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 WINDOW = 10
-#: Words of items in one automaton; more items than that are matched in several passes.
-MAX_WORDS = 2_000_000
+#: Words of items in one automaton (some 400 MB of a process); more items than that are matched in several passes.
+MAX_WORDS = 400_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -34,7 +33,7 @@ def words_of(text: str) -> list[bytes]:
 class ItemAutomaton:
     """Suffix automaton of the items' word sequences, with the items in which each state's strings occur."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -47,9 +46,13 @@ class ItemAutomaton:
                 last = 0
                 for w in ids:
                     last = self._extend(last, w)
-        self.items: list[set[str]] = [set() for _ in self.next]
-        self.short: dict[int, list[tuple[int, str]]] = {}
+        self.items: list[set[str | None]] = [set() for _ in self.next]
+        self.short: dict[int, list[tuple[int, str | None]]] = {}
         self._name(coded)
+        #: The nearest state at or above each, by suffix links, at which a short item ends; 0 for none.
+        self.near = [0] * len(self.next)
+        for v in sorted(range(1, len(self.next)), key=self.length.__getitem__):
+            self.near[v] = v if v in self.short else self.near[self.link[v]]
         self.least = min([window, *(len(ids) for _, ids in coded)], default=window)
 
     def _extend(self, last: int, w: int) -> int:
@@ -97,12 +100,12 @@ class ItemAutomaton:
             if len(ids) < self.window:
                 self.short.setdefault(state, []).append((len(ids), name))
 
-    def occurrences(self, ids: np.ndarray) -> tuple[list[tuple[int, int]], set[str]]:
+    def occurrences(self, ids: np.ndarray) -> tuple[list[tuple[int, int]], set[str | None]]:
         """Hit spans of words, ascending and merged, and the items with an occurring window. ids: -1 is no item's word."""
         known = np.flatnonzero(np.diff(np.concatenate(([False], ids >= 0, [False])).astype(np.int8)))
         spans: list[list[int]] = []
-        found: set[str] = set()
-        nxt, link, length, window = self.next, self.link, self.length, self.window
+        found: set[str | None] = set()
+        nxt, link, length, near, window = self.next, self.link, self.length, self.near, self.window
         for a, b in zip(known[::2].tolist(), known[1::2].tolist(), strict=True):
             if b - a < self.least:
                 continue
@@ -120,14 +123,13 @@ class ItemAutomaton:
                         v = link[v]
                     found |= self.items[v]
                     hit = window
-                if self.short:
-                    v = state
-                    while v > 0:
-                        for k, name in self.short.get(v, ()):
-                            if k <= n:
-                                found.add(name)
-                                hit = max(hit, k)
-                        v = link[v]
+                v = near[state]
+                while v > 0:
+                    for k, name in self.short[v]:
+                        if k <= n:
+                            found.add(name)
+                            hit = max(hit, k)
+                    v = near[link[v]]
                 if hit:
                     start = i - hit
                     while spans and spans[-1][0] >= start:
@@ -140,8 +142,8 @@ class ItemAutomaton:
 
 
 def item_parts(items: DataFrame, id_col: str = "item_id", text_col: str = "text", max_words: int = MAX_WORDS) -> list[DataFrame]:
-    """item, text: the items in parts of about max_words words. Items without words, and null ones, have no windows."""
-    own = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("item is not null and text is not null").distinct()
+    """item, text: the items in parts of about max_words words. Items without words, and null texts, have no windows."""
+    own = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null").distinct()
     total = own.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, -(-total // (2 * max_words)))  # a word and its separator are two characters at least
     return [own if parts == 1 else own.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k) for k in range(parts)]
@@ -170,7 +172,7 @@ def match_documents(docs: DataFrame, automaton: ItemAutomaton, id_col: str = "do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shared.value
         get = machine.vocabulary.get
-        for batch in batches:
+        for batch in in_slices(batches):
             _, texts = ids_and_texts(batch)
             n, spans, items = [], [], []
             for text in texts:
@@ -178,7 +180,7 @@ def match_documents(docs: DataFrame, automaton: ItemAutomaton, id_col: str = "do
                 n.append(len(words))
                 at, found = machine.occurrences(np.fromiter((get(w, -1) for w in words), np.int64, len(words))) if len(words) >= machine.least else ([], set())
                 spans.append([{"a": a, "b": b} for a, b in at])
-                items.append(sorted(found))
+                items.append([*sorted(found - {None}), *([None] if None in found else [])])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array(items, pa.list_(pa.string()))],
                 names=["id", "n_words", "spans", "items"],
@@ -205,7 +207,8 @@ def match_parts(docs: DataFrame, parts: list[DataFrame], key_col: str, text_col:
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
     """id, n_words, n_hit, n_items, items_sha256, contaminated: one row for each row of docs.
 
-    Null and empty texts have no words. Repeated rows each keep their row. With items past max_words, rows get a key
+    Null and empty texts have no words. Repeated rows each keep their row. Items of equal ids are one item; those of null
+    ids are one without a name: it hits and counts, and adds nothing to items_sha256. With items past max_words, rows get a key
     that is written once, and the spans of all passes are united by it.
     """
     parts = item_parts(items, max_words=max_words)
@@ -232,16 +235,18 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 def remove_contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, text_col: str = "text", chars_col: str = "n_chars", window: int = WINDOW, max_coverage: float = 0.5, max_words: int = MAX_WORDS) -> DataFrame:
     """docs with hit spans cut out of their texts; rows whose hit words pass max_coverage of all words are dropped.
 
-    All other rows and columns stay as they are; chars_col, if there, follows the new text.
+    All other rows and columns stay as they are, null and empty texts and repeated rows too; chars_col, if there, follows
+    the new text. Columns may have any names.
     """
     names = docs.columns
     parts = item_parts(items, max_words=max_words)
     if len(parts) == 1:
         shared, out = spark.sparkContext.broadcast(automaton_of(parts[0], window)), docs
     else:
-        shared, keyed = None, materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
-        hits = match_parts(keyed, parts, "__row", text_col, window).where("size(spans) > 0").select(F.col("id").alias("__row"), F.col("spans").alias("__spans"))
-        out = keyed.join(hits, "__row", "left").select(*[F.col(f"`{c}`") for c in names], "__spans")
+        row, spans = unused(docs, "__row"), unused(docs, "__spans")
+        shared, keyed = None, materialize(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
+        hits = match_parts(keyed, parts, row, text_col, window).where("size(spans) > 0").select(F.col("id").alias(row), F.col("spans").alias(spans))
+        out = keyed.join(hits, row, "left").select(*[F.col(f"`{c}`") for c in names], spans)
 
     def spans_of(texts: list[str | None]) -> Iterator[tuple[int, list[tuple[int, int]]]]:
         machine = shared.value

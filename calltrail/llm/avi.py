@@ -350,7 +350,8 @@ def clips(media: DataFrame) -> DataFrame:
 def media_digests(media: DataFrame) -> DataFrame:
     """id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature: all read back from media.
 
-    feature has the shots as start-end in ms, joined by commas.
+    feature has the shots as start-end in ms, joined by commas. A row for each row of media; equal texts have equal files
+    and so equal values, null ids stay, and the empty text is one block of zeros.
     """
     kind = media.schema["id"].dataType.simpleString()
 

@@ -8,6 +8,7 @@ is its first time, so two texts agree in a register with the chance of their wei
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from calltrail.llm.common import Memo, ids_and_texts, in_slices, materialize, text_digest, worker_state
+from calltrail.llm.common import discard, ids_and_texts, in_slices, materialize, text_digest, unused, worker_state
 
 WORDS, SIMILARITY = 5, 0.8
 #: 32 bands of 6 registers: at a similarity of 0.8 all bands miss with a chance of 6e-5.
@@ -23,7 +24,7 @@ BANDS, ROWS = 32, 6
 #: Pivot rounds in a bucket before its remaining pairs are compared.
 PIVOT_ROUNDS = 1
 #: Shingles in one vectorised step.
-STEP_SHINGLES = 400_000
+STEP_SHINGLES = 200_000
 
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -42,21 +43,28 @@ def _step(k: int) -> np.uint64:
     return np.uint64(k * int(_GOLD) & 0xFFFFFFFFFFFFFFFF)
 
 
-def _word_hashes() -> Memo:
-    return worker_state(("shingles",), lambda: Memo(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")), 300_000))
+def shingles(texts: list[str], words: int = WORDS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each text, hashes of its runs of five lower-cased words, and their counts. A shorter text is one shingle, or none.
 
-
-def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the text's runs of five lower-cased words, and their counts. A shorter text is one shingle, or none."""
-    found = text.lower().split()
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h = np.fromiter(map(_word_hashes().__getitem__, found), np.uint64, len(found))
-    n = max(1, len(h) - words + 1)
-    out = np.full(n, len(h) if len(h) < words else words, np.uint64)
-    for k in range(min(words, len(h))):
-        out = out * _GOLD + h[k : k + n]
-    return np.unique(_mix(out), return_counts=True)
+    All texts' words are numbered first, so that each is hashed once.
+    """
+    split = [t.lower().split() for t in texts]
+    coded = pa.array(list(chain.from_iterable(split)), pa.large_string()).dictionary_encode()
+    hashes = np.array([xxhash.xxh64_intdigest(w.encode()) for w in coded.dictionary.to_pylist()], np.uint64)
+    whole = hashes[coded.indices.to_numpy()] if len(hashes) else hashes
+    out, at = [], 0
+    for found in split:
+        h = whole[at : at + len(found)]
+        at += len(found)
+        if not len(h):
+            out.append((np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+            continue
+        n = max(1, len(h) - words + 1)
+        run = np.full(n, len(h) if len(h) < words else words, np.uint64)
+        for k in range(min(words, len(h))):
+            run = run * _GOLD + h[k : k + n]
+        out.append(np.unique(_mix(run), return_counts=True))
+    return out
 
 
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -134,11 +142,12 @@ def band_rows(docs: DataFrame, digest_col: str, text_col: str) -> DataFrame:
     """digest, total (sum of counts) and band: a row for each distinct text and band. Texts without words have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state(("shingles",), dict)  # lets go of what another kind of task has kept
         keep, held, size = [], [], 0
         for batch in in_slices(batches):
             digests, texts = ids_and_texts(batch)
-            for digest, text in dict(zip(digests, texts, strict=True)).items():
-                s = shingles(text)
+            once = dict(zip(digests, texts, strict=True))
+            for digest, s in zip(once, shingles(list(once.values())), strict=True):
                 if len(s[0]):
                     keep.append(digest)
                     held.append(s)
@@ -171,13 +180,11 @@ def verified(docs: DataFrame, pairs: DataFrame, digest_col: str, text_col: str,
     texts = materialize(texts, "pair-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, known = None, None
         for batch in in_slices(batches, column=3):
-            sims = []
-            for a, left, right in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
-                if a != last:
-                    last, known = a, shingles(left or "")
-                sims.append(overlap(known, shingles(right or "")))
+            left, right = ([t or "" for t in batch.column(k).to_pylist()] for k in (2, 3))
+            once = list(dict.fromkeys([*left, *right]))
+            sets = dict(zip(once, shingles(once), strict=True))
+            sims = [overlap(sets[a], sets[b]) for a, b in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sims, pa.float64())], names=["a", "b", "similarity"])
 
     with_b = pairs.join(texts.select(F.col("digest").alias("b"), F.col("text").alias("right")), "b")
@@ -203,7 +210,8 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
-        now = materialize(small, "edges")
+        last, now = now, materialize(small, "edges")
+        discard(last)
         found = state(now)
         if found == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -225,13 +233,15 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simil
     must share one among the rarest of each, at places that leave room for the overlap it needs. This rules out no link,
     and it does not pair the members of a component. So no components stay apart that a bucket's pair would join.
     """
-    own = docs.withColumn("__digest", text_digest(text_col))
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("__digest", text_digest("text"))
+    id_col, text_col = "id", "text"
     rows = own.select(F.col(id_col).alias("id"), F.col("__digest").alias("digest"))
     chosen = rows.groupBy("digest").agg(F.min("id").alias("first_id"))
-    members = materialize(band_rows(own, "__digest", text_col), "bands")
-    members = members.join(members.groupBy("band").agg(F.count("*").alias("__n")).where("__n > 1"), "band")
+    whole = materialize(band_rows(own, "__digest", text_col), "bands")
+    members = whole.join(whole.groupBy("band").agg(F.count("*").alias("__n")).where("__n > 1"), "band")
     degree = members.groupBy("digest").agg(F.sum("__n").alias("degree"))
     members = materialize(members.drop("__n").join(degree, "digest"), "buckets")
+    discard(whole)
     edges, tested, root = None, None, None
     for k in range(PIVOT_ROUNDS):
         now = members if root is None else _with_roots(members, root)
@@ -266,8 +276,8 @@ def token_rows(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, column=2):
-            for digest, root, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                keys, counts = shingles(text or "")
+            digests, roots, found = (c.to_pylist() for c in batch.columns)
+            for digest, root, (keys, counts) in zip(digests, roots, shingles([t or "" for t in found]), strict=True):
                 n = int(counts.sum())
                 first = np.concatenate(([0], np.cumsum(counts)))[:-1]
                 nth = np.arange(n) - np.repeat(first, counts)
@@ -315,11 +325,16 @@ def groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """docs with one row of each near-duplicate group: the one of the smallest id, whole rows that repeat counting once."""
+    """docs with one row of each near-duplicate group: the one of the smallest id, whole rows that repeat counting once.
+
+    Null and empty texts are one group. Of rows with that id and text but other columns, one stays. A null id stays only
+    where its group has no other. Columns may have any names.
+    """
     found = groups(spark, docs, id_col, text_col, similarity)
+    d, i, n = (unused(docs, c) for c in ("__digest", "__id", "__n"))
     kept = found.where(F.col("digest") == F.col("kept_digest")).where(F.col("id").eqNullSafe(F.col("text_id")))
-    kept = kept.groupBy(F.col("digest").alias("__digest")).agg(F.min("id").alias("__id"), F.count("*").alias("__n"))
-    own = docs.withColumn("__digest", text_digest(text_col)).join(kept, "__digest").where(F.col(id_col).eqNullSafe(F.col("__id")))
-    once = own.where("__n = 1").drop("__id", "__n", "__digest")
-    more = own.where("__n > 1").dropDuplicates(["__digest"]).drop("__id", "__n", "__digest")
+    kept = kept.groupBy(F.col("digest").alias(d)).agg(F.min("id").alias(i), F.count("*").alias(n))
+    own = docs.withColumn(d, text_digest(text_col)).join(kept, d).where(F.col(id_col).eqNullSafe(F.col(i)))
+    once = own.where(F.col(n) == 1).drop(i, n, d)
+    more = own.where(F.col(n) > 1).dropDuplicates([d]).drop(i, n, d)
     return once.unionByName(more).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -214,7 +214,7 @@ class TextCodec(ByPart):
     Only ids are kept. A part that does not decode to itself is never kept, and stands in `odd` while texts are worked on.
     """
 
-    def __init__(self, v: PieceVocabulary, limit: int = 350_000):
+    def __init__(self, v: PieceVocabulary, limit: int = 300_000):
         super().__init__(v, self._code, limit)
         self.odd: dict[str, str] = {}
 

@@ -15,24 +15,28 @@ WORDS = "word_bpe_49k.json"
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_tokens of each document by the best-scored segmentation. Null and empty texts have 0; repeated rows keep their rows."""
     return pieces.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)).withColumnRenamed("id", "doc_id")
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """class_id: the smallest doc_id of the document's near-duplicate group; text_id: of its exact copies; n_links: the
-    other texts verified to be near its own. Nulls are empty texts, one group; repeated rows keep their rows."""
-    return neardup.groups(spark, table(spark, sf_dir, "documents")).selectExpr("id AS doc_id", "group_id AS class_id", "text_id", "n_links")
+    """class_id: the smallest doc_id of the document's near-duplicate group; text_id: of its exact copies. Nulls are empty
+    texts, one group; repeated rows keep their rows."""
+    return neardup.groups(spark, table(spark, sf_dir, "documents")).selectExpr("id AS doc_id", "group_id AS class_id", "text_id")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in each document. Null texts have no words, repeated rows keep their rows; see contamination() for items."""
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
 
 
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each document's ids and of the text decoded from them. Null is the empty text; repeated rows keep their rows."""
     return pieces.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)).withColumnRenamed("id", "doc_id")
 
 
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans, and with them those that the field adds. Null is the empty text; repeated rows keep their rows."""
     return pii.find_spans(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
@@ -46,18 +50,22 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's place in the token files and what they hold of it. Null is the empty text; ties go by number of ids, then ids."""
     return tokenfile.round_trip(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS)).withColumnRenamed("id", "doc_id")
 
 
 def op8_warc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each page read back from the archives. Null html is empty; null ids revisit the first page of their payload."""
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
 def op9_avi_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each document stored as AVI. Null is the empty text; equal texts have equal values, repeated rows keep their rows."""
     return avi.media_digests(avi.to_media(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
 
 
 def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without repeated 200-byte strings. Null is the empty text; a text that stands twice goes whole if it has 200 bytes."""
     found = repeats.remove_repeats(spark, table(spark, sf_dir, "documents"))
     return found.selectExpr("id AS doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -75,4 +83,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_repeated_bytes": op10_repeated_bytes,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Near duplicates by comparing all texts that share a shingle, and classes by following links.
+_NEAR = r"""
+WITH RECURSIVE t AS (SELECT coalesce(text, '') AS x, min(doc_id) AS text_id FROM documents GROUP BY 1),
+w AS (SELECT text_id, list_filter(regexp_split_to_array(lower(x), '\s+'), lambda y: y <> '') AS w FROM t),
+k AS (SELECT text_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS k FROM w WHERE len(w) > 0),
+s AS (SELECT text_id, array_to_string(w[k:k + 4], ' ') AS g, count(*) AS c FROM k GROUP BY 1, 2),
+n AS (SELECT text_id, sum(c) AS n FROM s GROUP BY 1),
+p AS (SELECT a.text_id AS u, b.text_id AS v, sum(least(a.c, b.c)) AS m FROM s a JOIN s b ON a.g = b.g AND a.text_id <> b.text_id GROUP BY 1, 2),
+e AS (SELECT u, v FROM p JOIN n nu ON nu.text_id = u JOIN n nv ON nv.text_id = v WHERE CAST(m AS DOUBLE) / CAST(nu.n + nv.n - m AS DOUBLE) >= 0.8),
+r AS (SELECT text_id AS a, text_id AS b FROM t UNION SELECT r.a, e.v FROM r JOIN e ON e.u = r.b),
+c AS (SELECT a, min(b) AS class_id FROM r GROUP BY 1)
+SELECT doc_id, class_id, text_id FROM documents d JOIN t ON t.x = coalesce(d.text, '') JOIN c ON c.a = t.text_id"""
+
+#: Windows of documents joined to windows of items, by length.
+_LEAKS = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+iw AS (SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[k:k + least(10, len(w)) - 1], ' ') AS win FROM i, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS u(k) WHERE len(w) > 0),
+dk AS (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM iw)),
+dw AS (SELECT rid, n, k, array_to_string(w[k:k + n - 1], ' ') AS win FROM dk),
+h AS (SELECT rid, k, n, item FROM dw JOIN iw USING (n, win)),
+hw AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(k, k + n)) AS p FROM h) GROUP BY 1),
+hi AS (SELECT rid, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (rid) LEFT JOIN hi USING (rid)"""
+
+#: Payload digests in base32, five hexadecimal digits at a time.
+_ARCHIVES = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), x AS (SELECT *, sha1(h) AS d, min(page_id) OVER (PARTITION BY h) AS first FROM p),
+v AS (SELECT *, list_transform(range(8), lambda g: list_sum(list_transform(range(5), lambda k: CAST((strpos('0123456789abcdef', substr(d, CAST(g * 5 + k + 1 AS BIGINT), 1)) - 1) * power(16, 4 - k) AS BIGINT)))) AS v FROM x)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(v, lambda b: array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST(b AS BIGINT) >> s) & 31 AS BIGINT) + 1, 1)), '')), '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM v"""
+
+#: All 200-byte strings by digest; a byte goes where one that repeats starts at it or up to 199 bytes before.
+_REPEATS = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+u AS (SELECT rid, h, len(h) // 2 AS n, unnest(range(0, len(h) // 2)) AS k FROM d),
+b AS (SELECT rid, k, substr(h, 2 * k + 1, 2) AS byte, CASE WHEN k <= n - 200 THEN md5_number(substr(h, 2 * k + 1, 400)) END AS win FROM u),
+n AS (SELECT win FROM b WHERE win IS NOT NULL GROUP BY 1 HAVING count(*) > 1),
+c AS (SELECT b.rid, b.k, b.byte, max(n.win IS NOT NULL) OVER (PARTITION BY b.rid ORDER BY b.k ROWS 199 PRECEDING) AS gone FROM b LEFT JOIN n ON n.win = b.win),
+l AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY k), false) AS starts FROM c),
+g AS (SELECT rid, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_spans, coalesce(string_agg(byte, '' ORDER BY k) FILTER (NOT gone), '') AS kept FROM l GROUP BY 1)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN g USING (rid)"""
+
+#: The others have no SQL: merges, Viterbi paths, fields, likelihoods, codes of token ids and pictures.
+ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": _NEAR, "op3_decontamination": _LEAKS, "op8_warc_files": _ARCHIVES, "op10_repeated_bytes": _REPEATS}

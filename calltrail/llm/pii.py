@@ -4,6 +4,9 @@ Nodes are base matches, digit groups that together spell one, and the other toke
 the text share a chain potential. All nodes of the same digits or letters, and all of the same last eight digits, share a
 skip potential with a hub of their entity, however far apart they stand; a hub is held to the labels that its nodes are
 seen with. Loopy belief propagation over all documents of a batch, each until it settles, enforces one label for one entity.
+
+Node weights, chain and skip potentials are fitted together, by the conditional likelihood of each node's label given its
+features, the labels beside it, and the label that the other mentions of its entity have.
 """
 
 from __future__ import annotations
@@ -20,19 +23,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calltrail.llm.common import ids_and_texts
+from calltrail.llm.common import ids_and_texts, in_slices, unused
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-#: Documents that the field is fitted on, at most; those of the smallest hashes are taken.
+#: Different texts that the field is fitted on, at most; those of the smallest hashes are taken.
 FIT_ROWS = 3000
 #: Messages have settled when none moves by more; rounds end at MOST_ROUNDS where a document's never settle.
 SETTLED, MOST_ROUNDS = 1e-4, 1000
 #: Score of the labels that a seen node, or the hub of one, does not have.
 HELD = -1e4
-#: log potential of two linked tokens with the same label, against different ones.
+#: log potential of a token and its hub with the same label, against different ones: what fitting starts from and is
+#: drawn towards where a corpus has few repeated entities.
 SAME, SIMILAR = 10.0, 5.0
-THRESHOLD = 0.95
+#: How hard parameters are drawn to where they start, per training node; rounds of the fit.
+DRAWN, FIT_ROUNDS = 1e-5, 600
+#: A label is taken where it is likelier than all others together.
+THRESHOLD = 0.5
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -214,12 +221,12 @@ def entities_of(text: str, nodes: list[tuple[int, int]]) -> list[tuple[list[int]
 
 
 class SkipChainField:
-    """Node weights by feature and label, chain potentials by pair of labels."""
+    """Node weights by feature and label, chain potentials by pair of labels, skip potentials by kind of link."""
 
-    def __init__(self, weights: np.ndarray, chain: np.ndarray):
+    def __init__(self, weights: np.ndarray, chain: np.ndarray, same: float = SAME, similar: float = SIMILAR):
         self.weights, self.chain = weights, chain
         n = len(LABELS)
-        self.same, self.similar = SAME * np.eye(n), SIMILAR * np.eye(n)
+        self.same, self.similar = same * np.eye(n), similar * np.eye(n)
 
     def marginals(self, scores: np.ndarray, edges: np.ndarray, kinds: np.ndarray, owner: np.ndarray) -> np.ndarray:
         """P(label) of each node when the messages have settled. kinds: 0 chain, 1 same, 2 similar; owner: an edge's document.
@@ -258,57 +265,89 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def training_rows(text: str) -> Iterator[str]:
+    """One line a node whose label is known: its features, the labels left and right of it, those that the other mentions of
+    its entity (same, similar) have, and its own; "-" where there is none.
+
+    A node that no base pattern matches has the label none, unless it stands for an entity that one does match: its label
+    is what the field shall find, so it is nobody's example. In its place, each matched number is an example as it would
+    look elsewhere: its bare digits as another mention of the same entity, and their last eight as one of a similar one.
+    """
+    spans = base_spans(text)
+    nodes = nodes_of(text, spans)
+    labels: list[int | None] = [*label_nodes(nodes, spans)]
+    hubs: list[dict[bool, str]] = [{} for _ in nodes]
+    for members, same in entities_of(text, nodes):
+        for k in members:
+            others = {labels[j] for j in members if j != k} - {0, None}
+            hubs[k][same] = str(min(others)) if len(others) == 1 else "-"
+    for k, own in enumerate(hubs):
+        if labels[k] == 0 and any(v != "-" for v in own.values()):
+            labels[k] = None
+    show = lambda k: "-" if k < 0 or k >= len(nodes) or labels[k] is None else str(labels[k])
+    for k, (a, b) in enumerate(nodes):
+        if labels[k] is not None:
+            left = show(k - 1) if k and a - nodes[k - 1][1] <= 4 else "-"
+            right = show(k + 1) if k + 1 < len(nodes) and nodes[k + 1][0] - b <= 4 else "-"
+            yield f"{','.join(map(str, features(text, a, b)))}:{left}:{right}:{hubs[k].get(True, '-')}:{hubs[k].get(False, '-')}:{labels[k]}"
+            digits = _NOT_DIGIT.sub("", text[a:b])
+            for part, links in ((digits, f"{labels[k]}:-"), (digits[-8:], f"-:{labels[k]}")) if labels[k] > 1 and len(digits) >= 6 else ():
+                near = text[max(0, a - 32) : a]
+                yield f"{','.join(map(str, features(near + part, len(near), len(near) + len(part))))}:-:-:{links}:{labels[k]}"
+
+
+def fit_rows_to_field(counted: dict[str, int]) -> SkipChainField:
+    """Climbs the conditional likelihood of counted training rows."""
+    n = len(LABELS)
+    weights, chain, link = np.zeros((N_FEATURES, n)), np.zeros((n, n)), np.array([SAME, SIMILAR])
+    weights[0, 0] = 4.0  # nothing seen: no label
+    if not counted:
+        return SkipChainField(weights, chain)
+    parts = [r.split(":") for r in counted]
+    one_hot = lambda k: np.array([np.eye(n)[int(p[k])] if p[k] != "-" else np.zeros(n) for p in parts])
+    x = np.zeros((len(parts), N_FEATURES))
+    for row, p in zip(x, parts, strict=True):
+        row[[int(i) for i in p[0].split(",")]] = 1
+    left, right, same, similar, target = map(one_hot, (1, 2, 3, 4, 5))
+    share = np.array([*counted.values()], float)
+    share /= share.sum()
+    start = weights.copy(), chain.copy(), link.copy()
+    moved = [np.zeros_like(weights), np.zeros_like(chain), np.zeros_like(link)]
+    for _ in range(FIT_ROUNDS):
+        score = x @ weights + left @ chain + right @ chain.T + link[0] * same + link[1] * similar
+        error = share[:, None] * (_softmax(score) - target)
+        steps = (x.T @ error, left.T @ error + error.T @ right, np.array([(error * same).sum(), (error * similar).sum()]))
+        for value, first, step, speed in zip((weights, chain, link), start, steps, moved, strict=True):
+            speed *= 0.9
+            speed -= 0.5 * (step + DRAWN * (value - first))
+            value += speed
+    return SkipChainField(weights, chain, max(0.0, link[0]), max(0.0, link[1]))
+
+
 def fit_field(docs: DataFrame, text_col: str = "text", rows: int = FIT_ROWS) -> SkipChainField:
-    """Fits node weights by logistic regression, and chain potentials by counts, on labels of the base patterns.
+    """Fits the field on labels of the base patterns in at most `rows` different texts, those of the smallest hashes.
 
-    Counts by set of features and label are summed on the executors over at most `rows` documents; what reaches the
-    driver has a row for a set of features, of which there are a few hundred.
+    Training rows are counted on the executors; what reaches the driver has a row for a set of features and labels, of
+    which there are a few hundred. Repeated texts count once.
     """
     own = docs.select(F.col(text_col).cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
-    total = own.count()
-    sample = own.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) <= int((1 << 20) * min(1.0, rows / max(1, total))))
+    h = F.xxhash64("text")
+    total = own.agg(F.approx_count_distinct(h)).first()[0]
+    spot = F.pmod(h, F.lit(1 << 20))
+    few = own.where(spot <= int((1 << 20) * min(1.0, 4 * rows / max(1, total)))).select(h.alias("h")).distinct()
+    chosen = F.broadcast(few.orderBy(F.pmod("h", F.lit(1 << 20)), "h").limit(rows))  # `rows` hashes at most
+    sample = own.withColumn("h", h).join(chosen, "h").groupBy("h").agg(F.min("text").alias("text")).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, int] = {}
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                spans = base_spans(text)
-                nodes = nodes_of(text, spans)
-                labels = label_nodes(nodes, spans)
-                for (a, b), x in zip(nodes, labels, strict=True):
-                    key = f"{','.join(map(str, features(text, a, b)))}:{x}"
-                    seen[key] = seen.get(key, 0) + 1
-                for x, y in zip(labels, labels[1:], strict=False):
-                    key = f"-:{x}:{y}"
+                for key in training_rows(text):
                     seen[key] = seen.get(key, 0) + 1
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["key", "n"])
 
     found = sample.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy("key").collect()
-    n = len(LABELS)
-    pairs = np.ones((n, n))
-    x, y, w = [], [], []
-    for r in found:
-        parts = r["key"].split(":")
-        if parts[0] == "-":
-            pairs[int(parts[1]), int(parts[2])] += r["n"]
-        else:
-            row = np.zeros(N_FEATURES)
-            row[[int(i) for i in parts[0].split(",")]] = 1
-            x.append(row)
-            y.append(int(parts[1]))
-            w.append(r["n"])
-    weights = np.zeros((N_FEATURES, n))
-    weights[0, 0] = 4.0  # nothing seen: no label
-    if x:
-        rows_, target, share = np.array(x), np.eye(n)[y], np.array(w, float)
-        share /= share.sum()
-        velocity = np.zeros_like(weights)
-        for _ in range(600):
-            step = rows_.T @ (share[:, None] * (_softmax(rows_ @ weights) - target)) + 1e-5 * weights
-            velocity = 0.9 * velocity - 0.5 * step
-            weights = weights + velocity
-    independent = pairs.sum(axis=1, keepdims=True) * pairs.sum(axis=0, keepdims=True) / pairs.sum()
-    return SkipChainField(weights, np.clip(0.5 * np.log(pairs / independent), -1.5, 1.5))
+    return fit_rows_to_field({r["key"]: r["n"] for r in found})
 
 
 def label_texts(texts: list[str], field: SkipChainField) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
@@ -346,7 +385,7 @@ def label_texts(texts: list[str], field: SkipChainField) -> list[tuple[list[tupl
     if nodes:
         p = field.marginals(np.array(scores), np.array(edges, np.int64).reshape(-1, 2), np.array(kinds, np.int64), np.array(owner, np.int64))
         best = p.argmax(axis=1)
-        linked = {i for (a, b), k in zip(edges, kinds, strict=True) if k for i in (a, b)}
+        linked = {a for (a, b), k in zip(edges, kinds, strict=True) if k and min(scores[b]) == HELD}  # to an entity that some base span shows
         for i in np.flatnonzero((best > 0) & (p.max(axis=1) >= THRESHOLD)).tolist():
             t, x = where[i]
             if not x and i in linked:
@@ -359,23 +398,24 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
-    """id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added: one row for each row of docs.
+    """id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added, n_spans, found: one row for each row of docs.
 
-    Null and empty texts have no spans. The result of a text does not depend on the rows around it.
+    Null and empty texts have no spans; repeated rows and null ids keep their rows. The result of a text does not depend on the rows around it.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit_field(docs, text_col, fit_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             _, texts = ids_and_texts(batch)
             found = label_texts(texts, shared.value)
             counts = [pa.array([sum(s[0] == k for s in base) for base, _ in found], pa.int64()) for k in range(4)]
             digests = [hashlib.sha256(_joined(base).encode()).hexdigest() for base, _ in found]
             spans = [_joined(base + added) for base, added in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array(digests), pa.array(spans), pa.array([len(a) for _, a in found], pa.int64())], names=["id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"])
+            total = [pa.array([len(a) for _, a in found], pa.int64()), pa.array([len(base) + len(a) for base, a in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array(digests), pa.array(spans), *total, pa.array([bool(s) for s in spans])], names=["id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added", "n_spans", "found"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long, found boolean")
 
 
 def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
@@ -397,14 +437,15 @@ def redact_documents(docs: DataFrame, text_col: str = "text", chars_col: str = "
         found = label_texts([t or "" for t in text], shared.value)
         return pd.Series([redact(t, base + added) if base else t for t, (base, added) in zip(text, found, strict=True)], dtype=object)
 
-    out = docs.withColumn("__clean", clean(F.col(text_col).cast("string")))
-    changed = ~F.col("__clean").eqNullSafe(F.col(text_col))
+    new = unused(docs, "__clean")
+    out = docs.withColumn(new, clean(F.col(text_col).cast("string")))
+    changed = ~F.col(new).eqNullSafe(F.col(text_col))
     columns = []
     for c in docs.columns:
         if c == text_col:
-            columns.append(F.col("__clean").alias(c))
+            columns.append(F.col(new).alias(c))
         elif c == chars_col:
-            columns.append(F.when(changed, F.length("__clean").cast(docs.schema[c].dataType)).otherwise(F.col(f"`{c}`")).alias(c))
+            columns.append(F.when(changed, F.length(new).cast(docs.schema[c].dataType)).otherwise(F.col(f"`{c}`")).alias(c))
         else:
             columns.append(F.col(f"`{c}`"))
     return out.select(*columns)

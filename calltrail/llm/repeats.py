@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calltrail.llm import bloom
-from calltrail.llm.common import in_slices, materialize
+from calltrail.llm.common import discard, in_slices, materialize
 
 WINDOW, GRAM = 200, 64
 #: Bytes of texts that one vectorised step takes; longer texts go in overlapping pieces.
@@ -356,9 +356,11 @@ def repeat_spans(own: DataFrame) -> DataFrame:
     table = materialize(run_table(own), "runs")
     keys = materialize(repeated_keys(table), "keys")
     found = materialize(snippets(table, keys), "snippets")
+    discard(table, keys)
     name = F.xxhash64("digest", "start")
     distinct = materialize(found.groupBy("key", "mark", "windows", "snippet").agg((F.min(name) != F.max(name)).alias("twice")), "distinct-snippets")
     windows = materialize(repeated_windows(distinct), "all-windows")
+    discard(distinct)
     places = found.select("mark", "digest", "start").distinct().join(windows, "mark")
     spans = F.transform("ranges", lambda r: F.struct((F.col("start") + r.a).alias("a"), (F.col("start") + r.b + (WINDOW - 1)).alias("b")))
     return places.select("digest", spans.alias("spans")).groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calltrail.llm.blobs import BlobReader, BlobWriter
-from calltrail.llm.common import ids_and_texts, in_slices, materialize, new_path, numbered_words, worker_state
+from calltrail.llm.common import discard, ids_and_texts, in_slices, materialize, new_path, numbered_words, worker_state
 
 MAX_BITS = 16
 STEP = 64
@@ -303,7 +303,7 @@ def write_token_files(coded: DataFrame, folder: str, wide: int, lengths: np.ndar
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_arrow = to_arrow_type(coded.schema["id"].dataType)
-    sorted_ = coded.select("id", "n", "ids").repartitionByRange(shards, "id").sortWithinPartitions("id")
+    sorted_ = coded.select("id", "n", "ids").repartitionByRange(shards, "id").sortWithinPartitions("id", "n", "ids")
     return sorted_.mapInArrow(run, f"shard int, block int, file string, at long, size long, ids array<{id_type}>, n long")
 
 
@@ -341,7 +341,8 @@ def read_token_files(blocks: DataFrame, folder: str, id_type) -> DataFrame:
 def round_trip(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes docs, writes the files, reads them back: id, start, n_tokens, ids_crc32, one row for each row of docs.
 
-    Null and empty texts have the end id alone. Rows of one id keep some order among themselves.
+    Null and empty texts have the end id alone. Rows of one id go by their number of ids, then by the
+    ids; null ids come first.
     """
     size = WordIds(path, 0).size
     wide = 2 if max(size, END_ID + 1) <= 1 << 16 else 4
@@ -356,6 +357,7 @@ def round_trip(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "d
     first.close()
     first.system.move(f"{_path(folder)}/{first.name}", f"{_path(folder)}/codes")
     blocks = materialize(write_token_files(coded, folder, wide, lengths), "blocks")
+    discard(coded)
     return read_token_files(blocks, folder, docs.schema[id_col].dataType)
 
 

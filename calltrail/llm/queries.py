@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from calltrail.llm import avi, decontam, langid, neardup, pieces, pii, repeats, tokenfile, warc
+from calltrail.llm import avi, decontam, divergence, langid, neardup, pieces, pii, repeats, tokenfile, warc
 from calltrail.llm.common import materialize, table
 
 PIECES = "piece_bpe_32k.model"
@@ -70,6 +70,11 @@ def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id AS doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergences of each language's sources by pairs, and each source's outstanding terms. Null texts, langs and sources are ''."""
+    return divergence.audit(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_near_duplicates": op2_near_duplicates,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_files": op8_warc_files,
     "op9_avi_media": op9_avi_media,
     "op10_repeated_bytes": op10_repeated_bytes,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 #: Near duplicates by comparing all texts that share a shingle, and classes by following links.
@@ -128,5 +134,23 @@ l AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY
 g AS (SELECT rid, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_spans, coalesce(string_agg(byte, '' ORDER BY k) FILTER (NOT gone), '') AS kept FROM l GROUP BY 1)
 SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN g USING (rid)"""
 
+#: Each source's share of each kept term, then all pairs of a term's shares.
+_AUDIT = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY 1, 2 HAVING count(DISTINCT rid) >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY 1),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY 1, 2),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 2) // (coalesce(n, 0) + 2 * v) AS p
+    FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+l AS (SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (sum(c) + 2) // (sum(sum(c)) OVER (PARTITION BY lang) + 2 * v) AS q FROM c JOIN v USING (lang) GROUP BY lang, term, v),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+    UNION ALL SELECT p.lang, source, 'term', p.term, (p - q) * (p - q) // (p + q) FROM p JOIN l USING (lang, term) WHERE c > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 10"""
+
 #: The others have no SQL: merges, Viterbi paths, fields, likelihoods, codes of token ids and pictures.
-ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": _NEAR, "op3_decontamination": _LEAKS, "op8_warc_files": _ARCHIVES, "op10_repeated_bytes": _REPEATS}
+ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": _NEAR, "op3_decontamination": _LEAKS, "op8_warc_files": _ARCHIVES, "op10_repeated_bytes": _REPEATS, "op13_source_divergence": _AUDIT}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from calltrail.llm import avi, decontam, divergence, langid, neardup, pieces, pii, repeats, tokenfile, warc
+from calltrail.llm import avi, decontam, divergence, langid, maintext, neardup, pieces, pii, repeats, tokenfile, warc
 from calltrail.llm.common import materialize, table
 
 PIECES = "piece_bpe_32k.model"
@@ -70,6 +70,11 @@ def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id AS doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of each page. Null html is empty, pages without an article have the empty text; repeated rows keep their rows."""
+    return maintext.main_text(table(spark, sf_dir, "pages"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergences of each language's sources by pairs, and each source's outstanding terms. Null texts, langs and sources are ''."""
     return divergence.audit(spark, table(spark, sf_dir, "documents"))
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_files": op8_warc_files,
     "op9_avi_media": op9_avi_media,
     "op10_repeated_bytes": op10_repeated_bytes,
+    "op12_main_text": op12_main_text,
     "op13_source_divergence": op13_source_divergence,
 }
 
@@ -134,6 +140,13 @@ l AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY
 g AS (SELECT rid, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_spans, coalesce(string_agg(byte, '' ORDER BY k) FILTER (NOT gone), '') AS kept FROM l GROUP BY 1)
 SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN g USING (rid)"""
 
+#: The supplied pages hold one article element of paragraphs and a heading, and these references.
+_ARTICLES = r"""
+WITH a AS (SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '</?(?:p|h1)>') AS parts FROM pages),
+b AS (SELECT page_id, url, list_transform(parts, lambda x: trim(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS parts FROM a),
+t AS (SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)) AS text FROM b)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t"""
+
 #: Each source's share of each kept term, then all pairs of a term's shares.
 _AUDIT = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -153,4 +166,4 @@ o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY valu
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 10"""
 
 #: The others have no SQL: merges, Viterbi paths, fields, likelihoods, codes of token ids and pictures.
-ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": _NEAR, "op3_decontamination": _LEAKS, "op8_warc_files": _ARCHIVES, "op10_repeated_bytes": _REPEATS, "op13_source_divergence": _AUDIT}
+ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": _NEAR, "op3_decontamination": _LEAKS, "op8_warc_files": _ARCHIVES, "op10_repeated_bytes": _REPEATS, "op12_main_text": _ARTICLES, "op13_source_divergence": _AUDIT}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from calltrail.llm import avi, decontam, divergence, langid, maintext, neardup, pieces, pii, repeats, tokenfile, warc
+from calltrail.llm import avi, decontam, divergence, langid, maintext, neardup, phrases, pieces, pii, repeats, tokenfile, warc
 from calltrail.llm.common import materialize, table
 
 PIECES = "piece_bpe_32k.model"
@@ -70,6 +70,11 @@ def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id AS doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases of two to four words. Null langs are `und`, null texts empty; repeated rows count each time."""
+    return phrases.collocations(spark, table(spark, sf_dir, "documents")).drop("left", "right")
+
+
 def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article of each page. Null html is empty, pages without an article have the empty text; repeated rows keep their rows."""
     return maintext.main_text(table(spark, sf_dir, "pages"))
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_files": op8_warc_files,
     "op9_avi_media": op9_avi_media,
     "op10_repeated_bytes": op10_repeated_bytes,
+    "op11_phrases": op11_phrases,
     "op12_main_text": op12_main_text,
     "op13_source_divergence": op13_source_divergence,
 }
@@ -140,6 +146,24 @@ l AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY
 g AS (SELECT rid, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_spans, coalesce(string_agg(byte, '' ORDER BY k) FILTER (NOT gone), '') AS kept FROM l GROUP BY 1)
 SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN g USING (rid)"""
 
+#: All phrases of one to four words by grouping; cuts and longer candidates by joins on lists of words.
+_PHRASES = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY 1),
+k AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM w, unnest(range(1, 5)) AS u(m)),
+f AS (SELECT lang, w[k:k + m - 1] AS g, count(*) AS f FROM k GROUP BY 1, 2 HAVING count(*) >= 30),
+c AS (SELECT lang, g, f AS a, len(g) AS m FROM f WHERE len(g) > 1),
+i AS (SELECT lang, m, a, g, unnest(range(2, m)) AS s FROM c),
+j AS (SELECT lang, a, g[b:b + s - 1] AS g FROM (SELECT *, unnest(range(1, m - s + 2)) AS b FROM i)),
+x AS (SELECT lang, g, max(a) AS most FROM j GROUP BY 1, 2),
+u AS (SELECT c.* FROM c LEFT JOIN x USING (lang, g) WHERE most IS NULL OR 100 * most < 80 * a),
+t AS (SELECT lang, g, a, m, unnest(range(1, m)) AS k FROM u),
+s AS (SELECT t.lang, t.g, a, k, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (l.f + r.f) AS BIGINT) AS score FROM t JOIN f l ON l.lang = t.lang AND l.g = t.g[1:k] JOIN f r ON r.lang = t.lang AND r.g = t.g[k + 1:m]),
+b AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000"""
+
 #: The supplied pages hold one article element of paragraphs and a heading, and these references.
 _ARTICLES = r"""
 WITH a AS (SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '</?(?:p|h1)>') AS parts FROM pages),
@@ -166,4 +190,4 @@ o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY valu
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 10"""
 
 #: The others have no SQL: merges, Viterbi paths, fields, likelihoods, codes of token ids and pictures.
-ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": _NEAR, "op3_decontamination": _LEAKS, "op8_warc_files": _ARCHIVES, "op10_repeated_bytes": _REPEATS, "op12_main_text": _ARTICLES, "op13_source_divergence": _AUDIT}
+ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": _NEAR, "op3_decontamination": _LEAKS, "op8_warc_files": _ARCHIVES, "op10_repeated_bytes": _REPEATS, "op11_phrases": _PHRASES, "op12_main_text": _ARTICLES, "op13_source_divergence": _AUDIT}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scalar_queries", "relational_queries", "graph_queries", "parser_queries")
+MODULES = ("scalar_queries", "relational_queries", "graph_queries", "parser_queries", "resolution_queries")
 
 
 def all_queries() -> tuple[dict, dict]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from calltrail.functions import text as T
 from calltrail.jobs.fixtures import Tables
 from calltrail.jobs.registry import query
-from calltrail.operators import graph, lookup, ordering
+from calltrail.operators import graph, lookup, ordering, resolution
 from calltrail.operators.shared import materialize, new_path
 from calltrail.sources import files as S
 from calltrail.sources import adapters, java, settings
@@ -193,12 +193,31 @@ def calls_nested_args(t: Tables) -> DataFrame:
     return calls(t, "sibling").where(F.col("call").contains(".local"))
 
 
-@query("calls_regex_chain", f"SELECT 'm' || s AS mth, 'repo.find(a' || s || ').next(' AS chain FROM {_ALL_METHODS}")
+def bodies(t: Tables, f: DataFrame) -> DataFrame:
+    """body, path, cls, mth, source of all methods: their lines, without comments and literals. f: rows of the scanner."""
+    own = f.where("kind = 'method'").select(_body("extra").alias("body"), "path", "cls", "mth", "line", "end")
+    lines = F.slice(F.split("text", "\n"), F.col("line"), F.col("end") - F.col("line") + 1)
+    return own.join(sources(t), "path").select("body", "path", "cls", "mth", blank(F.array_join(lines, "\n"), True, " ").alias("source"))
+
+
+def _body(params: str) -> Column:
+    """Names a method's body; its parameter types tell overloads apart."""
+    return F.concat_ws("|", "path", "cls", "mth", F.coalesce(params, F.lit("")))
+
+
+def _variables(f: DataFrame) -> DataFrame:
+    return f.where("kind = 'var'").select(_body("ann").alias("body"), "name", "type", F.when(F.col("extra") == "param", "param").otherwise(F.col("extra")).alias("how"))
+
+
+@query("calls_regex_chain", f"SELECT 'm' || s AS mth, unnest(['Repo' || (k % 4) || '.find(a' || s || ').next()', 'Repo' || (k % 4) || '.save(v' || s || ')', 'Item.close()']) AS call, 'rewritten' AS how FROM {_ALL_METHODS}")
 def calls_regex_chain(t: Tables) -> DataFrame:
-    """By pattern over the text without comments and literals."""
-    body = F.explode(F.regexp_extract_all("text", F.lit(r"(?s)(m[0-9]+\(final.*?return)"), F.lit(1)))
-    found = sources(t).select(body.alias("b")).select(F.regexp_extract("b", "^(m[0-9]+)", 1).alias("mth"), F.explode(F.regexp_extract_all("b", F.lit(r"([a-z][A-Za-z0-9_]*(?:\.[a-z][A-Za-z0-9_]*\([a-z0-9]*\))+\.[a-z]+\()"), F.lit(1))).alias("chain"))
-    return found
+    """Chains by pattern over bodies without comments and literals, roots rewritten to types; next() is a bare name on a
+    result, and goes as a qualified call has it."""
+    f = materialize(facts(t).where("kind IN ('method', 'var', 'field', 'call')"))
+    named = f.where("kind = 'call' AND type <> 'dynamic'").select(_body("ann").alias("body"), F.explode(F.regexp_extract_all("name", F.lit(r"\.([A-Za-z_]\w*)\("), F.lit(1))).alias("mth"))
+    own = bodies(t, f)
+    found = resolution.chain_calls(own, _variables(f), f.where("kind = 'field'").select("cls", "name", "type"), named)
+    return found.select(F.element_at(F.split("body", r"\|"), 3).alias("mth"), "call", "how")
 
 
 @query("calls_fallback", f"SELECT mth, call, how FROM ({' UNION ALL '.join(f'SELECT mth, call, {chr(39)}{h}{chr(39)} AS how FROM ({v[0]})' for h, v in _CALLS.items())})".replace(_METHODS, f"(SELECT * FROM {_ALL_METHODS} WHERE k % 7 = 6)"))
@@ -364,22 +383,31 @@ def normalize_qualifier(t: Tables) -> DataFrame:
     return calls_.join(known.withColumn("q", F.concat("var", "var")), "q", "left").select("s_suppkey", F.coalesce("var", "q").alias("qualifier"))
 
 
-@query("keep_qualified", f"SELECT 'm' || s AS mth, unnest(['v' || s, 'repo', 'item']) AS root FROM {_METHODS}")
-def keep_qualified(t: Tables) -> DataFrame:
-    """Qualified calls whose root is a field, a local, a parameter, or an imported type. One parse; the roots come from patterns over the methods."""
+def _kept(t: Tables, calls_: Column) -> DataFrame:
+    """mth, root, called, kept_by of calls (root, called) in all bodies. Files of even suppliers belong to an application
+    that keeps bare calls, the others to one without flags."""
     f = materialize(facts(t).where("NOT fallback"))
-    roots = method_text(t).select("mth", F.explode(F.array_distinct(F.regexp_extract_all(blank(F.col("source"), True, ""), F.lit(r"(?<![\w.)])([a-z][A-Za-z0-9_]*)\.[a-z]"), F.lit(1)))).alias("root"))
-    methods = f.where("kind = 'method'").select("cls", "mth")
-    known = f.where("kind = 'var'").select("mth", F.col("name").alias("root")).union(methods.join(f.where("kind = 'field'").select("cls", "name"), "cls").select("mth", "name")).distinct()
-    return roots.join(known, ["mth", "root"], "left_semi")
+    unit = F.regexp_extract("path", "Unit([0-9]+)", 1).cast("long")
+    asked = bodies(t, f).select((unit % 2).alias("application"), "path", "cls", "body", F.col("mth").alias("of"), F.inline(F.array_distinct(calls_))).withColumnRenamed("called", "mth")
+    flags = t.region.where("r_regionkey < 2").select(F.col("r_regionkey").cast("long").alias("application"), (F.col("r_regionkey") == 0).alias("include_unqualified"), *[F.lit(False).alias(x) for x in ("accept_local_new_types", "accept_parameter_types", "accept_same_package")])
+    packages = f.where("kind = 'package'").select("path", F.col("name").alias("package"))
+    index = resolution.import_index(f.where("kind = 'import'"))
+    return resolution.keep_calls(asked, _variables(f), f.where("kind = 'field'").select("cls", "name"), index, packages, flags).select(F.col("of").alias("mth"), "root", F.col("mth").alias("called"), "kept_by")
+
+
+@query("keep_qualified", f"SELECT 'm' || s AS mth, unnest(['v' || s, 'repo', 'item']) AS root, unnest(['wildcard', 'field', 'wildcard']) AS kept_by FROM {_METHODS}")
+def keep_qualified(t: Tables) -> DataFrame:
+    """Qualified calls by what keeps their root: a field, a local or parameter, an imported type, a wildcard, the package."""
+    calls_ = F.transform(F.regexp_extract_all("source", F.lit(r"(?<![\w.)])([A-Za-z]\w*)\.[a-z]\w*\("), F.lit(1)), lambda r: F.struct(r.alias("root"), F.lit(None).cast("string").alias("called")))
+    return _kept(t, calls_).where("kept_by IS NOT NULL").select("mth", "root", "kept_by")
 
 
-@query("keep_unqualified", f"SELECT 'm' || s AS mth, 'helper' AS called FROM {_METHODS}")
+@query("keep_unqualified", f"SELECT 'm' || s AS mth, 'local' || s AS called FROM {_METHODS} WHERE k % 2 = 0")
 def keep_unqualified(t: Tables) -> DataFrame:
-    """Bare calls of methods that the class declares; local() is declared nowhere."""
-    f = materialize(facts(t).where("kind IN ('method', 'call') AND NOT fallback"))
-    bare = f.where("kind = 'call' AND type = 'sibling'").select("path", "cls", F.col("mth").alias("caller"), F.regexp_extract("name", r"\.([A-Za-z0-9_]+)\(", 1).alias("mth"))
-    return bare.join(f.where("kind = 'method'").select("path", "cls", "mth"), ["path", "cls", "mth"], "left_semi").select(F.col("caller").alias("mth"), F.col("mth").alias("called"))
+    """Bare calls stay where the application keeps them, or a static import names them."""
+    names = F.filter(F.regexp_extract_all("source", F.lit(r"(?<![\w.])([a-z]\w*)\s*\("), F.lit(1)), lambda x: ~x.isin(*T.CONTROL_WORDS) & (x != F.col("mth")))
+    calls_ = F.transform(names, lambda x: F.struct(F.lit(None).cast("string").alias("root"), x.alias("called")))
+    return _kept(t, calls_).where("kept_by IS NOT NULL").select("mth", "called")
 
 
 @query("skip_commented", f"SELECT 'm' || s AS mth, unnest(['v' || s, 'text' || s]) AS declared FROM {_METHODS}")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from calltrail.functions import text as T
 from calltrail.jobs.fixtures import Tables
 from calltrail.jobs.registry import query
-from calltrail.operators import graph, lookup, ordering, resolution
+from calltrail.operators import graph, lookup, ordering, resolution, spans
 from calltrail.operators.shared import materialize, new_path
 from calltrail.sources import files as S
 from calltrail.sources import adapters, java, settings
@@ -326,7 +326,9 @@ def method_source(t: Tables) -> DataFrame:
 def brace_match(t: Tables) -> DataFrame:
     """Lines of a method's braces with those of their partners: the next closing one of the same depth."""
     methods = kind(t, "method").where("mth LIKE 'm%'").select("path", "mth", "line", "end")
-    return with_partners(with_depth(java.scan_tokens(sources(t)))).withColumnRenamed("line", "opens").join(methods, "path").where("opens BETWEEN line AND end").select("mth", (F.col("opens") - F.col("line") + 1).alias("opens"), (F.col("closes") - F.col("line") + 1).alias("closes"))
+    marks = java.all_tokens(sources(t)).where("kind = 'mark' AND text IN ('{', '}')")
+    found = spans.with_partners(marks).select("path", F.col("line").alias("opens"), F.col("close_line").alias("closes"))
+    return found.join(methods, "path").where("opens BETWEEN line AND end").select("mth", (F.col("opens") - F.col("line") + 1).alias("opens"), (F.col("closes") - F.col("line") + 1).alias("closes"))
 
 
 @query("method_positions", f"SELECT 'm' || s AS mth, CAST(row_number() OVER (PARTITION BY cls ORDER BY s) AS INTEGER) AS nr FROM {_METHODS}")
@@ -461,38 +463,11 @@ def strip_top_level(t: Tables) -> DataFrame:
 # --- tokens and ranks ---------------------------------------------------------------------------------------------------
 
 
-def with_depth(tokens: DataFrame) -> DataFrame:
-    """tokens with depth: open braces around each; a brace's own depth is that of what stands beside it."""
-    step = F.when(F.col("kind") == "open", 1).when(F.col("kind") == "close", -1).otherwise(0)
-    return ordering.running_depth(tokens, ["path"], step, ["pos"], "depth").withColumn("depth", F.col("depth") - (F.col("kind") == "open").cast("int"))
-
-
-def with_partners(tokens: DataFrame) -> DataFrame:
-    """Opening braces with closes: the line of the closing one."""
-    braces = tokens.where("kind IN ('open', 'close')")
-    w = Window.partitionBy("path", "depth").orderBy("pos")
-    return braces.withColumn("closes", F.lead("line").over(w)).where("kind = 'open'").select("path", "pos", "line", "depth", "closes")
-
-
-def with_scope(tokens: DataFrame) -> DataFrame:
-    """Calls with scope: the innermost method around them whose body is open, null outside of methods.
-
-    At each depth below a call, the last declaration there counts until its body's brace closes at that depth.
-    """
-    deep = with_depth(tokens).where("kind <> 'open'")
-    asks = deep.where("kind = 'call'").withColumn("level", F.explode(F.sequence(F.lit(0), F.greatest(F.col("depth") - 1, F.lit(0)))))
-    marks = deep.where("kind <> 'call'").withColumn("level", F.col("depth"))
-    w = Window.partitionBy("path", "level").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    state = F.last(F.when(F.col("kind") == "decl", F.col("name")).when(F.col("kind") == "close", F.lit("")), ignorenulls=True).over(w)
-    seen = marks.unionByName(asks).withColumn("open", F.nullif(state, F.lit(""))).where("kind = 'call'")
-    return seen.groupBy("path", "pos", "name", "recv").agg(F.max_by("open", F.when(F.col("open").isNotNull(), F.col("level"))).alias("scope"))
-
-
 @query("decl_call_tokens", f"SELECT 'm' || s AS scope, unnest([NULL, 'v' || s, NULL, 'repo', NULL, 'repo', 'this', NULL, 'item']) AS recv, unnest(['Svc' || t, 'run' || u, 'local' || s, 'find', 'next', 'save', 'helper', 'Ex' || u, 'close']) AS callee, CAST(unnest([0, 1, 2, 3, 4, 5, 6, 7, 8]) AS INTEGER) AS rank FROM {_ALL_METHODS}")
 def decl_call_tokens(t: Tables) -> DataFrame:
     """Call sites by the method they stand in, in order; brackets that match nothing do not matter here."""
-    calls_ = with_scope(java.scan_tokens(sources(t))).where("scope LIKE 'm%'").groupBy("path", "scope", "recv", F.col("name").alias("callee")).agg(F.min("pos").alias("pos"))
-    return calls_.select("scope", "recv", "callee", (F.row_number().over(Window.partitionBy("path", "scope").orderBy("pos")) - 1).alias("rank"))
+    calls_ = spans.with_scope(java.scan_tokens(sources(t))).where("scope LIKE 'm%'").groupBy("path", "opened", "scope", "recv", F.col("name").alias("callee")).agg(F.min("pos").alias("pos"))
+    return calls_.select("scope", "recv", "callee", (F.row_number().over(Window.partitionBy("path", "opened").orderBy("pos")) - 1).alias("rank"))
 
 
 @query("call_rank", f"SELECT 'm' || s AS mth, call, CAST(rank AS INTEGER) AS rank FROM (SELECT s, unnest(['Svc' || t || '.Svc' || t || '()', 'Svc' || t || '.run' || u || '()', cls || '.local' || s || '()', 'Repo' || (k % 4) || '.find()', 'Repo' || (k % 4) || '.save()', cls || '.helper()', 'Ex' || u || '.Ex' || u || '()', 'Item.close()']) AS call, unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS rank FROM {_METHODS})")
@@ -502,6 +477,37 @@ def call_rank(t: Tables) -> DataFrame:
     return f.select("mth", "call", (F.row_number().over(Window.partitionBy("path", "mth").orderBy("pos")) - 1).alias("rank"))
 
 
+_CALL_ROWS = f"""SELECT k, {_PATH} AS path, s, unnest(range(9)) AS i, 'm' || s AS mth, unnest([NULL, 'v' || s, NULL, 'repo', NULL, 'repo', 'this', NULL, 'item']) AS recv, unnest(['svc' || t, 'run' || u, 'local' || s, 'find', 'next', 'save', 'helper', 'ex' || u, 'close']) AS callee FROM {_PARTS} JOIN {_UNITS} USING (k)
+    UNION ALL SELECT k, {_PATH}, 1000000000, 0, 'over', NULL, 'shut' FROM {_UNITS}"""
+
+
+@query("call_activations", f"SELECT 'unit' || k AS cls, mth, recv, callee, row_number() OVER (ORDER BY string_split(path, '/'), s, i) - 1 AS rank FROM ({_CALL_ROWS})")
+def call_activations(t: Tables) -> DataFrame:
+    """Calls of each opened body, in one count over all files in the order of a walk."""
+    return spans.call_order(java.scan_tokens(sources(t))).select("cls", "mth", "recv", "callee", "rank")
+
+
+@query("call_rank_anywhere", f"""WITH r AS (SELECT 'unit' || k AS cls, mth, recv, callee, row_number() OVER (ORDER BY string_split(path, '/'), s, i) - 1 AS rank FROM ({_CALL_ROWS})),
+    c AS (SELECT p_partkey AS p, 'unit' || (p_partkey // 20) AS pcls, 'm' || (p_partkey + CASE WHEN p_partkey % 4 = 3 THEN 1000000 ELSE 0 END) AS pmth, CASE p_partkey % 3 WHEN 0 THEN 'repo' WHEN 1 THEN 'other' ELSE 'item' END AS cls, CASE p_partkey % 4 WHEN 0 THEN 'save' WHEN 1 THEN 'helper' WHEN 2 THEN 'shut' ELSE 'close' END AS mth FROM part)
+    SELECT p, coalesce((SELECT min(rank) FROM r WHERE r.cls = c.pcls AND r.mth = c.pmth AND r.callee = c.mth AND (r.recv IS NULL OR r.recv = c.cls)), (SELECT min(rank) FROM r WHERE r.cls = c.pcls AND r.mth = c.pmth AND r.callee = c.mth), (SELECT min(rank) FROM r WHERE r.callee = c.mth), 1000000000) AS rank FROM c""")
+def call_rank_anywhere(t: Tables) -> DataFrame:
+    """Ranks of cells under their parents; where the parent is unknown, the first call of that name in all files."""
+    p = F.col("p_partkey")
+    cells = t.part.select(p.alias("p"), fill("unit«k»", k=F.floor(p / 20)).alias("pcls"), fill("m«s»", s=p + F.when(p % 4 == 3, 1000000).otherwise(0)).alias("pmth"), F.when(p % 3 == 0, "repo").when(p % 3 == 1, "other").otherwise("item").alias("cls"), F.when(p % 4 == 0, "save").when(p % 4 == 1, "helper").when(p % 4 == 2, "shut").otherwise("close").alias("mth"))
+    return lookup.call_rank(cells, materialize(spans.call_order(java.scan_tokens(sources(t))))).select("p", "rank")
+
+
+_LINES = f"""SELECT k, 'm' || s AS mth, {METHOD_LINES} AS block, {METHOD_LINES - 1} AS block_filled, {METHOD_LINES - 1} AS opened_filled, {METHOD_LINES} AS file_first, ['int', 'List', 'Svc' || t || '[]'] AS types FROM {_PARTS} JOIN {_UNITS} USING (k)
+    UNION ALL SELECT k, unnest(['Unit' || k, 'helper', 'over', 'over', 'over', 'x', 'open', 'shut']), unnest([1, 1, 1, 3, 4, 1, 1, 1]), unnest([1, 1, 1, 3, 3, 1, 1, 1]), unnest([1, 1, 1, 3, 3, 1, 1, 1]), 1, unnest([['int'], [], ['int'], ['int', 'String'], ['String', 'long'], [], ['String'], []]) FROM {_UNITS}"""
+
+
+@query("method_lines", f"SELECT cls, mth, array_to_string(types, ';') AS types, CAST(block AS INTEGER) AS block, CAST(block_filled AS INTEGER) AS block_filled, CAST(opened_filled AS INTEGER) AS opened_filled, CAST(file_first AS INTEGER) AS file_first FROM (SELECT 'Unit' || k AS cls, * FROM ({_LINES}) UNION ALL SELECT CASE WHEN mth = 'x' THEN 'Kind' ELSE 'Port' END, * FROM ({_LINES}) WHERE mth IN ('x', 'open', 'shut'))")
+def method_lines(t: Tables) -> DataFrame:
+    """Lines of declarations by four rules, from tokens with their partners. Files that do not parse count too."""
+    files_ = materialize(sources(t))
+    return spans.method_lines(files_, java.all_tokens(files_)).select("cls", "mth", F.array_join("types", ";").alias("types"), "block", "block_filled", "opened_filled", "file_first")
+
+
 @query("overload_best", f"SELECT s, params, CAST(loc AS INTEGER) AS loc FROM (SELECT s, ['int;String', 'String;long', 'int', 'long;long', 'int;int;int'][s % 5 + 1] AS params, [3, 4, 1, 4, 4][s % 5 + 1] AS loc FROM {_METHODS})")
 def overload_best(t: Tables) -> DataFrame:
     """Lines of the overload that a call means. Each method asks for over() of its class with some types."""

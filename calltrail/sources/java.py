@@ -503,6 +503,19 @@ def scan_tokens(files: DataFrame, path_col: str = "path", text_col: str = "text"
     return files.select(F.col(path_col).cast("string"), F.col(text_col).cast("string")).mapInArrow(run, "path string, kind string, name string, recv string, pos long, line int")
 
 
+def all_tokens(files: DataFrame, path_col: str = "path", text_col: str = "text") -> DataFrame:
+    """path, kind (word, number, string, char, mark), text, pos, line: every token but comments. Null texts have none."""
+    names = ("path", "kind", "text", "pos", "line")
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(p, t.kind, t.text, t.at, t.line) for p, text in zip(*(c.to_pylist() for c in batch.columns), strict=True) if text is not None for t in tokenize(text)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=list(names))
+
+    return files.select(F.col(path_col).cast("string"), F.col(text_col).cast("string")).mapInArrow(run, "path string, kind string, text string, pos long, line int")
+
+
 def rows_to_batch(rows: list[dict]) -> pa.RecordBatch:
     kinds = [pa.int64() if c == "pos" else pa.int32() if c in ("n", "line", "end") else pa.bool_() if c == "fallback" else pa.string() for c in COLUMNS]
     return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], k) for c, k in zip(COLUMNS, kinds, strict=True)], names=list(COLUMNS))

@@ -28,6 +28,11 @@ CONTROL_WORDS = tuple("if else while for switch return try catch finally new thr
 NO_RANK = 1_000_000_000
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at both ends; trim() of the JVM takes blanks alone."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def strip_generics(c: Column) -> Column:
     return F.regexp_replace(c, r"\s*<[^>]+>\s*", "")
 
@@ -96,10 +101,10 @@ _TOKEN = r"(?i)^(.*?)\s+no_of_lines\s*:\s*(\d+|Nil|None)\s*$"
 
 def parse_token(token: Column) -> Column:
     """struct(kind, name, loc): a chunk id, or a method with its lines; Nil, None and no count are 0."""
-    t = F.trim(token)
+    t = strip(token)
     chunk = is_chunk_id(t)
     loc = F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(t, _TOKEN, 2), F.lit("")), F.lit("9999999999")).cast("long"), F.lit(0))
-    name = F.when(t.rlike(_TOKEN), F.trim(F.regexp_extract(t, _TOKEN, 1))).otherwise(t)
+    name = F.when(t.rlike(_TOKEN), strip(F.regexp_extract(t, _TOKEN, 1))).otherwise(t)
     return F.struct(
         F.when(F.coalesce(t, F.lit("")) == "", F.lit("other")).when(chunk, F.lit("chunk")).otherwise(F.lit("method")).alias("kind"),
         F.when(chunk, t).otherwise(F.coalesce(name, F.lit(""))).alias("name"),
@@ -121,7 +126,7 @@ def is_group_id(c: Column) -> Column:
 
 def split_list(c: Column) -> Column:
     """Trimmed parts between commas without empty ones; null is the empty list."""
-    parts = F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(c, ","), strip), lambda x: x != "")
     return F.coalesce(parts, F.array().cast("array<string>"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from calltrail.functions import text as T
 from calltrail.jobs.fixtures import Tables
 from calltrail.jobs.registry import query
-from calltrail.operators import graph, lookup, ordering
+from calltrail.operators import graph, lookup, matching, ordering
 from calltrail.operators.shared import materialize, new_path
 from calltrail.sources.files import read_sheet, require_columns, write_sheets
 
@@ -72,6 +72,68 @@ def reachable_files(t: Tables) -> DataFrame:
     return graph.reachable(t.edges.where("dst % 5 <> 3"), t.part.where("p_partkey = 0").select(F.col("p_partkey").alias("node"))).select("node")
 
 
+_REFS = "(SELECT p_partkey AS src, unnest([2 * p_partkey + 2, 2 * p_partkey + 1, CASE WHEN p_partkey % 7 = 0 THEN 2 * p_partkey + 5 END, p_partkey // 3]) AS dst, unnest([1, 0, 2, 3]) AS place FROM part)"
+
+
+@query("discovery_order", f"""WITH RECURSIVE e AS (SELECT * FROM {_REFS} WHERE dst IN (SELECT p_partkey FROM part) AND dst > src), s AS (SELECT 3 AS node, [0] AS path UNION ALL SELECT 1, [1]),
+    w AS (SELECT CAST(node AS BIGINT) AS node, 0 AS round, path FROM s UNION ALL SELECT e.dst, w.round + 1, list_append(w.path, e.place) FROM w JOIN e ON e.src = w.node),
+    d AS (SELECT node, min(round) AS round FROM w GROUP BY 1), b AS (SELECT node, round, min(path) AS path FROM w JOIN d USING (node, round) GROUP BY 1, 2)
+    SELECT node, CAST(round AS INTEGER) AS round, row_number() OVER (ORDER BY round, path) - 1 AS number FROM b""")
+def discovery_order(t: Tables) -> DataFrame:
+    """Files in the order of a queue from two seeds; some have several parents, some references lead back or nowhere."""
+    p = F.col("p_partkey")
+    refs = F.array(*[F.struct(d.cast("long").alias("dst"), F.lit(k).alias("place")) for k, d in ((1, 2 * p + 2), (0, 2 * p + 1), (2, F.when(p % 7 == 0, 2 * p + 5)), (3, F.floor(p / 3)))])
+    edges = t.part.select(p.alias("src"), F.inline(refs)).where("dst IS NOT NULL").join(t.part.select(p.alias("dst")), "dst", "left_semi").where("dst > src OR place = 3 AND dst IN (1, 3)")
+    seeds = t.part.where("p_partkey IN (1, 3)").select(p.alias("node"), F.when(p == 3, 0).otherwise(1).alias("place"))
+    return graph.discovery(edges, seeds)
+
+
+_OWNED = "(SELECT cls, mth, 'src/' || cls AS file, id AS nr FROM {nodes} UNION ALL SELECT 'Zed', mth, 'src/Zed', 1000000000 FROM {nodes} WHERE id % 10 = 0)"
+_NAMED = "(SELECT s.cls, s.mth, CASE WHEN e.dst % 4 = 1 THEN d.mth || '()' WHEN e.dst % 4 = 2 THEN 'Other.' || d.mth || '(a.b)' ELSE d.cls || '.' || d.mth || '()' END AS call FROM {edges} e JOIN {nodes} s ON s.id = e.src JOIN {nodes} d ON d.id = e.dst UNION ALL SELECT 'Zed', mth, 'Zed.lost()' FROM {nodes} WHERE id % 10 = 0 UNION ALL SELECT cls, mth, 'ext.gone()' FROM {nodes} WHERE id % 9 = 0)"
+_NAME = "split_part(split_part({}, '(', 1), '.', -1)"
+
+
+@query("closure_by_name", f"""WITH RECURSIVE o AS (SELECT mth, min_by(cls, nr) AS cls, min_by(file, nr) AS file FROM {_OWNED} GROUP BY 1), c AS (SELECT o.mth, o.file, n.call FROM o LEFT JOIN (SELECT DISTINCT * FROM {_NAMED}) n USING (cls, mth)),
+    s AS (SELECT 'Any.m' || n_nationkey AS start FROM nation UNION ALL SELECT 'm' || n_nationkey || '(x.y)' FROM nation WHERE n_nationkey % 5 = 0),
+    w AS (SELECT start, start AS current FROM s UNION SELECT w.start, c.call FROM w JOIN c ON c.mth = {_NAME.format('w.current')} WHERE c.call IS NOT NULL)
+    SELECT start, coalesce(file, 'Unknown') AS file, current, coalesce(call, '') AS call FROM w LEFT JOIN c ON c.mth = {_NAME.format('w.current')}""")
+def closure_by_name(t: Tables) -> DataFrame:
+    """From a start for each nation, and a bare one of the same name for each fifth. The later owner of a name is never reached."""
+    starts = t.nation.select(F.concat(F.lit("Any.m"), F.col("n_nationkey").cast("string")).alias("start")).union(t.nation.where("n_nationkey % 5 = 0").select(F.concat(F.lit("m"), F.col("n_nationkey").cast("string"), F.lit("(x.y)"))))
+    tenth, zed = t.nodes.where("id % 10 = 0"), F.lit("Zed")
+    methods = t.nodes.select("cls", "mth", F.concat(F.lit("src/"), "cls").alias("file"), F.col("id").alias("at")).union(tenth.select(zed, "mth", F.lit("src/Zed"), F.lit(1000000000)))
+    s, d = t.nodes.select(F.col("id").alias("src"), "cls", "mth"), t.nodes.select(F.col("id").alias("dst"), F.col("cls").alias("c"), F.col("mth").alias("m"))
+    text = F.when(F.col("dst") % 4 == 1, F.concat("m", F.lit("()"))).when(F.col("dst") % 4 == 2, F.concat(F.lit("Other."), "m", F.lit("(a.b)"))).otherwise(F.concat("c", F.lit("."), "m", F.lit("()")))
+    calls_ = t.edges.join(s, "src").join(d, "dst").select("cls", "mth", text.alias("call")).union(tenth.select(zed, "mth", F.lit("Zed.lost()"))).union(t.nodes.where("id % 9 = 0").select("cls", "mth", F.lit("ext.gone()")))
+    return graph.closure_by_name(methods, calls_, starts)
+
+
+_FLOW = """m AS (SELECT lower(cls || '.' || mth) AS node, cls || '.' || mth AS name FROM {nodes} UNION ALL SELECT lower(cls || 'Impl.' || mth), cls || 'Impl.' || mth FROM {nodes} WHERE id % 6 = 5),
+    c AS (SELECT s.cls || '.' || s.mth AS src, d.cls || '.' || d.mth AS dst FROM {edges} e JOIN {nodes} s ON s.id = e.src JOIN {nodes} d ON d.id = e.dst WHERE e.dst > e.src
+        UNION ALL SELECT cls || 'Impl.' || mth, 'Ext.run' || (id % 3) FROM {nodes} WHERE id % 6 = 5 UNION ALL SELECT cls || '.' || mth, 'Lib.go' FROM {nodes} WHERE id % 11 = 0),
+    r AS (SELECT DISTINCT lower(c.src) AS src, lower(coalesce(i.name, c.dst)) AS dst, coalesce(i.name, c.dst) AS shown FROM c LEFT JOIN m i ON i.node = lower(split_part(c.dst, '.', 1) || 'impl.' || split_part(c.dst, '.', 2))),
+    k AS (SELECT * FROM r WHERE split_part(src, '.', 1) NOT IN ('cls3', 'lib') AND split_part(dst, '.', 1) NOT IN ('cls3', 'lib')),
+    loc AS (SELECT lower(cls || '.' || mth) AS node, loc FROM {nodes} WHERE id % 4 <> 0),
+    l AS (SELECT k.src, coalesce(m.name, k.src) || ' no_of_lines : ' || coalesce(a.loc, 0) AS a, k.shown || ' no_of_lines : ' || coalesce(b.loc, 0) AS b FROM k LEFT JOIN m ON m.node = k.src LEFT JOIN loc a ON a.node = k.src LEFT JOIN loc b ON b.node = k.dst)"""
+
+
+@query("flow_labelled", f"""WITH RECURSIVE {_FLOW}, w AS (SELECT 'Cls0.m0 no_of_lines : 0' AS node, ['Cls0.m0 no_of_lines : 0'] AS path, false AS ended UNION ALL SELECT l.b, list_append(w.path, l.b), list_contains(w.path, l.b) FROM w JOIN l ON l.a = w.node WHERE NOT w.ended)
+    SELECT CAST(len(path) AS INTEGER) AS levels, array_to_string(path, '>') AS path FROM w WHERE ended OR node NOT IN (SELECT a FROM l)""")
+def flow_labelled(t: Tables) -> DataFrame:
+    """Paths of labels with lines: callees go to their implementations, classes of a list vanish, platform callees are leaves."""
+    name = lambda n: F.concat_ws(".", f"{n}.cls", f"{n}.mth")
+    sixth = t.nodes.where("id % 6 = 5")
+    impl = F.concat("cls", F.lit("Impl"))
+    rest = [F.lit("class").alias("type"), F.lit("public").alias("access"), F.lit("").alias("annotations")]
+    methods = t.nodes.select("cls", "mth", *rest).union(sixth.select(impl, "mth", *rest))
+    s, d = t.nodes.alias("s"), t.nodes.alias("d")
+    calls_ = t.edges.where("dst > src").join(s, F.col("src") == F.col("s.id")).join(d, F.col("dst") == F.col("d.id")).select(name("s").alias("caller"), name("d").alias("callee"))
+    calls_ = calls_.union(sixth.select(F.concat_ws(".", impl, "mth"), F.concat(F.lit("Ext.run"), (F.col("id") % 3).cast("string"), F.lit("(x)")))).union(t.nodes.where("id % 11 = 0").select(F.concat_ws(".", "cls", "mth"), F.lit("Lib.go")))
+    pruned = t.region.where("r_regionkey < 2").select(F.when(F.col("r_regionkey") == 0, F.lit("CLS3")).otherwise(F.lit("Lib")).alias("cls"))
+    edges, labels = graph.flow_edges(calls_, methods, t.nodes.where("id % 4 <> 0"), pruned)
+    return graph.simple_paths(edges, labels.where("node = 'cls0.m0'").select(F.col("label").alias("node"))).select(F.size("path").alias("levels"), F.array_join("path", ">").alias("path"))
+
+
 @query("call_closure", """WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM {edges}), s AS (SELECT p_partkey AS start FROM part),
     w AS (SELECT start, start AS node FROM s UNION SELECT w.start, e.dst FROM w JOIN e ON e.src = w.node) SELECT w.start, e.src, e.dst FROM w JOIN e ON e.src = w.node""")
 def call_closure(t: Tables) -> DataFrame:
@@ -118,20 +180,6 @@ def blank_zero_loc(t: Tables) -> DataFrame:
     return t.paths.select("id", *[F.when(~F.coalesce(F.col(c).rlike(zero), F.lit(False)), F.col(c)).alias(c) for c in ("l1", "l2", "l3", "l4")])
 
 
-def stems_in_cells(cells: DataFrame, stems: DataFrame) -> DataFrame:
-    """cell, stem of all stems that are a part of a cell.
-
-    Cells are cut into pieces of the shortest stem's length, one a place; a stem meets those that it starts with, and the
-    rest of it is compared there. So this is an equi-join, and rows grow with the length of cells alone.
-    """
-    least = stems.agg(F.min(F.length("stem"))).first()[0] or 1
-    places = F.sequence(F.lit(1), F.greatest(F.length("cell") - least + 1, F.lit(1)))
-    pieces = cells.select("cell", F.explode(F.transform(places, lambda k: F.struct(k.alias("at"), F.substring(F.col("cell"), k, F.lit(least)).alias("piece")))).alias("p")).select("cell", "p.at", "p.piece")
-    starts = stems.select("stem", F.substring("stem", 1, least).alias("piece"))
-    same = F.substring(F.col("cell"), F.col("at"), F.length("stem")) == F.col("stem")
-    return pieces.join(starts, "piece").where(same).select("cell", "stem").distinct()
-
-
 @query("occurrences", """WITH c AS (SELECT id, lower(l1) AS root, unnest([2, 3]) AS level, lower(unnest([l2, l3])) AS cell FROM {paths}), s AS (SELECT DISTINCT lower('N' || n_nationkey) AS stem FROM nation)
     SELECT stem, root, level, count(*) AS n FROM c JOIN s ON strpos(c.cell, s.stem) > 0 GROUP BY 1, 2, 3""")
 def occurrences(t: Tables) -> DataFrame:
@@ -139,10 +187,20 @@ def occurrences(t: Tables) -> DataFrame:
     cells = ordering.unpivot(t.paths, ["id", "l1"], ["l2", "l3"]).select(F.lower("l1").alias("root"), (F.col("level") + 1).alias("level"), F.lower("cell").alias("cell"))
     cells = cells.where("cell IS NOT NULL").groupBy("root", "level", "cell").agg(F.count("*").alias("k"))
     stems = t.nation.select(F.lower(F.concat(F.lit("N"), F.col("n_nationkey").cast("string"))).alias("stem")).distinct()
-    hits = stems_in_cells(cells.select("cell").distinct(), stems)
+    hits = matching.contained(cells.select("cell").distinct(), stems)
     return cells.join(hits, "cell").groupBy("stem", "root", "level").agg(F.sum("k").alias("n"))
 
 
+@query("short_stems", """WITH s AS (SELECT DISTINCT lower(substr(s_name, 1 + s_suppkey % 9, 1 + s_suppkey % 4)) AS stem FROM supplier), c AS (SELECT p_partkey, lower(p_name) AS cell FROM part)
+    SELECT p_partkey, stem FROM c JOIN s ON strpos(cell, stem) > 0""")
+def short_stems(t: Tables) -> DataFrame:
+    """Stems of one to four characters in names: frequent ones cost their hits alone."""
+    k = F.col("s_suppkey")
+    stems = t.supplier.select(F.lower(F.substring(F.col("s_name"), (1 + k % 9).cast("int"), (1 + k % 4).cast("int"))).alias("stem"))
+    names = t.part.select("p_partkey", F.lower("p_name").alias("cell"))
+    return names.join(matching.contained(names.select("cell").distinct(), stems, most_chars=64), "cell").select("p_partkey", "stem")
+
+
 # --- reordering -------------------------------------------------------------------------------------------------------
 
 
@@ -199,7 +257,7 @@ def reordered_flow(t: Tables) -> DataFrame:
     keyed = rows.select(F.col("o_orderkey").alias("id"), ranks.alias("ranks"))
     book = new_path(t.spark, "book")
     write_sheets(book, {"Flow": keyed.select("id"), "Methods": t.nodes})
-    write_sheets(book, {"Flow": ordering.global_rank(keyed, ["ranks", "id"], "pos").select("id", "pos")})
+    write_sheets(book, {"Flow": ordering.global_rank(keyed, ["ranks", "id"], "pos").select("id", "pos")}, "update")
     require_columns(read_sheet(t.spark, book, "Methods"), ["cls", "mth", "loc"])
     return read_sheet(t.spark, book, "Flow")
 

@@ -340,9 +340,22 @@ def method_positions(t: Tables) -> DataFrame:
 def type_to_file(t: Tables) -> DataFrame:
     """File stems and declared types; the first path wins."""
     f = facts(t)
-    stems = f.select(T.file_stem(F.col("path")).alias("name"), "path").distinct()
-    nested = f.where("kind = 'type' AND type <> 'anonymous'").select(F.col("cls").alias("name"), "path")
-    return stems.unionByName(nested).groupBy("name").agg(F.min("path").alias("path"))
+    return S.type_index(f.select("path"), f.where("kind = 'type' AND type <> 'anonymous'").select("path", "cls")).select(F.col("key").alias("name"), "path")
+
+
+#: Files named Repo«n», some with an implementation elsewhere or nothing but that, and some that only a type's declaration leads to.
+_INDEXED = """(SELECT n, 'src/' || (p % 5) || '/Repo' || n || suffix || '.java' AS path, 'Repo' || n || suffix AS stem, 'In' || n || CASE WHEN p % 2 = 0 THEN 'Impl' ELSE '' END AS inner_
+    FROM (SELECT p_partkey AS p, p_partkey // 3 AS n, CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'Impl' ELSE 'Other' END AS suffix FROM part WHERE p_partkey % 3 <> 0 OR p_partkey % 2 = 0))"""
+
+
+@query("type_index", f"""WITH f AS (SELECT * FROM {_INDEXED}), r AS (SELECT stem AS key, 0 AS prio, path, 'stem' AS how FROM f UNION ALL SELECT left(stem, len(stem) - 4), 1, path, 'stem of implementation' FROM f WHERE stem LIKE '%Impl'
+    UNION ALL SELECT inner_, 2, path, 'type' FROM f UNION ALL SELECT left(inner_, len(inner_) - 4), 3, path, 'type of implementation' FROM f WHERE inner_ LIKE '%Impl' UNION ALL SELECT stem, 2, path, 'type' FROM f)
+    SELECT key, arg_min(path, (prio, path)) AS path, arg_min(how, (prio, path)) AS how FROM r GROUP BY 1""")
+def type_index(t: Tables) -> DataFrame:
+    p = F.col("p_partkey")
+    rows = t.part.where((p % 3 != 0) | (p % 2 == 0)).select(fill("Repo«n»«s»", n=F.floor(p / 3), s=F.when(p % 3 == 0, "").when(p % 3 == 1, "Impl").otherwise("Other")).alias("stem"), fill("In«n»«s»", n=F.floor(p / 3), s=F.when(p % 2 == 0, "Impl").otherwise("")).alias("inner"), (p % 5).alias("d"))
+    files_ = rows.select(fill("src/«d»/«s».java", d=F.col("d"), s=F.col("stem")).alias("path"), "stem", "inner")
+    return S.type_index(files_.select("path"), files_.select("path", F.explode(F.array("stem", "inner")).alias("cls")))
 
 
 @query("iface_impl", "SELECT 'Repo' || p_partkey AS iface, 'Repo' || p_partkey || 'Impl' AS impl FROM part WHERE p_partkey % 3 = 0")
@@ -525,7 +538,7 @@ def property_lines(t: Tables) -> DataFrame:
     """path, line_no, line: a file for each twenty parts, with comments, blanks and both separators."""
     k = F.col("p_partkey")
     r = F.floor(k / 20)
-    lines = F.array(fill("# comment «k»", k=k), F.lit("  "), F.when(k % 2 == 0, fill("unit.k«k» = a=«r»", k=k, r=r)).otherwise(fill("unit.k«k»: v«r»", k=k, r=r)), fill("shared=r«r»", r=r))
+    lines = F.array(fill("# comment «k»", k=k), F.lit("  "), F.when(k % 2 == 0, fill("\tunit.k«k» = a=«r»\r", k=k, r=r)).otherwise(fill("unit.k«k»\t: v«r» \t", k=k, r=r)), fill("shared=r«r»\r", r=r), F.lit("\t! c=1\r"), F.lit("\r"))
     return t.part.select(fill("conf/r«r».properties", r=r).alias("path"), (k * 10).alias("base"), F.posexplode(lines).alias("i", "line")).select("path", (F.col("base") + F.col("i")).alias("line_no"), "line")
 
 
@@ -588,8 +601,9 @@ def props_with_method(t: Tables) -> DataFrame:
 
 
 def _written(t: Tables) -> str:
-    """The generated sources as files in the shared folder, by package, and once more in a build folder."""
-    path = new_path(t.spark, "tree")
+    """The generated sources as files in the shared folder, by package, and once more in a build folder. The tree itself
+    stands below a folder of such a name."""
+    path = new_path(t.spark, "tree") + "/build/tree"
     out = sources(t).select("text", F.regexp_extract("path", "(r[0-9]+)/", 1).alias("dir"))
     out.repartition("dir").write.partitionBy("dir").option("lineSep", "\n//EOF\n").text(f"{path}/src")
     out.select("text").write.option("lineSep", "\n//EOF\n").text(f"{path}/target")
@@ -620,21 +634,24 @@ def scan_order(t: Tables) -> DataFrame:
     return ordering.global_rank(sources(t).select("path", F.split("path", "/").alias("parts")), ["parts"], "pos").select("path", "pos")
 
 
-@query("decode_lossy", "SELECT doc_id, CAST(length(text) + 1 AS INTEGER) AS n FROM documents")
+@query("decode_lossy", "SELECT doc_id, md5(text || CASE WHEN doc_id % 2 = 0 THEN '(' || chr(65533) ELSE '(' END) AS digest FROM documents")
 def decode_lossy(t: Tables) -> DataFrame:
-    """Two bytes that are no UTF-8 behind each text go, the bracket between them stays."""
-    raw = F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("C328FF")))
-    return t.documents.select("doc_id", F.length(S.decode_lossy(raw)).alias("n"))
+    """Two bytes that are no UTF-8 behind each text go, the bracket between them stays, and so does a real U+FFFD."""
+    raw = F.concat(F.encode("text", "UTF-8"), F.unhex(F.when(F.col("doc_id") % 2 == 0, F.lit("C328FFEFBFBDE282")).otherwise(F.lit("C328FF"))))
+    return t.documents.select("doc_id", F.md5(S.decode_lossy(raw)).alias("digest"))
 
 
 @query("reachable_sources", f"WITH RECURSIVE w AS (SELECT k, r, 0 AS depth FROM {_UNITS} WHERE k = 0 UNION ALL SELECT u.k, u.r, w.depth + 1 FROM w JOIN {_UNITS} u ON u.k IN (2 * w.k + 1, 2 * w.k + 2) WHERE w.k % 7 <> 6) SELECT 'Unit' || k || '.java' AS file_name, {_PATH} AS path, CAST(depth AS INTEGER) AS depth FROM w")
 def reachable_sources(t: Tables) -> DataFrame:
     """Sources reached from Unit0 over imports are copied to a folder, under their full paths, so that equal names do not collide."""
     files_ = materialize(sources(t))
-    edges = java.parse_sources(files_).where("kind = 'import' AND type = 'type' AND NOT fallback").select(T.file_stem(F.col("path")).alias("src"), T.simple_type(F.col("name")).alias("dst"))
-    seen = graph.reachable(edges, files_.where(T.file_stem(F.col("path")) == "Unit0").select(F.lit("Unit0").alias("node")))
+    f = materialize(java.parse_sources(files_).where("kind IN ('import', 'type')"))
+    index = S.type_index(files_.select("path"), f.where("kind = 'type' AND type <> 'anonymous'").select("path", "cls"))
+    refs = f.where("kind = 'import' AND type = 'type' AND NOT fallback").select(F.col("path").alias("src"), T.simple_type(F.col("name")).alias("key"))
+    edges = refs.join(index.select("key", F.col("path").alias("dst")), "key").select("src", "dst")
+    seen = graph.reachable(edges, index.where("key = 'Unit0'").select(F.col("path").alias("node")))
     copied = new_path(t.spark, "copied")
-    seen.join(files_.withColumn("node", T.file_stem(F.col("path"))), "node").select(F.regexp_replace("path", "^.*/", "").alias("file_name"), "path", "depth", "text").write.parquet(copied)
+    seen.join(files_.withColumnRenamed("path", "node"), "node").select(F.regexp_replace("node", "^.*/", "").alias("file_name"), F.col("node").alias("path"), "depth", "text").write.parquet(copied)
     return t.spark.read.parquet(copied).where(F.length("text") > 0).select("file_name", "path", "depth")
 
 
@@ -646,12 +663,14 @@ def sink_overwrite(t: Tables) -> DataFrame:
     return S.read_sheet(t.spark, book, "Methods").groupBy("cls").agg(F.count("*").alias("n"))
 
 
-@query("sink_append", "SELECT cls, 2 * count(*) AS n FROM {nodes} GROUP BY 1")
+@query("sink_append", "SELECT sheet, cls, count(*) AS n FROM {nodes}, (SELECT unnest(['Methods', 'Methods1', 'Methods2']) AS sheet) GROUP BY 1, 2")
 def sink_append(t: Tables) -> DataFrame:
+    """A sheet whose name is taken becomes a new one."""
     book = new_path(t.spark, "book")
-    S.write_sheets(book, {"Methods": t.nodes})
-    S.write_sheets(book, {"Methods": t.nodes}, "append")
-    return S.read_sheet(t.spark, book, "Methods").groupBy("cls").agg(F.count("*").alias("n"))
+    for _ in range(3):
+        S.write_sheets(book, {"Methods": t.nodes}, "append")
+    sheets = [S.read_sheet(t.spark, book, s).groupBy("cls").agg(F.count("*").alias("n")).select(F.lit(s).alias("sheet"), "cls", "n") for s in ("Methods", "Methods1", "Methods2")]
+    return sheets[0].unionByName(sheets[1]).unionByName(sheets[2])
 
 
 @query("sheet_scan_optional", "SELECT chunk, 'g' || (o_custkey % 3) AS rule, CAST(NULL AS VARCHAR) AS owner FROM (SELECT DISTINCT l_orderkey AS chunk FROM lineitem) LEFT JOIN orders ON o_orderkey = chunk AND o_orderkey % 2 = 0")

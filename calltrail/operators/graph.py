@@ -6,19 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
-from calltrail.operators.ordering import ordered_list
+from calltrail.operators.ordering import global_rank, ordered_list
 from calltrail.operators.shared import materialize
 
 #: Edges that a round of simple_paths() goes before its rows are written.
 STEPS = 4
+#: Rounds after which what has been found is written as one table again.
+COMPACT = 8
 
 
 def reachable(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """node, depth: everything reachable from seeds (node), with the number of steps. edges: src, dst.
 
-    One join and one anti-join a round, on the frontier; each round's nodes are a written table, so no plan grows.
+    One join and one anti-join a round, on the frontier; edges and each round's nodes are written tables, and what has been
+    found is put together again every few rounds, so neither plans nor the number of tables grow.
     """
-    step = edges.select("src", "dst").distinct()
+    step = materialize(edges.select("src", "dst").distinct())
     frontier = materialize(seeds.select("node", F.lit(0).alias("depth")).distinct())
     found, depth = frontier, 0
     while True:
@@ -28,19 +31,80 @@ def reachable(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         if frontier.isEmpty():
             return found
         found = found.unionByName(frontier)
+        if depth % COMPACT == 0:
+            found = materialize(found)
+
+
+def discovery(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """node, round, number: in the order of a queue that takes seeds in their order, and what each node refers to in the
+    order of its references, each node once. edges: src, dst, place (order within src); seeds: node, place.
+
+    A round's new nodes are ordered by their first parent's number and the reference's place there, and numbered from
+    where the round before ended, over ranges; so no node needs to know more than its frontier.
+    """
+    step = materialize(edges.groupBy("src", "dst").agg(F.min("place").alias("place")))
+    first = seeds.groupBy("node").agg(F.min("place").alias("place"))
+    frontier = materialize(global_rank(first, ["place", "node"], "number").select("node", F.lit(0).alias("round"), "number"))
+    found, round_, n = frontier, 0, frontier.count()
+    while True:
+        round_ += 1
+        reached = frontier.join(step, F.col("node") == F.col("src")).groupBy("dst").agg(F.min(F.struct("number", "place")).alias("by"))
+        new = reached.withColumnRenamed("dst", "node").join(found, "node", "left_anti").select("node", F.col("by.number").alias("parent"), F.col("by.place").alias("place"))
+        frontier = materialize(global_rank(new, ["parent", "place", "node"], "number", n).select("node", F.lit(round_).alias("round"), "number"))
+        size = frontier.count()
+        if not size:
+            return found
+        n += size
+        found = found.unionByName(frontier)
+        if round_ % COMPACT == 0:
+            found = materialize(found)
 
 
 def closure(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """start, src, dst: every edge that a walk from start visits. edges: src, dst; starts: start."""
-    step = edges.select("src", "dst").distinct()
+    step = materialize(edges.select("src", "dst").distinct())
+    return _walked(step, starts).join(step, F.col("node") == F.col("src")).select("start", "src", "dst")
+
+
+def _walked(step: DataFrame, starts: DataFrame) -> DataFrame:
+    """start, node: every node that a walk from start visits, itself too."""
     frontier = materialize(starts.select("start", F.col("start").alias("node")).distinct())
-    seen = frontier
+    seen, round_ = frontier, 0
     while True:
+        round_ += 1
         new = frontier.join(step, F.col("node") == F.col("src")).select("start", F.col("dst").alias("node")).distinct().join(seen, ["start", "node"], "left_anti")
         frontier = materialize(new)
         if frontier.isEmpty():
-            return seen.join(step, F.col("node") == F.col("src")).select("start", "src", "dst")
+            return seen
         seen = seen.unionByName(frontier)
+        if round_ % COMPACT == 0:
+            seen = materialize(seen)
+
+
+def method_name(call: Column) -> Column:
+    """What stands behind the last dot of a call, without its brackets."""
+    return F.substring_index(F.substring_index(call, "(", 1), ".", -1)
+
+
+def closure_by_name(methods: DataFrame, calls: DataFrame, starts: DataFrame) -> DataFrame:
+    """start, file, current, call: the calls that a walk from each start meets, where a call leads to the first type that
+    owns a method of its name, whatever type it names itself.
+
+    Current is the start, or a call met on the way. A method without calls gives one row with an empty call; a name that
+    nobody owns gives one of file `Unknown`. Starts of one name share one walk over names: what lies behind them is the
+    same. Rows are as many as starts times what they reach, so starts bound them.
+
+    methods: cls, mth, file, at (order of types); calls: cls, mth, call; starts: start.
+    """
+    owner = methods.groupBy("mth").agg(F.min_by(F.struct("cls", "file"), F.struct("at", "cls")).alias("o")).select(F.col("o.cls").alias("cls"), "mth", F.col("o.file").alias("file"))
+    own = materialize(owner.join(calls.where("call <> ''").select("cls", "mth", "call").distinct(), ["cls", "mth"], "left").select("mth", "file", "call"))
+    step = materialize(own.where("call IS NOT NULL").select(F.col("mth").alias("src"), method_name(F.col("call")).alias("dst")).distinct())
+    asked = materialize(starts.select("start", method_name(F.col("start")).alias("name")).distinct())
+    walked = _walked(step, asked.select(F.col("name").alias("start")).distinct()).withColumnRenamed("start", "name")
+    met = walked.join(own.where("call IS NOT NULL").select(F.col("mth").alias("node"), F.col("call").alias("current")), "node").select("name", "current")
+    current = asked.join(met, "name").select("start", "current").unionByName(asked.select("start", F.col("start").alias("current"))).distinct()
+    rows = current.withColumn("mth", method_name(F.col("current"))).join(own, "mth", "left")
+    return rows.select("start", F.coalesce("file", F.lit("Unknown")).alias("file"), "current", F.coalesce("call", F.lit("")).alias("call"))
 
 
 def simple_paths(edges: DataFrame, roots: DataFrame, pruned: DataFrame | None = None, max_depth: int | None = None) -> DataFrame:
@@ -91,6 +155,39 @@ def resolved_edges(calls: DataFrame, methods: DataFrame) -> DataFrame:
     return qualified.unionByName(found.select("caller", target.alias("target"))).select(F.lower("caller").alias("src"), F.lower("target").alias("dst")).distinct()
 
 
+def flow_edges(calls: DataFrame, methods: DataFrame, lines: DataFrame, pruned: DataFrame | None = None, suffix: str = "Impl") -> tuple[DataFrame, DataFrame]:
+    """(edges, labels): src and dst as labels "Class.method no_of_lines : n", and the label of every node, all rewriting
+    done before a path is walked.
+
+    Calls are resolved by resolved_edges(); a callee whose class has an implementation (by suffix) with that method is
+    that one; classes of `pruned` (cls) vanish as callers and callees; a callee without a row is a leaf. Lines of nodes
+    without any are 0. Names are compared in lower case and shown as declared, or as called where nobody declares them.
+
+    calls: caller, callee; methods: cls, mth, type, access, annotations; lines: cls, mth, loc.
+    """
+    known = methods.groupBy(F.lower("cls").alias("c"), F.lower("mth").alias("m")).agg(F.min(F.struct("cls", "mth")).alias("shown"))
+    known = materialize(known.select(F.concat_ws(".", "c", "m").alias("node"), F.concat_ws(".", "shown.cls", "shown.mth").alias("name")))
+    named = calls.select(F.trim(F.substring_index("callee", "(", 1)).alias("name")).where(F.col("name").contains(".")).unionByName(calls.select(F.col("caller").alias("name")))
+    said = named.groupBy(F.lower("name").alias("node")).agg(F.min("name").alias("said"))
+    edges = resolved_edges(calls, methods)
+    cut = F.length("dst") - F.length(F.substring_index("dst", ".", -1)) - 1
+    edges = edges.withColumn("impl", F.concat(F.substring(F.col("dst"), F.lit(1), cut), F.lit(suffix.lower()), F.lit("."), F.substring_index("dst", ".", -1)))
+    edges = edges.join(known.select(F.col("node").alias("impl"), F.lit(True).alias("there")), "impl", "left").select("src", F.when(F.col("there"), F.col("impl")).otherwise(F.col("dst")).alias("dst")).distinct()
+    if pruned is not None:
+        gone = pruned.select(F.lower("cls").alias("cls")).distinct()
+        for end in ("src", "dst"):
+            edges = edges.withColumn("cls", F.substring_index(end, ".", 1)).join(gone, "cls", "left_anti").drop("cls")
+    edges = materialize(edges)
+    nodes = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).unionByName(known.select("node")).distinct()
+    loc = lines.groupBy(F.concat_ws(".", F.lower("cls"), F.lower("mth")).alias("node")).agg(F.max("loc").alias("loc"))
+    shown = nodes.join(known, "node", "left").join(said, "node", "left").join(loc, "node", "left")
+    labels = materialize(shown.select("node", F.concat(F.coalesce("name", "said", "node"), F.lit(" no_of_lines : "), F.coalesce("loc", F.lit(0)).cast("string")).alias("label")))
+    out = edges
+    for end in ("src", "dst"):
+        out = out.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end)
+    return out.select(F.col("src_label").alias("src"), F.col("dst_label").alias("dst")), labels
+
+
 def cells(paths: DataFrame, ids: list[str]) -> DataFrame:
     """ids, level (from 1), node: the long form of paths."""
     return paths.select(*ids, F.posexplode("path").alias("__l", "node")).select(*ids, (F.col("__l") + 1).alias("level"), "node")

@@ -31,7 +31,7 @@ LEAST, WITHIN = 30, 80
 #: Phrases of a language that are returned, and parts in which they are ranked before they meet.
 TOP, PARTS = 2000, 64
 #: Bytes of texts of one shard, a text at least.
-SHARD = 8 << 20
+SHARD = 5 << 20
 
 #: A-Z are lower-cased, a tab is a blank, and what ends a piece is a line feed.
 _BYTES = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if c == 9 else c for c in range(256))

@@ -148,6 +148,13 @@ def normal_type(c: Column) -> Column:
     return F.lower(F.regexp_replace(F.element_at(F.split(F.trim(c), r"\."), -1), r"\s*\[\s*\]", "[]"))
 
 
+def strip_top_level(code: Column) -> Column:
+    """Without line comments that begin their line, then without block comments that hold no brace. What stands before a
+    line comment on its line stays, and so does a block comment with a brace, as a whole."""
+    lines = F.regexp_replace(code, r"(?md)^\s*//.*$", "")
+    return F.regexp_replace(lines, r"(?s)/\*(?:(?!\*/)[^{}])*+\*/|(/\*.*?\*/)", "$1")
+
+
 def normalize_newlines(c: Column) -> Column:
     return F.regexp_replace(c, "\r\n?", "\n")
 

@@ -50,7 +50,10 @@ METHOD = """    @Transactional(readOnly = true, value = "a)b")
         return v«s»;
     }
 """
-CLASS = """package com.app.r«r»;
+CLASS = """package com.app.r«r»; /* plain
+  words */ // tail
+
+    // head: { alone }
 import com.app.r«r».Unit«left»;
 import com.app.r«r».Unit«right»;
 import com.app.util.*;
@@ -244,18 +247,28 @@ def adapter_flags(t: Tables) -> DataFrame:
 def lineage_rows(t: Tables) -> DataFrame:
     """A row for each distinct call of a method; methods without calls keep one row, overloads their own. One parse, one join
     on its two kinds; files that do not parse give what their second scan finds."""
-    f = materialize(facts(t).where("kind IN ('method', 'call') AND (cls NOT LIKE 'Kind%')"))
+    f = materialize(facts(t).where("kind IN ('method', 'call')"))
     called = f.where("kind = 'call'").groupBy("path", "cls", "mth", F.col("ann").alias("params")).agg(F.collect_set("name").alias("calls"))
     rows = f.where("kind = 'method'").select("path", "cls", "mth", F.col("extra").alias("params")).join(called, ["path", "cls", "mth", "params"], "left").select("cls", "mth", "params", F.explode_outer("calls").alias("call"))
     return rows.select("cls", "mth", "params", F.coalesce("call", F.lit("None")).alias("call"))
 
 
-@query("method_inventory", f"SELECT cls, 'm' || s AS mth, CAST({METHOD_LINES} AS INTEGER) AS loc, 'Unit' || (k // 2) AS parent, CASE k % 4 WHEN 0 THEN 'EJB_SLSB' WHEN 1 THEN 'SERVLET' WHEN 3 THEN 'EJB_MDB' ELSE 'GENERAL' END AS entry_type FROM {_METHODS} UNION ALL SELECT 'Unit' || k, 'helper', 1, 'Unit' || (k // 2), 'SCHEDULED' FROM {_GOOD}")
+_ENTRY = "CASE k % 4 WHEN 0 THEN 'EJB_SLSB' WHEN 1 THEN 'SERVLET' WHEN 3 THEN 'EJB_MDB' ELSE 'GENERAL' END"
+
+
+@query("method_inventory", f"""SELECT cls, 'm' || s AS mth, CAST({METHOD_LINES} AS INTEGER) AS loc, 'Unit' || (k // 2) AS parent, {_ENTRY} AS entry_type, 'int a' || s || ', List b, Svc' || t || '[] c' AS args FROM {_METHODS}
+    UNION ALL SELECT 'Unit' || k, unnest(['Unit' || k, 'over', 'over', 'over', 'helper']), unnest([1, 1, 3, 4, 1]), 'Unit' || (k // 2), unnest([{_ENTRY}, {_ENTRY}, {_ENTRY}, {_ENTRY}, 'SCHEDULED']), unnest(['int a', 'int a', 'int a, String b', 'String a, long b', '']) FROM {_GOOD}
+    UNION ALL SELECT 'Port', unnest(['open', 'shut']), 1, NULL, 'GENERAL', unnest(['String host', '']) FROM {_GOOD}""")
 def method_inventory(t: Tables) -> DataFrame:
-    f = materialize(facts(t).where("kind IN ('method', 'type') AND NOT fallback"))
+    """Constructors and methods of all types, nested ones too, with their parameters as written."""
+    f = materialize(facts(t).where("kind IN ('method', 'type', 'var') AND NOT fallback"))
     types = f.where("kind = 'type'").select("path", "cls", F.col("name").alias("parent"), entry_type(F.col("ann"), F.col("name"), F.col("extra")).alias("entry_type"))
-    methods = f.where("kind = 'method' AND (mth LIKE 'm%' OR mth = 'helper')").select("path", "cls", "mth", "ann", (F.col("end") - F.col("line") + 1).alias("loc"))
-    return methods.join(types, ["path", "cls"]).select("cls", "mth", "loc", "parent", F.when(is_scheduled(F.col("ann")), F.lit("SCHEDULED")).otherwise(F.col("entry_type")).alias("entry_type"))
+    params = f.where("kind = 'var' AND extra = 'param'").groupBy("path", "cls", "mth", F.col("ann").alias("extra")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", T.strip_generics(F.col("type")).alias("type"), "name"))), lambda x: F.concat(x["type"], F.lit(" "), x["name"])), ", ").alias("args")
+    )
+    methods = f.where("kind = 'method'").select("path", "cls", "mth", F.coalesce("extra", F.lit("")).alias("extra"), "ann", (F.col("end") - F.col("line") + 1).alias("loc"))
+    rows = methods.join(types, ["path", "cls"]).join(params, ["path", "cls", "mth", "extra"], "left")
+    return rows.select("cls", "mth", "loc", "parent", F.when(is_scheduled(F.col("ann")), F.lit("SCHEDULED")).otherwise(F.col("entry_type")).alias("entry_type"), F.coalesce("args", F.lit("")).alias("args"))
 
 
 #: Entry types by annotation of a class, and by what it extends.
@@ -374,13 +387,15 @@ def object_class_map(t: Tables) -> DataFrame:
     return lookup.variable_types(own, ["file", "name"]).select("file", "name", F.col("var_type").alias("type"))
 
 
-@query("bfs_var_map", f"SELECT 'Unit' || k AS cls, 'v' || s AS var, 'Svc' || t AS type FROM {_METHODS}")
+@query("bfs_var_map", f"""SELECT 'Unit' || k AS cls, unnest(['prop' || k, 'repo', 'a', 'b', 'host']) AS var, unnest(['String', 'Repo' || (k % 4), 'String', 'String', 'String']) AS type FROM {_UNITS}
+    UNION ALL SELECT 'Unit' || k, unnest(['v' || s, 'text' || s, 'old' || s]), unnest(['Svc' || t, 'String', 'Old']) FROM {_PARTS} JOIN {_UNITS} USING (k)""")
 def bfs_var_map(t: Tables) -> DataFrame:
-    """Declarations by pattern, the last one winning: Type name = new Type(...)."""
-    good = sources(t).join(facts(t).where("kind = 'error'").select("path"), "path", "left_anti")
-    pairs = good.select(F.regexp_extract("path", "(Unit[0-9]+)", 1).alias("cls"), F.posexplode(F.regexp_extract_all("text", F.lit(r"\b([A-Z][A-Za-z0-9_]*\s+[a-z][A-Za-z0-9_]*)\s*=\s*new\b"), F.lit(1))).alias("pos", "d"))
-    named = pairs.select("cls", "pos", F.regexp_extract("d", r"\s([a-z][A-Za-z0-9_]*)$", 1).alias("var"), F.regexp_extract("d", r"^([A-Z][A-Za-z0-9_]*)", 1).alias("type"))
-    return named.groupBy("cls", "var").agg(F.max_by("type", "pos").alias("type"))
+    """All declarations by pattern: a capitalised type before a name and "=", ";", "," or ")"; fields, variables and
+    parameters, the last of a name winning. Comments count too, and type arguments go."""
+    pattern = r"([A-Z][A-Za-z0-9_]*(?:<[^>]+>)?)\s+([a-z][A-Za-z0-9_]*)\s*[=;,)]"
+    found = F.posexplode(F.arrays_zip(F.regexp_extract_all("text", F.lit(pattern), F.lit(1)).alias("type"), F.regexp_extract_all("text", F.lit(pattern), F.lit(2)).alias("var"))).alias("pos", "d")
+    pairs = sources(t).select(F.regexp_extract("path", "(Unit[0-9]+)", 1).alias("cls"), found)
+    return pairs.groupBy("cls", F.col("d.var").alias("var")).agg(F.max_by(T.strip_generics(F.col("d.type")), "pos").alias("type"))
 
 
 @query("method_return_index", f"SELECT cls, 'm' || s AS mth, 'Svc' || t AS ret, 'Unit' || (k // 2) AS parent FROM {_METHODS}")
@@ -433,10 +448,10 @@ def skip_commented(t: Tables) -> DataFrame:
     return lines.where(~T.commented(F.col("l"))).select("mth", name.alias("declared")).where("declared <> ''")
 
 
-@query("skip_primitives", f"SELECT 'm' || s AS mth, unnest(['List<String>', 'Svc' || t || '[]']) AS type FROM {_METHODS}")
+@query("skip_primitives", f"SELECT 'm' || s AS mth, unnest(['List<String>', 'Svc' || t || '[]']) AS type FROM {_METHODS} UNION ALL SELECT unnest(['over', 'over', 'open']), 'String' FROM {_GOOD}")
 def skip_primitives(t: Tables) -> DataFrame:
-    primitive = ["int", "long", "short", "byte", "char", "float", "double", "boolean", "void"]
-    return kind(t, "var").where("extra = 'param' AND mth LIKE 'm%'").where(~F.col("type").isin(*primitive)).select("mth", "type")
+    """Parameters whose type is none of the configured list."""
+    return kind(t, "var").where("extra = 'param'").where(~F.col("type").isin(*_config(t).words("PRIMITIVE"))).select("mth", "type")
 
 
 # --- stripping ----------------------------------------------------------------------------------------------------------
@@ -465,12 +480,24 @@ for _name, _literals, _mark in (("strip_comments_literals", True, ""), ("strip_c
     )
 
 
-@query("strip_top_level", f"SELECT 'Unit' || k AS cls, CAST(1 AS INTEGER) AS removed FROM {_UNITS}")
+def _class_sql(text: str) -> str:
+    """A generated source as SQL over rows of _UNITS with its methods."""
+    values = {"r": "r", "k": "k", "left": "(2 * k + 1)", "right": "(2 * k + 2)", "e": "(k % 3)", "half": "(k // 2)", "q": "(k % 4)", "methods": "methods", "broken": "CASE WHEN k % 7 = 6 THEN ') ' || chr(10) ELSE '' END",
+        "ann": "['Stateless', 'WebServlet(\"/n\")', 'Service', 'MessageDriven'][k % 4 + 1]", "impl": "CASE WHEN k % 3 = 0 THEN ' implements Api' || r || ', Port' ELSE '' END"}
+    quoted = text.replace("'", "''")
+    for name, value in values.items():
+        quoted = quoted.replace(f"«{name}»", f"' || {value} || '")
+    return f"'{quoted}'"
+
+
+_TOP_CLASS = CLASS.replace("/* plain\n  words */", "").replace("\n\n    // head: { alone }", "\n")
+_TOP_METHOD = METHOD.replace("        // Old old«s» = commented.call(); {", "").replace("'", "''").replace("«s»", "' || s || '").replace("«t»", "' || t || '").replace("«u»", "' || u || '")
+
+
+@query("strip_top_level", f"SELECT cls, md5({_class_sql(_TOP_CLASS)}) AS digest FROM (SELECT 'Unit' || k AS cls, k, r, coalesce(methods, '') AS methods FROM {_UNITS} LEFT JOIN (SELECT k, string_agg('{_TOP_METHOD}', '' ORDER BY s) AS methods FROM {_PARTS} GROUP BY 1) USING (k))")
 def strip_top_level(t: Tables) -> DataFrame:
-    """Comments before the first type: block comments there go by pattern."""
-    head = F.regexp_extract("text", r"(?s)^(.*?)\npublic class", 1)
-    cut = F.regexp_replace(head, r"(?s)/\*.*?\*/", "")
-    return sources(t).select(F.regexp_extract("path", "(Unit[0-9]+)", 1).alias("cls"), F.when(F.length(head) > F.length(cut), 1).otherwise(0).alias("removed"))
+    """The text without comments that stand on lines of their own, and without block comments that hold no brace."""
+    return sources(t).select(F.regexp_extract("path", "(Unit[0-9]+)", 1).alias("cls"), F.md5(T.strip_top_level(F.col("text"))).alias("digest"))
 
 
 # --- tokens and ranks ---------------------------------------------------------------------------------------------------

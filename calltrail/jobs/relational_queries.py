@@ -271,9 +271,9 @@ def drop_object_dup(t: Tables) -> DataFrame:
 # --- explode ------------------------------------------------------------------------------------------------------------
 
 
-@query("explode_calls", "SELECT o_orderkey, coalesce(c.object_call, 'None') AS object_call FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey, object_call FROM {calls} WHERE object_call IS NOT NULL AND l_linenumber > 3) c ON l_orderkey = o_orderkey")
+@query("explode_calls", "SELECT o_orderkey, coalesce(c.object_call, 'None') AS object_call FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey, object_call FROM {calls} WHERE object_call IS NOT NULL) c ON l_orderkey = o_orderkey")
 def explode_calls(t: Tables) -> DataFrame:
-    sets = t.calls.where("l_linenumber > 3").groupBy("l_orderkey").agg(F.collect_set("object_call").alias("calls"))
+    sets = t.calls.groupBy("l_orderkey").agg(F.collect_set("object_call").alias("calls"))
     return t.orders.join(sets, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", F.explode_outer("calls").alias("c")).select("o_orderkey", F.coalesce("c", F.lit("None")).alias("object_call"))
 
 
@@ -375,12 +375,12 @@ def limit_preview(t: Tables) -> DataFrame:
 
 @query(
     "callee_pairs",
-    f"""WITH declared AS (SELECT DISTINCT class_interface_name AS cls, method_name AS mth FROM {{calls}} WHERE l_suppkey % 2 = 0), c AS (SELECT *, {_BASE} AS base, {_CALLED} AS called FROM {{calls}})
+    f"""WITH declared AS (SELECT DISTINCT class_interface_name AS cls, method_name AS mth FROM {{calls}}), c AS (SELECT *, {_BASE} AS base, {_CALLED} AS called FROM {{calls}})
         SELECT DISTINCT base AS cls, called AS mth FROM c WHERE base IS NOT NULL AND called IS NOT NULL
         UNION SELECT DISTINCT d.cls, d.mth FROM c JOIN declared d ON d.cls = class_interface_name AND d.mth = called WHERE base IS NULL AND object_call LIKE '%(%'""",
 )
 def callee_pairs(t: Tables) -> DataFrame:
-    declared = t.calls.where("l_suppkey % 2 = 0").select(F.col("class_interface_name").alias("cls"), F.col("method_name").alias("mth")).distinct()
+    declared = t.calls.select(F.col("class_interface_name").alias("cls"), F.col("method_name").alias("mth")).distinct()
     c = calls_of(t)
     qualified = c.where("base IS NOT NULL AND called IS NOT NULL").select(F.col("base").alias("cls"), F.col("called").alias("mth"))
     bare = c.where("base IS NULL").where(F.col("object_call").contains("(")).select(F.col("class_interface_name").alias("cls"), F.col("called").alias("mth")).join(declared, ["cls", "mth"], "left_semi")

@@ -224,10 +224,12 @@ def skip_keywords(t: Tables) -> DataFrame:
     return words.where(~F.col("w").isin(*T.CONTROL_WORDS)).groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
-@query("valid_kinds", "SELECT DISTINCT class_interface_name, method_name FROM {calls} WHERE class_interface_name IN (SELECT class_interface_name FROM {calls} WHERE type IN ('class', 'class_implements_interface', 'interface') AND l_suppkey % 3 = 0)")
+@query("valid_kinds", "SELECT DISTINCT 'C' || l_orderkey AS cls, method_name FROM {calls} WHERE l_orderkey IN (SELECT l_orderkey FROM {calls} WHERE type IN ('class', 'class_implements_interface', 'interface'))")
 def valid_kinds(t: Tables) -> DataFrame:
-    kinds = t.calls.where(F.col("type").isin("class", "class_implements_interface", "interface") & (F.col("l_suppkey") % 3 == 0)).select("class_interface_name").distinct()
-    return t.calls.select("class_interface_name", "method_name").distinct().join(kinds, "class_interface_name", "left_semi")
+    """Methods of classes that are seen as a class or an interface; an order is a class here, and some are seen as enums alone."""
+    own = t.calls.select(F.concat(F.lit("C"), F.col("l_orderkey").cast("string")).alias("cls"), "method_name", "type")
+    kinds = own.where(F.col("type").isin("class", "class_implements_interface", "interface")).select("cls").distinct()
+    return own.select("cls", "method_name").distinct().join(kinds, "cls", "left_semi")
 
 
 @query("sorted_calls", "SELECT l_orderkey, array_to_string(list_sort(list_distinct(list(object_call))), ';') AS calls FROM {calls} WHERE object_call IS NOT NULL GROUP BY 1")

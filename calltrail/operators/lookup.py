@@ -160,14 +160,14 @@ def as_of_backward(left: DataFrame, right: DataFrame, by: str, left_pos: str, ri
 
 
 def as_of_forward(left: DataFrame, right: DataFrame, by: str, left_pos: str, right_pos: str, value: str) -> DataFrame:
-    """left with value of the first right row at or after its position."""
+    """left with value of the first right row at or after its position. The pass goes from the end, so each row is seen once."""
     from pyspark.sql import Window
 
     names = left.columns
     a = left.select(*names, F.col(left_pos).alias("__p"), F.lit(0).alias("__side"), F.lit(None).cast(right.schema[value].dataType).alias("__value"))
     b = right.select(*[(F.col(by) if c == by else F.lit(None).cast(left.schema[c].dataType)).alias(c) for c in names], F.col(right_pos).alias("__p"), F.lit(1).alias("__side"), F.col(value).alias("__value"))
-    w = Window.partitionBy(by).orderBy("__p", "__side").rowsBetween(0, Window.unboundedFollowing)
-    return a.unionByName(b).withColumn("found", F.first("__value", ignorenulls=True).over(w)).where("__side = 0").select(*names, "found")
+    w = Window.partitionBy(by).orderBy(F.desc("__p"), F.desc("__side")).rowsBetween(Window.unboundedPreceding, 0)
+    return a.unionByName(b).withColumn("found", F.last("__value", ignorenulls=True).over(w)).where("__side = 0").select(*names, "found")
 
 
 def prefix_join(keys: DataFrame, prefixes: DataFrame) -> DataFrame:

@@ -151,8 +151,8 @@ def method_lines(files: DataFrame, tokens: DataFrame) -> DataFrame:
     behind = members.where("text = ')'").select("path", F.col("pos").alias("args_end"), F.col("after").alias("behind"))
     named = named.join(behind, ["path", "args_end"]).where("behind IN ('{', ';', 'throws')")
     stop = members.where("ends").select("path", "member", F.col("text").alias("stop"), F.col("pos").alias("stop_pos"), F.col("line").alias("stop_line"))
-    w = Window.partitionBy("path").orderBy("pos").rowsBetween(0, Window.unboundedFollowing)
-    next_brace = F.first(F.when((F.col("kind") == "mark") & (F.col("text") == "{"), F.col("pos")), ignorenulls=True).over(w)
+    w = Window.partitionBy("path").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)  # from the end, as frames to the end are begun anew for each row
+    next_brace = F.last(F.when((F.col("kind") == "mark") & (F.col("text") == "{"), F.col("pos")), ignorenulls=True).over(w)
     braces = members.select("path", "kind", "text", "pos").withColumn("brace", next_brace).select("path", F.col("pos").alias("args_end"), "brace")
     curly = partners.where("kind = 'curly'").select("path", F.col("pos").alias("brace"), "close_line")
     found = named.join(stop, ["path", "member"]).join(braces, ["path", "args_end"]).join(curly, ["path", "brace"], "left")

@@ -21,7 +21,7 @@ from calltrail.functions.text import CONTROL_WORDS
 #: (implements), ann. method: cls, mth, type (returns), name (access), extra (parameter types), n (arity), line, end, ann.
 #: field: cls, name, type, ann. var: cls, mth, name, type, extra (param, local, for). call: cls, mth, name (text), type
 #: (how it was found), pos. value: cls, mth, name (key), type (variable), extra (annotation). error: name.
-#: ann of var and call: parameter types of their method, which tell overloads apart.
+#: ann of var and call: parameter types of their method, which tell overloads apart. n of a param: its place.
 SCHEMA = "path string, kind string, cls string, mth string, name string, type string, extra string, ann string, pos long, n int, line int, end int, fallback boolean"
 COLUMNS = tuple(c.split()[0] for c in SCHEMA.split(", "))
 
@@ -245,8 +245,8 @@ class Scanner:
             end = self._until(close, "{", ";", stop=stop)
             last = self.partner[end] if t[end].text == "{" else end
             self.add("method", cls=scope.cls, mth=name, type=_joined(returns) or "constructor", name=access or "Default", extra=";".join(p for p, _ in params), n=len(params), pos=t[begin].at, line=t[begin].line, end=t[last].line, ann=";".join(annotations) or None)
-            for kind, v in params:
-                self.add("var", cls=scope.cls, mth=name, name=v, type=kind, extra="param", ann=";".join(p for p, _ in params), pos=t[k].at)
+            for place, (kind, v) in enumerate(params):
+                self.add("var", cls=scope.cls, mth=name, name=v, type=kind, extra="param", ann=";".join(p for p, _ in params), pos=t[k].at, n=place)
             return last + 1, (scope, name, params, end + 1, last) if t[end].text == "{" else None
         if k >= stop:
             return stop, None

@@ -135,16 +135,17 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
     array_to_string(list_transform(v, lambda b: array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST(b AS BIGINT) >> s) & 31 AS BIGINT) + 1, 1)), '')), '') AS payload_digest,
     CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM v"""
 
-#: All 200-byte strings by digest; a byte goes where one that repeats starts at it or up to 199 bytes before.
-_REPEATS = """
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-u AS (SELECT rid, h, len(h) // 2 AS n, unnest(range(0, len(h) // 2)) AS k FROM d),
-b AS (SELECT rid, k, substr(h, 2 * k + 1, 2) AS byte, CASE WHEN k <= n - 200 THEN md5_number(substr(h, 2 * k + 1, 400)) END AS win FROM u),
-n AS (SELECT win FROM b WHERE win IS NOT NULL GROUP BY 1 HAVING count(*) > 1),
-c AS (SELECT b.rid, b.k, b.byte, max(n.win IS NOT NULL) OVER (PARTITION BY b.rid ORDER BY b.k ROWS 199 PRECEDING) AS gone FROM b LEFT JOIN n ON n.win = b.win),
-l AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY k), false) AS starts FROM c),
-g AS (SELECT rid, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_spans, coalesce(string_agg(byte, '' ORDER BY k) FILTER (NOT gone), '') AS kept FROM l GROUP BY 1)
-SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN g USING (rid)"""
+#: All 200-byte strings by digest, cut from pieces of 699 bytes; those that repeat, put together where they touch, go.
+_REPEATS = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT rid, o, substr(h, 2 * o + 1, 1398) AS x FROM (SELECT rid, h, unnest(range(0, greatest(len(h) // 2 - 199, 0), 500)) AS o FROM d)),
+w AS MATERIALIZED (SELECT rid, o + k AS k, md5_number(substr(x, 2 * k + 1, 400)) AS win FROM (SELECT rid, o, x, unnest(range(0, len(x) // 2 - 199)) AS k FROM c)),
+n AS (SELECT win FROM w GROUP BY 1 HAVING count(*) > 1),
+s AS (SELECT rid, k, coalesce(k > lag(k) OVER (PARTITION BY rid ORDER BY k) + 200, true) AS starts FROM w SEMI JOIN n USING (win)),
+r AS (SELECT rid, min(k) AS a, max(k) + 200 AS b FROM (SELECT rid, k, sum(CAST(starts AS INTEGER)) OVER (PARTITION BY rid ORDER BY k) AS run FROM s) GROUP BY rid, run),
+p AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM r),
+g AS (SELECT rid, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM p JOIN d USING (rid) GROUP BY 1)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN g USING (rid)"""
 
 #: All phrases of one to four words by grouping; cuts and longer candidates by joins on lists of words.
 _PHRASES = r"""

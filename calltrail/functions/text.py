@@ -25,6 +25,15 @@ SYSTEM_METHODS = tuple(
 )
 #: Words before "(" that are no calls.
 CONTROL_WORDS = tuple("if else while for switch return try catch finally new throw assert class interface enum import package void int long double float boolean byte char short string static final abstract public private protected synchronized super this".split())
+#: Words that are no calls, by rule; the lists differ, and case counts.
+SKIP_WORDS = {
+    "order": CONTROL_WORDS,
+    "order_without_scope": tuple(
+        """if else while for switch return try catch finally new throw assert class interface enum import package void int long
+        double float boolean byte char short String static final abstract public private protected synchronized""".split()
+    ),
+    "calls": tuple("if for while switch catch new return synchronized this super assert equals".split()),
+}
 NO_RANK = 1_000_000_000
 
 

@@ -212,14 +212,17 @@ def _variables(f: DataFrame) -> DataFrame:
     return f.where("kind = 'var'").select(_body("ann").alias("body"), "name", "type", F.when(F.col("extra") == "param", "param").otherwise(F.col("extra")).alias("how"))
 
 
+def _named(f: DataFrame) -> DataFrame:
+    """body, mth: names that the scanner's qualified calls have."""
+    return f.where("kind = 'call' AND type <> 'dynamic'").select(_body("ann").alias("body"), F.explode(F.regexp_extract_all("name", F.lit(r"\.([A-Za-z_]\w*)\("), F.lit(1))).alias("mth"))
+
+
 @query("calls_regex_chain", f"SELECT 'm' || s AS mth, unnest(['Repo' || (k % 4) || '.find(a' || s || ').next()', 'Repo' || (k % 4) || '.save(v' || s || ')', 'Item.close()']) AS call, 'rewritten' AS how FROM {_ALL_METHODS}")
 def calls_regex_chain(t: Tables) -> DataFrame:
     """Chains by pattern over bodies without comments and literals, roots rewritten to types; next() is a bare name on a
     result, and goes as a qualified call has it."""
     f = materialize(facts(t).where("kind IN ('method', 'var', 'field', 'call')"))
-    named = f.where("kind = 'call' AND type <> 'dynamic'").select(_body("ann").alias("body"), F.explode(F.regexp_extract_all("name", F.lit(r"\.([A-Za-z_]\w*)\("), F.lit(1))).alias("mth"))
-    own = bodies(t, f)
-    found = resolution.chain_calls(own, _variables(f), f.where("kind = 'field'").select("cls", "name", "type"), named)
+    found = resolution.chain_calls(bodies(t, f), _variables(f), f.where("kind = 'field'").select("cls", "name", "type"), _named(f))
     return found.select(F.element_at(F.split("body", r"\|"), 3).alias("mth"), "call", "how")
 
 
@@ -243,14 +246,19 @@ def adapter_flags(t: Tables) -> DataFrame:
     return facts(t, include_unqualified=False).where("kind = 'call' AND mth LIKE 'm%' AND NOT fallback").select("mth", F.col("name").alias("call"))
 
 
-@query("lineage_rows", f"SELECT cls, mth, params, call FROM (SELECT DISTINCT c.mth, c.call, m.cls, 'int;List<String>;Svc' || m.t || '[]' AS params FROM ({_ALL_CALLS}) c JOIN {_METHODS} m ON c.mth = 'm' || m.s) UNION ALL SELECT 'Unit' || k, unnest(['Unit' || k, 'helper', 'over', 'over', 'over']), unnest(['int', '', 'int', 'int;String', 'String;long']), unnest(['None', 'None', 'None', 'None', 'Port.shut()']) FROM {_GOOD} UNION ALL SELECT 'Port', unnest(['open', 'shut']), unnest(['String', '']), 'None' FROM {_GOOD}".replace(_METHODS, _ALL_METHODS).replace(_GOOD, _UNITS))
+_CHAIN_CALLS = f"SELECT 'm' || s AS mth, unnest(['Repo' || (k % 4) || '.find(a' || s || ').next()', 'Repo' || (k % 4) || '.save(v' || s || ')', 'Item.close()']) AS call FROM {_METHODS}"
+
+
+@query("lineage_rows", f"SELECT cls, mth, params, call FROM (SELECT DISTINCT c.mth, c.call, m.cls, 'int;List<String>;Svc' || m.t || '[]' AS params FROM ({_ALL_CALLS} UNION ALL {_CHAIN_CALLS}) c JOIN {_METHODS} m ON c.mth = 'm' || m.s) UNION ALL SELECT 'Unit' || k, unnest(['Unit' || k, 'helper', 'over', 'over', 'over']), unnest(['int', '', 'int', 'int;String', 'String;long']), unnest(['None', 'None', 'None', 'None', 'Port.shut()']) FROM {_GOOD} UNION ALL SELECT 'Port', unnest(['open', 'shut']), unnest(['String', '']), 'None' FROM {_GOOD}".replace(_METHODS, _ALL_METHODS).replace(_GOOD, _UNITS))
 def lineage_rows(t: Tables) -> DataFrame:
-    """A row for each distinct call of a method; methods without calls keep one row, overloads their own. One parse, one join
-    on its two kinds; files that do not parse give what their second scan finds."""
-    f = materialize(facts(t).where("kind IN ('method', 'call')"))
-    called = f.where("kind = 'call'").groupBy("path", "cls", "mth", F.col("ann").alias("params")).agg(F.collect_set("name").alias("calls"))
-    rows = f.where("kind = 'method'").select("path", "cls", "mth", F.col("extra").alias("params")).join(called, ["path", "cls", "mth", "params"], "left").select("cls", "mth", "params", F.explode_outer("calls").alias("call"))
-    return rows.select("cls", "mth", "params", F.coalesce("call", F.lit("None")).alias("call"))
+    """A row for each distinct call of a method; methods without calls keep one row, overloads their own. Calls are the
+    scanner's, and chains with what they claim; files that do not parse give what their second scan finds. One parse."""
+    f = materialize(facts(t).where("kind IN ('method', 'call', 'var', 'field')"))
+    scanned = f.where("kind = 'call'").select(_body("ann").alias("body"), F.col("name").alias("call"))
+    chained = resolution.chain_calls(bodies(t, f), _variables(f), f.where("kind = 'field'").select("cls", "name", "type"), _named(f)).select("body", "call")
+    called = scanned.unionByName(chained).groupBy("body").agg(F.collect_set("call").alias("calls"))
+    rows = f.where("kind = 'method'").select(_body("extra").alias("body"), "cls", "mth", F.coalesce("extra", F.lit("")).alias("params")).join(called, "body", "left")
+    return rows.select("cls", "mth", "params", F.explode_outer("calls").alias("call")).select("cls", "mth", "params", F.coalesce("call", F.lit("None")).alias("call"))
 
 
 _ENTRY = "CASE k % 4 WHEN 0 THEN 'EJB_SLSB' WHEN 1 THEN 'SERVLET' WHEN 3 THEN 'EJB_MDB' ELSE 'GENERAL' END"

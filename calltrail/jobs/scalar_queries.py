@@ -218,10 +218,16 @@ def drop_sentinels(t: Tables) -> DataFrame:
     return t.calls.where(~T.is_sentinel(F.col("object_call"))).select(*KEY, "object_call")
 
 
-@query("skip_keywords", "SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w NOT IN (" + ", ".join(f"'{w}'" for w in T.CONTROL_WORDS) + ") GROUP BY 1")
+_SKIPPED = " UNION ALL ".join(f"SELECT doc_id, '{rule}' AS rule, count(*) AS n FROM w WHERE w NOT IN ({', '.join(repr(x) for x in words)}) GROUP BY 1" for rule, words in T.SKIP_WORDS.items())
+
+
+@query("skip_keywords", f"WITH w AS (SELECT doc_id, unnest(string_split(text, ' ') || ['String', 'string', 'this', 'else', 'equals']) AS w FROM documents) {_SKIPPED}")
 def skip_keywords(t: Tables) -> DataFrame:
-    words = t.documents.select("doc_id", F.explode(F.split(F.lower("text"), " ")).alias("w"))
-    return words.where(~F.col("w").isin(*T.CONTROL_WORDS)).groupBy("doc_id").agg(F.count("*").alias("n"))
+    """Words that are no keywords, by each rule's own list; case counts."""
+    more = F.array(*[F.lit(x) for x in ("String", "string", "this", "else", "equals")])
+    words = t.documents.select("doc_id", F.explode(F.concat(F.split("text", " "), more)).alias("w"))
+    rules = F.array(*[F.when(~F.col("w").isin(*own), F.lit(rule)) for rule, own in T.SKIP_WORDS.items()])
+    return words.select("doc_id", F.explode(F.array_compact(rules)).alias("rule")).groupBy("doc_id", "rule").agg(F.count("*").alias("n"))
 
 
 @query("valid_kinds", "SELECT DISTINCT 'C' || l_orderkey AS cls, method_name FROM {calls} WHERE l_orderkey IN (SELECT l_orderkey FROM {calls} WHERE type IN ('class', 'class_implements_interface', 'interface'))")

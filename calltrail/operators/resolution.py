@@ -18,7 +18,7 @@ CHAIN = r"\b[a-zA-Z_]\w*(?:\s*\([^()]*\))?(?:\s*\.\s*[a-zA-Z_]\w*\s*\([^()]*\))+
 ON_RESULT = r"\b[A-Za-z_]\w*\s*\([^()]*\)\s*\.\s*([A-Za-z_]\w*)\s*\("
 CHAIN_ON_RESULT = r"\b[A-Za-z_]\w*\s*\([^()]*\)(?:\s*\.\s*[A-Za-z_]\w*\s*\([^()]*\))+"
 SEGMENT = r"\.\s*([A-Za-z_]\w*)\s*\("
-CHAIN_KEYWORDS = tuple(dict.fromkeys([*T.SELF_ROOTS, *T.CONTROL_WORDS]))
+CHAIN_KEYWORDS = tuple(dict.fromkeys([*T.SELF_ROOTS, *T.SKIP_WORDS["calls"]]))
 
 
 def _all(text: Column | str, pattern: str, group: int) -> Column:

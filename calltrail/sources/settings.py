@@ -9,13 +9,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
-from calltrail.functions.text import CONTROL_WORDS, SYSTEM_METHODS, SYSTEM_QUALIFIERS
+from calltrail.functions.text import SKIP_WORDS, SYSTEM_METHODS, SYSTEM_QUALIFIERS
 
 #: Word lists where a configuration has none.
 DEFAULT_WORDS = {
     "SYSTEM_METHODS": SYSTEM_METHODS,
     "SYSTEM_QUALIFIERS": SYSTEM_QUALIFIERS,
-    "control_keywords": CONTROL_WORDS,
+    "control_keywords": SKIP_WORDS["calls"],
     "COLLECTION_TYPES": ("List", "Set", "Map", "Collection", "Queue", "Deque"),
     "PRIMITIVE": ("int", "long", "short", "byte", "char", "float", "double", "boolean", "void"),
     "DVT_FILES": (),

@@ -167,13 +167,19 @@ def var_types(t: Tables) -> DataFrame:
     return kind(t, "var").where("mth LIKE 'm%'").select("mth", "name", "type", F.col("extra").alias("how"))
 
 
+def called(t: Tables, include_unqualified: bool = True) -> DataFrame:
+    """Call rows of all files: sites of one parse, written once, with their roots typed by joins."""
+    return resolution.resolved_calls(materialize(facts(t).where("kind IN ('site', 'call', 'var', 'field')")), include_unqualified)
+
+
 def calls(t: Tables, *how: str) -> DataFrame:
-    return kind(t, "call").where(F.col("type").isin(*how) & F.col("mth").like("m%")).select("mth", F.col("name").alias("call"))
+    """Calls of files that parse, of all methods, constructors and overloads."""
+    return called(t).where(F.col("type").isin(*how) & ~F.col("fallback")).select("mth", F.col("name").alias("call"))
 
 
 _CALLS = {
     "sibling": [f"SELECT 'm' || s AS mth, cls || '.' || unnest(['local' || s, 'helper']) || '()' AS call FROM {_METHODS}"],
-    "qualified": [f"SELECT 'm' || s AS mth, unnest(['Svc' || t || '.run' || u, 'Repo' || (k % 4) || '.find', 'Item.close']) || '()' AS call FROM {_METHODS}"],
+    "qualified": [f"SELECT 'm' || s AS mth, unnest(['Svc' || t || '.run' || u, 'Repo' || (k % 4) || '.find', 'Item.close']) || '()' AS call FROM {_METHODS} UNION ALL SELECT 'over', 'Port.shut()' FROM {_GOOD}"],
     "chain": [f"SELECT 'm' || s AS mth, 'Repo' || (k % 4) || '.find().next()' AS call FROM {_METHODS}"],
     "this_field": [f"SELECT 'm' || s AS mth, 'Repo' || (k % 4) || '.save()' AS call FROM {_METHODS}"],
     "ctor": [f"SELECT 'm' || s AS mth, 'Svc' || t || '.Svc' || t || '()' AS call FROM {_METHODS}"],
@@ -192,8 +198,22 @@ def calls_raw(t: Tables) -> DataFrame:
 
 @query("calls_nested_args", f"SELECT 'm' || s AS mth, cls || '.local' || s || '()' AS call FROM {_METHODS}")
 def calls_nested_args(t: Tables) -> DataFrame:
-    """Calls among the arguments of another call."""
-    return calls(t, "sibling").where(F.col("call").contains(".local"))
+    """Calls among the arguments of another call: round brackets behind a name are bodies of it, and each call has its
+    innermost one. Brackets of conditions and groups are none."""
+    files_ = materialize(sources(t))
+    f = materialize(java.parse_sources(files_).where("kind IN ('site', 'var', 'field') AND NOT fallback"))
+    found = materialize(resolution.resolved_calls(f))
+    w = Window.partitionBy("path").orderBy("pos")
+    marks = java.all_tokens(files_).select("path", "text", "kind", F.lag("text").over(w).alias("name"), F.lag("kind").over(w).alias("before"), F.lag("text", 2).over(w).alias("before2"), "pos")
+    round_ = marks.where("kind = 'mark' AND text IN ('(', ')')")
+    opens = F.col("text") == "("
+    named = opens & (F.col("before") == "word") & ~F.col("name").isin(*T.CONTROL_WORDS) & (F.coalesce("before2", F.lit("")) != "@")
+    none = F.lit(None).cast("string")
+    tokens = round_.where(named).select("path", F.lit("decl").alias("kind"), "name", none.alias("recv"), (F.col("pos") * 2).alias("pos"))
+    tokens = tokens.unionByName(round_.select("path", F.when(opens, "open").otherwise("close").alias("kind"), none.alias("name"), none.alias("recv"), (F.col("pos") * 2 + 1).alias("pos")))
+    asks = found.select("path", F.lit("call").alias("kind"), none.alias("name"), none.alias("recv"), (F.col("pos") * 2).alias("pos")).distinct()
+    inside = spans.with_scope(tokens.unionByName(asks)).where("opened IS NOT NULL").select("path", (F.col("pos") / 2).cast("long").alias("pos"))
+    return found.join(inside, ["path", "pos"], "left_semi").select("mth", F.col("name").alias("call"))
 
 
 def bodies(t: Tables, f: DataFrame) -> DataFrame:
@@ -221,15 +241,15 @@ def _named(f: DataFrame) -> DataFrame:
 def calls_regex_chain(t: Tables) -> DataFrame:
     """Chains by pattern over bodies without comments and literals, roots rewritten to types; next() is a bare name on a
     result, and goes as a qualified call has it."""
-    f = materialize(facts(t).where("kind IN ('method', 'var', 'field', 'call')"))
-    found = resolution.chain_calls(bodies(t, f), _variables(f), f.where("kind = 'field'").select("cls", "name", "type"), _named(f))
+    f = materialize(facts(t).where("kind IN ('method', 'var', 'field', 'call', 'site')"))
+    found = resolution.chain_calls(bodies(t, f), _variables(f), f.where("kind = 'field'").select("cls", "name", "type"), _named(resolution.resolved_calls(f)))
     return found.select(F.element_at(F.split("body", r"\|"), 3).alias("mth"), "call", "how")
 
 
-@query("calls_fallback", f"SELECT mth, call, how FROM ({' UNION ALL '.join(f'SELECT mth, call, {chr(39)}{h}{chr(39)} AS how FROM ({v[0]})' for h, v in _CALLS.items())})".replace(_METHODS, f"(SELECT * FROM {_ALL_METHODS} WHERE k % 7 = 6)"))
+@query("calls_fallback", f"SELECT mth, call, how FROM ({' UNION ALL '.join(f'SELECT mth, call, {chr(39)}{h}{chr(39)} AS how FROM ({v[0]})' for h, v in _CALLS.items())})".replace(_METHODS, f"(SELECT * FROM {_ALL_METHODS} WHERE k % 7 = 6)").replace(_GOOD, f"(SELECT * FROM {_UNITS} WHERE k % 7 = 6)"))
 def calls_fallback(t: Tables) -> DataFrame:
     """Calls of files that do not parse, from the scan that lets the odd bracket be: with types, constructors, throws and chains."""
-    return facts(t).where("kind = 'call' AND fallback AND mth LIKE 'm%'").select("mth", F.col("name").alias("call"), F.col("type").alias("how"))
+    return called(t).where("fallback").select("mth", F.col("name").alias("call"), F.col("type").alias("how"))
 
 
 @query("calls_dynamic", "SELECT 'm' || p_partkey AS mth, 'g' || (p_partkey % 7) || '()' AS call FROM part")
@@ -237,13 +257,13 @@ def calls_dynamic(t: Tables) -> DataFrame:
     """f(...).g(): what is called on a result whose type is unknown."""
     p = F.col("p_partkey")
     files = t.part.select(fill("P«p».java", p=p).alias("path"), fill("class P«p» { void m«p»() { make(«p»).g«g»(x.y); } }", p=p, g=p % 7).alias("text"))
-    return java.parse_sources(files).where("kind = 'call' AND type = 'dynamic'").select("mth", F.col("name").alias("call"))
+    return resolution.resolved_calls(materialize(java.parse_sources(files))).where("type = 'dynamic'").select("mth", F.col("name").alias("call"))
 
 
 @query("adapter_flags", f"SELECT mth, call FROM ({' UNION ALL '.join(v[0] for h, v in _CALLS.items() if h != 'sibling')}) UNION ALL SELECT 'm' || s, cls || '.helper()' FROM {_METHODS}")
 def adapter_flags(t: Tables) -> DataFrame:
     """Without bare calls; this.helper() names its class and stays."""
-    return facts(t, include_unqualified=False).where("kind = 'call' AND mth LIKE 'm%' AND NOT fallback").select("mth", F.col("name").alias("call"))
+    return called(t, include_unqualified=False).where("NOT fallback").select("mth", F.col("name").alias("call"))
 
 
 _CHAIN_CALLS = f"SELECT 'm' || s AS mth, unnest(['Repo' || (k % 4) || '.find(a' || s || ').next()', 'Repo' || (k % 4) || '.save(v' || s || ')', 'Item.close()']) AS call FROM {_METHODS}"
@@ -253,11 +273,12 @@ _CHAIN_CALLS = f"SELECT 'm' || s AS mth, unnest(['Repo' || (k % 4) || '.find(a'
 def lineage_rows(t: Tables) -> DataFrame:
     """A row for each distinct call of a method; methods without calls keep one row, overloads their own. Calls are the
     scanner's, and chains with what they claim; files that do not parse give what their second scan finds. One parse."""
-    f = materialize(facts(t).where("kind IN ('method', 'call', 'var', 'field')"))
-    scanned = f.where("kind = 'call'").select(_body("ann").alias("body"), F.col("name").alias("call"))
-    chained = resolution.chain_calls(bodies(t, f), _variables(f), f.where("kind = 'field'").select("cls", "name", "type"), _named(f)).select("body", "call")
-    called = scanned.unionByName(chained).groupBy("body").agg(F.collect_set("call").alias("calls"))
-    rows = f.where("kind = 'method'").select(_body("extra").alias("body"), "cls", "mth", F.coalesce("extra", F.lit("")).alias("params")).join(called, "body", "left")
+    f = materialize(facts(t).where("kind IN ('method', 'call', 'site', 'var', 'field')"))
+    found = materialize(resolution.resolved_calls(f))
+    scanned = found.select(_body("ann").alias("body"), F.col("name").alias("call"))
+    chained = resolution.chain_calls(bodies(t, f), _variables(f), f.where("kind = 'field'").select("cls", "name", "type"), _named(found)).select("body", "call")
+    sets = scanned.unionByName(chained).groupBy("body").agg(F.collect_set("call").alias("calls"))
+    rows = f.where("kind = 'method'").select(_body("extra").alias("body"), "cls", "mth", F.coalesce("extra", F.lit("")).alias("params")).join(sets, "body", "left")
     return rows.select("cls", "mth", "params", F.explode_outer("calls").alias("call")).select("cls", "mth", "params", F.coalesce("call", F.lit("None")).alias("call"))
 
 
@@ -521,7 +542,7 @@ def decl_call_tokens(t: Tables) -> DataFrame:
 @query("call_rank", f"SELECT 'm' || s AS mth, call, CAST(rank AS INTEGER) AS rank FROM (SELECT s, unnest(['Svc' || t || '.Svc' || t || '()', 'Svc' || t || '.run' || u || '()', cls || '.local' || s || '()', 'Repo' || (k % 4) || '.find()', 'Repo' || (k % 4) || '.save()', cls || '.helper()', 'Ex' || u || '.Ex' || u || '()', 'Item.close()']) AS call, unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS rank FROM {_METHODS})")
 def call_rank(t: Tables) -> DataFrame:
     """Order of a method's distinct calls, by first place; the chain form of a call has its root's place and does not count."""
-    f = kind(t, "call").where("mth LIKE 'm%' AND type <> 'chain'").groupBy("path", "mth", F.col("name").alias("call")).agg(F.min("pos").alias("pos"))
+    f = called(t).where("mth LIKE 'm%' AND type <> 'chain' AND NOT fallback").groupBy("path", "mth", F.col("name").alias("call")).agg(F.min("pos").alias("pos"))
     return f.select("mth", "call", (F.row_number().over(Window.partitionBy("path", "mth").orderBy("pos")) - 1).alias("rank"))
 
 
@@ -770,4 +791,4 @@ def adapter_spi(t: Tables) -> DataFrame:
     p = F.col("p_partkey")
     pages = t.pages.select(fill("page«k»", k=F.col("page_id")).alias("path"), F.col("html").alias("text"), F.lit("script").alias("language"))
     java_ = t.part.select(fill("P«p».java", p=p).alias("path"), fill("class P«p» { B«q» b; void m() { b.go(); } }", p=p, q=p % 3).alias("text"), F.lit("java").alias("language"))
-    return adapters.parse(pages.unionByName(java_), "language").where("kind = 'call'").select("path", F.col("name").alias("call"))
+    return resolution.resolved_calls(materialize(adapters.parse(pages.unionByName(java_), "language"))).select("path", F.col("name").alias("call"))

@@ -58,6 +58,51 @@ def chain_calls(bodies: DataFrame, variables: DataFrame, fields: DataFrame, qual
     return calls.unionByName(bare.select("body", F.concat("mth", F.lit("()")).alias("call"), F.lit("dynamic").alias("how"))).distinct()
 
 
+# --- call sites -------------------------------------------------------------------------------------------------------
+
+
+def resolved_calls(rows: DataFrame, include_unqualified: bool = True) -> DataFrame:
+    """Call rows of call sites, their roots typed by joins; call rows among `rows` stay as they are.
+
+    A site is the names of an expression. Its root is a local or parameter of the method, else a field of its class, else
+    of the class around an anonymous one, else its own text; after `this.` it is a field. type: `ctor` and `throw` (X.X()), `sibling` (bare, or behind this: the class's own; bare ones only where
+    asked for), `qualified` and `this_field` (the first call on a root), `chain` (all calls on it), `dynamic` (called on
+    the result of a bare call). rows: of java.parse_sources(), as a table that may be read several times.
+    """
+    body = ["path", "cls", "mth", "ann"]
+    local = rows.where("kind = 'var'").groupBy(*body, "name").agg(F.max_by("type", "pos").alias("__local"))
+    member = rows.where("kind = 'field'").groupBy("path", "cls", "name").agg(F.max_by("type", "pos").alias("__member"))
+    w = F.split("name", r"\.")
+    called = lambda x: x.endswith("()")
+    own = rows.where("kind = 'site'").withColumn("__w", w).withColumn("__bare", (F.col("type") == "plain") & called(F.get("__w", F.lit(0)))).withColumn("__self", (F.col("type") == "plain") & F.get("__w", F.lit(0)).isin("this", "super"))
+    own = own.withColumn("__at", F.when(F.col("__self") & ~called(F.coalesce(F.get("__w", F.lit(1)), F.lit("()"))), 1).otherwise(0)).withColumn("__root", F.get("__w", F.col("__at")))
+    typed = own.join(local.withColumnRenamed("name", "__root"), [*body, "__root"], "left").join(member.withColumnRenamed("name", "__root"), ["path", "cls", "__root"], "left")
+    around = member.select("path", F.col("cls").alias("__around"), F.col("name").alias("__root"), F.col("__member").alias("__outer"))
+    typed = typed.withColumn("__around", F.when(F.col("cls").contains("$"), F.substring_index("cls", "$", 1))).join(around, ["path", "__around", "__root"], "left")
+    field = F.coalesce("__member", "__outer", "__root")
+    known = F.when(~F.col("type").isin("plain", "index"), F.col("__root")).when(F.col("__self") & (F.col("__at") == 0), F.col("cls")).when(F.col("__self"), field).otherwise(F.coalesce("__local", field))
+    root = F.regexp_replace(known, "<.*>", "")
+    root = F.when(F.col("type") == "index", F.replace(root, F.lit("[]"), F.lit(""))).otherwise(root)
+    rest = F.expr("slice(__w, __at + 2, size(__w))")
+    typed = typed.withColumn("__rest", rest).withColumn("__calls", F.filter("__rest", called))
+    first, whole = (F.array_join(F.concat(F.array(root), x), ".") for x in (F.slice("__rest", F.lit(1), F.array_position("__rest", F.get("__calls", F.lit(0))).cast("int")), F.col("__rest")))
+    none = F.array().cast("array<struct<name:string,type:string>>")
+
+    def one(name: Column, how: Column | str) -> Column:
+        return F.array(F.struct(name.alias("name"), (F.lit(how) if isinstance(how, str) else how).alias("type")))
+
+    chain = F.when(F.size("__calls") > 1, one(whole, "chain")).otherwise(none)
+    how = F.when(F.col("__self"), F.when(F.col("__at") == 1, "this_field").otherwise("sibling")).otherwise("qualified")
+    bare = one(F.concat("cls", F.lit("."), F.get("__w", F.lit(0))), "sibling") if include_unqualified else none
+    found = (
+        F.when(F.col("type").isin("new", "throw"), one(F.concat("__root", F.lit("."), "__root", F.lit("()")), F.when(F.col("type") == "throw", "throw").otherwise("ctor")))
+        .when(F.col("__bare"), F.concat(bare, F.transform("__calls", lambda x: F.struct(x.alias("name"), F.lit("dynamic").alias("type")))))
+        .otherwise(F.concat(one(first, how), chain))
+    )
+    calls = typed.select(*[c for c in rows.columns if c not in ("name", "type", "kind")], F.inline(found), F.lit("call").alias("kind"))
+    return calls.select(*rows.columns).unionByName(rows.where("kind = 'call'"))
+
+
 # --- import scopes ----------------------------------------------------------------------------------------------------
 
 #: Rules in the order in which they are asked; the flag that a rule needs, if any.

@@ -35,7 +35,7 @@ class JavaAdapter:
         self.flags: dict = {}
 
     def configure(self, **flags) -> None:
-        self.flags = {k: v for k, v in flags.items() if k in ("accept_new_types", "include_unqualified")}
+        self.flags = {k: v for k, v in flags.items() if k == "accept_new_types"}
 
     def strip(self, text: str) -> str:
         return java.blanked(text)

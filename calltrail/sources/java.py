@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,8 +20,9 @@ from calltrail.functions.text import CONTROL_WORDS
 #: package: name. import: name, type (type, wildcard, static, static_wildcard). type: cls, type, name (extends), extra
 #: (implements), ann. method: cls, mth, type (returns), name (access), extra (parameter types), n (arity), line, end, ann.
 #: field: cls, name, type, ann. var: cls, mth, name, type, extra (param, local, for). call: cls, mth, name (text), type
-#: (how it was found), pos. value: cls, mth, name (key), type (variable), extra (annotation). error: name.
-#: ann of var and call: parameter types of their method, which tell overloads apart. n of a param: its place.
+#: (how it was found), pos. site: cls, mth, name (names of a call expression), type (plain, index, cast, new, throw, made),
+#: pos; resolution.resolved_calls() makes calls of them. value: cls, mth, name (key), type (variable), extra (annotation). error: name.
+#: ann of var, site and call: parameter types of their method, which tell overloads apart. n of a param: its place.
 SCHEMA = "path string, kind string, cls string, mth string, name string, type string, extra string, ann string, pos long, n int, line int, end int, fallback boolean"
 COLUMNS = tuple(c.split()[0] for c in SCHEMA.split(", "))
 
@@ -52,7 +53,6 @@ def _open_angles(tokens: list[Token]) -> bool:
 @dataclass
 class Scope:
     cls: str
-    fields: dict[str, str] = field(default_factory=dict)
 
 
 def tokenize(text: str, comments: bool = False) -> list[Token]:
@@ -103,9 +103,9 @@ def _joined(tokens: list[Token]) -> str:
 
 
 class Scanner:
-    def __init__(self, path: str, text: str, accept_new_types: bool = True, include_unqualified: bool = True):
+    def __init__(self, path: str, text: str, accept_new_types: bool = True):
         self.path, self.text = path, text
-        self.accept_new_types, self.include_unqualified = accept_new_types, include_unqualified
+        self.accept_new_types = accept_new_types
         self.tokens = tokenize(text)
         self.rows: list[dict] = []
         self.fallback = False
@@ -258,7 +258,6 @@ class Scanner:
         while end < stop and t[end].text != ";":
             end = self.partner[end] + 1 if end in self.partner else end + 1
         for name in [t[k - 1].text, *self._more_names(k, end)]:
-            scope.fields[name] = kind
             self.add("field", cls=scope.cls, name=name, type=kind, ann=";".join(annotations) or None, pos=t[i].at, line=t[i].line)
             for a in annotations:
                 if a.startswith("@Value"):
@@ -314,12 +313,10 @@ class Scanner:
     def _body(self, scope: Scope, method: str, params: list[tuple[str, str]], i: int, stop: int) -> None:
         inner = self._anonymous(scope, i, stop)
         self.signature = ";".join(kind for kind, _ in params)
-        types = dict((name, kind) for kind, name in params)
-        types |= self._locals(scope, method, i, stop, inner)
-        types |= {n: k for n, k in scope.fields.items() if n not in types}
+        self._locals(scope, method, i, stop, inner)
         for k in range(i, stop):
             if k not in inner:
-                self._call(scope, method, types, k, stop)
+                self._site(scope, method, k, stop)
 
     def _anonymous(self, scope: Scope, i: int, stop: int) -> set[int]:
         """Bodies of anonymous classes as types of their own; returns the tokens in them."""
@@ -337,12 +334,12 @@ class Scanner:
                 name = f"{scope.cls}${self.anonymous}"
                 self.add("type", cls=name, type="anonymous", name=t[k + 1].text, pos=t[k].at, line=t[k].line)
                 inner |= set(range(body, self.partner[body] + 1))
-                self._members(body + 1, self.partner[body], Scope(name, dict(scope.fields)))
+                self._members(body + 1, self.partner[body], Scope(name))
         return inner
 
-    def _locals(self, scope: Scope, method: str, i: int, stop: int, inner: set[int]) -> dict[str, str]:
+    def _locals(self, scope: Scope, method: str, i: int, stop: int, inner: set[int]) -> None:
         """Declared variables: Type name followed by "=", ";", or ":" of a loop; a constructor call names the type."""
-        t, out = self.tokens, {}
+        t = self.tokens
         for k in range(i + 1, stop):
             if k in inner or t[k].kind != "word" or k + 1 >= stop or t[k + 1].text not in ("=", ";", ":", ",") or t[k].text in CONTROL_WORDS:
                 continue
@@ -367,78 +364,58 @@ class Scanner:
             while end < stop and t[end].text != ";" and not loop:
                 end = self.partner[end] + 1 if end in self.partner else end + 1
             for name, own in [(t[k].text, kind), *((n, declared) for n in (() if loop else self._more_names(k + 1, end)))]:
-                out[name] = own
                 self.add("var", cls=scope.cls, mth=method, name=name, type=own, extra="for" if loop else "local", ann=self.signature, pos=t[k].at)
-        return out
 
-    def _call(self, scope: Scope, method: str, types: dict[str, str], k: int, stop: int) -> None:
-        """The call expression that starts at token k, if one does."""
+    def _site(self, scope: Scope, method: str, k: int, stop: int) -> None:
+        """The call expression that starts at token k, if one does: its names in a row, called ones with "()"."""
         t = self.tokens
         if t[k].text == "(" and k + 1 < stop and t[k + 1].text == "(":  # ((Type) x).call(
             cast, close = self.partner[k + 1], self.partner[k]
             typed = all(x.kind == "word" or x.text in (".", "<", ">", ",", "[", "]") for x in t[k + 2 : cast]) and t[k + 2].kind == "word"
             if typed and t[cast + 1].kind == "word" and close + 3 < stop and t[close + 1].text == "." and t[close + 3].text == "(":
-                self._found(scope, method, f"{re.sub(r'<.*>', '', _joined(t[k + 2 : cast]))}.{t[close + 2].text}()", "qualified", t[k].at)
+                names, _ = self._names(close + 2, stop)
+                self._found(scope, method, [re.sub(r"<.*>", "", _joined(t[k + 2 : cast])), *names], "cast", t[k].at)
             return
         if t[k].kind != "word" or t[k - 1].text == "." or t[k].text in _SKIP:
             return
         if t[k - 1].text == "new":
             if k + 1 < stop and t[k + 1].text in ("(", "<"):
-                how = "throw" if t[k - 2].text == "throw" else "ctor"
-                self._found(scope, method, f"{t[k].text}.{t[k].text}()", how, t[k].at)
+                self._found(scope, method, [t[k].text], "throw" if t[k - 2].text == "throw" else "new", t[k].at)
+                end = self._until(k, "(", stop=stop)
+                after = self.partner[end] + 1
+                if after + 1 < stop and t[after].text == "." and t[after + 1].kind == "word":  # new X(..).call(
+                    names, called = self._names(after + 1, stop)
+                    if called:
+                        self._found(scope, method, [t[k].text, *names], "made", t[k].at)
             return
-        parts, j = [t[k].text], k + 1
-        called = []
-        index = j < stop and t[j].text == "["
+        j = k + 1
         while j < stop and t[j].text == "[":  # a[0].call(
             j = self.partner[j] + 1
-        while j < stop:
-            if t[j].text == "(" and len(called) < len(parts):
-                called += [False] * (len(parts) - 1 - len(called)) + [True]
-                j = self.partner[j] + 1
-            elif t[j].text == "." and j + 1 < stop and t[j + 1].kind == "word":
-                called += [False] * (len(parts) - len(called))
-                parts.append(t[j + 1].text)
-                j += 2
+        if j > k + 1:
+            names, called = self._names(j + 1, stop) if j + 1 < stop and t[j].text == "." else ([], False)
+            names = [t[k].text, *names]
+        else:
+            names, called = self._names(k, stop)
+        if called:
+            self._found(scope, method, names, "index" if j > k + 1 else "plain", t[k].at)
+
+    def _names(self, j: int, stop: int) -> tuple[list[str], bool]:
+        """Names joined by dots from token j to the last one that is called, and whether one is."""
+        t, out, last = self.tokens, [], 0
+        while j < stop and t[j].kind == "word":
+            out.append(t[j].text)
+            j += 1
+            if j < stop and t[j].text == "(":
+                out[-1] += "()"
+                last, j = len(out), self.partner[j] + 1
+            if j + 1 < stop and t[j].text == ".":
+                j += 1
             else:
                 break
-        called += [False] * (len(parts) - len(called))
-        if not any(called):
-            return
-        at = t[k].at
-        last = max(i for i, c in enumerate(called) if c)
-        parts, called = parts[: last + 1], called[: last + 1]
-        if called[0]:
-            if self.include_unqualified:
-                self._found(scope, method, f"{scope.cls}.{parts[0]}()", "sibling", at)
-            for name, c in zip(parts[1:], called[1:], strict=True):
-                if c:
-                    self._found(scope, method, f"{name}()", "dynamic", at)
-            return
-        how = "qualified"
-        if parts[0] in ("this", "super"):
-            if called[1]:
-                self._found(scope, method, f"{scope.cls}.{parts[1]}()", "sibling", at)
-                root, parts, called = scope.cls, parts[1:], called[1:]
-                if sum(called) < 2:
-                    return
-                parts, called, how = ["", *parts], [False, *called], "chain"
-            else:
-                root, parts, called, how = types.get(parts[1], parts[1]), parts[1:], called[1:], "this_field"
-        else:
-            root = types.get(parts[0], parts[0])
-        root = re.sub(r"<.*>", "", root)
-        if index:
-            root = root.replace("[]", "")
-        path = [p for p, c in zip(parts[1:], called[1:], strict=True) if not c]
-        names = [p for p, c in zip(parts[1:], called[1:], strict=True) if c]
-        prefix = ".".join([root, *path])
-        self._found(scope, method, f"{prefix}.{names[0]}()", how, at)
-        if len(names) > 1:
-            self._found(scope, method, f"{prefix}.{'.'.join(f'{n}()' for n in names)}", "chain", at)
-
-    def _found(self, scope: Scope, method: str, text: str, how: str, at: int) -> None:
-        self.add("call", cls=scope.cls, mth=method, name=text, type=how, ann=self.signature, pos=at)
+        return out[:last], last > 0
+
+    def _found(self, scope: Scope, method: str, names: list[str], how: str, at: int) -> None:
+        self.add("site", cls=scope.cls, mth=method, name=".".join(names), type=how, ann=self.signature, pos=at)
 
     # --- files that do not scan at all ---
 

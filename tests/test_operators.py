@@ -6,14 +6,16 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
-from calltrail.operators import graph, lookup, ordering
+from calltrail.operators import graph, lookup, ordering, resolution
 from calltrail.sources import files as S
 from calltrail.sources import adapters, settings as conf
-from calltrail.sources.java import COLUMNS, Scanner, blanked, code_tokens
+from calltrail.sources.java import COLUMNS, SCHEMA, Scanner, blanked, code_tokens
 
 
-def calls(text, **options):
-    return {(r["mth"], r["name"], r["type"]) for r in Scanner("A.java", text, **options).run() if r["kind"] == "call"}
+def calls(spark, text, **options):
+    """Calls of one file: sites of the scanner, typed by joins."""
+    rows = spark.createDataFrame([(*[r.get(c) for c in COLUMNS],) for r in Scanner("A.java", text).run()], SCHEMA)
+    return {(r["mth"], r["name"], r["type"]) for r in resolution.resolved_calls(rows, **options).collect()}
 
 
 @pytest.mark.parametrize(
@@ -31,23 +33,41 @@ def calls(text, **options):
         ("Bar b = new Baz(); b.go();", {("Baz.Baz()", "ctor"), ("Baz.go()", "qualified")}),
         ("make(1).then();", {("A.make()", "sibling"), ("then()", "dynamic")}),
         ("char c = '{'; f.go();", {("Foo.go()", "qualified")}),
+        ("new B().go().stop();", {("B.B()", "ctor"), ("B.go()", "qualified"), ("B.go().stop()", "chain")}),
+        ("((B) c).go().then();", {("B.go()", "qualified"), ("B.go().then()", "chain")}),
+        ("g.h.go();", {("g.h.go()", "qualified")}),
+        ("f.x.a().b();", {("Foo.x.a()", "qualified"), ("Foo.x.a().b()", "chain")}),
+        ("this.m2().f.b();", {("A.m2()", "sibling"), ("A.m2().f.b()", "chain")}),
+        ("this.f.a().b();", {("Foo.a()", "this_field"), ("Foo.a().b()", "chain")}),
+        ("Foo[] l = null; l[0].go();", {("Foo.go()", "qualified")}),
+        ("List<Foo> f = x; f.get(0);", {("List.get()", "qualified")}),
+        ("new T() { void r() { f.go(); m9(); } };", {("T.T()", "ctor"), ("Foo.go()", "qualified"), ("A$1.m9()", "sibling")}),
     ],
 )
-def test_call_forms(body, want):
-    assert {(n, k) for _, n, k in calls(f"class A {{ Foo f; void m() {{ {body} }} }}")} == want
+def test_call_forms(spark, body, want):
+    assert {(n, k) for _, n, k in calls(spark, f"class A {{ Foo f; void m() {{ {body} }} }}")} == want
 
 
-def test_fields_behind_methods_nested_types_and_generics():
+def test_bare_calls_only_where_asked_for(spark):
+    assert calls(spark, "class A { void m() { m2(); this.m3(); make().then(); } }", include_unqualified=False) == {("m", "A.m3()", "sibling"), ("m", "then()", "dynamic")}
+
+
+def test_overloads_have_variables_of_their_own(spark):
+    assert {n for _, n, _ in calls(spark, "class A { B x; void m(C x) { x.go(); } void m(D x) { x.go(); } void m() { x.go(); } }")} == {"C.go()", "D.go()", "B.go()"}
+
+
+def test_fields_behind_methods_nested_types_and_generics(spark):
     rows = Scanner("A.java", "class A<T extends B<C>> { <R> List<R> m(Map<String, R> x) { f.go(); return null; } class I { int n() { return 1; } } Foo f; }").run()
     methods = {(r["cls"], r["mth"], r["type"], r["extra"]) for r in rows if r["kind"] == "method"}
     assert methods == {("A", "m", "List<R>", "Map<String,R>"), ("I", "n", "int", "")}
-    assert ("m", "Foo.go()", "qualified") in {(r["mth"], r["name"], r["type"]) for r in rows if r["kind"] == "call"}
+    assert ("m", "f.go()", "plain") in {(r["mth"], r["name"], r["type"]) for r in rows if r["kind"] == "site"}
+    assert ("m", "Foo.go()", "qualified") in calls(spark, "class A { <R> void m(R x) { f.go(); } class I { } Foo f; }")
 
 
 def test_unmatched_brackets_give_an_error_row_and_a_second_scan():
     rows = Scanner("A.java", "class A { B x; void m() { x.go(); }").run()
-    assert [r["kind"] for r in rows] == ["error", "type", "field", "method", "call"] and all(r["fallback"] for r in rows)
-    assert rows[-1]["name"] == "B.go()" and Scanner("E.java", "").run() == []
+    assert [r["kind"] for r in rows] == ["error", "type", "field", "method", "site"] and all(r["fallback"] for r in rows)
+    assert rows[-1]["name"] == "x.go()" and Scanner("E.java", "").run() == []
 
 
 @pytest.mark.parametrize("text", ["import a.b", "class A", "class A { void m() }", "package x", "enum E", "class A { int f(", "@", "class A { void m() { new X( } }", "class A<T { void m() { a[; } }"])
@@ -68,13 +88,12 @@ def test_no_text_stops_the_scanner(data):
     code_tokens(text)
 
 
-def test_shared_declarations_casts_indexes_and_inner_classes():
+def test_shared_declarations_casts_indexes_and_inner_classes(spark):
     text = "class A { int a = 1, b = 2; Map<String, B> c, d; B[] arr; void m() { int p = f(1, 2), q; B r, s = new C(); ((B) c).go(); arr[0].k(); r.x(new R() { void in() { z.y(); } }); foo(a, b); } }"
     rows = Scanner("A.java", text).run()
     assert {r["name"] for r in rows if r["kind"] == "field"} == {"a", "b", "c", "d", "arr"}
     assert {(r["name"], r["type"]) for r in rows if r["kind"] == "var"} == {("p", "int"), ("q", "int"), ("r", "B"), ("s", "B")}
-    got = {(r["cls"], r["name"]) for r in rows if r["kind"] == "call"}
-    assert got == {("A", n) for n in ("A.f()", "C.C()", "B.go()", "B.k()", "B.x()", "R.R()", "A.foo()")} | {("A$1", "z.y()")}
+    assert {n for _, n, _ in calls(spark, text)} == {"A.f()", "C.C()", "B.go()", "B.k()", "B.x()", "R.R()", "A.foo()", "z.y()"}
 
 
 def test_patterns_find_what_no_scan_does():
@@ -163,7 +182,7 @@ def test_settings_and_adapters(spark):
         config.words("missing")
     df = spark.createDataFrame([("a", "class A { void m() { x.y(); } }", "java"), ("b", "<p>go(1)", "script"), ("c", "x", "cobol"), ("d", None, "java")], "path STRING, text STRING, language STRING")
     got = adapters.parse(df, "language").collect()
-    assert {(r.path, r.kind, r.name) for r in got if r.kind in ("call", "error")} == {("a", "call", "x.y()"), ("b", "call", "go()"), ("c", "error", "no adapter for cobol")}
+    assert {(r.path, r.kind, r.name) for r in got if r.kind in ("call", "site", "error")} == {("a", "site", "x.y()"), ("b", "call", "go()"), ("c", "error", "no adapter for cobol")}
 
 
 def test_overloads_go_by_arity_then_types_then_lines(spark):

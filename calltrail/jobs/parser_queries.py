@@ -757,7 +757,7 @@ CONFIG = """{"Language": {"Java": {"Application": {"shop": {
 
 def _config(t: Tables) -> settings.Config:
     path = new_path(t.spark, "config")
-    t.region.where("r_regionkey = 0").select(F.lit(CONFIG).alias("value")).write.text(path)
+    t.region.where("r_regionkey = 0").select(F.lit(CONFIG).alias("value")).coalesce(1).write.text(path)
     return settings.read_config(t.spark, path, "Java", "shop")
 
 

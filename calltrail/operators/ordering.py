@@ -50,7 +50,7 @@ def with_previous(df: DataFrame, order: list[str], columns: list[str], position:
     Rows are numbered over all tasks and looked at in blocks of `size`, each with the last row of the block before it, so
     no window holds more rows than that.
     """
-    ranked = materialize(global_rank(df, order, position))
+    ranked = global_rank(df, order, position)  # a written table and a broadcast: it may be read twice
     block, mark = unused(ranked, "__block"), unused(ranked, "__mark")
     at = F.col(position)
     own = ranked.withColumn(block, F.floor(at / size)).withColumn(mark, F.lit(False))
@@ -73,7 +73,7 @@ def global_runs(df: DataFrame, value: str, order: list[str], size: int = 1 << 16
 def rank_within(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
     """Place of each row among those of its group, from 0. A group's rows may be any share of the table: they are numbered
     with all others, and each group's first number is taken off."""
-    ranked = materialize(global_rank(df, [*by, *order], name))
+    ranked = global_rank(df, [*by, *order], name)  # a written table and a broadcast: it may be read twice
     first = ranked.groupBy(*by).agg(F.min(name).alias("__first"))
     return ranked.join(first, by).withColumn(name, F.col(name) - F.col("__first")).drop("__first")
 

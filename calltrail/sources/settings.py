@@ -43,9 +43,11 @@ class Config:
 
 
 def read_config(spark: SparkSession, path: str, language: str, application: str) -> Config:
-    """Looks up Language > language > Application > application; what is missing on the way is a KeyError."""
-    whole = "\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
-    found = json.loads(whole)
+    """Looks up Language > language > Application > application in one file; what is missing on the way is a KeyError."""
+    files = spark.read.option("wholetext", True).text(path).limit(2).collect()
+    if len(files) != 1:
+        raise ValueError(f"{path} is not one file")
+    found = json.loads(files[0]["value"])
     for key in ("Language", language, "Application", application):
         found = found[key]
     return Config(found.get("Language_details", {}), found.get("Regex_Pattern", {}))

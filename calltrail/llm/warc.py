@@ -34,25 +34,31 @@ def digest32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_urn(page: str | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}')}>"
+def record_urn(file: str, at: int) -> str:
+    """Name of the record that starts there; file names are unique, so no two records share one."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{at}')}>"
 
 
 def _header(text: str) -> str:
     return "".join(c if c.isprintable() and c != " " else "".join(f"%{b:02X}" for b in c.encode("utf-8", "replace")) for c in text)
 
 
-def make_record(page: str | None, url: str | None, payload: bytes, first: str | None, date: str) -> bytes:
-    """A response, or with `first` a revisit of that page's record: its block keeps the HTTP head and leaves the payload out."""
+def target_uri(page: str | None, url: str | None) -> str:
+    return _header(url) if url else f"urn:page:{page}"
+
+
+def make_record(urn: str, page: str | None, url: str | None, payload: bytes, first: str | None, first_url: str | None, date: str) -> bytes:
+    """A response, or with `first` a revisit of that page's record, named by its address, date and payload digest: its
+    block keeps the HTTP head and leaves the payload out."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if first is not None else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}", f"WARC-Record-ID: {record_urn(page)}", f"WARC-Date: {date}"]
-    head.append(f"WARC-Target-URI: {_header(url) if url else f'urn:page:{page}'}")
+    head = ["WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}", f"WARC-Record-ID: {urn}", f"WARC-Date: {date}"]
+    head.append(f"WARC-Target-URI: {target_uri(page, url)}")
     head.append(f"WARC-Payload-Digest: sha1:{digest32(payload)}")
     if page is not None:
         head.append(f"X-Page-ID: {page}")
     if first is not None:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_urn(first)}", f"X-Refers-To-Page: {first}"]
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To-Target-URI: {target_uri(first, first_url)}", f"WARC-Refers-To-Date: {date}", f"X-Refers-To-Page: {first}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode("utf-8") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -89,14 +95,16 @@ def _codec(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def with_first(pages: DataFrame, id_col: str, url_col: str, payload_col: str, least: int) -> DataFrame:
-    """page, url, payload and first: the smallest id of the same payload, null where this row has it or is alone.
+    """page, url, payload, first and first_url: the smallest id of the same payload and its address, null where this row
+    has that id or is alone.
 
     Ids and digests alone are grouped, before a shuffle too; the payloads move once, to meet their group's first id. A null
     id is smaller than none, so its row revisits the first one of its payload; rows of null ids alone are all responses.
     """
     own = pages.select(F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload")).withColumn("digest", F.sha2("payload", 256))
-    firsts = own.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.min("page").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    return own.join(firsts, "digest", "left").select("page", "url", "payload", F.when(~F.col("page").eqNullSafe(F.col("first")), F.col("first")).alias("first"))
+    firsts = own.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.min(F.struct(F.col("page").isNull().alias("none"), "page", "url")).alias("f"), F.count("*").alias("n")).where("n > 1").select("digest", F.col("f.page").alias("first"), F.col("f.url").alias("first_url"))
+    other = ~F.col("page").eqNullSafe(F.col("first"))
+    return own.join(firsts, "digest", "left").select("page", "url", "payload", F.when(other, F.col("first")).alias("first"), F.when(other, F.col("first_url")).alias("first_url"))
 
 
 def write_archives(spark: SparkSession, pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 0, date: str = "2024-01-01T00:00:00Z", fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -111,7 +119,7 @@ def write_archives(spark: SparkSession, pages: DataFrame, folder: str, id_col: s
     share = int((1 << 20) * min(1.0, 2 * fit_rows / max(1, fit.count())))
     spot = F.pmod(F.xxhash64("page", "p"), F.lit(1 << 20))
     sample = fit.where(spot <= share).orderBy(spot, "page", "p", "url").limit(fit_rows)
-    dictionary = fit_dictionary([make_record(r["page"], r["url"], r["p"].encode("utf-8", "surrogatepass"), None, date) for r in sample.collect()])
+    dictionary = fit_dictionary([make_record(record_urn("sample", k), r["page"], r["url"], r["p"].encode("utf-8", "surrogatepass"), None, None, date) for k, r in enumerate(sample.collect())])
     shared = spark.sparkContext.broadcast(dictionary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,12 +127,12 @@ def write_archives(spark: SparkSession, pages: DataFrame, folder: str, id_col: s
         pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=_codec(dictionary), write_content_size=True).compress
         out, rows, at = None, [], 0
         for batch in batches:
-            for page, url, payload, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page, url, payload, first, first_url in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if out is None:
                     out = BlobWriter(folder, ".warc.zst")
                     out.write([dictionary_frame(dictionary)])
                     at = out.tell()
-                out.write([pack(make_record(page, url, payload.encode("utf-8", "surrogatepass"), first, date))])
+                out.write([pack(make_record(record_urn(out.name, out.tell()), page, url, payload.encode("utf-8", "surrogatepass"), first, first_url, date))])
                 if out.tell() - at >= GROUP_BYTES:
                     rows.append((out.name, at, out.tell() - at))
                     at = out.tell()
@@ -135,13 +143,13 @@ def write_archives(spark: SparkSession, pages: DataFrame, folder: str, id_col: s
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["file", "at", "size"])
 
     own = with_first(pages, id_col, url_col, payload_col, least)
-    columns = own.select(F.col("page").cast("string").alias("page"), "url", "payload", F.col("first").cast("string").alias("first"))
+    columns = own.select(F.col("page").cast("string").alias("page"), "url", "payload", F.col("first").cast("string").alias("first"), "first_url")
     return columns.mapInArrow(run, "file string, at long, size long")
 
 
 def read_archives(groups: DataFrame, folder: str) -> DataFrame:
-    """page, payload_bytes, payload_digest, record_type, refers_to, target_uri: a row for each record read back."""
-    names = ["page", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri"]
+    """page, payload_bytes, payload_digest, record_type, refers_to, target_uri, record_id, refers_to_uri: a row for each record read back."""
+    names = ["page", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri", "record_id", "refers_to_uri"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, name, unpack = BlobReader(folder), None, None
@@ -155,11 +163,11 @@ def read_archives(groups: DataFrame, folder: str) -> DataFrame:
                 rows = []
                 for raw in split_frames(reader.read(file, at, size), unpack):
                     headers, _, length = parse_record(raw)
-                    rows.append((headers.get("X-Page-ID"), length, headers["WARC-Payload-Digest"].removeprefix("sha1:"), headers["WARC-Type"], headers.get("X-Refers-To-Page"), headers["WARC-Target-URI"]))
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64() if k == 1 else pa.string()) for k in range(6)], names=names)
+                    rows.append((headers.get("X-Page-ID"), length, headers["WARC-Payload-Digest"].removeprefix("sha1:"), headers["WARC-Type"], headers.get("X-Refers-To-Page"), headers["WARC-Target-URI"], headers["WARC-Record-ID"], headers.get("WARC-Refers-To-Target-URI")))
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64() if k == 1 else pa.string()) for k in range(len(names))], names=names)
 
     n = max(1, groups.sparkSession.sparkContext.defaultParallelism)
-    return groups.repartition(n, "file", "at").mapInArrow(run, "page string, payload_bytes long, payload_digest string, record_type string, refers_to string, target_uri string")
+    return groups.repartition(n, "file", "at").mapInArrow(run, "page string, payload_bytes long, payload_digest string, record_type string, refers_to string, target_uri string, record_id string, refers_to_uri string")
 
 
 def split_frames(raw: bytes, unpack) -> Iterator[bytes]:

@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 
 from calltrail.llm import avi, bloom, decontam, langid, neardup, pieces, pii, queries, repeats, tokenfile, warc
-from calltrail.llm.common import Memo
+from calltrail.llm.common import Memo, materialize, new_path
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -555,6 +555,11 @@ def test_archives(spark, empty):
             assert (x.payload_bytes, x.payload_digest) == (len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode())
             assert (x.record_type, x.refers_to) == (("response", None) if first[h or ""] == k else ("revisit", first[h or ""]))
     assert sum(map(len, got.values())) == len(rows) and len(got[None]) == 2
+    folder = new_path(spark, "warc-test")
+    records = warc.read_archives(materialize(warc.write_archives(spark, pages, folder), "groups"), folder).collect()
+    assert len({x.record_id for x in records}) == len(rows)
+    responses = {(x.target_uri, x.payload_digest) for x in records if x.record_type == "response"}
+    assert all((x.refers_to_uri, x.payload_digest) in responses for x in records if x.record_type == "revisit")
     assert warc.round_trip(spark, spark.createDataFrame([], "page_id BIGINT, url STRING, html STRING")).count() == 0
 
 

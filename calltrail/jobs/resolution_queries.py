@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
 from calltrail.jobs.fixtures import Tables
-from calltrail.jobs.parser_queries import blank, fill
+from calltrail.jobs.parser_queries import blank, fill, property_lines, sources
 from calltrail.jobs.registry import query
 from calltrail.operators import resolution
+from calltrail.sources.projects import open_project
 
 #: A method's statements by case, each with what its chains give: roots that are variables, fields, types, constructors
 #: and unknown; keywords; names that are claimed, and names that a qualified call has already.
@@ -108,3 +111,20 @@ def field_chain_fold(t: Tables) -> DataFrame:
     )
     chains = t.part.select(p.alias("id"), fill("File«n».java", n=p % 7).alias("file_name"), F.lit("Own").alias("class_interface_name"), F.array_join(F.concat(token, F.array(F.lit("end"))), ".").alias("path"))
     return resolution.fold_chains(chains, t.var_types, t.returns.select("cls"), t.returns)
+
+
+@query(
+    "project_tables",
+    r"""WITH u AS (SELECT count(*) AS u, count(*) FILTER (s_suppkey % 7 = 6) AS bad FROM supplier), m AS (SELECT count(*) AS p, count(DISTINCT p_partkey // 20) AS own FROM part WHERE p_partkey // 20 IN (SELECT s_suppkey FROM supplier)),
+    g AS (SELECT count(*) AS calls FROM pages, unnest(regexp_extract_all(html, '([a-z]+)\([0-9]+\)', 1)))
+    SELECT unnest(['declared_types', 'methods', 'metadata', 'calls', 'kept calls', 'fallback', 'variable_types', 'return_index', 'parents', 'type_index', 'method_lines', 'properties', 'keywords', 'script calls', 'script types']) AS what,
+        unnest([3 * u, p + 7 * u, p + 7 * u, 9 * p + u, 9 * p + u, bad, 6 * u + 2 * own + 2 * p, p + 3 * u + 2, u, u + 2, p + 11 * u, (SELECT count(*) + 1 FROM part), 12, g.calls, 0]) AS n FROM u, m, g""",
+)
+def project_tables(t: Tables) -> DataFrame:
+    """Rows of every table that a language provides, for two languages."""
+    java, script = open_project("java", sources(t)), open_project("script", t.pages.select(fill("page«k»", k=F.col("page_id")).alias("path"), F.col("html").alias("text")))
+    calls = java.calls()
+    tables = {name: getattr(java, name)() for name in ("declared_types", "methods", "metadata", "fallback", "variable_types", "return_index", "parents", "type_index", "method_lines")}
+    tables |= {"calls": calls, "kept calls": calls.where("kept_by IS NOT NULL"), "properties": java.properties(property_lines(t)), "script calls": script.calls(), "script types": script.declared_types()}
+    tables["keywords"] = t.spark.createDataFrame([(w,) for w in java.keywords()], "w STRING").join(t.region.where("r_regionkey = 0"))
+    return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n") for name, df in tables.items()])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
 from calltrail.operators.ordering import global_rank, ordered_list
-from calltrail.operators.shared import materialize
+from calltrail.operators.shared import discard, materialize
 
 #: Edges that a round of simple_paths() goes before its rows are written.
 STEPS = 4
@@ -23,16 +23,24 @@ def reachable(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """
     step = materialize(edges.select("src", "dst").distinct())
     frontier = materialize(seeds.select("node", F.lit(0).alias("depth")).distinct())
-    found, depth = frontier, 0
+    found, parts, depth = frontier, [frontier], 0
     while True:
         depth += 1
         new = frontier.join(step, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct().join(found, "node", "left_anti")
         frontier = materialize(new.select("node", F.lit(depth).alias("depth")))
         if frontier.isEmpty():
             return found
-        found = found.unionByName(frontier)
-        if depth % COMPACT == 0:
-            found = materialize(found)
+        found, parts = _grown(found, parts, frontier, depth)
+
+
+def _grown(found: DataFrame, parts: list[DataFrame], new: DataFrame, round_: int) -> tuple[DataFrame, list[DataFrame]]:
+    """found with a round's table; every COMPACT rounds as one table, after which those before it are deleted."""
+    found, parts = found.unionByName(new), [*parts, new]
+    if round_ % COMPACT:
+        return found, parts
+    whole = materialize(found)
+    discard(*parts[:-1])  # the round's own is the frontier
+    return whole, [new, whole]
 
 
 def discovery(edges: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -45,7 +53,7 @@ def discovery(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     step = materialize(edges.groupBy("src", "dst").agg(F.min("place").alias("place")))
     first = seeds.groupBy("node").agg(F.min("place").alias("place"))
     frontier = materialize(global_rank(first, ["place", "node"], "number").select("node", F.lit(0).alias("round"), "number"))
-    found, round_, n = frontier, 0, frontier.count()
+    found, parts, round_, n = frontier, [frontier], 0, frontier.count()
     while True:
         round_ += 1
         reached = frontier.join(step, F.col("node") == F.col("src")).groupBy("dst").agg(F.min(F.struct("number", "place")).alias("by"))
@@ -55,9 +63,7 @@ def discovery(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         if not size:
             return found
         n += size
-        found = found.unionByName(frontier)
-        if round_ % COMPACT == 0:
-            found = materialize(found)
+        found, parts = _grown(found, parts, frontier, round_)
 
 
 def closure(edges: DataFrame, starts: DataFrame) -> DataFrame:
@@ -69,16 +75,14 @@ def closure(edges: DataFrame, starts: DataFrame) -> DataFrame:
 def _walked(step: DataFrame, starts: DataFrame) -> DataFrame:
     """start, node: every node that a walk from start visits, itself too."""
     frontier = materialize(starts.select("start", F.col("start").alias("node")).distinct())
-    seen, round_ = frontier, 0
+    seen, parts, round_ = frontier, [frontier], 0
     while True:
         round_ += 1
         new = frontier.join(step, F.col("node") == F.col("src")).select("start", F.col("dst").alias("node")).distinct().join(seen, ["start", "node"], "left_anti")
         frontier = materialize(new)
         if frontier.isEmpty():
             return seen
-        seen = seen.unionByName(frontier)
-        if round_ % COMPACT == 0:
-            seen = materialize(seen)
+        seen, parts = _grown(seen, parts, frontier, round_)
 
 
 def method_name(call: Column) -> Column:

@@ -23,11 +23,24 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cuts lineage with a written table that all executors see."""
-    path = new_path(df.sparkSession, "step")
+def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+    """Cuts lineage with a written table in the shared folder, so a lost executor costs no earlier stage."""
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of materialize() that nothing reads any more: what came of them has been written."""
+    for t in tables:
+        drop_path(t.sparkSession, t.written_at)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -43,6 +43,15 @@ def test_discovery_is_a_queue(spark):
         assert rows(got) == sorted(order, key=repr)
 
 
+def test_long_walks_are_put_together_again(spark, monkeypatch):
+    monkeypatch.setattr(graph, "COMPACT", 3)
+    edges = spark.createDataFrame([(k, k + 1, 0) for k in range(11)] + [(11, 0, 0)], "src INT, dst INT, place INT")
+    seeds = spark.createDataFrame([(0, 0)], "node INT, place INT")
+    assert rows(graph.reachable(edges, seeds)) == sorted([(k, k) for k in range(12)], key=repr)
+    assert rows(graph.discovery(edges, seeds)) == sorted([(k, k, k) for k in range(12)], key=repr)
+    assert graph.closure(edges, spark.createDataFrame([(5,)], "start INT")).count() == 12
+
+
 def test_closure_by_name_is_a_walk(spark):
     methods = [("A", "go", "a", 1), ("B", "go", "b", 2), ("B", "run", "b", 2), ("C", "leaf", "c", 3), ("A", "self", "a", 1), ("D", "ping", "d", 4), ("D", "pong", "d", 4)]
     calls = [("A", "go", "X.run(a.b)"), ("A", "go", "leaf()"), ("B", "go", "never()"), ("B", "run", "Z.go()"), ("B", "run", "ext.gone(1)"), ("A", "self", "A.self()"), ("D", "ping", "pong()"), ("D", "pong", "D.ping()"), ("D", "pong", "ping()"), ("C", "leaf", "")]
@@ -266,3 +275,23 @@ def test_of_two_writers_at_once_one_fails(spark, tmp_path, monkeypatch):
         S.write_sheets(book, {"A": spark.range(7)})
     monkeypatch.undo()
     assert S.read_sheet(spark, book, "A").count() == 2
+
+
+def test_projects_keep_calls_by_flags_and_give_empty_tables(spark):
+    from calltrail.sources.projects import TABLES, Flags, open_project
+
+    text = "package org.x; import com.a.Known; class A { Fld f; void m(Arg a) { Loc l = new Loc(); f.x(); a.x(); l.x(); k.x(); Known.x(); bare(); ((C) z).x(); } }"
+    files = spark.createDataFrame([("A.java", text), ("B.java", "class B { void m( }"), ("C.java", None)], "path STRING, text STRING")
+    got = {(r.call, r.kept_by) for r in open_project("java", files).calls().collect()}
+    assert got == {("Fld.x()", "field"), ("Arg.x()", "parameter"), ("Loc.x()", "typed"), ("Loc.Loc()", "constructor"), ("k.x()", None), ("Known.x()", "imported_root"), ("A.bare()", "include_unqualified"), ("C.x()", "typed")}
+    off = open_project("java", files, flags=Flags(False, False, False, False))
+    assert {(r.call, r.kept_by) for r in off.calls().collect()} == {("Fld.x()", "field"), ("Arg.x()", "typed"), ("Loc.x()", "typed"), ("Loc.Loc()", "constructor"), ("k.x()", None), ("Known.x()", "imported_root"), ("C.x()", "typed")}
+    assert {r.path for r in off.fallback().collect()} == {"B.java"}
+    script = open_project("script", files)
+    for name in TABLES:
+        if name != "calls":
+            assert getattr(script, name)().collect() == []
+    for name in TABLES:
+        assert getattr(off, name)().columns == [c.split()[0] for c in TABLES[name].replace("ARRAY<STRING>", "ARRAY").split(", ")]
+    with pytest.raises(KeyError):
+        open_project("cobol", files)

@@ -1,9 +1,9 @@
-"""Shared helpers: table reads, the cluster's shared folder, materialised tables, word memo."""
+"""Shared helpers: table reads, digests, slices of batches, what workers keep; those of the library are used as they are."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -12,56 +12,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from calltrail.operators.shared import discard, drop_path, materialize, new_path, shared_dir, unused
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Where it is unset, a new local one in local mode, as in tests; an error on a cluster."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        at = spark.sparkContext.getCheckpointDir()
-        if at is None:
-            if spark.sparkContext.master.partition("[")[0] != "local":
-                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-            spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='spark-')}")
-            at = spark.sparkContext.getCheckpointDir()
-        found = at
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage with a written table in the shared folder, so a lost executor costs no earlier stage."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_at = path
-    return out
 
+__all__ = ["Memo", "discard", "drop_path", "ids_and_texts", "in_slices", "materialize", "new_path", "numbered_words", "shared_dir", "table", "text_digest", "unused", "worker_state"]
 
-def discard(*tables: DataFrame) -> None:
-    """Deletes tables of materialize() that nothing reads any more: what came of them has been written."""
-    for t in tables:
-        drop_path(t.sparkSession, t.written_at)
 
-
-def unused(df: DataFrame, name: str) -> str:
-    """The name, or one made of it, that no column of df has."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text_digest(text: str | Column) -> Column:
@@ -95,10 +53,20 @@ def numbered_words(texts: pa.Array, between: str = " ") -> tuple[pa.Array, pa.Di
 _STATE: dict = {}
 
 
+def _give_back() -> None:
+    """Returns freed memory to the system, where the allocators can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def worker_state(key, make: Callable):
     """What a Python worker keeps between tasks of one kind; it goes when a task of another kind asks for its own."""
     if key not in _STATE:
         _STATE.clear()
+        _give_back()
         _STATE[key] = make()
     return _STATE[key]
 

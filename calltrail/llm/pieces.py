@@ -51,7 +51,7 @@ class PieceVocabulary:
         self.automaton.make_automaton()
         self.singles = {p for p in self.ids if len(p) == 1}
         self.chunks = re.compile(self._chunk_pattern()).findall
-        self.pair_ok = Memo(self._compatible, 400_000)
+        self.pair_ok = Memo(self._compatible, 250_000)
         self.self_ok = Memo(self._reaches_itself, 40_000)
 
     def _chunk_pattern(self) -> str:
@@ -214,7 +214,7 @@ class TextCodec(ByPart):
     Only ids are kept. A part that does not decode to itself is never kept, and stands in `odd` while texts are worked on.
     """
 
-    def __init__(self, v: PieceVocabulary, limit: int = 300_000):
+    def __init__(self, v: PieceVocabulary, limit: int = 250_000):
         super().__init__(v, self._code, limit)
         self.odd: dict[str, str] = {}
 

@@ -99,7 +99,7 @@ def sheets_of(spark: SparkSession, book: str) -> tuple[int, dict[str, str]]:
     versions = [int(m[1]) for f in system.listStatus(at) if (m := _MANIFEST.match(f.getPath().getName()))]
     if not versions:
         return 0, {}
-    text = spark.read.option("wholetext", True).text(f"{book}/_manifests/{max(versions):09d}.json").first()["value"]
+    text = spark.read.text(f"{book}/_manifests/{max(versions):09d}.json", wholetext=True).first()["value"]
     return max(versions), json.loads(text)
 
 

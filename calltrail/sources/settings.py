@@ -44,7 +44,7 @@ class Config:
 
 def read_config(spark: SparkSession, path: str, language: str, application: str) -> Config:
     """Looks up Language > language > Application > application in one file; what is missing on the way is a KeyError."""
-    files = spark.read.option("wholetext", True).text(path).limit(2).collect()
+    files = spark.read.text(path, wholetext=True).limit(2).collect()
     if len(files) != 1:
         raise ValueError(f"{path} is not one file")
     found = json.loads(files[0]["value"])

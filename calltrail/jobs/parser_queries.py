@@ -218,9 +218,10 @@ def calls_nested_args(t: Tables) -> DataFrame:
 
 def bodies(t: Tables, f: DataFrame) -> DataFrame:
     """body, path, cls, mth, source of all methods: their lines, without comments and literals. f: rows of the scanner."""
-    own = f.where("kind = 'method'").select(_body("extra").alias("body"), "path", "cls", "mth", "line", "end")
-    lines = F.slice(F.split("text", "\n"), F.col("line"), F.col("end") - F.col("line") + 1)
-    return own.join(sources(t), "path").select("body", "path", "cls", "mth", blank(F.array_join(lines, "\n"), True, " ").alias("source"))
+    own = f.where("kind = 'method'").groupBy("path").agg(F.collect_list(F.struct(_body("extra").alias("body"), "cls", "mth", "line", "end")).alias("of"))
+    texts = sources(t).select("path", F.split("text", "\n").alias("lines"))  # a text meets its methods once, not a copy each
+    cut = F.transform("of", lambda m: F.struct(m["body"].alias("body"), m["cls"].alias("cls"), m["mth"].alias("mth"), F.array_join(F.slice("lines", m["line"], m["end"] - m["line"] + 1), "\n").alias("raw")))
+    return own.join(texts, "path").select("path", F.inline(cut)).select("body", "path", "cls", "mth", blank(F.col("raw"), True, " ").alias("source"))
 
 
 def _body(params: str) -> Column:

@@ -156,20 +156,19 @@ def method_lines(files: DataFrame, tokens: DataFrame) -> DataFrame:
     braces = members.select("path", "kind", "text", "pos").withColumn("brace", next_brace).select("path", F.col("pos").alias("args_end"), "brace")
     curly = partners.where("kind = 'curly'").select("path", F.col("pos").alias("brace"), "close_line")
     found = named.join(stop, ["path", "member"]).join(braces, ["path", "args_end"]).join(curly, ["path", "brace"], "left")
-    rows = found.join(files.select("path", "text"), "path")
-    lines = F.split("text", "\n")
-    far = F.coalesce("close_line", F.size(lines))
-    rows = rows.withColumn("opened_end", F.when(F.col("brace").isNull(), F.col("start_line")).otherwise(far)).withColumn("block_end", F.when(F.col("stop") == "{", far).otherwise(F.col("stop_line")))
-
-    def count(end: str, filled: bool) -> Column:
-        n = F.col(end) - F.col("start_line") + 1
-        return F.size(F.filter(F.slice(lines, F.col("start_line"), n), lambda x: F.regexp_replace(x, r"^\s+", "") != "")) if filled else n
-
-    args = F.expr("substring(text, cast(after_pos + 2 AS int), cast(args_end - after_pos - 1 AS int))")
-    one = rows.select(
-        "path", "mth", "pos", _param_types(args).alias("types"), count("block_end", False).alias("block"), count("block_end", True).alias("block_filled"),
-        F.when(F.col("brace").isNull(), 1).otherwise(count("opened_end", True)).alias("opened_filled"), F.when(F.col("brace").isNull(), 1).otherwise(count("opened_end", False)).alias("opened"),
-    )
+    known = F.struct("mth", "pos", "start_line", "after_pos", "args_end", "stop", "stop_line", "brace", "close_line")
+    texts = files.select("path", "text", F.split("text", "\n").alias("lines"))  # a text meets its declarations once, not a copy each
+
+    def measured(d: Column) -> Column:
+        far = F.coalesce(d["close_line"], F.size("lines"))
+        start, end = d["start_line"], F.when(d["stop"] == "{", far).otherwise(d["stop_line"])
+        filled = lambda last: F.size(F.filter(F.slice("lines", start, last - start + 1), lambda x: F.regexp_replace(x, r"^\s+", "") != ""))
+        args = F.col("text").substr((d["after_pos"] + 2).cast("int"), (d["args_end"] - d["after_pos"] - 1).cast("int"))
+        none = d["brace"].isNull()
+        values = {"mth": d["mth"], "pos": d["pos"], "types": _param_types(args), "block": end - start + 1, "block_filled": filled(end), "opened_filled": F.when(none, 1).otherwise(filled(far)), "opened": F.when(none, 1).otherwise(far - start + 1)}
+        return F.struct(*[v.alias(k) for k, v in values.items()])
+
+    one = found.groupBy("path").agg(F.collect_list(known).alias("of")).join(texts, "path").select("path", F.inline(F.transform("of", measured)))
     first = F.first("opened").over(Window.partitionBy("path", F.lower("mth")).orderBy("pos")).alias("file_first")
     one = one.select("path", "mth", "pos", "types", "block", "block_filled", "opened_filled", first)
     inside = (F.col("pos") > F.col("opens")) & (F.col("pos") < F.col("closes"))

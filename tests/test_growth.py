@@ -3,6 +3,24 @@
 from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
+from calltrail.operators import resolution
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_what_bodies_and_files_hold_meets_calls_by_sorting(spark):
+    n = spark.range(3)
+    path = F.concat(F.lit("F"), "id")
+    calls = n.select(F.col("id").alias("application"), path.alias("path"), F.lit("C").alias("cls"), F.col("id").alias("body"), F.lit("v").alias("root"), F.lit("m").alias("mth"))
+    variables = n.select(F.col("id").alias("body"), F.lit("v").alias("name"), F.lit("Known").alias("type"), F.lit("local").alias("how"))
+    fields = n.select(F.lit("C").alias("cls"), F.lit("f").alias("name"))
+    index = resolution.import_index(n.select(path.alias("path"), F.lit("com.a.Known").alias("name"), F.lit("type").alias("type")))
+    flags = n.select(F.col("id").alias("application"), *[F.lit(False).alias(x) for x in ("include_unqualified", "accept_local_new_types", "accept_parameter_types", "accept_same_package")])
+    kept = resolution.keep_calls(calls, variables, fields, index, n.select(path.alias("path"), F.lit("com.a").alias("package")), flags)
+    assert plan(kept).count("SortMergeJoin") >= 5
+    assert {r.kept_by for r in kept.collect()} == {"imported_type"}
 
 
 def test_lists_are_trimmed_of_blanks_alone_where_asked_for(spark):

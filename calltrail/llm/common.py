@@ -1,18 +1,17 @@
-"""Shared helpers: table reads, digests, slices of batches, what workers keep; those of the library are used as they are."""
+"""Shared helpers: table reads, digests, what workers keep; those of the library are used as they are."""
 
 from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calltrail.operators.shared import discard, drop_path, materialize, new_path, shared_dir, unused
+from calltrail.operators.shared import discard, drop_path, in_slices, materialize, new_path, shared_dir, unused
 
 
 __all__ = ["Memo", "discard", "drop_path", "ids_and_texts", "in_slices", "materialize", "new_path", "numbered_words", "shared_dir", "table", "text_digest", "unused", "worker_state"]
@@ -33,17 +32,6 @@ def ids_and_texts(batch: pa.RecordBatch) -> tuple[list, list[str]]:
     return batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
 
 
-def in_slices(batches: Iterator[pa.RecordBatch], size: int = 4 << 20, column: int = 1) -> Iterator[pa.RecordBatch]:
-    """Smaller batches of about `size` bytes of a column, a row at least, so that few texts are Python strings at once."""
-    for batch in batches:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
-        at = 0
-        while at < batch.num_rows:
-            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
-            yield batch.slice(at, end - at)
-            at = end
-
-
 def numbered_words(texts: pa.Array, between: str = " ") -> tuple[pa.Array, pa.DictionaryArray]:
     """What stands between separators: a list for each text, and all words in a row as numbers of a dictionary."""
     split = pc.split_pattern(texts, between)

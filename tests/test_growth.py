@@ -1,15 +1,34 @@
 """Steps whose memory or tasks must not depend on how small Spark reckons its input, and results that follow their SQL."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
+from calltrail.jobs.fixtures import Tables
+from calltrail.jobs.parser_queries import sources
 from calltrail.operators import resolution
+from calltrail.sources import java
+
+SF = "/root/testdata/sf0.001"
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_sources_are_not_gathered_in_the_driver_and_are_spread_over_tasks(spark):
+    files = sources(Tables(spark, SF))
+    assert "Broadcast" not in plan(files) and "SortMergeJoin" in plan(files)
+    assert files.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_worker_scans_some_files_at_a_time():
+    text = "class A { void m() { f.go(); } }" + " " * (java.SLICE // 4)
+    batch = pa.RecordBatch.from_arrays([pa.array([f"A{k}.java" for k in range(40)]), pa.array([text] * 40)], names=["path", "text"])
+    found = list(java.parsed(iter([batch])))
+    assert len(found) >= 10 and len({p for b in found for p in b.column(0).to_pylist()}) == 40
+
+
 def test_what_bodies_and_files_hold_meets_calls_by_sorting(spark):
     n = spark.range(3)
     path = F.concat(F.lit("F"), "id")

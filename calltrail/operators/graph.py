@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from calltrail.functions import text as T
 from calltrail.operators.ordering import global_rank, ordered_list
 from calltrail.operators.shared import discard, materialize
 
-#: Edges that a round of simple_paths() goes before its rows are written.
+#: Edges that a round of simple_paths() goes before its rows are written, and a round of a closure before it looks at what was seen.
 STEPS = 4
 #: Rounds after which what has been found is written as one table again.
 COMPACT = 8
@@ -73,15 +75,28 @@ def closure(edges: DataFrame, starts: DataFrame) -> DataFrame:
 
 
 def _walked(step: DataFrame, starts: DataFrame) -> DataFrame:
-    """start, node: every node that a walk from start visits, itself too."""
-    frontier = materialize(starts.select("start", F.col("start").alias("node")).distinct())
+    """start, node: every node that a walk from start visits, itself too.
+
+    A round goes STEPS steps, each a written table, before what it found meets what was seen: that is the large table, so
+    it is read once in STEPS steps. `at` is the step of its round in which a node was first found; all but the last step's
+    nodes have been walked on from in that round, so those alone are the next round's frontier.
+    """
+    last = STEPS - 1
+    frontier = materialize(starts.select("start", F.col("start").alias("node"), F.lit(last).alias("at")).distinct())
     seen, parts, round_ = frontier, [frontier], 0
     while True:
         round_ += 1
-        new = frontier.join(step, F.col("node") == F.col("src")).select("start", F.col("dst").alias("node")).distinct().join(seen, ["start", "node"], "left_anti")
-        frontier = materialize(new)
+        ahead, steps = frontier.where(F.col("at") == last), []
+        for k in range(STEPS):
+            ahead = materialize(ahead.join(step, F.col("node") == F.col("src")).select("start", F.col("dst").alias("node"), F.lit(k).alias("at")).distinct())
+            steps.append(ahead)
+            if ahead.isEmpty():
+                break
+        found = reduce(DataFrame.unionByName, steps).groupBy("start", "node").agg(F.min("at").alias("at"))
+        frontier = materialize(found.join(seen, ["start", "node"], "left_anti"))
+        discard(*steps)
         if frontier.isEmpty():
-            return seen
+            return seen.select("start", "node")
         seen, parts = _grown(seen, parts, frontier, round_)
 
 

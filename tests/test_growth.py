@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from calltrail.functions import text as T
 from calltrail.jobs.fixtures import Tables
 from calltrail.jobs.parser_queries import sources
-from calltrail.operators import resolution
+from calltrail.operators import graph, resolution
 from calltrail.sources import java
 
 SF = "/root/testdata/sf0.001"
@@ -45,3 +45,24 @@ def test_what_bodies_and_files_hold_meets_calls_by_sorting(spark):
 def test_lists_are_trimmed_of_blanks_alone_where_asked_for(spark):
     row = spark.createDataFrame([("a, b\t,\n, c ",)], "x string")
     assert row.select(T.split_list(F.col("x"), F.trim), T.split_list(F.col("x"))).first()[:] == (["a", "b\t", "\n", "c"], ["a", "b", "c"])
+
+
+def test_a_closure_reads_what_was_seen_once_in_some_steps(spark, monkeypatch):
+    edges = [(k, k + 1) for k in range(11)] + [(11, 3), (5, 5), (2, 9), (20, 0)]
+    follow = {}
+    for s, d in edges:
+        follow.setdefault(s, set()).add(d)
+    want = set()
+    for start in (0, 4, 20, 30):
+        open_, seen = [start], {start}
+        while open_:
+            for d in follow.get(open_.pop(), ()):
+                if d not in seen:
+                    seen.add(d)
+                    open_.append(d)
+        want |= {(start, s, d) for s, d in edges if s in seen}
+    rounds, grown = [], graph._grown
+    monkeypatch.setattr(graph, "_grown", lambda *args: rounds.append(args[3]) or grown(*args))
+    found = graph.closure(spark.createDataFrame(edges, "src long, dst long"), spark.createDataFrame([(x,) for x in (0, 4, 20, 30)], "start long"))
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+    assert max(rounds) <= 12 // graph.STEPS + 1

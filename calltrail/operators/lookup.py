@@ -189,11 +189,12 @@ def rank_with_fallback(cells: DataFrame, ranks: DataFrame) -> DataFrame:
 
 def call_rank(cells: DataFrame, ranks: DataFrame) -> DataFrame:
     """cells (pcls, pmth, cls, mth) with rank: under the parent with an equal or missing receiver, under the parent by
-    name, by name anywhere, else NO_RANK. ranks: cls, mth, recv, callee, rank (of the method cls.mth)."""
+    name, by name anywhere, else NO_RANK. ranks: cls, mth, recv, callee, rank (of the method cls.mth). Ranks under a parent
+    are as many as the calls, and meet their cells by sorting."""
     own = ranks.select(F.col("cls").alias("pcls"), F.col("mth").alias("pmth"), "recv", F.col("callee").alias("mth"), "rank")
-    named = own.where("recv IS NOT NULL").groupBy("pcls", "pmth", "mth", F.col("recv").alias("cls")).agg(F.min("rank").alias("__r1"))
-    free = own.where("recv IS NULL").groupBy("pcls", "pmth", "mth").agg(F.min("rank").alias("__r0"))
-    any_recv = own.groupBy("pcls", "pmth", "mth").agg(F.min("rank").alias("__r2"))
+    named = own.where("recv IS NOT NULL").groupBy("pcls", "pmth", "mth", F.col("recv").alias("cls")).agg(F.min("rank").alias("__r1")).hint("merge")
+    free = own.where("recv IS NULL").groupBy("pcls", "pmth", "mth").agg(F.min("rank").alias("__r0")).hint("merge")
+    any_recv = own.groupBy("pcls", "pmth", "mth").agg(F.min("rank").alias("__r2")).hint("merge")
     anywhere = own.groupBy("mth").agg(F.min("rank").alias("__r3"))
     out = cells.join(named, ["pcls", "pmth", "mth", "cls"], "left").join(free, ["pcls", "pmth", "mth"], "left").join(any_recv, ["pcls", "pmth", "mth"], "left").join(anywhere, "mth", "left")
     return out.withColumn("rank", F.coalesce(F.least("__r0", "__r1"), "__r2", "__r3", F.lit(T.NO_RANK)).cast("long")).drop("__r0", "__r1", "__r2", "__r3")

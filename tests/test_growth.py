@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from calltrail.functions import text as T
 from calltrail.jobs.fixtures import Tables
 from calltrail.jobs.parser_queries import sources
-from calltrail.operators import graph, resolution
+from calltrail.operators import graph, lookup, resolution
 from calltrail.sources import java
 
 SF = "/root/testdata/sf0.001"
@@ -42,6 +42,15 @@ def test_what_bodies_and_files_hold_meets_calls_by_sorting(spark):
     assert {r.kept_by for r in kept.collect()} == {"imported_type"}
 
 
+def test_variables_and_ranks_meet_calls_by_sorting(spark):
+    rows = spark.createDataFrame([], java.SCHEMA)
+    assert plan(resolution.resolved_calls(rows)).count("SortMergeJoin") >= 3
+    n = spark.range(3)
+    cells = n.select(*[F.concat(F.lit(c), "id").alias(c) for c in ("pcls", "pmth", "cls", "mth")])
+    ranks = n.select(*[F.concat(F.lit(c), "id").alias(c) for c in ("cls", "mth", "recv", "callee")], F.col("id").alias("rank"))
+    assert plan(lookup.call_rank(cells, ranks)).count("SortMergeJoin") >= 2
+
+
 def test_lists_are_trimmed_of_blanks_alone_where_asked_for(spark):
     row = spark.createDataFrame([("a, b\t,\n, c ",)], "x string")
     assert row.select(T.split_list(F.col("x"), F.trim), T.split_list(F.col("x"))).first()[:] == (["a", "b\t", "\n", "c"], ["a", "b", "c"])

@@ -114,8 +114,8 @@ def class_blocks(members: DataFrame, partners: DataFrame) -> DataFrame:
     """path, cls, opens, closes of declared types: the brace that ends the run of the name, to its partner or the file's end."""
     heads = members.where("kind = 'word' AND before IN ('class', 'interface', 'enum') AND coalesce(before2, '') <> '.'").select("path", "member", F.col("text").alias("cls"))
     braces = members.where("ends AND text = '{'").select("path", "member", F.col("pos").alias("opens"))
-    opened = heads.join(braces, ["path", "member"])
-    return opened.join(partners.where("kind = 'curly'").select("path", F.col("pos").alias("opens"), "closes"), ["path", "opens"], "left").select("path", "cls", "opens", F.coalesce("closes", F.lit(1 << 62)).alias("closes"))
+    opened = heads.hint("merge").join(braces, ["path", "member"])
+    return opened.join(partners.where("kind = 'curly'").select("path", F.col("pos").alias("opens"), "closes").hint("merge"), ["path", "opens"], "left").select("path", "cls", "opens", F.coalesce("closes", F.lit(1 << 62)).alias("closes"))
 
 
 def _param_types(args: Column) -> Column:
@@ -137,25 +137,26 @@ def method_lines(files: DataFrame, tokens: DataFrame) -> DataFrame:
 
     A declaration is a name before a round bracket that is not within others, with a type before it or the name of a
     class around it, and a brace, a semicolon or throws behind the bracket. It has a row for each class that it stands in,
-    nested ones too. files: path, text; tokens: path, kind (word, number, string, char, mark), text, pos, line.
+    nested ones too. files: path, text; tokens: path, kind (word, number, string, char, mark), text, pos, line. All joins are
+    by sorting, as written tokens look small and are many.
     """
     members = materialize(with_members(tokens))
     partners = materialize(with_partners(members.where("kind = 'mark'").select("path", "text", "pos", "line")))
     blocks = materialize(class_blocks(members, partners))
     named = members.where((F.col("kind") == "word") & (F.col("after") == "(") & (F.col("round") == 0) & ~F.col("text").isin(*T.CONTROL_WORDS) & (F.coalesce("before", F.lit("")) != "@"))
-    made = blocks.select("path", F.col("cls").alias("text"), F.lit(True).alias("made")).distinct()
+    made = blocks.select("path", F.col("cls").alias("text"), F.lit(True).alias("made")).distinct().hint("merge")
     typed = (F.col("before").rlike(r"^[A-Za-z_$]") & ~F.col("before").isin(*NO_TYPE)) | (F.col("before").isin(">", "]") & (F.coalesce("before2", F.lit("")) != "-"))
     named = named.where(~F.col("value")).join(made, ["path", "text"], "left").where(typed | (F.col("made") & ~F.coalesce("before", F.lit("{")).isin(".", "@")))
     round_ = partners.where("kind = 'round'").select("path", F.col("pos").alias("after_pos"), F.col("closes").alias("args_end"))
-    named = named.select("path", "member", F.col("text").alias("mth"), "pos", "start_line", "after_pos").join(round_, ["path", "after_pos"])
+    named = named.select("path", "member", F.col("text").alias("mth"), "pos", "start_line", "after_pos").join(round_.hint("merge"), ["path", "after_pos"])
     behind = members.where("text = ')'").select("path", F.col("pos").alias("args_end"), F.col("after").alias("behind"))
-    named = named.join(behind, ["path", "args_end"]).where("behind IN ('{', ';', 'throws')")
+    named = named.join(behind.hint("merge"), ["path", "args_end"]).where("behind IN ('{', ';', 'throws')")
     stop = members.where("ends").select("path", "member", F.col("text").alias("stop"), F.col("pos").alias("stop_pos"), F.col("line").alias("stop_line"))
     w = Window.partitionBy("path").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)  # from the end, as frames to the end are begun anew for each row
     next_brace = F.last(F.when((F.col("kind") == "mark") & (F.col("text") == "{"), F.col("pos")), ignorenulls=True).over(w)
     braces = members.select("path", "kind", "text", "pos").withColumn("brace", next_brace).select("path", F.col("pos").alias("args_end"), "brace")
     curly = partners.where("kind = 'curly'").select("path", F.col("pos").alias("brace"), "close_line")
-    found = named.join(stop, ["path", "member"]).join(braces, ["path", "args_end"]).join(curly, ["path", "brace"], "left")
+    found = named.join(stop.hint("merge"), ["path", "member"]).join(braces.hint("merge"), ["path", "args_end"]).join(curly.hint("merge"), ["path", "brace"], "left")
     known = F.struct("mth", "pos", "start_line", "after_pos", "args_end", "stop", "stop_line", "brace", "close_line")
     texts = files.select("path", "text", F.split("text", "\n").alias("lines"))  # a text meets its declarations once, not a copy each
 
@@ -168,8 +169,8 @@ def method_lines(files: DataFrame, tokens: DataFrame) -> DataFrame:
         values = {"mth": d["mth"], "pos": d["pos"], "types": _param_types(args), "block": end - start + 1, "block_filled": filled(end), "opened_filled": F.when(none, 1).otherwise(filled(far)), "opened": F.when(none, 1).otherwise(far - start + 1)}
         return F.struct(*[v.alias(k) for k, v in values.items()])
 
-    one = found.groupBy("path").agg(F.collect_list(known).alias("of")).join(texts, "path").select("path", F.inline(F.transform("of", measured)))
+    one = found.groupBy("path").agg(F.collect_list(known).alias("of")).hint("merge").join(texts, "path").select("path", F.inline(F.transform("of", measured)))
     first = F.first("opened").over(Window.partitionBy("path", F.lower("mth")).orderBy("pos")).alias("file_first")
     one = one.select("path", "mth", "pos", "types", "block", "block_filled", "opened_filled", first)
     inside = (F.col("pos") > F.col("opens")) & (F.col("pos") < F.col("closes"))
-    return one.join(blocks, "path").where(inside).select("path", "cls", "mth", "pos", "types", "block", "block_filled", "opened_filled", "file_first")
+    return one.join(blocks.hint("merge"), "path").where(inside).select("path", "cls", "mth", "pos", "types", "block", "block_filled", "opened_filled", "file_first")

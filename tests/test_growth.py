@@ -1,12 +1,14 @@
 """Steps whose memory or tasks must not depend on how small Spark reckons its input, and results that follow their SQL."""
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
+from calltrail.jobs import all_queries
 from calltrail.jobs.fixtures import Tables
 from calltrail.jobs.parser_queries import sources
-from calltrail.operators import graph, lookup, resolution
+from calltrail.operators import graph, lookup, resolution, spans
 from calltrail.sources import java
 
 SF = "/root/testdata/sf0.001"
@@ -75,3 +77,40 @@ def test_a_closure_reads_what_was_seen_once_in_some_steps(spark, monkeypatch):
     found = graph.closure(spark.createDataFrame(edges, "src long, dst long"), spark.createDataFrame([(x,) for x in (0, 4, 20, 30)], "start long"))
     assert sorted(tuple(r) for r in found.collect()) == sorted(want)
     assert max(rounds) <= 12 // graph.STEPS + 1
+
+
+def test_lines_and_blocks_meet_tokens_by_sorting(spark):
+    files = spark.createDataFrame([("A.java", "class A { void m(int a) { x(); } }")], "path string, text string")
+    found = spans.method_lines(files, java.all_tokens(files))
+    assert "Broadcast" not in plan(found)
+    assert [(r.cls, r.mth, r.block) for r in found.collect()] == [("A", "m", 1)]
+
+
+def test_chains_meet_variables_and_fields_by_sorting(spark):
+    bodies = spark.createDataFrame([("b", "C", "v.go(1).on(2); f.at(x);")], "body string, cls string, source string")
+    variables = spark.createDataFrame([("b", "v", "V")], "body string, name string, type string")
+    fields = spark.createDataFrame([("C", "f", "Fld")], "cls string, name string, type string")
+    found = resolution.chain_calls(bodies, variables, fields, spark.createDataFrame([], "body string, mth string"))
+    assert "BroadcastHashJoin" not in plan(found)
+    assert {r.call for r in found.where("how = 'rewritten'").collect()} == {"V.go(1).on(2)", "Fld.at(x)"}
+
+
+@pytest.mark.parametrize("name", ["brace_match", "lineage_rows", "method_inventory", "call_rank", "calls_fallback", "calls_chain"])
+def test_rows_of_files_are_not_gathered_in_the_driver(spark, name):
+    assert "BroadcastHashJoin" not in plan(all_queries()[0][name](spark, SF))
+
+
+def test_rows_that_nobody_asks_for_stay_in_their_worker(spark):
+    good, bad = "class A { int f; void m() { f.go(); } }", "class B { void m( { } }"
+    batch = pa.RecordBatch.from_arrays([pa.array(["A.java", "B.java"]), pa.array([good, bad])], names=["path", "text"])
+    found = [r for b in java.parsed(iter([batch]), kinds=("type",)) for r in b.to_pylist()]
+    assert [(r["cls"], r["kind"], r["fallback"]) for r in found] == [("A", "type", False), ("B", "type", True)]
+    files = spark.createDataFrame([("A.java", good + "// {"), ("C.java", "'{' \"}\"")], "path string, text string")
+    assert [(r.text, r.pos) for r in java.all_tokens(files, marks="{}").orderBy("pos").collect()] == [(x, k) for k, x in enumerate(good) if x in "{}"]
+
+
+def test_tokens_and_their_lines_are_those_of_the_pattern():
+    text = "a1 é٣x\n\n /* b\nc */ \"x\\\ny\" 'q' \"open\n// t\n  $d.e(1.5f) \x0b\x1c' ''\n  /* end\n \n"
+    want = [(m.lastgroup, m[0], m.start(), 1 + text.count("\n", 0, m.start())) for m in java._TOKEN.finditer(text)]
+    assert list(java.pieces(text)) == want and len(want) > 15
+    assert list(java.pieces("x" + " " * 1_000_000)) == [("word", "x", 0, 1)] and list(java.pieces("")) == []

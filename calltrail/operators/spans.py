@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from calltrail.functions import text as T
 from calltrail.operators import ordering
-from calltrail.operators.shared import materialize
+from calltrail.operators.shared import discard, materialize
 
 
 def with_depth(tokens: DataFrame) -> DataFrame:
@@ -24,15 +24,18 @@ def with_scope(tokens: DataFrame) -> DataFrame:
     """Calls with scope and opened: name and position of the innermost declaration whose body is open around them.
 
     At each depth below a call, the last declaration there counts until its body's brace closes at that depth. Two bodies
-    of one name differ in `opened`. Calls outside of methods have nulls. tokens: path, kind, name, recv, pos.
+    of one name differ in `opened`. Calls outside of methods have nulls. tokens: path, kind, name, recv, pos. They are
+    sorted and read once, in as many tasks as shuffles have: packed tokens look like work for a few, and sorts of a task
+    hold them unpacked.
     """
-    deep = with_depth(tokens).where("kind <> 'open'")
-    asks = deep.where("kind = 'call'").withColumn("level", F.explode(F.sequence(F.lit(0), F.greatest(F.col("depth") - 1, F.lit(0)))))
-    marks = deep.where("kind <> 'call'").withColumn("level", F.col("depth"))
+    dealt = tokens.repartition(int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
+    deep = with_depth(dealt).where("kind <> 'open'")
+    below = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("depth") - 1, F.lit(0)))
+    levels = deep.withColumn("level", F.explode(F.when(F.col("kind") == "call", below).otherwise(F.array("depth"))))
     w = Window.partitionBy("path", "level").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     decl = F.struct(F.col("name").alias("scope"), F.col("pos").alias("opened"))
     state = F.last(F.when(F.col("kind") == "decl", decl).when(F.col("kind") == "close", F.struct(F.lit(None).cast("string").alias("scope"), F.lit(None).cast("long").alias("opened"))), ignorenulls=True).over(w)
-    seen = marks.unionByName(asks).withColumn("open", state).where("kind = 'call'")
+    seen = levels.withColumn("open", state).where("kind = 'call'")
     inner = F.max_by("open", F.when(F.col("open.opened").isNotNull(), F.col("level")))
     return seen.groupBy("path", "pos", "name", "recv").agg(inner.alias("open")).select("path", "pos", "name", "recv", "open.scope", "open.opened")
 
@@ -48,11 +51,13 @@ def call_order(tokens: DataFrame) -> DataFrame:
 
     A body counts a receiver and callee once, at its first place; overloads and repeated bodies count on their own, and a
     call belongs to the innermost body. Names are in lower case, cls is the file's stem. Ranks of different bodies
-    compare, so that a fallback over all of them means something.
+    compare, so that a fallback over all of them means something. Places are written before they are ranked, as bounds of
+    ranges are drawn by reading all rows.
     """
     own = with_scope(tokens).where("opened IS NOT NULL")
-    first = own.groupBy("path", "opened", F.lower("scope").alias("mth"), F.lower("recv").alias("recv"), F.lower("name").alias("callee")).agg(F.min("pos").alias("pos"))
+    first = materialize(own.groupBy("path", "opened", F.lower("scope").alias("mth"), F.lower("recv").alias("recv"), F.lower("name").alias("callee")).agg(F.min("pos").alias("pos")))
     ranked = ordering.global_rank(first.select("*", *scan_key()), ["__dirs", "__file", "pos"], "rank")
+    discard(first)
     return ranked.select(F.lower(T.file_stem(F.col("path"))).alias("cls"), "mth", "recv", "callee", "rank", "path", "opened")
 
 

@@ -8,7 +8,7 @@ from calltrail.functions import text as T
 from calltrail.jobs import all_queries
 from calltrail.jobs.fixtures import Tables
 from calltrail.jobs.parser_queries import sources
-from calltrail.operators import graph, lookup, resolution, spans
+from calltrail.operators import graph, lookup, ordering, resolution, spans
 from calltrail.sources import java
 
 SF = "/root/testdata/sf0.001"
@@ -114,3 +114,14 @@ def test_tokens_and_their_lines_are_those_of_the_pattern():
     want = [(m.lastgroup, m[0], m.start(), 1 + text.count("\n", 0, m.start())) for m in java._TOKEN.finditer(text)]
     assert list(java.pieces(text)) == want and len(want) > 15
     assert list(java.pieces("x" + " " * 1_000_000)) == [("word", "x", 0, 1)] and list(java.pieces("")) == []
+
+
+def test_bodies_are_found_in_one_pass_over_tokens_spread_over_tasks(spark, monkeypatch):
+    tokens = java.scan_tokens(spark.createDataFrame([("src/A.java", "class A { int f; void m() { b.go(); { b.go(); on(); } } } }"), ("src/B.java", "class B { void n() { on(); } }")], "path string, text string"))
+    scoped = plan(spans.with_scope(tokens))
+    assert scoped.count("MapInArrow") == 1 and "REPARTITION_BY_NUM" in scoped
+    asked, rank = [], ordering.global_rank
+    monkeypatch.setattr(ordering, "global_rank", lambda df, *args: asked.append(df) or rank(df, *args))
+    found = spans.call_order(tokens)
+    assert len(asked) == 1 and "Window" not in plan(asked[0]) and "MapInArrow" not in plan(asked[0])
+    assert sorted((r.rank, r.cls, r.mth, r.recv, r.callee) for r in found.collect()) == [(0, "a", "m", "b", "go"), (1, "a", "m", None, "on"), (2, "b", "n", None, "on")]
